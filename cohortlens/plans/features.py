@@ -58,17 +58,27 @@ def ranked_submissions(
     return [p.withColumn("is_early", F.col("rn") <= cutoff) for p in parts]
 
 
-def _mark_new_weeks(rows: DataFrame) -> DataFrame:
-    """Flags the first early row of each week of a pair; reuses the partitioning on the pair."""
-    in_week = Window.partitionBy(*PAIR, "is_early", "week").orderBy("rn")
-    return rows.withColumn("new_week", F.col("is_early") & (F.row_number().over(in_week) == 1))
+def _mark_first_rows(rows: DataFrame) -> DataFrame:
+    """Flags the first early row of each week and the first row of each assignment of a pair.
 
+    Counting flags replaces two distinct counts, which would expand and reshuffle every row;
+    these windows only sort inside the partitioning the rank already made.
+    """
+    in_week = Window.partitionBy(*PAIR, "is_early", "week").orderBy("rn")
+    in_assignment = Window.partitionBy(*PAIR, "assignment_id").orderBy("rn")
+    return rows.withColumns(
+        {
+            "new_week": F.col("is_early") & (F.row_number().over(in_week) == 1),
+            "new_assignment": F.col("assignment_id").isNotNull()
+            & (F.row_number().over(in_assignment) == 1),
+        }
+    )
 
-def _pair_statistics(rows: DataFrame, latest: Column, early_weeks: Column) -> DataFrame:
-    """All per-pair sums in one aggregation; unused ones are pruned by the optimizer.
 
-    With a single distinct count the ordinary pairs need no exchange beyond the window's.
-    """
+def _pair_statistics(
+    rows: DataFrame, latest: Column, early_weeks: Column, assignments_done: Column
+) -> DataFrame:
+    """All per-pair sums in one aggregation; unused ones are pruned by the optimizer."""
     early = F.col("is_early")
     grade = E.cents("grade")
     early_grade = F.when(early, grade)
@@ -94,7 +104,7 @@ def _pair_statistics(rows: DataFrame, latest: Column, early_weeks: Column) -> Da
             F.sum(x * x).alias("sxx"),
             F.sum(x * y).alias("sxy"),
             early_weeks.alias("early_weeks"),
-            F.count_distinct("assignment_id").alias("assignments_done"),
+            assignments_done.alias("assignments_done"),
             F.count(F.when(early, F.col("delay_ms"))).alias("early_due_n"),
             F.sum(F.when(early, F.greatest(delay, F.lit(0)))).alias("early_delay_ms"),
             F.count_if(F.col("delay_ms") > 0).alias("overdue_n"),
@@ -122,10 +132,12 @@ def pair_statistics(
         p.withColumn("is_early", F.col("rn") <= cutoff).withColumn("week", E.week_start(F.col("submitted_at")))
         for p in parts
     ]
-    stats = _pair_statistics(_mark_new_weeks(ordinary), latest, F.count_if("new_week"))
+    stats = _pair_statistics(
+        _mark_first_rows(ordinary), latest, F.count_if("new_week"), F.count_if("new_assignment")
+    )
     for part in heavy:
         weeks = F.count_distinct(F.when(F.col("is_early"), F.col("week")))
-        stats = stats.unionByName(_pair_statistics(part, latest, weeks))
+        stats = stats.unionByName(_pair_statistics(part, latest, weeks, F.count_distinct("assignment_id")))
     return stats
 
 
