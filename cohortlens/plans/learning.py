@@ -117,7 +117,7 @@ def _scored(frame: DataFrame, probability: Column, prediction: Column) -> DataFr
     )
 
 
-def _apply(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def apply_model(model: PipelineModel, rows: DataFrame) -> DataFrame:
     out = model.transform(rows)
     return _scored(out, vector_to_array("probability")[1], F.col("prediction"))
 
@@ -219,11 +219,11 @@ def score_knn(train: DataFrame, rows: DataFrame, k: int = 5) -> DataFrame:
 def score_with(name: str, data: Prepared, rows: DataFrame) -> DataFrame:
     """Fit one model by name on the train rows and score ``rows``."""
     if name == "Logistic Regression":
-        return _apply(fit_logistic(data.train), rows)
+        return apply_model(fit_logistic(data.train), rows)
     if name == "Random Forest":
-        return _apply(fit_forest(data.train), rows)
+        return apply_model(fit_forest(data.train), rows)
     if name == "Gradient Boosting":
-        return _apply(fit_boosting(data.train), rows)
+        return apply_model(fit_boosting(data.train), rows)
     if name == "SVM":
         return fit_kernel_svm(data.train).score(rows)
     if name == "KNN":
@@ -346,4 +346,4 @@ def train_single(training: DataFrame) -> tuple[PipelineModel, DataFrame]:
     """Logistic regression alone on clean labels; returns the model and all scored pairs."""
     data = prepare(training, noise=0.0)
     model = fit_logistic(data.train)
-    return model, _apply(model, data.rows)
+    return model, apply_model(model, data.rows)

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from cohortlens.functions import exprs as E
 from cohortlens.functions import tiers
 from cohortlens.operators.ranking import last_n
-from cohortlens.plans.features import latest_submission
+from cohortlens.plans import marts
+from cohortlens.plans.features import latest_submission, student_course_features
+from cohortlens.session import ensure_checkpoint_dir
 from cohortlens.sources.fixtures import Warehouse
 
 
@@ -637,3 +639,27 @@ def weekly_course_averages(facts: DataFrame, courses: DataFrame) -> DataFrame:
         .join(courses.select("course_id", "course_name"), "course_id")
         .select("week", "course_id", "course_name", _zero(_avg()).alias("avg_grade"))
     )
+
+
+def dashboard_bundle(wh: Warehouse, scored: DataFrame) -> dict[str, DataFrame]:
+    """All dashboard reports over marts that are computed once and kept in a checkpoint."""
+    ensure_checkpoint_dir(scored.sparkSession)
+    pairs = scored.checkpoint()
+    students = marts.student_features(pairs).checkpoint()
+    student_courses = student_course_features(wh, students).checkpoint()
+    ranked = top_risk_students(students, 1000)
+    return {
+        "overview": overview(students, wh.courses, wh.facts),
+        "courses": course_report(wh, marts.risk_by_course(pairs)),
+        "students": ranked,
+        "course_students": course_students(student_courses, None, 2000),
+        "top_students": top_risk_students(students, 20),
+        "distribution": student_distribution(students),
+        "trends": weekly_trends_rounded(wh.facts),
+        "heatmap": late_heatmap(wh.facts),
+        "histogram": grade_histogram(students),
+        "assignments": assignment_completion(wh),
+        "course_comparison": course_comparison(wh),
+        "top_performers": top_performers(students, 10),
+        "recent_activity": recent_activity(wh.facts),
+    }

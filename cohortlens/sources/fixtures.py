@@ -195,3 +195,70 @@ def dirty_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("points_possible"),
         F.lit("2023-12-01").alias("created_at"),
     )
+
+
+def landed_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as course records of the source API, in three workflow states."""
+    key = F.col("s_suppkey")
+    state = F.when(key % 4 == 0, "completed").when(key % 4 == 1, F.lit(None)).otherwise("available")
+    return table(spark, sf_dir, "supplier").select(
+        F.when(key % 9 != 0, key).alias("id"),
+        F.col("s_name").alias("name"),
+        F.concat(F.lit("C"), key.cast("string")).alias("course_code"),
+        state.alias("workflow_state"),
+    )
+
+
+def landed_students(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as student records: a login, an empty login or none, and an email."""
+    key, name = F.col("c_custkey"), F.lower("c_name")
+    login = F.when(key % 3 == 0, F.lit("")).when(key % 3 == 1, F.lit(None)).otherwise(name)
+    email = F.when(key % 5 != 0, F.concat(name, F.lit("@example.com")))
+    return table(spark, sf_dir, "customer").select(
+        key.cast("string").alias("id"), F.col("c_name").alias("name"),
+        login.alias("login_id"), email.alias("email"),
+    )
+
+
+def landed_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = dirty_assignments(spark, sf_dir).filter(F.col("course_id") != "?")
+    return raw.withColumnsRenamed({"assignment_id": "id", "assignment_name": "name"})
+
+
+def landed_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty submissions with the user id nested as the API sends it."""
+    raw = dirty_submissions(spark, sf_dir)
+    user = F.when(F.col("user_id").isNotNull(), F.struct(F.col("user_id").alias("id")))
+    return raw.select("id", user.alias("user"), "assignment_id", "submitted_at", "grade", "late", "course_id")
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as numbered pages; the payload is a coarse text size, which repeats."""
+    size = F.call_function("div", F.length("text"), F.lit(200))
+    return table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("entity"),
+        (F.col("turn") + 1).alias("page_no"),
+        size.cast("string").alias("payload"),
+    )
+
+
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as chat messages: one session per user."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("session_id"),
+        F.col("event_id").alias("turn"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("event_type").alias("role"),
+        F.col("props").alias("text"),
+    )
+
+
+def dense_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as requests of five busy sessions, with time running a thousand times faster."""
+    start_ms = 1_704_067_200_000
+    offset = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - start_ms * 1000) / 1_000_000)
+    return table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 5).alias("session_id"),
+        F.col("event_id").alias("turn"),
+        F.timestamp_millis(offset + start_ms).alias("ts"),
+    )
