@@ -17,22 +17,28 @@ from pyspark.sql import functions as F
 from cohortlens.operators.ranking import last_n
 
 CELL_ROWS = 2_000
-MAX_CELLS = 10_000  # the cell table is broadcast, so its size is fixed here
+# Frames with one row per cell are broadcast. There are at most about 2.5 * MAX_CELLS cells:
+# the quantile grid, and one more per MAX_CELLS-th of the points when ties are split.
+MAX_CELLS = 10_000
 SEARCH_ROWS = 2_000  # queries searched by one task against one cell
 CUT_FEATURES = 3
 
 
+def _cuts_below(value: Column) -> Column:
+    return F.size(F.filter("_cuts", lambda cut: cut < value))
+
+
 def _assign_cells(points: DataFrame, features: list[str], cells: int) -> DataFrame:
     """Adds ``cell``: quantile cuts on the first features, each inside the previous cut."""
     fan_out = max(1, round(cells ** (1 / CUT_FEATURES)))
     placed = points.withColumn("cell", F.lit(0).cast("bigint"))
     if fan_out == 1:
         return placed
-    shares = F.array(*[F.lit(i / fan_out) for i in range(1, fan_out)])
+    shares = [i / fan_out for i in range(1, fan_out)]
     for feature in features[:CUT_FEATURES]:
         cuts = placed.groupBy("cell").agg(F.percentile_approx(feature, shares).alias("_cuts"))
-        above = F.size(F.filter("_cuts", lambda c, f=feature: c < F.col(f)))
-        placed = placed.join(cuts, "cell").withColumn("cell", F.col("cell") * fan_out + above).drop("_cuts")
+        above = _cuts_below(F.col(feature))
+        placed = placed.join(F.broadcast(cuts), "cell").withColumn("cell", F.col("cell") * fan_out + above).drop("_cuts")
     return placed
 
 
@@ -41,7 +47,7 @@ def _split_large(placed: DataFrame, key: list[str], cell_rows: int) -> DataFrame
     sizes = placed.groupBy("cell").agg(F.count("*").alias("_n"))
     parts = F.ceil(F.col("_n") / cell_rows)
     part = F.pmod(F.xxhash64(*key), parts)
-    return placed.join(sizes, "cell").withColumn(
+    return placed.join(F.broadcast(sizes), "cell").withColumn(
         "cell", F.concat_ws("-", F.col("cell").cast("string"), part.cast("string"))
     ).drop("_n")
 
@@ -87,6 +93,7 @@ def _search(visits: DataFrame, points: DataFrame, features: list[str], key: list
     """The k nearest points of the visited cell per visit. A busy cell is shared out over
     several tasks, each with its own copy of the (size-limited) cell."""
     load = visits.groupBy("cell").agg(F.ceil(F.count("*") / SEARCH_ROWS).alias("_shares"))
+    load = F.broadcast(load)  # one row per cell
     shared = visits.join(load, "cell").withColumn(
         "share", F.pmod(F.xxhash64(*features), F.col("_shares"))
     ).drop("_shares")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import exprs as E
 from cohortlens.operators.neighbors import nearest_neighbors, votes
 from cohortlens.schemas import FEATURE_COLUMNS
-from cohortlens.session import ensure_checkpoint_dir
+from cohortlens.session import ensure_checkpoint_dir, spread
 
 KEY = ["student_id", "course_id"]
 SEED = 42
@@ -102,7 +102,7 @@ def prepare(training: DataFrame, noise: float = NOISE, seed: int = SEED) -> Prep
     """Computes the features once and keeps them in a reliable checkpoint for all five fits."""
     ensure_checkpoint_dir(training.sparkSession)
     base = with_split(with_label_noise(matrix(training), noise, seed), seed=seed).checkpoint()
-    return Prepared(standardize(base, base.filter(~F.col("is_test"))).checkpoint())
+    return Prepared(standardize(spread(base, *KEY), base.filter(~F.col("is_test"))).checkpoint())
 
 
 # -- models ---------------------------------------------------------------------------------
@@ -133,9 +133,11 @@ def fit_logistic(train: DataFrame, penalty: float = 1.0, iterations: int = 1000)
 
 
 def fit_forest(train: DataFrame, trees: int = 100, depth: int = 30, seed: int = SEED) -> PipelineModel:
+    """Deep trees: node ids are cached with the rows, so no level walks all trees again."""
+    ensure_checkpoint_dir(train.sparkSession)
     estimator = RandomForestClassifier(
         labelCol="noisy_label", numTrees=trees, featureSubsetStrategy="sqrt",
-        maxDepth=depth, seed=seed, maxMemoryInMB=1024,
+        maxDepth=depth, seed=seed, maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10,
     )
     return Pipeline(stages=[_assembled(), estimator]).fit(train)
 

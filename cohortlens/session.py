@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -36,3 +36,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use every core on rows that arrive in a few small parts; a no-op on large inputs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() * 2 <= cores
+    return df.repartition(cores, *keys) if few else df

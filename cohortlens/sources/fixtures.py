@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.schemas import GRADE
+from cohortlens.session import spread
 
 
 @dataclass(frozen=True)
@@ -24,13 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on a fact table that arrives as a few small files; a no-op on large ones."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() * 2 <= cores
-    return df.repartition(cores, key) if few else df
-
-
 def _course_id(part_type: Column) -> Column:
     # Part type to course number; any other type is course 6.
     numbers = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5}
