@@ -1,10 +1,9 @@
-"""Named queries over a folder of test tables; each takes (spark, folder) and returns a frame."""
+"""Named queries over a folder of test tables; each takes (data) and returns a frame."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +13,60 @@ from cohortlens import schemas
 from cohortlens.functions import exprs as E
 from cohortlens.functions import text as X
 from cohortlens.functions import tiers
-from cohortlens.operators import cleaning, neighbors, ranking, reshape
+from cohortlens.operators import cleaning, ranking, reshape
 from cohortlens.plans import features, learning, marts, reports, sessions
-from cohortlens.session import ensure_checkpoint_dir, prepare, scratch_path
+from cohortlens.session import prepare, scratch_path
 from cohortlens.sources import fixtures, landing
 from cohortlens.streaming import activity as streams
+from cohortlens.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+class Inputs:
+    """Frames of one test folder, each built once however many parts of a query use it."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+
+    @cached_property
+    def wh(self) -> Warehouse:
+        return fixtures.coursework(self.spark, self.folder)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return features.scored_pairs(self.wh)
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        return marts.student_course_scores(self.scored)
+
+    @cached_property
+    def students(self) -> DataFrame:
+        return marts.student_features(self.scored)
+
+    @cached_property
+    def student_courses(self) -> DataFrame:
+        return features.student_course_features(self.wh, self.students)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return features.pair_statistics(self.wh)
+
+    @cached_property
+    def report(self) -> DataFrame:
+        return reports.course_report(self.wh, marts.risk_by_course(self.scored))
+
+    @cached_property
+    def training(self) -> DataFrame:
+        return features.training_dataset(self.wh)
+
+    @cached_property
+    def matrix(self) -> DataFrame:
+        return learning.matrix(self.training)
+
+
+Build = Callable[[Inputs], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 COURSE_IDS = [1, 2, 3, 4, 5, 6]
@@ -46,10 +92,10 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def _register(name: str) -> Callable[[Query], Query]:
-    def add(build: Query) -> Query:
+def _register(name: str) -> Callable[[Build], Build]:
+    def add(build: Build) -> Build:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return _plain(build(prepare(spark), folder))
+            return _plain(build(Inputs(prepare(spark), folder)))
 
         _REGISTRY[name] = run
         return build
@@ -61,127 +107,94 @@ def queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-# -- shared inputs --------------------------------------------------------------------------
-def _wh(spark: SparkSession, folder: str) -> fixtures.Warehouse:
-    return fixtures.coursework(spark, folder)
-
-
-def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    return features.scored_pairs(_wh(spark, folder))
-
-
-def _scores(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.student_course_scores(_scored(spark, folder))
-
-
-def _students(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.student_features(_scored(spark, folder))
-
-
-def _student_courses(spark: SparkSession, folder: str) -> DataFrame:
-    return features.student_course_features(_wh(spark, folder), _students(spark, folder))
-
-
-def _pairs(spark: SparkSession, folder: str, by: str = "due") -> DataFrame:
-    wh = _wh(spark, folder)
-    return features.pair_statistics(wh.facts, wh.assignments, by)
-
-
-def _report(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.course_report(_wh(spark, folder), marts.risk_by_course(_scored(spark, folder)))
-
-
 # -- features -------------------------------------------------------------------------------
 @_register("p1_training_dataset")
-def training_dataset(spark, folder):
-    return features.training_dataset(_wh(spark, folder))
+def training_dataset(data):
+    return data.training
 
 
 @_register("p2_student_course_features")
-def student_course_features(spark, folder):
-    return _student_courses(spark, folder)
+def student_course_features(data):
+    return data.student_courses
 
 
-def _ranks(spark, folder, by):
-    wh = _wh(spark, folder)
-    ranked = ranking.union_all(features.ranked_submissions(wh.facts, wh.assignments, by))
+def _ranks(data, by):
+    ranked = ranking.union_all(features.ranked_submissions(data.wh, by))
     return ranked.select("student_id", "course_id", "submission_id", "rn", "total_count", "is_early")
 
 
 @_register("w1_early_rank")
-def early_rank(spark, folder):
-    return _ranks(spark, folder, "due").drop("is_early")
+def early_rank(data):
+    return _ranks(data, "due").drop("is_early")
 
 
 @_register("w2_early_rank_by_submit")
-def early_rank_by_submit(spark, folder):
-    return _ranks(spark, folder, "submitted").drop("is_early")
+def early_rank_by_submit(data):
+    return _ranks(data, "submitted").drop("is_early")
 
 
 @_register("w5_early_window")
-def early_window(spark, folder):
-    return _ranks(spark, folder, "due").filter("is_early").drop("is_early")
+def early_window(data):
+    return _ranks(data, "due").filter("is_early").drop("is_early")
 
 
 @_register("j9_semi_early")
-def early_by_submit(spark, folder):
-    return _ranks(spark, folder, "submitted").filter("is_early").groupBy("student_id", "course_id").agg(
+def early_by_submit(data):
+    return _ranks(data, "submitted").filter("is_early").groupBy("student_id", "course_id").agg(
         F.count("*").alias("early_submission_count"), F.max("submission_id").alias("last_submission")
     )
 
 
 @_register("a8_delay_early")
-def delay_early(spark, folder):
-    return _pairs(spark, folder).select(
+def delay_early(data):
+    return data.pairs.select(
         "student_id", "course_id", features.avg_delay_early().alias("avg_delay_hours")
     )
 
 
 @_register("a8_delay_strict")
-def delay_strict(spark, folder):
-    return _pairs(spark, folder).select(
+def delay_strict(data):
+    return data.pairs.select(
         "student_id", "course_id", features.avg_delay_strict().alias("avg_delay_hours")
     )
 
 
 @_register("a9_stddev_pop")
-def stddev_pop(spark, folder):
-    return _pairs(spark, folder).select(
+def stddev_pop(data):
+    return data.pairs.select(
         "student_id", "course_id", features.early_stddev().alias("early_grade_stddev")
     )
 
 
 @_register("a11_grade_trend")
-def grade_trend(spark, folder):
-    return _pairs(spark, folder).select(
+def grade_trend(data):
+    return data.pairs.select(
         "student_id", "course_id", features.grade_trend().alias("early_grade_trend")
     )
 
 
 @_register("f6_recency_14_30")
-def recency(spark, folder):
-    return _pairs(spark, folder).select("student_id", "course_id", "last_14d", "last_30d")
+def recency(data):
+    return data.pairs.select("student_id", "course_id", "last_14d", "last_30d")
 
 
 @_register("a27_completion_ratio")
-def completion(spark, folder):
-    wh = _wh(spark, folder)
-    stats = features.pair_statistics(wh.facts, wh.assignments)
-    totals = features.course_assignment_totals(wh.assignments)
-    return stats.join(totals, "course_id", "left").select(
+def completion(data):
+    totals = features.course_assignment_totals(data.wh.assignments)
+    return data.pairs.join(totals, "course_id", "left").select(
         "student_id", "course_id", "assignments_done",
         features.completion_ratio().alias("assignment_completion_ratio"),
     )
 
 
 @_register("d1_courses_enrolled")
-def courses_enrolled(spark, folder):
-    return features.courses_enrolled(_wh(spark, folder).facts)
+def courses_enrolled(data):
+    return features.courses_enrolled(data.wh.facts)
 
 
 @_register("j12_named_submissions")
-def named_submissions(spark, folder):
-    wh = _wh(spark, folder)
+def named_submissions(data):
+    wh = data.wh
     return wh.facts.join(wh.students.select("student_id", "student_name"), "student_id", "left").select(
         "submission_id", "student_id", "course_id", "assignment_id", "late", "submitted_at",
         E.cents("grade").alias("cents"), "student_name",
@@ -189,8 +202,8 @@ def named_submissions(spark, folder):
 
 
 @_register("f4_delay_hours")
-def delay_hours(spark, folder):
-    wh = _wh(spark, folder)
+def delay_hours(data):
+    wh = data.wh
     due = wh.assignments.select("assignment_id", "due_at")
     ts = F.col("submitted_at")
     return wh.facts.join(due, "assignment_id", "left").select(
@@ -205,278 +218,278 @@ def delay_hours(spark, folder):
 
 # -- summaries ------------------------------------------------------------------------------
 @_register("p8_student_summary")
-def student_summary(spark, folder):
-    return reports.student_summary(_wh(spark, folder))
+def student_summary(data):
+    return reports.student_summary(data.wh)
 
 
 @_register("p9_overview_counts")
-def overview_counts(spark, folder):
-    return reports.overview_counts(_wh(spark, folder))
+def overview_counts(data):
+    return reports.overview_counts(data.wh)
 
 
 @_register("p10_course_summary")
-def course_summary(spark, folder):
-    return reports.course_summary(_wh(spark, folder))
+def course_summary(data):
+    return reports.course_summary(data.wh)
 
 
 @_register("p11_weekly_trends")
-def weekly_trends(spark, folder):
-    return reports.weekly_trends(_wh(spark, folder).facts)
+def weekly_trends(data):
+    return reports.weekly_trends(data.wh.facts)
 
 
 @_register("p12_course_risk_late_matrix")
-def course_risk_late_matrix(spark, folder):
-    wh = _wh(spark, folder)
-    return reports.course_risk_late_matrix(_scores(spark, folder), wh.facts, wh.courses)
+def course_risk_late_matrix(data):
+    wh = data.wh
+    return reports.course_risk_late_matrix(data.scores, wh.facts, wh.courses)
 
 
 @_register("p17_student_distribution")
-def student_distribution(spark, folder):
-    return reports.student_distribution(_students(spark, folder))
+def student_distribution(data):
+    return reports.student_distribution(data.students)
 
 
 @_register("p20_grade_histogram")
-def grade_histogram(spark, folder):
-    return reports.grade_histogram(_students(spark, folder))
+def grade_histogram(data):
+    return reports.grade_histogram(data.students)
 
 
 @_register("p21_assignment_completion")
-def assignment_completion(spark, folder):
-    return reports.assignment_completion(_wh(spark, folder))
+def assignment_completion(data):
+    return reports.assignment_completion(data.wh)
 
 
 @_register("p23_course_comparison")
-def course_comparison(spark, folder):
-    return reports.course_comparison(_wh(spark, folder))
+def course_comparison(data):
+    return reports.course_comparison(data.wh)
 
 
 @_register("a23_course_feature_means")
-def course_feature_means(spark, folder):
-    return reports.course_feature_means(_student_courses(spark, folder))
+def course_feature_means(data):
+    return reports.course_feature_means(data.student_courses)
 
 
 @_register("a24_platform_means")
-def platform_means(spark, folder):
-    wh = _wh(spark, folder)
-    overview = reports.overview(_students(spark, folder), wh.courses, wh.facts)
-    return reports.platform_means(_report(spark, folder), overview)
+def platform_means(data):
+    wh = data.wh
+    overview = reports.overview(data.students, wh.courses, wh.facts)
+    return reports.platform_means(data.report, overview)
 
 
 @_register("a25_tier_counts")
-def tier_counts(spark, folder):
-    return reports.tier_counts(_student_courses(spark, folder))
+def tier_counts(data):
+    return reports.tier_counts(data.student_courses)
 
 
 @_register("a26_equal_width_histogram")
-def equal_width_histogram(spark, folder):
-    return reshape.equal_width_histogram(_students(spark, folder), "avg_grade")
+def equal_width_histogram(data):
+    return reshape.equal_width_histogram(data.students, "avg_grade")
 
 
 # -- activity -------------------------------------------------------------------------------
 @_register("p18_weekly_trends_rounded")
-def weekly_trends_rounded(spark, folder):
-    return reports.weekly_trends_rounded(fixtures.activity(spark, folder))
+def weekly_trends_rounded(data):
+    return reports.weekly_trends_rounded(fixtures.activity(data.spark, data.folder))
 
 
 @_register("p11_weekly_trends_activity")
-def weekly_trends_activity(spark, folder):
-    return reports.weekly_trends(fixtures.activity(spark, folder))
+def weekly_trends_activity(data):
+    return reports.weekly_trends(fixtures.activity(data.spark, data.folder))
 
 
 @_register("p19_late_heatmap")
-def late_heatmap(spark, folder):
-    return reports.late_heatmap(fixtures.activity(spark, folder))
+def late_heatmap(data):
+    return reports.late_heatmap(fixtures.activity(data.spark, data.folder))
 
 
 @_register("p25_recent_activity")
-def recent_activity(spark, folder):
-    return reports.recent_activity(fixtures.activity(spark, folder))
+def recent_activity(data):
+    return reports.recent_activity(fixtures.activity(data.spark, data.folder))
 
 
 @_register("f12_activity_trend")
-def activity_trend(spark, folder):
-    return reports.activity_trend(reports.recent_activity(fixtures.activity(spark, folder)))
+def activity_trend(data):
+    return reports.activity_trend(reports.recent_activity(fixtures.activity(data.spark, data.folder)))
 
 
 # -- per entity -----------------------------------------------------------------------------
 @_register("p16_course_students")
-def course_students(spark, folder):
-    return reports.course_students(_student_courses(spark, folder), course_id=1, limit=50)
+def course_students(data):
+    return reports.course_students(data.student_courses, course_id=1, limit=50)
 
 
 @_register("p22_student_trend")
-def student_trend(spark, folder):
-    return reports.student_trend(_wh(spark, folder).facts)
+def student_trend(data):
+    return reports.student_trend(data.wh.facts)
 
 
 @_register("p24_top_performers")
-def top_performers(spark, folder):
-    return reports.top_performers(_students(spark, folder), 10)
+def top_performers(data):
+    return reports.top_performers(data.students, 10)
 
 
 @_register("p27_student_course_vs_class")
-def student_course_vs_class(spark, folder):
-    return reports.student_course_vs_class(_student_courses(spark, folder), _wh(spark, folder).facts)
+def student_course_vs_class(data):
+    return reports.student_course_vs_class(data.student_courses, data.wh.facts)
 
 
 @_register("p28_student_profile")
-def student_profile(spark, folder):
-    return reports.student_profile(_students(spark, folder), 7)
+def student_profile(data):
+    return reports.student_profile(data.students, 7)
 
 
 @_register("o7_top_by_grade")
-def top_by_grade(spark, folder):
-    return reports.top_by_grade(_students(spark, folder))
+def top_by_grade(data):
+    return reports.top_by_grade(data.students)
 
 
 @_register("o7_top_pairs_by_risk")
-def top_pairs_by_risk(spark, folder):
-    return reports.top_pairs_by_risk(_scores(spark, folder))
+def top_pairs_by_risk(data):
+    return reports.top_pairs_by_risk(data.scores)
 
 
 @_register("o8_top3_courses")
-def top3_courses(spark, folder):
-    return reports.best_courses(_report(spark, folder))
+def top3_courses(data):
+    return reports.best_courses(data.report)
 
 
 @_register("o10_best_worst_course")
-def best_worst_course(spark, folder):
-    return reports.best_and_worst_course(student_course_vs_class(spark, folder))
+def best_worst_course(data):
+    return reports.best_and_worst_course(student_course_vs_class(data))
 
 
 @_register("o10_course_chart")
-def course_chart(spark, folder):
-    return reports.course_chart(student_course_vs_class(spark, folder), limit=2)
+def course_chart(data):
+    return reports.course_chart(student_course_vs_class(data), limit=2)
 
 
 @_register("c11_student_search")
-def student_search(spark, folder):
-    found = reports.student_search(_student_courses(spark, folder), "cusTomer#00000000", "medium")
+def student_search(data):
+    found = reports.student_search(data.student_courses, "cusTomer#00000000", "medium")
     return found.select("student_id", "course_id", "student_name", "course_final_avg", "course_late_ratio")
 
 
 @_register("c12_course_search")
-def course_search(spark, folder):
-    return reports.course_search(_report(spark, folder), "m", "high", "avg_grade")
+def course_search(data):
+    return reports.course_search(data.report, "m", "high", "avg_grade")
 
 
 @_register("c13_high_risk")
-def high_risk(spark, folder):
-    return reports.high_risk(_students(spark, folder)).select("student_id", "risk_probability")
+def high_risk(data):
+    return reports.high_risk(data.students).select("student_id", "risk_probability")
 
 
 @_register("f13_progress_rate")
-def progress_rate(spark, folder):
-    return reports.progress_rates(reports.course_comparison(_wh(spark, folder)))
+def progress_rate(data):
+    return reports.progress_rates(reports.course_comparison(data.wh))
 
 
 # -- marts ----------------------------------------------------------------------------------
 @_register("p3_student_course_scores_fixed")
-def student_course_scores(spark, folder):
-    return _scores(spark, folder)
+def student_course_scores(data):
+    return data.scores
 
 
 @_register("p4_student_features")
-def student_features(spark, folder):
-    return _students(spark, folder)
+def student_features(data):
+    return data.students
 
 
 @_register("p5_at_risk_rows")
-def at_risk_rows(spark, folder):
-    return marts.at_risk_rows(_scores(spark, folder))
+def at_risk_rows(data):
+    return marts.at_risk_rows(data.scores)
 
 
 @_register("p6_risk_by_course")
-def risk_by_course(spark, folder):
-    return marts.risk_by_course(_scored(spark, folder))
+def risk_by_course(data):
+    return marts.risk_by_course(data.scored)
 
 
 @_register("p13_overview")
-def overview(spark, folder):
-    wh = _wh(spark, folder)
-    return reports.overview(_students(spark, folder), wh.courses, wh.facts)
+def overview(data):
+    wh = data.wh
+    return reports.overview(data.students, wh.courses, wh.facts)
 
 
 @_register("p14_course_report")
-def course_report(spark, folder):
-    return _report(spark, folder)
+def course_report(data):
+    return data.report
 
 
 @_register("p15_top_risk")
-def top_risk(spark, folder):
-    return reports.top_risk_students(_students(spark, folder), 20)
+def top_risk(data):
+    return reports.top_risk_students(data.students, 20)
 
 
 @_register("o5_scores_by_risk")
-def scores_by_risk(spark, folder):
-    return reports.scores_by_risk(_scores(spark, folder)).select(
+def scores_by_risk(data):
+    return reports.scores_by_risk(data.scores).select(
         "student_id", "course_id", "risk_probability"
     )
 
 
 @_register("o6_worst_25")
-def worst_25(spark, folder):
-    return reports.worst_pairs(_scores(spark, folder))
+def worst_25(data):
+    return reports.worst_pairs(data.scores)
 
 
 @_register("p29_teacher_course_stats")
-def teacher_course_stats(spark, folder):
-    taught = _wh(spark, folder).courses.withColumn("teacher_id", F.col("course_id") % 3)
-    return reports.teacher_course_stats(taught, _scores(spark, folder))
+def teacher_course_stats(data):
+    taught = data.wh.courses.withColumn("teacher_id", F.col("course_id") % 3)
+    return reports.teacher_course_stats(taught, data.scores)
 
 
 @_register("p30_platform_counts")
-def platform_counts(spark, folder):
-    wh = _wh(spark, folder)
-    return reports.platform_counts(_students(spark, folder), wh.courses, wh.facts)
+def platform_counts(data):
+    wh = data.wh
+    return reports.platform_counts(data.students, wh.courses, wh.facts)
 
 
 @_register("p34_features_from_flagged")
-def features_from_flagged(spark, folder):
-    return marts.course_features_from_flagged(marts.at_risk_rows(_scores(spark, folder)))
+def features_from_flagged(data):
+    return marts.course_features_from_flagged(marts.at_risk_rows(data.scores))
 
 
 @_register("a21_bucket_counts")
-def bucket_counts(spark, folder):
-    return marts.bucket_counts(_students(spark, folder))
+def bucket_counts(data):
+    return marts.bucket_counts(data.students)
 
 
 @_register("a22_risk_share")
-def risk_share(spark, folder):
-    return marts.risk_share(_students(spark, folder))
+def risk_share(data):
+    return marts.risk_share(data.students)
 
 
 @_register("p26_dashboard_bundle")
-def dashboard_bundle(spark, folder):
+def dashboard_bundle(data):
     """Row count of every result of the bundle."""
-    bundle = reports.dashboard_bundle(_wh(spark, folder), _scored(spark, folder))
+    bundle = reports.dashboard_bundle(data.wh, data.scored)
     counts = [df.agg(F.lit(name).alias("report"), F.count("*").alias("rows")) for name, df in bundle.items()]
     return reduce(DataFrame.unionByName, counts)
 
 
 # -- pivots ---------------------------------------------------------------------------------
 @_register("p31_course_pivot")
-def course_pivot(spark, folder):
-    return reshape.course_pivot(reports.course_summary(_wh(spark, folder)), COURSE_IDS)
+def course_pivot(data):
+    return reshape.course_pivot(reports.course_summary(data.wh), COURSE_IDS)
 
 
 @_register("p32_risk_course_pivot")
-def risk_course_pivot(spark, folder):
-    return reshape.risk_course_pivot(course_risk_late_matrix(spark, folder), COURSE_NAMES)
+def risk_course_pivot(data):
+    return reshape.risk_course_pivot(course_risk_late_matrix(data), COURSE_NAMES)
 
 
 @_register("p33_week_course_stack")
-def week_course_stack(spark, folder):
-    wh = _wh(spark, folder)
+def week_course_stack(data):
+    wh = data.wh
     averages = reports.weekly_course_averages(wh.facts, wh.courses)
     return reshape.week_course_stack(averages, COURSE_NAMES)
 
 
 # -- rules ----------------------------------------------------------------------------------
 @_register("b_all_tiers")
-def all_tiers(spark, folder):
+def all_tiers(data):
     avg, late, p = (F.col(c) for c in ("course_final_avg", "course_late_ratio", "risk_probability"))
-    return _scores(spark, folder).select(
+    return data.scores.select(
         "student_id",
         "course_id",
         tiers.grade_two_level(avg).alias("b1_grade"),
@@ -490,16 +503,16 @@ def all_tiers(spark, folder):
 
 
 @_register("b7_risk_reasons")
-def risk_reasons(spark, folder):
+def risk_reasons(data):
     columns = ("assignment_completion_ratio", "course_late_ratio", "early_grade_trend", "submissions_last_14d")
     reasons = tiers.risk_reasons(*[F.col(c) for c in columns])
-    return _scores(spark, folder).select("student_id", "course_id", reasons.alias("reasons"))
+    return data.scores.select("student_id", "course_id", reasons.alias("reasons"))
 
 
 @_register("b8_study_tips")
-def study_tips(spark, folder):
-    students = _students(spark, folder)
-    courses = reports.best_and_worst_course(student_course_vs_class(spark, folder))
+def study_tips(data):
+    students = data.students
+    courses = reports.best_and_worst_course(student_course_vs_class(data))
     late, avg, p = (F.col(c) for c in ("late_submission_ratio", "avg_grade", "risk_probability"))
     focus = F.col("worst_course")
     tips = tiers.study_tips(late, avg, p, focus, F.col("worst_late_ratio"))
@@ -512,9 +525,9 @@ def study_tips(spark, folder):
 
 
 @_register("c9_finite_features")
-def finite_features(spark, folder):
+def finite_features(data):
     """The trend divided by the spread is null, NaN or infinite on many rows."""
-    rows = _pairs(spark, folder)
+    rows = data.pairs
     raw = features.grade_trend() / F.when(features.early_stddev() > 0, features.early_stddev()).otherwise(
         F.lit(float("nan"))
     )
@@ -522,8 +535,8 @@ def finite_features(spark, folder):
 
 
 @_register("c14_first_truthy")
-def first_truthy(spark, folder):
-    return _scores(spark, folder).select(
+def first_truthy(data):
+    return data.scores.select(
         "student_id",
         "course_id",
         E.first_truthy(F.col("early_avg_grade"), F.col("course_final_avg")).alias("shown_grade"),
@@ -533,86 +546,82 @@ def first_truthy(spark, folder):
 
 # -- landing and cleaning -------------------------------------------------------------------
 @_register("c1_clean_students")
-def clean_students(spark, folder):
-    return cleaning.clean_students(fixtures.dirty_students(spark, folder))
+def clean_students(data):
+    return cleaning.clean_students(fixtures.dirty_students(data.spark, data.folder))
 
 
 @_register("c2_clean_assignments")
-def clean_assignments(spark, folder):
-    return cleaning.clean_assignments(fixtures.dirty_assignments(spark, folder))
+def clean_assignments(data):
+    return cleaning.clean_assignments(fixtures.dirty_assignments(data.spark, data.folder))
 
 
 @_register("c3_clean_submissions")
-def clean_submissions(spark, folder):
-    return cleaning.clean_submissions(fixtures.dirty_submissions(spark, folder))
+def clean_submissions(data):
+    return cleaning.clean_submissions(fixtures.dirty_submissions(data.spark, data.folder))
 
 
 @_register("c4_drop_reasons")
-def drop_reasons(spark, folder):
-    return cleaning.drop_reasons(fixtures.dirty_submissions(spark, folder))
+def drop_reasons(data):
+    return cleaning.drop_reasons(fixtures.dirty_submissions(data.spark, data.folder))
 
 
 @_register("s1_read_courses")
-def read_courses(spark, folder):
-    path = scratch_path(spark, "courses")
-    fixtures.landed_courses(spark, folder).write.json(path)
-    return landing.read_courses(spark, path)
+def read_courses(data):
+    path = scratch_path(data.spark, "courses")
+    fixtures.landed_courses(data.spark, data.folder).write.json(path)
+    return landing.read_courses(data.spark, path)
 
 
 @_register("s2_read_students")
-def read_students(spark, folder):
-    path = scratch_path(spark, "students")
-    fixtures.landed_students(spark, folder).write.json(path)
-    return landing.read_students(spark, path)
+def read_students(data):
+    path = scratch_path(data.spark, "students")
+    fixtures.landed_students(data.spark, data.folder).write.json(path)
+    return landing.read_students(data.spark, path)
 
 
 @_register("s3_read_assignments")
-def read_assignments(spark, folder):
-    path = scratch_path(spark, "assignments")
-    fixtures.landed_assignments(spark, folder).write.partitionBy("course_id").json(path)
-    return landing.read_assignments(spark, path)
+def read_assignments(data):
+    path = scratch_path(data.spark, "assignments")
+    fixtures.landed_assignments(data.spark, data.folder).write.partitionBy("course_id").json(path)
+    return landing.read_assignments(data.spark, path)
 
 
 @_register("s4_read_submissions")
-def read_submissions(spark, folder):
-    path = scratch_path(spark, "submissions")
-    fixtures.landed_submissions(spark, folder).write.partitionBy("course_id").json(path)
-    return landing.missing_user_counts(landing.read_submissions(spark, path))
+def read_submissions(data):
+    path = scratch_path(data.spark, "submissions")
+    fixtures.landed_submissions(data.spark, data.folder).write.partitionBy("course_id").json(path)
+    return landing.missing_user_counts(landing.read_submissions(data.spark, path))
 
 
 @_register("s5_page_guard")
-def page_guard(spark, folder):
-    pages = fixtures.landed_pages(spark, folder)
+def page_guard(data):
+    pages = fixtures.landed_pages(data.spark, data.folder)
     return cleaning.pages_before_repeat(pages, "entity", "page_no", "payload").drop("payload")
 
 
 @_register("s6_csv_round_trip")
-def csv_round_trip(spark, folder):
-    path = scratch_path(spark, "submissions-csv")
-    landing.write_csv(fixtures.dirty_submissions(spark, folder), path, schemas.CSV_SUBMISSIONS)
-    return cleaning.clean_submissions(landing.read_csv(spark, path, schemas.CSV_SUBMISSIONS))
+def csv_round_trip(data):
+    path = scratch_path(data.spark, "submissions-csv")
+    landing.write_csv(fixtures.dirty_submissions(data.spark, data.folder), path, schemas.CSV_SUBMISSIONS)
+    return cleaning.clean_submissions(landing.read_csv(data.spark, path, schemas.CSV_SUBMISSIONS))
 
 
 # -- learning -------------------------------------------------------------------------------
-def _matrix(spark, folder):
-    return learning.matrix(features.training_dataset(_wh(spark, folder)))
-
-
 @_register("m1_matrix")
-def model_matrix(spark, folder):
-    return _matrix(spark, folder)
+def model_matrix(data):
+    return data.matrix
 
 
 @_register("m2_label_noise")
-def label_noise(spark, folder):
-    return learning.with_label_noise(_matrix(spark, folder)).select(
+def label_noise(data):
+    return learning.with_label_noise(data.matrix).select(
         *learning.KEY, "label", "flipped", "noisy_label"
     )
 
 
 @_register("m3_split")
-def split(spark, folder):
-    return learning.with_split(_matrix(spark, folder)).select(*learning.KEY, "label", "is_test")
+def split(data):
+    return learning.with_split(data.matrix).select(*learning.KEY, "label", "is_test")
 
 
 def _rounded_features(data: learning.Prepared) -> DataFrame:
@@ -620,21 +629,20 @@ def _rounded_features(data: learning.Prepared) -> DataFrame:
 
 
 @_register("m4_standardized")
-def standardized(spark, folder):
-    rows = _rounded_features(learning.prepare(features.training_dataset(_wh(spark, folder))))
+def standardized(data):
+    rows = _rounded_features(learning.prepare(data.training))
     return rows.select(*learning.KEY, *schemas.FEATURE_COLUMNS, "noisy_label", "is_test")
 
 
 @_register("m9_knn")
-def knn(spark, folder):
-    rows = _rounded_features(learning.prepare(features.training_dataset(_wh(spark, folder))))
+def knn(data):
+    rows = _rounded_features(learning.prepare(data.training))
     scored = learning.score_knn(rows.filter(~F.col("is_test")), rows.filter("is_test"))
     return scored.select(*learning.KEY, "risk_probability", "prediction")
 
 
-def _rule_predictions(spark, folder) -> DataFrame:
+def _rule_predictions(data: Inputs) -> DataFrame:
     """Labels with the predictions of fixed rules on early features."""
-    rows = _matrix(spark, folder)
     rules: dict[str, Column] = {
         "early_avg_5": F.col("early_avg_grade") < 5,
         "early_avg_45": F.col("early_avg_grade") < 4.5,
@@ -643,39 +651,38 @@ def _rule_predictions(spark, folder) -> DataFrame:
         "falling": F.col("early_grade_trend") < 0,
     }
     pairs = [v for name, rule in rules.items() for v in (F.lit(name), rule.cast("int"))]
-    exploded = rows.select("label", F.explode(F.create_map(*pairs)).alias("model", "prediction"))
-    return exploded
+    return data.matrix.select("label", F.explode(F.create_map(*pairs)).alias("model", "prediction"))
 
 
 RULE_ORDER = ["falling", "late_40", "early_avg_45", "early_avg_5", "early_avg_55"]
 
 
 @_register("m10_metrics")
-def metrics(spark, folder):
-    one = _rule_predictions(spark, folder).filter(F.col("model") == "early_avg_5")
+def metrics(data):
+    one = _rule_predictions(data).filter(F.col("model") == "early_avg_5")
     return learning.binary_metrics(one)
 
 
 @_register("m11_class_report")
-def class_report(spark, folder):
-    one = _rule_predictions(spark, folder).filter(F.col("model") == "early_avg_5")
+def class_report(data):
+    one = _rule_predictions(data).filter(F.col("model") == "early_avg_5")
     return learning.class_report(one)
 
 
 @_register("m12_comparison")
-def model_comparison(spark, folder):
-    return learning.comparison_long(learning.binary_metrics(_rule_predictions(spark, folder), ["model"]))
+def model_comparison(data):
+    return learning.comparison_long(learning.binary_metrics(_rule_predictions(data), ["model"]))
 
 
 @_register("m12_best_model")
-def best_model(spark, folder):
-    compared = learning.binary_metrics(_rule_predictions(spark, folder), ["model"])
+def best_model(data):
+    compared = learning.binary_metrics(_rule_predictions(data), ["model"])
     return learning.best_model(compared, RULE_ORDER)
 
 
 def _test_metrics(model: str):
-    def build(spark, folder):
-        data = learning.prepare(features.training_dataset(_wh(spark, folder)))
+    def build(data):
+        data = learning.prepare(data.training)
         scored = learning.score_with(model, data, data.test)
         return learning.binary_metrics(scored, label="noisy_label")
 
@@ -689,17 +696,17 @@ _register("m8_kernel_svm")(_test_metrics("SVM"))
 
 
 @_register("m13_score_all_pairs")
-def score_all_pairs(spark, folder):
-    training = features.training_dataset(_wh(spark, folder))
+def score_all_pairs(data):
+    training = data.training
     data = learning.prepare(training)
     scores = learning.score_with("Logistic Regression", data, data.rows)
     return marts.student_course_scores(learning.attach_scores(training, scores))
 
 
 @_register("m14_saved_model")
-def saved_model(spark, folder):
-    path = scratch_path(spark, "model")
-    data = learning.prepare(features.training_dataset(_wh(spark, folder)))
+def saved_model(data):
+    path = scratch_path(data.spark, "model")
+    data = learning.prepare(data.training)
     learning.save_model(learning.fit_logistic(data.train), path)
     return learning.binary_metrics(
         learning.apply_model(learning.load_model(path), data.test), label="noisy_label"
@@ -707,15 +714,15 @@ def saved_model(spark, folder):
 
 
 @_register("m15_single_model")
-def single_model(spark, folder):
-    training = features.training_dataset(_wh(spark, folder))
+def single_model(data):
+    training = data.training
     _, scores = learning.train_single(training)
     return marts.student_features(learning.attach_scores(training, scores))
 
 
 @_register("p7_model_evaluation")
-def model_evaluation(spark, folder):
-    data = learning.prepare(features.training_dataset(_wh(spark, folder)))
+def model_evaluation(data):
+    data = learning.prepare(data.training)
     outcome = learning.compare_models(data, ["Logistic Regression", "SVM", "KNN"])
     best = outcome.comparison.filter(F.col("model") == outcome.best)
     return learning.evaluation_rows(best)
@@ -723,51 +730,52 @@ def model_evaluation(spark, folder):
 
 # -- sessions -------------------------------------------------------------------------------
 @_register("f11_normalized_text")
-def normalized_text(spark, folder):
-    return fixtures.messages(spark, folder).select(
+def normalized_text(data):
+    return fixtures.messages(data.spark, data.folder).select(
         "message_id", F.md5(X.normalize(F.col("text"))).alias("normalized_md5")
     )
 
 
 @_register("t1_intents")
-def intents(spark, folder):
-    return sessions.tag_intents(fixtures.messages(spark, folder)).select("message_id", "intent")
+def intents(data):
+    return sessions.tag_intents(fixtures.messages(data.spark, data.folder)).select("message_id", "intent")
 
 
 @_register("t2_history")
-def history(spark, folder):
+def history(data):
     """Events as the messages of each user, the last 20 kept."""
-    rows = fixtures.event_messages(spark, folder)
+    rows = fixtures.event_messages(data.spark, data.folder)
     return sessions.recent_history(rows)
 
 
 @_register("t4_validation")
-def validation(spark, folder):
-    return sessions.validate(fixtures.messages(spark, folder)).select(
+def validation(data):
+    return sessions.validate(fixtures.messages(data.spark, data.folder)).select(
         "message_id", "reject_reason", "accepted"
     )
 
 
 @_register("t3_rate_limit")
-def rate_limit(spark, folder):
-    rows = sessions.rate_limit(fixtures.dense_requests(spark, folder))
+def rate_limit(data):
+    rows = sessions.rate_limit(fixtures.dense_requests(data.spark, data.folder))
     return rows.select("session_id", "turn", "window_start", "admitted")
 
 
 # -- streams --------------------------------------------------------------------------------
-def _event_stream(spark, folder) -> DataFrame:
-    schema = fixtures.table(spark, folder, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+def _event_stream(data: Inputs) -> DataFrame:
+    schema = fixtures.table(data.spark, data.folder, "events").schema
+    reader = data.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    raw = reader.parquet(data.folder)
     return fixtures.activity_from(raw)
 
 
 @_register("t5_activity_stream")
-def activity_stream(spark, folder):
-    windows = streams.activity_windows(_event_stream(spark, folder))
-    done = streams.run_to_table(windows, scratch_path(spark, "activity"))
+def activity_stream(data):
+    windows = streams.activity_windows(_event_stream(data))
+    done = streams.run_to_table(windows, scratch_path(data.spark, "activity"))
     return done.select("window_start", "window_end", "submissions")
 
 
 @_register("t6_weekly_stream")
-def weekly_stream(spark, folder):
-    return streams.drain_weekly(_event_stream(spark, folder))
+def weekly_stream(data):
+    return streams.drain_weekly(_event_stream(data))

@@ -80,10 +80,10 @@ def stddev_samp_of_cents(n: Column, total: Column, squares: Column) -> Column:
 
 
 def slope_of_cents(n: Column, sx: Column, sy: Column, sxx: Column, sxy: Column) -> Column:
-    """Least-squares slope in grade points per second, x in epoch milliseconds, y in hundredths.
+    """Least-squares slope in grade points per second, x in milliseconds, y in hundredths.
 
-    The exact decimal form covers millions of rows per group; beyond that ``try_multiply``
-    gives null and the double form takes over. Null when x is constant.
+    The exact decimal form covers a billion rows per group over half a year; beyond that
+    ``try_multiply`` gives null and the double form takes over. Null when x is constant.
     """
     n, sx, sy, sxx, sxy = (c.cast(BIG) for c in (n, sx, sy, sxx, sxy))
 

@@ -45,10 +45,9 @@ def _same_group(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 
 def split_heavy(
-    df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS
+    df: DataFrame, keys: list[str], heavy: DataFrame | None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(ordinary rows, heavy rows or None). The broadcast list is bounded by construction."""
-    heavy = heavy_groups(df, keys, heavy_rows)
+    """(ordinary rows, heavy rows or None); ``heavy`` is a list made by ``heavy_groups``."""
     if heavy is None:
         return df, None
     listed = F.broadcast(heavy)
@@ -105,16 +104,16 @@ def rank_by_range(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
 
 
 def ranked_parts(
-    df: DataFrame, keys: list[str], order: list[Column], heavy_rows: int = HEAVY_ROWS
+    df: DataFrame, keys: list[str], order: list[Column], heavy: DataFrame | None
 ) -> list[DataFrame]:
     """Ranked frames covering disjoint groups: the ordinary ones and, if any, the heavy ones.
 
     They stay apart so that a group aggregation can reuse the partitioning of the first.
     """
-    ordinary, heavy = split_heavy(df, keys, heavy_rows)
+    ordinary, large = split_heavy(df, keys, heavy)
     parts = [rank_by_window(ordinary, keys, order)]
-    if heavy is not None:
-        parts.append(rank_by_range(heavy, keys, order))
+    if large is not None:
+        parts.append(rank_by_range(large, keys, order))
     return parts
 
 

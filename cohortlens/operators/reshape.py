@@ -35,29 +35,28 @@ def week_course_stack(averages: DataFrame, course_names: list[str]) -> DataFrame
 def equal_width_histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Counts per equal-width bin over the observed range; the last bin is closed.
 
-    Empty bins are kept. A constant column has one bin of width 0.
+    Empty bins are kept. A constant column is shown in a range of one around its value.
     """
     known = df.filter(F.col(value).isNotNull())
-    low = known.agg(F.min(value)).scalar()
-    high = known.agg(F.max(value)).scalar()
-    with_range = known.select(F.col(value).alias("_v"), low.alias("_low"), high.alias("_high"))
-    width = F.nullif((F.col("_high") - F.col("_low")) / bins, F.lit(0.0))
-    position = F.least(F.floor((F.col("_v") - F.col("_low")) / width), F.lit(bins - 1))
-    counts = with_range.groupBy(F.coalesce(position, F.lit(0)).alias("bin")).agg(
-        F.count("*").alias("count")
+    low, high = F.min(value), F.max(value)
+    half = F.when(low == high, 0.5).otherwise(0.0)
+    span = known.agg(F.struct((low - half).alias("low"), (high + half).alias("high"))).scalar()
+    low, width = F.col("_span.low"), (F.col("_span.high") - F.col("_span.low")) / bins
+    counts = (
+        known.withColumn("_span", span)
+        .groupBy(F.least(F.floor((F.col(value) - low) / width), F.lit(bins - 1)).alias("bin"))
+        .agg(F.count("*").alias("count"))
     )
-    edges = df.sparkSession.range(bins).select(
-        F.col("id").alias("bin"), low.alias("_low"), high.alias("_high")
-    )
-    step = (F.col("_high") - F.col("_low")) / bins
     return (
-        edges.join(counts, "bin", "left")
+        df.sparkSession.range(bins)
+        .withColumnRenamed("id", "bin")
+        .join(counts, "bin", "left")
+        .withColumn("_span", span)
         .select(
             "bin",
-            (F.col("_low") + step * F.col("bin")).alias("bin_from"),
-            (F.col("_low") + step * (F.col("bin") + 1)).alias("bin_to"),
+            (low + width * F.col("bin")).alias("bin_from"),
+            (low + width * (F.col("bin") + 1)).alias("bin_to"),
             F.coalesce("count", F.lit(0)).alias("count"),
         )
         .orderBy("bin")
     )
-

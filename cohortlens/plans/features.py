@@ -9,9 +9,7 @@ from pyspark.sql import Window
 from cohortlens.functions import exprs as E
 from cohortlens.functions import tiers
 from cohortlens.operators import ranking
-from cohortlens.sources.fixtures import Warehouse
-
-PAIR = ["student_id", "course_id"]
+from cohortlens.warehouse import PAIR, Warehouse
 
 
 def latest_submission(facts: DataFrame) -> Column:
@@ -45,15 +43,11 @@ def early_order(by: str) -> list[Column]:
 
 
 def ranked_submissions(
-    facts: DataFrame,
-    assignments: DataFrame,
-    by: str = "due",
-    fraction: tuple[int, int] = (6, 10),
-    heavy_rows: int = ranking.HEAVY_ROWS,
+    wh: Warehouse, by: str = "due", fraction: tuple[int, int] = (6, 10)
 ) -> list[DataFrame]:
     """Submissions with rank, pair size and ``is_early``; the heavy pairs in a second frame."""
-    rows = submissions_with_deadline(facts, assignments) if by == "due" else facts
-    parts = ranking.ranked_parts(rows, PAIR, early_order(by), heavy_rows)
+    rows = submissions_with_deadline(wh.facts, wh.assignments)
+    parts = ranking.ranked_parts(rows, PAIR, early_order(by), wh.heavy_pairs)
     cutoff = ranking.early_cutoff(F.col("total_count"), *fraction)
     return [p.withColumn("is_early", F.col("rn") <= cutoff) for p in parts]
 
@@ -82,13 +76,21 @@ def _pair_statistics(
     early = F.col("is_early")
     grade = E.cents("grade")
     early_grade = F.when(early, grade)
-    x = F.when(early & grade.isNotNull(), F.unix_millis("submitted_at")).cast("decimal(14,0)")
+    # Measured from the newest submission: the slope is the same and the sums stay small.
+    elapsed = F.unix_millis("submitted_at") - F.col("_origin")
+    x = F.when(early & grade.isNotNull(), elapsed).cast("decimal(14,0)")
     y = F.when(early, grade).cast("decimal(10,0)")
     delay = F.col("delay_ms").cast("decimal(14,0)")
     one = F.lit(1)
     return (
-        rows.withColumn("_cut14", latest - F.make_dt_interval(F.lit(14)))
-        .withColumn("_cut30", latest - F.make_dt_interval(F.lit(30)))
+        rows.withColumn("_latest", latest)
+        .withColumns(
+            {
+                "_origin": F.unix_millis("_latest"),
+                "_cut14": F.col("_latest") - F.make_dt_interval(F.lit(14)),
+                "_cut30": F.col("_latest") - F.make_dt_interval(F.lit(30)),
+            }
+        )
         .groupBy(*PAIR)
         .agg(
             F.count("*").alias("n"),
@@ -116,21 +118,16 @@ def _pair_statistics(
 
 
 def pair_statistics(
-    facts: DataFrame,
-    assignments: DataFrame,
+    wh: Warehouse,
     by: str = "due",
     fraction: tuple[int, int] = (6, 10),
     as_of: Column | None = None,
-    heavy_rows: int = ranking.HEAVY_ROWS,
 ) -> DataFrame:
     """One row of sums per (student, course)."""
-    rows = submissions_with_deadline(facts, assignments)
-    parts = ranking.ranked_parts(rows, PAIR, early_order(by), heavy_rows)
-    cutoff = ranking.early_cutoff(F.col("total_count"), *fraction)
-    latest = latest_submission(facts) if as_of is None else as_of
+    latest = latest_submission(wh.facts) if as_of is None else as_of
+    week = E.week_start(F.col("submitted_at"))
     ordinary, *heavy = [
-        p.withColumn("is_early", F.col("rn") <= cutoff).withColumn("week", E.week_start(F.col("submitted_at")))
-        for p in parts
+        p.withColumn("week", week) for p in ranked_submissions(wh, by, fraction)
     ]
     stats = _pair_statistics(
         _mark_first_rows(ordinary), latest, F.count_if("new_week"), F.count_if("new_assignment")
@@ -191,7 +188,6 @@ def training_dataset(
     fraction: tuple[int, int] = (6, 10),
     pass_mark: float = 5,
     as_of: Column | None = None,
-    heavy_rows: int = ranking.HEAVY_ROWS,
     extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Feature table with label, one row per (student, course).
@@ -199,7 +195,7 @@ def training_dataset(
     ``course_load`` is the number of submissions of the student over all courses. It is a
     window over the pair rows: a student has at most one row per course.
     """
-    stats = pair_statistics(wh.facts, wh.assignments, "due", fraction, as_of, heavy_rows)
+    stats = pair_statistics(wh, "due", fraction, as_of)
     of_student = Window.partitionBy("student_id")
     stats = stats.withColumn("course_load", F.sum("n").over(of_student))
     course_avg = E.avg_of_cents(F.col("cents"), F.col("graded_n"))
@@ -233,10 +229,9 @@ def student_course_features(
     student_features: DataFrame,
     fraction: tuple[int, int] = (6, 10),
     as_of: Column | None = None,
-    heavy_rows: int = ranking.HEAVY_ROWS,
 ) -> DataFrame:
     """Dashboard feature table: early window by hand-in time, risk taken from the student."""
-    stats = pair_statistics(wh.facts, wh.assignments, "submitted", fraction, as_of, heavy_rows)
+    stats = pair_statistics(wh, "submitted", fraction, as_of)
     risk = student_features.select("student_id", "risk_probability", "risk_bucket", "predicted_at_risk")
     return (
         _describe_pairs(stats, wh)

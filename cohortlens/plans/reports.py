@@ -15,7 +15,7 @@ from cohortlens.operators.ranking import last_n
 from cohortlens.plans import marts
 from cohortlens.plans.features import latest_submission, student_course_features
 from cohortlens.session import ensure_checkpoint_dir
-from cohortlens.sources.fixtures import Warehouse
+from cohortlens.warehouse import Warehouse
 
 
 def _sums() -> list[Column]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,18 +10,25 @@ from pyspark.sql import functions as F
 
 from cohortlens.schemas import GRADE
 from cohortlens.session import spread
+from cohortlens.warehouse import Warehouse
 
 
-@dataclass(frozen=True)
-class Warehouse:
-    facts: DataFrame
-    students: DataFrame
-    courses: DataFrame
-    assignments: DataFrame
+# Column types of the test tables; stating them saves the footer scan of schema inference.
+_TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int",
+    "customer": "c_custkey bigint, c_name string",
+    "supplier": "s_suppkey bigint, s_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "documents": "doc_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(_TABLES[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _course_id(part_type: Column) -> Column:

@@ -1,6 +1,7 @@
 """Edge rows, invariants and skew paths of the feature tables."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import ranking
 from cohortlens.plans import features, reports
-from cohortlens.sources.fixtures import Warehouse, coursework
+from cohortlens.sources.fixtures import coursework
+from cohortlens.warehouse import Warehouse
 
 FACT = (
     "submission_id string, student_id bigint, course_id bigint, assignment_id bigint, "
@@ -65,7 +67,7 @@ def test_equal_times_have_no_slope(spark):
     facts = [(k, 1, 1, 1, Decimal(g), False, same) for k, g in (("b", "2.00"), ("a", "9.00"))]
     wh = warehouse(spark, facts)
     assert one(features.training_dataset(wh)).early_grade_trend == 0
-    ranks = features.ranked_submissions(wh.facts, wh.assignments)[0].collect()
+    ranks = features.ranked_submissions(wh)[0].collect()
     assert {r.submission_id: r.rn for r in ranks} == {"a": 1, "b": 2}
 
 
@@ -128,8 +130,8 @@ def test_null_course_counts_in_course_load_only(spark):
 @pytest.mark.parametrize("by", ["due", "submitted"])
 def test_heavy_path_gives_the_same_statistics(spark, data, by):
     wh = coursework(spark, data)
-    plain = features.pair_statistics(wh.facts, wh.assignments, by)
-    heavy = features.pair_statistics(wh.facts, wh.assignments, by, heavy_rows=7)
+    plain = features.pair_statistics(wh, by)
+    heavy = features.pair_statistics(replace(wh, heavy_rows=7), by)
     assert plain.exceptAll(heavy.select(plain.columns)).count() == 0
     assert plain.count() == heavy.count()
 
@@ -141,7 +143,8 @@ def test_one_group_with_most_rows(spark):
         "id",
     )
     order = [F.col("o"), F.col("id")]
-    parts = ranking.ranked_parts(rows, ["g"], order, heavy_rows=5_000)
+    heavy = ranking.heavy_groups(rows, ["g"], 5_000)
+    parts = ranking.ranked_parts(rows, ["g"], order, heavy)
     assert len(parts) == 2
     expected = ranking.rank_by_window(rows, ["g"], order)
     assert expected.exceptAll(ranking.union_all(parts).select(expected.columns)).count() == 0
@@ -152,7 +155,8 @@ def test_heavy_null_group(spark):
     rows = spark.range(3_000).select(
         F.when(F.col("id") % 2 == 0, F.col("id")).alias("g"), F.col("id").alias("o")
     )
-    parts = ranking.ranked_parts(rows, ["g"], [F.col("o")], heavy_rows=1_000)
+    heavy = ranking.heavy_groups(rows, ["g"], 1_000)
+    parts = ranking.ranked_parts(rows, ["g"], [F.col("o")], heavy)
     ranks = [r.rn for r in parts[1].select("rn").collect()]
     assert sorted(ranks) == list(range(1, 1_501)) and parts[0].count() == 1_500
 
@@ -189,7 +193,7 @@ def test_result_does_not_depend_on_partitioning(spark, data):
 
 def test_group_aggregation_reuses_the_rank_exchange(spark, data):
     wh = coursework(spark, data)
-    plan = features.pair_statistics(wh.facts, wh.assignments)._jdf.queryExecution().executedPlan().toString()
+    plan = features.pair_statistics(wh)._jdf.queryExecution().executedPlan().toString()
     initial = plan.split("Initial Plan")[-1]
     assert initial.count("hashpartitioning(student_id") == 1
     assert "Expand" not in initial
