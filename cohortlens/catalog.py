@@ -576,7 +576,7 @@ def read_courses(data):
 def read_students(data):
     path = scratch_path(data.spark, "students")
     fixtures.landed_students(data.spark, data.folder).write.json(path)
-    return landing.read_students(data.spark, path)
+    return landing.read_students(data.spark, path).drop("ingest_seq")
 
 
 @_register("s3_read_assignments")
@@ -722,8 +722,7 @@ def single_model(data):
 
 @_register("p7_model_evaluation")
 def model_evaluation(data):
-    data = learning.prepare(data.training)
-    outcome = learning.compare_models(data, ["Logistic Regression", "SVM", "KNN"])
+    outcome = learning.compare_models(learning.prepare(data.training))
     best = outcome.comparison.filter(F.col("model") == outcome.best)
     return learning.evaluation_rows(best)
 

@@ -21,10 +21,14 @@ def read_courses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_students(spark: SparkSession, path: str) -> DataFrame:
-    """Student records; an empty login falls back to the email."""
+    """Student records; an empty login falls back to the email.
+
+    ``ingest_seq`` orders records as they lie in the files, however the files are split.
+    """
     raw = spark.read.schema(schemas.RAW_STUDENT).json(path)
     login = F.coalesce(F.nullif("login_id", F.lit("")), "email")
-    return raw.select("id", "name", login.alias("login_id"))
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    return raw.select("id", "name", login.alias("login_id"), place.alias("ingest_seq"))
 
 
 def read_assignments(spark: SparkSession, path: str) -> DataFrame:

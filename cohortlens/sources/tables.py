@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import uuid
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -42,17 +42,19 @@ def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> Data
 def write_table(df: DataFrame, name: str, schema: T.StructType | None = None) -> None:
     """Full refresh without a moment in which the table is missing.
 
-    Rows go to a staging table first; the visible table is replaced only after that succeeded,
-    also when ``df`` reads the table being replaced.
+    Rows are written once, to a new version; then the name, a view, is pointed at it. ``df``
+    may read the table being replaced. The previous version is kept for running readers.
     """
     spark = df.sparkSession
-    staging = f"{name}_staging_{uuid.uuid4().hex[:8]}"
+    version = f"{name}__{time.time_ns()}"
     rows = schemas.conform(df, schema) if schema is not None else df
-    rows.write.mode("errorifexists").saveAsTable(staging)
-    try:
-        spark.read.table(staging).write.mode("overwrite").saveAsTable(name)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    rows.write.mode("errorifexists").saveAsTable(version)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    versions = sorted(r.tableName for r in spark.sql(f"SHOW TABLES LIKE '{name}__*'").collect())
+    for old in versions[:-2]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def create_or_replace_table(df: DataFrame, name: str) -> None:

@@ -117,11 +117,16 @@ def test_table_writes(spark):
     own = tables.read_table(spark, "dim_students_t")
     tables.write_table(own.union(own), "dim_students_t", schema)
     assert tables.table_or_empty(spark, "dim_students_t", schema).count() == 2
-    assert not [t.name for t in spark.catalog.listTables() if "staging" in t.name]
+    for _ in range(3):
+        tables.write_table(first, "dim_students_t", schema)
+    assert spark.sql("SHOW TABLES LIKE 'dim_students_t__*'").count() == 2
     with pytest.raises(ValueError):
         tables.write_table(first.drop("student_name"), "dim_students_t", schema)
-    tables.create_or_replace_table(first.withColumn("extra", F.lit(1)), "dim_students_t")
-    assert "extra" in tables.read_table(spark, "dim_students_t").columns
+    tables.create_or_replace_table(first, "plain_t")
+    tables.create_or_replace_table(first.withColumn("extra", F.lit(1)), "plain_t")
+    assert "extra" in tables.read_table(spark, "plain_t").columns
+    tables.write_table(first, "plain_t", schema)
+    assert tables.read_table(spark, "plain_t").columns == schema.names
 
 
 def test_bucketed_table_joins_without_exchange(spark):
