@@ -18,10 +18,13 @@ WHITESPACE = "".join(
 
 @lru_cache(maxsize=1)
 def _accent_table() -> tuple[str, str]:
-    """Lower-case letters that decompose to an ASCII letter plus marks U+0300..U+036F.
+    """Characters for one ``translate`` call that removes accents.
 
-    Derived from the Unicode database, so removing accents is one ``translate`` call.
+    From the Unicode database: every character that decomposes to an ASCII letter plus marks
+    U+0300..U+036F, paired with that letter. The marks themselves follow without a pair,
+    which deletes them.
     """
+    marks_alone = "".join(map(chr, range(0x300, 0x370)))
     accented, plain = [], []
     for code in range(0x80, 0x10000):
         if 0xD800 <= code <= 0xDFFF:
@@ -30,7 +33,7 @@ def _accent_table() -> tuple[str, str]:
         if marks and base.isascii() and base.isalnum() and all(0x300 <= ord(m) <= 0x36F for m in marks):
             accented.append(chr(code))
             plain.append(base)
-    return "".join(accented), "".join(plain)
+    return "".join(accented) + marks_alone, "".join(plain)
 
 
 def normalize(text: Column, fold_d: bool = False) -> Column:
@@ -42,8 +45,7 @@ def normalize(text: Column, fold_d: bool = False) -> Column:
     if fold_d:
         lowered = F.translate(lowered, "đ", "d")
     plain = F.translate(lowered, *_accent_table())
-    unmarked = F.regexp_replace(plain, "[\\u0300-\\u036f]", "")
-    return F.trim(F.regexp_replace(unmarked, "[^a-z0-9% ]+", " "))
+    return F.trim(F.regexp_replace(plain, "[^a-z0-9% ]+", " "))
 
 
 # Ordered intent rules; each rule needs one word of every group.

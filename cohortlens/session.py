@@ -21,7 +21,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors see. Only a local-mode session may fall back to a temporary one."""
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
     if not context.master.startswith("local"):

@@ -125,7 +125,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(
         F.concat_ws("-", F.lit("turn"), "conv_id", "turn").alias("message_id"), "text"
     )
-    documents = table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id").select(
         F.concat_ws("-", F.lit("doc"), "doc_id").alias("message_id"), "text"
     )
     return turns.unionByName(documents)
@@ -150,7 +150,7 @@ def dirty_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise((event % 101).cast("string"))
     )
     late = F.when(event % 7 == 0, F.lit(None)).when(k % 3 == 0, F.lit("True")).otherwise(F.lit("False"))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         event.cast("string").alias("id"),
         user.alias("user_id"),
         k.cast("string").alias("assignment_id"),
