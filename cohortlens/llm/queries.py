@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import decontaminate, line_dedup
+from cohortlens.llm import decontaminate, license_scan, line_dedup, pii
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op4_pii": pii.op4_pii,
+        "op6_license_scan": license_scan.op6_license_scan,
         "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 
