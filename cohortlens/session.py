@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
+from pyspark import SparkContext, SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -15,18 +19,45 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    ship_package(spark.sparkContext)
     return spark
 
 
+def ship_package(context: SparkContext) -> None:
+    """Send this package to the workers once, whatever folder the driver was started from."""
+    if getattr(context, "_cohortlens_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # Spark serves the archive from its own folder on the driver and removes it at the end.
+    folder = os.path.join(SparkFiles.getRootDirectory(), f"source-{uuid.uuid4().hex}")
+    os.makedirs(folder)
+    archive = os.path.join(folder, "cohortlens-source.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for place, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(place, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._cohortlens_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors see. Only a local-mode session may fall back to a temporary one."""
+    """Folder all executors see, from spark.checkpoint.dir.
+
+    A session in local mode that has none, where driver and executor are one process, gets a
+    temporary one that goes when Python ends; any other must be configured.
+    """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="cohortlens-")
+    folder = tempfile.mkdtemp(prefix="cohortlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
