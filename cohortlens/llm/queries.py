@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import decontaminate, license_scan, line_dedup, pii
+from cohortlens.llm import decontaminate, license_scan, line_dedup, pii, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op4_pii": pii.op4_pii,
         "op6_license_scan": license_scan.op6_license_scan,
+        "op9_quality": quality.op9_quality,
         "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 

@@ -76,7 +76,7 @@ def words(texts: list[bytes], fold: bool) -> Words:
         part = (sums[e] - sums[s]) * _POWER_INVERSE[s]
         ahead = np.maximum(low - start[a:b], 0)
         if b > a and ahead[0]:
-            part[0] *= np.uint64(pow(int(_BASE), int(ahead[0]), 2**64))
+            part[0] = int(part[0]) * pow(int(_BASE), int(ahead[0]), 2**64) % 2**64
         hashes[a:b] += part
     hashes = mix(hashes + (end - start).astype(np.uint64) * _PLACE[15])
     return Words(data, first_byte, start, end, hashes, np.searchsorted(start, first_byte))
