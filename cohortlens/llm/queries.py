@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import decontaminate, license_scan, line_dedup, pii, quality
+from cohortlens.llm import decontaminate, license_scan, line_dedup, packing, pii, quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op3_packing": packing.op3_packing,
         "op4_pii": pii.op4_pii,
         "op6_license_scan": license_scan.op6_license_scan,
         "op9_quality": quality.op9_quality,
