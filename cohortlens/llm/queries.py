@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import decontaminate, license_scan, line_dedup, packing, pii, quality
+from cohortlens.llm import (
+    decontaminate,
+    language_id,
+    license_scan,
+    line_dedup,
+    packing,
+    pii,
+    quality,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_packing": packing.op3_packing,
         "op4_pii": pii.op4_pii,
+        "op5_language_id": language_id.op5_language_id,
         "op6_license_scan": license_scan.op6_license_scan,
         "op9_quality": quality.op9_quality,
         "op10_decontaminate": decontaminate.op10_decontaminate,
