@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm import (
     decontaminate,
+    html_text,
     language_id,
     license_scan,
     line_dedup,
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii": pii.op4_pii,
         "op5_language_id": language_id.op5_language_id,
         "op6_license_scan": license_scan.op6_license_scan,
+        "op8_html_text": html_text.op8_html_text,
         "op9_quality": quality.op9_quality,
         "op10_decontaminate": decontaminate.op10_decontaminate,
     }
