@@ -12,6 +12,7 @@ from cohortlens.llm import (
     language_id,
     license_scan,
     line_dedup,
+    ngram_join,
     packing,
     pii,
     quality,
@@ -20,6 +21,7 @@ from cohortlens.llm import (
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_packing": packing.op3_packing,
         "op4_pii": pii.op4_pii,

@@ -95,5 +95,6 @@ def runs(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sum of the values between each two bounds."""
-    total = np.concatenate([[0], np.cumsum(values)])
+    running = np.cumsum(values)
+    total = np.concatenate([np.zeros(1, running.dtype), running])
     return total[bounds[1:]] - total[bounds[:-1]]
