@@ -16,6 +16,7 @@ from cohortlens.llm import (
     packing,
     pii,
     quality,
+    suffix_dedup,
 )
 
 
@@ -27,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pii": pii.op4_pii,
         "op5_language_id": language_id.op5_language_id,
         "op6_license_scan": license_scan.op6_license_scan,
+        "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
         "op8_html_text": html_text.op8_html_text,
         "op9_quality": quality.op9_quality,
         "op10_decontaminate": decontaminate.op10_decontaminate,
