@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -16,7 +17,7 @@ from cohortlens.functions import tiers
 from cohortlens.operators import cleaning, ranking, reshape
 from cohortlens.plans import features, learning, marts, reports, sessions
 from cohortlens.session import prepare, scratch_path
-from cohortlens.sources import fixtures, landing
+from cohortlens.sources import fixtures, landing, tables
 from cohortlens.streaming import activity as streams
 from cohortlens.warehouse import Warehouse
 
@@ -593,6 +594,53 @@ def read_submissions(data):
     return landing.missing_user_counts(landing.read_submissions(data.spark, path))
 
 
+@_register("s4_flat_submissions")
+def flat_submissions(data):
+    path = scratch_path(data.spark, "submissions")
+    fixtures.landed_submissions(data.spark, data.folder).write.partitionBy("course_id").json(path)
+    return landing.read_submissions(data.spark, path)
+
+
+def _table_name(label: str) -> str:
+    return f"{label}_{uuid.uuid4().hex}"
+
+
+@_register("s8_refreshed_table")
+def refreshed_table(data):
+    """A table written, and then refreshed from its own rows."""
+    name = _table_name("clean_submissions")
+    typed = cleaning.clean_submissions(fixtures.dirty_submissions(data.spark, data.folder))
+    tables.write_table(typed, name)
+    tables.write_table(tables.read_table(data.spark, name), name)
+    return tables.read_table(data.spark, name)
+
+
+@_register("s9_replaced_table")
+def replaced_table(data):
+    """A table replaced by a query that reads it."""
+    name = _table_name("clean_students")
+    tables.create_or_replace_table(cleaning.clean_students(fixtures.dirty_students(data.spark, data.folder)), name)
+    known = tables.read_table(data.spark, name)
+    tables.create_or_replace_table(known.withColumn("name_length", F.length("student_name")), name)
+    return tables.read_table(data.spark, name)
+
+
+@_register("s10_exported_csv")
+def exported_csv(data):
+    """Clean assignments exported as CSV and read back."""
+    folder = scratch_path(data.spark, "exports")
+    rows = cleaning.clean_assignments(fixtures.dirty_assignments(data.spark, data.folder))
+    path = tables.export_datasets({"assignments": rows.select("assignment_id", "course_id")}, folder)["assignments"]
+    return data.spark.read.schema("assignment_id bigint, course_id bigint").csv(path, header=True)
+
+
+@_register("s11_absent_table")
+def absent_table(data):
+    """A table that was never built reads as no rows beside one that was."""
+    absent = tables.table_or_empty(data.spark, _table_name("absent"), schemas.DIM_STUDENTS)
+    return cleaning.clean_students(fixtures.dirty_students(data.spark, data.folder)).unionByName(absent)
+
+
 @_register("s5_page_guard")
 def page_guard(data):
     pages = fixtures.landed_pages(data.spark, data.folder)
@@ -705,12 +753,11 @@ def score_all_pairs(data):
 
 @_register("m14_saved_model")
 def saved_model(data):
-    path = scratch_path(data.spark, "model")
+    spark, path = data.spark, scratch_path(data.spark, "model")
     data = learning.prepare(data.training)
-    learning.save_model(learning.fit_logistic(data.train), path)
-    return learning.binary_metrics(
-        learning.apply_model(learning.load_model(path), data.test), label="noisy_label"
-    )
+    learning.save_model(learning.fit_logistic(data.train), data.scaler, path)
+    model, _ = learning.load_model(spark, path)
+    return learning.binary_metrics(learning.apply_model(model, data.test), label="noisy_label")
 
 
 @_register("m15_single_model")
@@ -770,9 +817,25 @@ def _event_stream(data: Inputs) -> DataFrame:
 
 @_register("t5_activity_stream")
 def activity_stream(data):
-    windows = streams.activity_windows(_event_stream(data))
-    done = streams.run_to_table(windows, scratch_path(data.spark, "activity"))
-    return done.select("window_start", "window_end", "submissions")
+    """All windows; the estimate of active students is held against an exact count."""
+    told = streams.drain_activity(_event_stream(data))
+    hours = fixtures.activity(data.spark, data.folder).select(
+        F.date_trunc("hour", "submitted_at").alias("hour"), "student_id"
+    )
+    start = F.col("hour") - F.make_dt_interval(F.lit(0), F.col("back"))
+    exact = (
+        hours.distinct()
+        .withColumn("back", F.explode(F.sequence(F.lit(0), F.lit(23))))
+        .groupBy(start.alias("window_start"))
+        .agg(F.count_distinct("student_id").alias("exact"))
+    )
+    off = F.abs(F.col("active_students") - F.col("exact"))
+    return told.join(exact, "window_start").select(
+        "window_start",
+        "window_end",
+        "submissions",
+        (off <= F.greatest(F.lit(2), 0.05 * F.col("exact"))).alias("students_within_error"),
+    )
 
 
 @_register("t6_weekly_stream")

@@ -15,9 +15,9 @@ FIXED_POINT = 1e10
 
 
 def cents(grade: str | Column) -> Column:
-    """DECIMAL(10,2) grade as integer hundredths."""
+    """Grade as integer hundredths, each grade rounded half away from zero on its own."""
     grade = F.col(grade) if isinstance(grade, str) else grade
-    return (grade * 100).cast("bigint")
+    return (grade.cast("decimal(14,2)") * 100).cast("bigint")
 
 
 def whole_division(numerator: Column, denominator: Column) -> Column:
@@ -53,7 +53,7 @@ def rounded(value: Column, digits: int) -> Column:
 
 
 def stable_sum(value: Column) -> Column:
-    """Sum of doubles held at 1e-10, exact and independent of input order."""
+    """Sum of doubles held at 1e-10, exact and independent of input order; up to 1e10 each."""
     return F.sum(F.floor(value * FIXED_POINT + 0.5).cast("decimal(20,0)"))
 
 

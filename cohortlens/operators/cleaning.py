@@ -15,7 +15,8 @@ def to_long(value: Column) -> Column:
 
 
 def to_decimal(value: Column) -> Column:
-    return value.try_cast("decimal(10,2)")
+    """Number at six places; null when it is none or has more than twelve digits before them."""
+    return value.try_cast(schemas.GRADE.simpleString())
 
 
 def to_bool(value: Column) -> Column:
@@ -44,19 +45,30 @@ def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def clean_students(raw: DataFrame, order: str = "ingest_seq") -> DataFrame:
-    """One row per raw id, the first seen, then coerced; ids that are not numbers are dropped."""
-    unique = first_seen(raw.select("id", "name", "login_id", order), "id", order)
-    return unique.select(
+    """One row per student, the first seen; ``12`` and ``12.0`` are one id. Ids that are not
+    numbers are dropped."""
+    typed = raw.select(
         to_long(F.col("id")).alias("student_id"),
         F.col("name").alias("student_name"),
         F.coalesce("login_id", F.lit("")).alias("student_email"),
-    ).filter(F.col("student_id").isNotNull())
+        order,
+    )
+    return first_seen(typed.filter(F.col("student_id").isNotNull()), "student_id", order)
+
+
+def one_each(df: DataFrame, key: str) -> DataFrame:
+    """One row of each key: records that landed again are equal, and of different ones the
+    smallest is taken, which combines before the shuffle."""
+    rest = [c for c in df.columns if c != key]
+    packed = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_one"))
+    return packed.select(*[F.col(key) if c == key else F.col(f"_one.{c}").alias(c) for c in df.columns])
 
 
 def clean_assignments(raw: DataFrame) -> DataFrame:
-    """Typed assignments; rows without a numeric id are dropped. Absent columns become null."""
+    """Typed assignments, one row an id; rows without a numeric id are dropped. Absent columns
+    become null."""
     full = with_missing(raw, schemas.CSV_ASSIGNMENTS)
-    return full.select(
+    typed = full.select(
         to_long(F.col("assignment_id")).alias("assignment_id"),
         to_long(F.col("course_id")).alias("course_id"),
         "assignment_name",
@@ -64,6 +76,12 @@ def clean_assignments(raw: DataFrame) -> DataFrame:
         to_decimal(F.col("points_possible")).alias("points_possible"),
         F.try_to_timestamp(F.col("created_at")).alias("created_at"),
     ).filter(F.col("assignment_id").isNotNull())
+    return one_each(typed, "assignment_id")
+
+
+def clean_courses(courses: DataFrame) -> DataFrame:
+    """One row a course, however often it landed."""
+    return one_each(courses, "course_id")
 
 
 # Why a landed submission is dropped, in the order the checks run.
@@ -110,14 +128,15 @@ def drop_reasons(raw: DataFrame) -> DataFrame:
 
 
 def pages_before_repeat(
-    pages: DataFrame, entity: str, page: str, payload: str, max_pages: int = 200
+    pages: DataFrame, entity: str, page: str, payload: str, max_pages: int | None = None
 ) -> DataFrame:
     """Pages of each entity before the first one that equals its predecessor.
 
-    Only pages up to ``max_pages`` are read, so an entity has at most that many rows. The
-    comparison travels as a digest, not as the payload.
+    Landed pages are finite, so all are read unless ``max_pages`` says otherwise. The comparison
+    travels as a digest, not as the payload.
     """
-    numbered = pages.filter(F.col(page) <= max_pages).withColumn("_digest", F.sha2(payload, 256))
+    read = pages if max_pages is None else pages.filter(F.col(page) <= max_pages)
+    numbered = read.withColumn("_digest", F.sha2(payload, 256))
     in_order = Window.partitionBy(entity).orderBy(page)
     repeat = (F.col("_digest") == F.lag("_digest").over(in_order)).cast("int")
     seen = F.max(F.coalesce("_repeat", F.lit(0))).over(

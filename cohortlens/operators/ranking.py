@@ -13,28 +13,30 @@ from pyspark.sql import functions as F
 
 from cohortlens.session import ensure_checkpoint_dir
 
-# At most this many groups are treated as heavy. A group outside the list is smaller than
-# total / MAX_HEAVY_GROUPS rows, or than HEAVY_ROWS, so one task can hold it.
-MAX_HEAVY_GROUPS = 10_000
+# Groups above this many rows are ranked on the range-partitioned sort.
 HEAVY_ROWS = 1_000_000
+# A list of up to this many heavy groups is broadcast; a longer one is joined by shuffle.
+BROADCAST_GROUPS = 10_000
 
 
 def heavy_groups(df: DataFrame, keys: list[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame | None:
-    """Largest groups above ``heavy_rows`` rows as a local frame, or None when there are none.
+    """All groups above ``heavy_rows`` rows, or None when there are none.
 
-    The count reads only the key columns and combines before its shuffle. The list that
-    reaches the driver is bounded by MAX_HEAVY_GROUPS.
+    The count reads only the key columns and combines before its shuffle. A short list becomes a
+    broadcast frame after a look at its length; a longer one stays distributed, in a checkpoint.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     found = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > heavy_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HEAVY_GROUPS)
         .select(*keys)
+        .checkpoint()
     )
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    first = found.limit(BROADCAST_GROUPS + 1).count()
+    if not first:
+        return None
+    return F.broadcast(found) if first <= BROADCAST_GROUPS else found
 
 
 def _same_group(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -50,9 +52,8 @@ def split_heavy(
     """(ordinary rows, heavy rows or None); ``heavy`` is a list made by ``heavy_groups``."""
     if heavy is None:
         return df, None
-    listed = F.broadcast(heavy)
-    same = _same_group(df, listed, keys)
-    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
+    same = _same_group(df, heavy, keys)
+    return df.join(heavy, same, "left_anti"), df.join(heavy, same, "left_semi")
 
 
 def rank_by_window(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -86,15 +87,13 @@ def rank_by_range(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     # One row per group and block; a block boundary cuts at most one group, so there are
-    # fewer than groups + blocks rows.
-    offsets = F.broadcast(
-        per_block.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            F.col("_block").alias("_k_block"),
-            "_first",
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-            F.sum("_n").over(group).alias("total_count"),
-        )
+    # fewer than groups + blocks rows. Spark's own size check decides on a broadcast.
+    offsets = per_block.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_block").alias("_k_block"),
+        "_first",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_n").over(group).alias("total_count"),
     )
     same = F.col("_block") == F.col("_k_block")
     for key in keys:

@@ -55,6 +55,8 @@ def ranked_submissions(
 def _mark_first_rows(rows: DataFrame) -> DataFrame:
     """Flags the first early row of each week and the first row of each assignment of a pair.
 
+    A row without a time belongs to no week, one without an assignment to none.
+
     Counting flags replaces two distinct counts, which would expand and reshuffle every row;
     these windows only sort inside the partitioning the rank already made.
     """
@@ -62,7 +64,9 @@ def _mark_first_rows(rows: DataFrame) -> DataFrame:
     in_assignment = Window.partitionBy(*PAIR, "assignment_id").orderBy("rn")
     return rows.withColumns(
         {
-            "new_week": F.col("is_early") & (F.row_number().over(in_week) == 1),
+            "new_week": F.col("is_early")
+            & F.col("week").isNotNull()
+            & (F.row_number().over(in_week) == 1),
             "new_assignment": F.col("assignment_id").isNotNull()
             & (F.row_number().over(in_assignment) == 1),
         }

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -17,16 +19,20 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions import exprs as E
 from cohortlens.operators.neighbors import nearest_neighbors, votes
 from cohortlens.schemas import FEATURE_COLUMNS
-from cohortlens.session import ensure_checkpoint_dir, spread
+from cohortlens.session import ensure_checkpoint_dir
 
 KEY = ["student_id", "course_id"]
 SEED = 42
+# Rows of a partition at fitting. Trees sample by partition, so the partitioning follows the rows,
+# never the cores.
+FIT_ROWS = 250_000
+FIT_PARTITIONS = 4
 NOISE = 0.15
 TEST_SHARE = 0.2
 # Model names in the order that settles ties.
@@ -62,19 +68,27 @@ def with_label_noise(rows: DataFrame, share: float = NOISE, seed: int = SEED) ->
 
 
 def with_split(rows: DataFrame, share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
-    """Marks about ``share`` of each label as test rows."""
+    """Marks about ``share`` of all rows as test rows, by the key alone: labels fall on either side
+    in proportion, up to chance."""
     u = key_uniform(f"split{seed}")
     return rows.withColumn("is_test", u < share)
 
 
-def standardize(rows: DataFrame, train: DataFrame) -> DataFrame:
-    """(x - mean) / population deviation, both from the train rows; a constant column gives 0.
-
-    The statistics are one row, joined as scalar subqueries.
-    """
+def scaler(train: DataFrame) -> DataFrame:
+    """One row of means and population deviations of the train rows."""
     stats = [F.avg(c).alias(f"mean_{c}") for c in FEATURE_COLUMNS]
     stats += [F.stddev_pop(c).alias(f"dev_{c}") for c in FEATURE_COLUMNS]
-    row = train.agg(F.struct(*stats).alias("s")).scalar()
+    return train.agg(*stats)
+
+
+def standardize(rows: DataFrame, train: DataFrame) -> DataFrame:
+    """(x - mean) / population deviation, both from the train rows; a constant column gives 0."""
+    return scale(rows, scaler(train))
+
+
+def scale(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows standardized with a scaler; its one row is joined as a scalar subquery."""
+    row = known.select(F.struct(*known.columns).alias("s")).scalar()
     scaled = {
         c: (F.col(c) - F.col(f"_s.mean_{c}"))
         / F.when(F.col(f"_s.dev_{c}") == 0, 1.0).otherwise(F.col(f"_s.dev_{c}"))
@@ -85,9 +99,10 @@ def standardize(rows: DataFrame, train: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Prepared:
-    """Standardized rows with ``label`` (clean), ``noisy_label`` and ``is_test``."""
+    """Standardized rows with ``label`` (clean), ``noisy_label`` and ``is_test``, and the scaler."""
 
     rows: DataFrame
+    scaler: DataFrame
 
     @property
     def train(self) -> DataFrame:
@@ -98,11 +113,18 @@ class Prepared:
         return self.rows.filter("is_test")
 
 
+def settled(rows: DataFrame) -> DataFrame:
+    """Rows in partitions and an order that depend on nothing but the rows."""
+    parts = max(FIT_PARTITIONS, -(-rows.count() // FIT_ROWS))
+    return rows.repartition(parts, *KEY).sortWithinPartitions(*KEY)
+
+
 def prepare(training: DataFrame, noise: float = NOISE, seed: int = SEED) -> Prepared:
     """Computes the features once and keeps them in a reliable checkpoint for all five fits."""
     ensure_checkpoint_dir(training.sparkSession)
     base = with_split(with_label_noise(matrix(training), noise, seed), seed=seed).checkpoint()
-    return Prepared(standardize(spread(base, *KEY), base.filter(~F.col("is_test"))).checkpoint())
+    known = scaler(base.filter(~F.col("is_test"))).checkpoint()
+    return Prepared(settled(scale(base, known)).checkpoint(), known)
 
 
 # -- models ---------------------------------------------------------------------------------
@@ -218,27 +240,40 @@ def score_knn(train: DataFrame, rows: DataFrame, k: int = 5) -> DataFrame:
     return _scored(joined, F.col("probability"), F.col("probability") > 0.5)
 
 
-def score_with(name: str, data: Prepared, rows: DataFrame) -> DataFrame:
-    """Fit one model by name on the train rows and score ``rows``."""
+def fit_with(name: str, data: Prepared) -> Callable[[DataFrame], DataFrame]:
+    """Fit one model by name on the train rows; returns what scores rows with it."""
     if name == "Logistic Regression":
-        return apply_model(fit_logistic(data.train), rows)
+        return partial(apply_model, fit_logistic(data.train))
     if name == "Random Forest":
-        return apply_model(fit_forest(data.train), rows)
+        return partial(apply_model, fit_forest(data.train))
     if name == "Gradient Boosting":
-        return apply_model(fit_boosting(data.train), rows)
+        return partial(apply_model, fit_boosting(data.train))
     if name == "SVM":
-        return fit_kernel_svm(data.train).score(rows)
+        return fit_kernel_svm(data.train).score
     if name == "KNN":
-        return score_knn(data.train, rows)
+        return partial(score_knn, data.train)
     raise ValueError(f"unknown model {name!r}")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def score_with(name: str, data: Prepared, rows: DataFrame) -> DataFrame:
+    return fit_with(name, data)(rows)
+
+
+def save_model(model: PipelineModel, known: DataFrame, path: str) -> None:
+    """The fitted model and the scaler its features went through."""
+    model.write().overwrite().save(os.path.join(path, "model"))
+    known.write.mode("overwrite").parquet(os.path.join(path, "scaler"))
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
+    model = PipelineModel.load(os.path.join(path, "model"))
+    return model, spark.read.parquet(os.path.join(path, "scaler"))
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def score_new(training: DataFrame, model: PipelineModel, known: DataFrame) -> DataFrame:
+    """Key, probability and prediction of raw training rows that the fit need not have seen."""
+    rows = matrix(training).withColumns({"noisy_label": F.col("label"), "is_test": F.lit(True)})
+    return apply_model(model, scale(rows, known)).select(*KEY, "risk_probability", "prediction")
 
 
 # -- evaluation -----------------------------------------------------------------------------
@@ -325,17 +360,17 @@ class Outcome:
 
 
 def compare_models(data: Prepared, models: list[str] | None = None) -> Outcome:
-    """Fit all models, compare them on the test rows and score every pair with the best one."""
+    """Fit all models, compare them on the test rows and score every pair with the best one only."""
     names = models or MODEL_ORDER
-    scored = {m: score_with(m, data, data.rows).checkpoint() for m in names}
+    fitted = {m: fit_with(m, data) for m in names}
     tagged = [
-        scored[m].filter("is_test").select(F.lit(m).alias("model"), "noisy_label", "prediction")
+        fitted[m](data.test).select(F.lit(m).alias("model"), "noisy_label", "prediction")
         for m in names
     ]
     predictions = reduce(DataFrame.unionByName, tagged)
     comparison = binary_metrics(predictions, ["model"], label="noisy_label").checkpoint()
     best = best_model(comparison, names).first()["model"]
-    return Outcome(comparison, best, scored[best])
+    return Outcome(comparison, best, fitted[best](data.rows).checkpoint())
 
 
 def attach_scores(training: DataFrame, scores: DataFrame) -> DataFrame:

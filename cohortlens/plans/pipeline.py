@@ -22,7 +22,7 @@ def load_warehouse(spark: SparkSession, folder: str) -> Warehouse:
         raise ValueError(f"no students or submissions landed in {folder}")
     courses = landing.read_courses(spark, os.path.join(folder, "courses"))
     assignments = landing.read_assignments(spark, os.path.join(folder, "assignments"))
-    tables.write_table(courses, "dim_courses", schemas.DIM_COURSES)
+    tables.write_table(cleaning.clean_courses(courses), "dim_courses", schemas.DIM_COURSES)
     tables.write_table(cleaning.clean_students(students), "dim_students", schemas.DIM_STUDENTS)
     tables.write_table(
         cleaning.clean_assignments(assignments), "dim_assignments", schemas.DIM_ASSIGNMENTS

@@ -44,6 +44,13 @@ def _one_row(spark, **columns: DataFrame) -> DataFrame:
     return spark.range(1).select(*[df.scalar().alias(name) for name, df in columns.items()])
 
 
+def _figures(*rows: DataFrame) -> DataFrame:
+    """One-row frames side by side. Each is one scalar subquery, so one pass gives all its
+    figures."""
+    packed = [r.select(F.struct(*r.columns).alias("s")).scalar().alias(f"s{i}") for i, r in enumerate(rows)]
+    return rows[0].sparkSession.range(1).select(*packed).select(*[f"s{i}.*" for i in range(len(rows))])
+
+
 # -- summaries ------------------------------------------------------------------------------
 def student_summary(wh: Warehouse) -> DataFrame:
     avg = _avg()
@@ -158,18 +165,17 @@ def course_risk_late_matrix(scores: DataFrame, facts: DataFrame, courses: DataFr
 
 # -- overview and course reports ------------------------------------------------------------
 def overview(student_features: DataFrame, courses: DataFrame, facts: DataFrame) -> DataFrame:
-    recent = facts.withColumn("_latest", latest_submission(facts)).filter(
-        E.within_last(F.col("submitted_at"), F.col("_latest"), 7 * 24)
-    )
-    count = F.count("*").alias("n")
-    flagged = F.coalesce(F.count_if(F.col("predicted_at_risk") == 1), F.lit(0)).alias("n")
-    row = _one_row(
-        facts.sparkSession,
-        total_students=student_features.agg(count),
-        total_at_risk=student_features.agg(flagged),
-        total_courses=courses.agg(count),
-        total_submissions=facts.agg(count),
-        submissions_last_7d=recent.agg(count),
+    recent = E.within_last(F.col("submitted_at"), F.col("_latest"), 7 * 24)
+    seen = facts.withColumn("_latest", latest_submission(facts)).agg(
+        F.count("*").alias("total_submissions"), F.count_if(recent).alias("submissions_last_7d")
+    )
+    row = _figures(
+        student_features.agg(
+            F.count("*").alias("total_students"),
+            F.count_if(F.col("predicted_at_risk") == 1).alias("total_at_risk"),
+        ),
+        courses.agg(F.count("*").alias("total_courses")),
+        seen,
     )
     share = E.ratio(F.col("total_at_risk"), F.col("total_students"))
     return row.withColumn("at_risk_ratio", F.coalesce(share, F.lit(0.0)))
@@ -199,10 +205,14 @@ def course_report(wh: Warehouse, risk_by_course: DataFrame) -> DataFrame:
     )
 
 
-def top_risk_students(student_features: DataFrame, limit: int = 20) -> DataFrame:
+def _riskiest(rows: DataFrame, keys: list[str], limit: int | None) -> DataFrame:
+    """The first rows by risk; without a limit all of them, in no order."""
+    return rows if limit is None else rows.orderBy(F.desc_nulls_first("risk_probability"), *keys).limit(limit)
+
+
+def top_risk_students(student_features: DataFrame, limit: int | None = 20) -> DataFrame:
     return (
-        student_features.orderBy(F.desc_nulls_first("risk_probability"), "student_id")
-        .limit(limit)
+        _riskiest(student_features, ["student_id"], limit)
         .select(
             "student_id",
             "student_name",
@@ -225,7 +235,7 @@ _COURSE_STUDENT_DIGITS = {
 
 
 def course_students(
-    student_courses: DataFrame, course_id: int | None = None, limit: int = 1000
+    student_courses: DataFrame, course_id: int | None = None, limit: int | None = None
 ) -> DataFrame:
     """Riskiest students of one course, or of all courses when no course is given."""
     rows = student_courses
@@ -233,8 +243,7 @@ def course_students(
         rows = rows.filter(F.col("course_id") == course_id)
     digits = _COURSE_STUDENT_DIGITS
     return (
-        rows.orderBy(F.desc_nulls_first("risk_probability"), "student_id", "course_id")
-        .limit(limit)
+        _riskiest(rows, ["student_id", "course_id"], limit)
         .withColumns({c: E.rounded(F.col(c), d) for c, d in digits.items()})
     )
 
@@ -409,7 +418,7 @@ def activity_trend(activity: DataFrame) -> DataFrame:
 def student_course_vs_class(
     student_courses: DataFrame, facts: DataFrame, student_id: int | None = None
 ) -> DataFrame:
-    """Each student-course row beside the class average, worst course first."""
+    """Each student-course row beside the class average, in no order."""
     class_avg = facts.groupBy("course_id").agg(*_sums())
     rows = student_courses
     if student_id is not None:
@@ -429,7 +438,12 @@ def student_course_vs_class(
         "risk_probability",
         "risk_bucket",
         "predicted_at_risk",
-    ).orderBy(F.asc_nulls_last("student_avg"), "student_id", "course_id")
+    )
+
+
+def worst_courses_first(vs_class: DataFrame) -> DataFrame:
+    """For a reader: a distributed range sort, which no operator above should carry."""
+    return vs_class.orderBy(F.asc_nulls_last("student_avg"), "student_id", "course_id")
 
 
 def student_profile(student_features: DataFrame, student_id: int) -> DataFrame:
@@ -489,13 +503,13 @@ def teacher_course_stats(
 
 
 def platform_counts(student_features: DataFrame, courses: DataFrame, facts: DataFrame) -> DataFrame:
-    count = F.count("*").alias("n")
-    return _one_row(
-        facts.sparkSession,
-        total_students=student_features.agg(count),
-        at_risk_students=student_features.agg(F.count_if(F.col("predicted_at_risk") == 1).alias("n")),
-        total_courses=courses.agg(count),
-        total_submissions=facts.agg(count),
+    return _figures(
+        student_features.agg(
+            F.count("*").alias("total_students"),
+            F.count_if(F.col("predicted_at_risk") == 1).alias("at_risk_students"),
+        ),
+        courses.agg(F.count("*").alias("total_courses")),
+        facts.agg(F.count("*").alias("total_submissions")),
     )
 
 
@@ -641,18 +655,23 @@ def weekly_course_averages(facts: DataFrame, courses: DataFrame) -> DataFrame:
     )
 
 
-def dashboard_bundle(wh: Warehouse, scored: DataFrame) -> dict[str, DataFrame]:
-    """All dashboard reports over marts that are computed once and kept in a checkpoint."""
+def dashboard_bundle(
+    wh: Warehouse, scored: DataFrame, students_limit: int | None = None, pairs_limit: int | None = None
+) -> dict[str, DataFrame]:
+    """All dashboard reports over marts that are computed once and kept in a checkpoint.
+
+    The limits cut the two long lists to the first rows a page shows; None keeps all.
+    """
     ensure_checkpoint_dir(scored.sparkSession)
     pairs = scored.checkpoint()
     students = marts.student_features(pairs).checkpoint()
     student_courses = student_course_features(wh, students).checkpoint()
-    ranked = top_risk_students(students, 1000)
+    ranked = top_risk_students(students, students_limit)
     return {
         "overview": overview(students, wh.courses, wh.facts),
         "courses": course_report(wh, marts.risk_by_course(pairs)),
         "students": ranked,
-        "course_students": course_students(student_courses, None, 2000),
+        "course_students": course_students(student_courses, None, pairs_limit),
         "top_students": top_risk_students(students, 20),
         "distribution": student_distribution(students),
         "trends": weekly_trends_rounded(wh.facts),

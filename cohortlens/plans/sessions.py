@@ -42,10 +42,10 @@ def recent_history(messages: DataFrame, n: int = HISTORY) -> DataFrame:
 #      the first one after) is mapped to the last opening of the hour it leads to;
 #   3. maps of FAN_IN neighboring spans are merged, level by level;
 #   4. on the way back every span learns the opening it starts from.
-# A map has at most 60,001 rows, so every group below has a fixed bound.
+# A map has at most 60,001 rows, so every group below has a fixed bound. Times count from each
+# session's first request, and there are as many levels as the longest session needs.
 HOUR_MS = 3_600_000
 FAN_IN = 100
-LEVELS = 3  # FAN_IN ** LEVELS hours after 1970 is the year 2084
 
 
 def _pass_through(spans: list, opened: np.ndarray) -> np.ndarray:
@@ -63,10 +63,11 @@ def _reachable(times: np.ndarray, start: int) -> np.ndarray:
 
 def _hour_map(times: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     following = np.searchsorted(times, times + WINDOW_MS, side="right")
-    last = times.copy()
-    for i in range(len(times) - 1, -1, -1):
-        if following[i] < len(times):
-            last[i] = last[following[i]]
+    # Pointer doubling: each step takes every request twice as far along its chain.
+    ahead = np.append(np.where(following < len(times), following, np.arange(len(times))), len(times))
+    while not np.array_equal(ahead, further := ahead[ahead]):
+        ahead = further
+    last = times[ahead[:-1]]
     entry = _reachable(times, start)
     return entry, last[: len(entry)]
 
@@ -151,12 +152,17 @@ def _openings(times: DataFrame, incoming: DataFrame, session_type: str) -> DataF
 def rate_limit(messages: DataFrame, per_window: int = PER_WINDOW) -> DataFrame:
     """Flags each request with ``window_start`` (epoch ms) and ``admitted``."""
     ensure_checkpoint_dir(messages.sparkSession)
-    requests = messages.withColumn("t", F.unix_millis("ts"))
     session_type = messages.schema["session_id"].dataType.simpleString()
+    begins = messages.groupBy("session_id").agg(F.min(F.unix_millis("ts")).alias("_origin"))
+    requests = messages.join(begins, "session_id").withColumn("t", F.unix_millis("ts") - F.col("_origin"))
     times = requests.groupBy("session_id", "t").agg(F.count("*").alias("n")).checkpoint()
 
     maps = [_map_hours(times, session_type).checkpoint()]
-    for level in range(1, LEVELS):
+    longest = times.agg(F.max("t")).first()[0] or 0
+    levels = 1
+    while FAN_IN**levels * HOUR_MS <= longest:
+        levels += 1
+    for level in range(1, levels):
         maps.append(_merge_spans(maps[-1], level).checkpoint())
     incoming = None
     for level_maps in reversed(maps):
@@ -188,7 +194,8 @@ def rate_limit(messages: DataFrame, per_window: int = PER_WINDOW) -> DataFrame:
     )
     return (
         requests.join(quota.select("session_id", "t", "window_start"), ["session_id", "t"])
+        .withColumn("window_start", F.col("window_start") + F.col("_origin"))
         .join(early, ["session_id", "t", "turn"], "left")
         .withColumn("admitted", F.coalesce("_pass", F.lit(False)))
-        .drop("t", "_pass")
+        .drop("t", "_origin", "_pass")
     )

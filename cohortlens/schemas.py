@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-GRADE = T.DecimalType(10, 2)
+# Landed grades and points keep six places; sums are taken in hundredths.
+GRADE = T.DecimalType(18, 6)
 
 
 def _table(*fields: tuple) -> T.StructType:

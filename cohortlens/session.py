@@ -69,6 +69,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use every core on rows that arrive in a few small parts; a no-op on large inputs."""
     cores = df.sparkSession.sparkContext.defaultParallelism

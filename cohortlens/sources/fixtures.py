@@ -221,7 +221,8 @@ def landed_students(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = dirty_assignments(spark, sf_dir).filter(F.col("course_id") != "?")
+    """Parts as assignment records under course folders, some of which are no course."""
+    raw = dirty_assignments(spark, sf_dir)
     return raw.withColumnsRenamed({"assignment_id": "id", "assignment_name": "name"})
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,25 +44,29 @@ def write_table(df: DataFrame, name: str, schema: T.StructType | None = None) ->
     """Full refresh without a moment in which the table is missing.
 
     Rows are written once, to a new version; then the name, a view, is pointed at it. ``df``
-    may read the table being replaced. The previous version is kept for running readers.
+    may read the table being replaced. The previous version is kept for running readers. A plain
+    table of that name becomes a version itself; only for that one rename is the name free.
     """
     spark = df.sparkSession
     version = f"{name}__{time.time_ns()}"
     rows = schemas.conform(df, schema) if schema is not None else df
     rows.write.mode("errorifexists").saveAsTable(version)
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__{0:019d}")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
-    versions = sorted(r.tableName for r in spark.sql(f"SHOW TABLES LIKE '{name}__*'").collect())
-    for old in versions[:-2]:
+    listed = [r.tableName for r in spark.sql(f"SHOW TABLES LIKE '{name}__*'").collect()]
+    own = re.compile(re.escape(name.rpartition(".")[2].lower()) + r"__\d{19}")
+    for old in sorted(t for t in listed if own.fullmatch(t))[:-2]:
         spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def create_or_replace_table(df: DataFrame, name: str) -> None:
-    """Create from a query, replacing an older definition and its schema."""
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.saveAsTable(name)
+    """Create from a query, replacing an older definition and its schema.
+
+    The query may read the table that it replaces: the old rows stay until the new ones are
+    written.
+    """
+    write_table(df, name)
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:

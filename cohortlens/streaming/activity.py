@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +13,18 @@ from cohortlens.functions import exprs as E
 from cohortlens.plans.reports import weekly_trends_of
 from cohortlens.session import scratch_path
 
+# Registers of a student sketch, as a power of two: a standard error of 0.8 %.
+SKETCH_BITS = 14
+
 
 def activity_windows(
     submissions: DataFrame, late_by: str = "1 hour", span: str = "24 hours", step: str = "1 hour"
 ) -> DataFrame:
     """Submissions and approximate active students per sliding event-time window.
 
-    Exact distinct counts are not available on streams; the sketch also merges partially,
-    so a busy window does not gather its rows.
+    For a sink that must never be revised: a window is emitted once, when the watermark has passed
+    it, so the newest ones are not there yet. ``activity_rollup`` gives those too. The sketch
+    merges partially, so a busy window does not gather its rows.
     """
     window = F.window("submitted_at", span, step)
     return (
@@ -52,6 +57,56 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFram
     return stream.sparkSession.read.schema(stream.schema).parquet(os.path.join(path, "data"))
 
 
+def hourly_partials(batch: DataFrame) -> DataFrame:
+    """Mergeable figures per hour of one micro-batch: rows and a sketch of the students."""
+    return batch.groupBy(F.date_trunc("hour", "submitted_at").alias("hour")).agg(
+        F.count("*").alias("submissions"),
+        F.hll_sketch_agg("student_id", SKETCH_BITS).alias("students"),
+    )
+
+
+def activity_rollup(submissions: DataFrame, path: str) -> StreamingQuery:
+    """Fold new submissions into hourly partial figures under ``path``, one folder a batch.
+
+    Windows are built from them at read time, so the newest ones are there at once, and a late
+    submission still counts.
+    """
+    return _fold(submissions, hourly_partials, path)
+
+
+def activity_report(spark: SparkSession, path: str, span_hours: int = 24) -> DataFrame:
+    """Submissions and about how many active students in every window of ``span_hours`` that
+    begins on an hour and holds a submission."""
+    schema = "hour timestamp, submissions bigint, students binary, batch bigint"
+    partials = spark.read.schema(schema).parquet(os.path.join(path, "data"))
+    hours = partials.groupBy("hour").agg(
+        F.sum("submissions").alias("submissions"), F.hll_union_agg("students").alias("students")
+    )
+    back = F.sequence(F.lit(0), F.lit(span_hours - 1))
+    start = F.col("hour") - F.make_dt_interval(F.lit(0), F.col("back"))
+    return (
+        hours.withColumn("back", F.explode(back))
+        .groupBy(start.alias("window_start"))
+        .agg(
+            F.sum("submissions").alias("submissions"),
+            F.hll_sketch_estimate(F.hll_union_agg("students")).alias("active_students"),
+        )
+        .select(
+            "window_start",
+            (F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(span_hours))).alias("window_end"),
+            "submissions",
+            "active_students",
+        )
+    )
+
+
+def drain_activity(submissions: DataFrame) -> DataFrame:
+    """Run the rollup over all available input in a fresh scratch folder and report."""
+    path = scratch_path(submissions.sparkSession, "activity")
+    activity_rollup(submissions, path).awaitTermination()
+    return activity_report(submissions.sparkSession, path)
+
+
 def weekly_partials(batch: DataFrame) -> DataFrame:
     """Mergeable sums per Monday week of one micro-batch."""
     # Event-time windows count from the epoch, a Thursday; four days later is a Monday.
@@ -75,9 +130,13 @@ def weekly_rollup(submissions: DataFrame, path: str) -> StreamingQuery:
     submission counts once, however late it arrives.
     """
 
+    return _fold(submissions, weekly_partials, path)
+
+
+def _fold(submissions: DataFrame, partials: Callable[[DataFrame], DataFrame], path: str) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         target = os.path.join(path, "data", f"batch={batch_id}")
-        weekly_partials(batch).write.mode("overwrite").parquet(target)
+        partials(batch).write.mode("overwrite").parquet(target)
 
     return (
         submissions.writeStream.foreachBatch(write)

@@ -316,8 +316,8 @@ def _digits() -> str:
 def _bundle() -> str:
     rows = {
         "overview": "SELECT 1", "courses": "SELECT * FROM dim_courses",
-        "students": "SELECT * FROM student_features LIMIT 1000",
-        "course_students": "SELECT * FROM student_courses LIMIT 2000",
+        "students": "SELECT * FROM student_features",
+        "course_students": "SELECT * FROM student_courses",
         "top_students": "SELECT * FROM student_features LIMIT 20",
         "distribution": f"SELECT DISTINCT {_grade_late('avg_grade', 'late_submission_ratio')} FROM student_features",
         "trends": "SELECT DISTINCT date_trunc('week', submitted_at) FROM fact",
@@ -596,18 +596,39 @@ def oracle_sql() -> dict[str, str]:
         "s3_read_assignments": f"""
             SELECT CASE WHEN p_partkey % 31 = 0 THEN NULL WHEN p_partkey % 37 = 0 THEN 'none'
                         ELSE CAST(p_partkey AS VARCHAR) END AS assignment_id,
-                   CAST({COURSE} AS VARCHAR) AS course_id, p_name AS assignment_name,
+                   CASE WHEN p_partkey % 29 = 0 THEN '?' ELSE CAST({COURSE} AS VARCHAR) END AS course_id, p_name AS assignment_name,
                    CASE WHEN p_partkey % 19 = 0 THEN 'soon' ELSE
                      CAST(DATE '2024-01-01' + CAST(p_size AS INTEGER) AS VARCHAR) END AS due_at,
                    CASE WHEN p_partkey % 23 = 0 THEN 'ten' ELSE CAST(p_partkey % 20 AS VARCHAR) END AS points_possible,
-                   '2023-12-01' AS created_at FROM part WHERE p_partkey % 29 <> 0""",
+                   '2023-12-01' AS created_at FROM part""",
         "s4_read_submissions": q(RAW_SUBMISSIONS, select="""
             SELECT '1' AS course_id, CAST(k AS VARCHAR) AS assignment_id, count(*) AS records,
                    count(*) FILTER (user_id IS NULL) AS missing_user FROM raw GROUP BY k"""),
+        "s4_flat_submissions": q(RAW_SUBMISSIONS, select="""
+            SELECT id, user_id, CAST(k AS VARCHAR) AS assignment_id,
+                   CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 'not-a-date'
+                        ELSE regexp_replace(regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '\\.$', '')
+                   END AS submitted_at,
+                   CASE WHEN event_id % 17 = 0 THEN 'A+' WHEN event_id % 11 = 0 THEN NULL
+                        ELSE CAST(event_id % 101 AS VARCHAR) END AS grade,
+                   CASE WHEN event_id % 7 = 0 THEN NULL WHEN k % 3 = 0 THEN 'True' ELSE 'False' END AS late,
+                   '1' AS course_id FROM raw"""),
+        "s8_refreshed_table": q(RAW_SUBMISSIONS, select=CLEAN_SUBMISSIONS),
+        "s9_replaced_table": """
+            SELECT c_custkey AS student_id, c_name AS student_name,
+                   CASE WHEN c_custkey % 5 <> 0 THEN lower(c_name) ELSE '' END AS student_email, length(c_name) AS name_length
+            FROM customer WHERE c_custkey % 41 <> 0""",
+        "s10_exported_csv": f"""
+            SELECT {_ASSIGNMENT_ID} AS assignment_id, CASE WHEN p_partkey % 29 <> 0 THEN {COURSE} END AS course_id
+            FROM part WHERE {_ASSIGNMENT_ID} IS NOT NULL""",
+        "s11_absent_table": """
+            SELECT c_custkey AS student_id, c_name AS student_name,
+                   CASE WHEN c_custkey % 5 <> 0 THEN lower(c_name) ELSE '' END AS student_email
+            FROM customer WHERE c_custkey % 41 <> 0""",
         "s5_page_guard": """
             WITH pages AS (SELECT conv_id AS entity, turn + 1 AS page_no, length(text) // 200 AS payload FROM conversations),
             flagged AS (SELECT *, payload = lag(payload) OVER (PARTITION BY entity ORDER BY page_no) AS repeated
-                        FROM pages WHERE page_no <= 200)
+                        FROM pages)
             SELECT entity, page_no FROM flagged f
             WHERE page_no < coalesce((SELECT min(page_no) FROM flagged g WHERE g.entity = f.entity AND g.repeated), 1000)""",
         "m1_matrix": q(*_ML, select=f"SELECT student_id, course_id, {', '.join(FEATURES)}, label FROM matrix"),
@@ -674,9 +695,9 @@ def oracle_sql() -> dict[str, str]:
         "t5_activity_stream": """
             WITH hit AS (
               SELECT date_trunc('hour', ts) - to_hours(CAST(h AS INTEGER)) AS w
-              FROM events, (SELECT unnest(range(24)) AS h)),
-            closed AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)
+              FROM events, (SELECT unnest(range(24)) AS h))
             SELECT strftime(w, '%Y-%m-%d %H:%M:%S.%f') AS window_start,
-                   strftime(w + INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_end, count(*) AS submissions
-            FROM hit, closed WHERE w + INTERVAL 24 HOUR <= mark GROUP BY w""",
+                   strftime(w + INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS window_end, count(*) AS submissions,
+                   true AS students_within_error
+            FROM hit GROUP BY w""",
     }

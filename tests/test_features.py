@@ -136,6 +136,30 @@ def test_heavy_path_gives_the_same_statistics(spark, data, by):
     assert plain.count() == heavy.count()
 
 
+@pytest.mark.parametrize("heavy_rows", [ranking.HEAVY_ROWS, 2])
+def test_a_missing_time_is_no_active_week(spark, heavy_rows):
+    times = [None, "2025-01-06 00:00:00", "2025-01-14 00:00:00", "2025-01-14 01:00:00", None]
+    facts = [(str(i), 1, 1, 1, Decimal("5"), False, ts(t) if t else None) for i, t in enumerate(times)]
+    stats = features.pair_statistics(replace(warehouse(spark, facts), heavy_rows=heavy_rows), "submitted")
+    assert one(stats).early_weeks == 1
+
+
+def test_more_heavy_groups_than_a_broadcast_takes(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BROADCAST_GROUPS", 2)
+    rows = spark.range(900).select((F.col("id") % 9).alias("g"), F.col("id").alias("o"))
+    parts = ranking.ranked_parts(rows, ["g"], [F.col("o")], ranking.heavy_groups(rows, ["g"], 50))
+    assert parts[0].count() == 0 and parts[1].count() == 900
+
+
+def test_reports_carry_no_useless_sort_or_pass(spark, data):
+    from cohortlens import catalog
+
+    plan = lambda name: catalog.queries()[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+    for name in ("o10_best_worst_course", "o10_course_chart", "b8_study_tips"):
+        assert "rangepartitioning" not in plan(name)
+    assert plan("p13_overview").count("FileScan") <= 13
+
+
 def test_one_group_with_most_rows(spark):
     rows = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g"),

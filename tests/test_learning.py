@@ -56,14 +56,32 @@ def test_small_forest_and_boosting(prepared):
         assert learning.binary_metrics(scored, label="noisy_label").first().accuracy > 0.6
 
 
-def test_logistic_is_deterministic_and_reloads(prepared, tmp_path):
+def test_logistic_is_deterministic_and_reloads(spark, prepared, tmp_path):
     model = learning.fit_logistic(prepared.train)
     first = learning.apply_model(model, prepared.test).orderBy(*learning.KEY).collect()
-    learning.save_model(model, str(tmp_path / "m"))
-    loaded = learning.load_model(str(tmp_path / "m"))
+    learning.save_model(model, prepared.scaler, str(tmp_path / "m"))
+    loaded, _ = learning.load_model(spark, str(tmp_path / "m"))
     assert learning.apply_model(loaded, prepared.test).orderBy(*learning.KEY).collect() == first
 
 
+def test_saved_model_scores_raw_rows_as_the_fit_did(spark, training, prepared, tmp_path):
+    model = learning.fit_logistic(prepared.train)
+    learning.save_model(model, prepared.scaler, str(tmp_path / "m"))
+    raw = learning.score_new(training, *learning.load_model(spark, str(tmp_path / "m")))
+    fitted = learning.apply_model(model, prepared.rows).select(*raw.columns)
+    assert sorted(raw.collect()) == sorted(fitted.collect())
+
+
+def test_forest_does_not_depend_on_the_input_partitioning(training):
+    found = []
+    for parts in (1, 7):
+        data = learning.prepare(training.repartition(parts))
+        model = learning.fit_forest(data.train, trees=8, depth=5)
+        found.append(learning.binary_metrics(learning.apply_model(model, data.test)).first())
+        assert data.rows.rdd.getNumPartitions() == learning.FIT_PARTITIONS
+    assert found[0] == found[1]
+
+
 def test_ties_go_to_the_first_model(spark):
     rows = [("SVM", 0.9, 0.9, 0.9, 0.9), ("Logistic Regression", 0.9, 0.9, 0.9, 0.9), ("KNN", 0.1, 0.1, 0.1, 0.1)]
     frame = spark.createDataFrame(rows, ["model", *learning.METRICS])

@@ -54,6 +54,17 @@ def test_rate_limit_matches_a_sequential_run(spark):
     assert sum(v for (s, _), v in got.items() if s == 1) == 32
 
 
+def test_rate_limit_holds_before_1970_and_after_2084(spark):
+    rng = random.Random(7)
+    spread = sorted(rng.randrange(-BASE - 5_000_000, -BASE + 5_000_000) for _ in range(300))
+    far = 3_700_000_000_000 - BASE
+    rows, frame = _requests(spark, {1: spread, 2: [0, far - 30_000, far, far + 30_001, far + 30_002], 3: [5]})
+    got = {(r.session_id, r.turn): r.admitted for r in sessions.rate_limit(frame, 30).collect()}
+    assert got == _expected(rows)
+    starts = {r.window_start for r in sessions.rate_limit(frame).where("session_id = 2").collect()}
+    assert starts == {BASE, BASE + far - 30_000, BASE + far + 30_001}
+
+
 def test_history_keeps_the_last_twenty(spark):
     _, frame = _requests(spark, {1: [i * 10_000 for i in range(25)], 2: [0, 1]})
     kept = sessions.recent_history(frame).groupBy("session_id").agg(F.min("turn"), F.count("*"))
@@ -96,3 +107,17 @@ def test_activity_stream_counts(spark, data, tmp_path):
     assert len(joined) == windows.count() > 600
     assert all(r.submissions == r.n for r in joined)
     assert all(abs(r.active_students - r.s) <= max(1, 0.1 * r.s) for r in joined)
+
+
+def test_activity_rollup_has_the_newest_windows_and_survives_a_replay(spark, data, tmp_path):
+    stream = _event_files(spark, data, str(tmp_path / "in"), 4)
+    path = str(tmp_path / "hours")
+    batch = fixtures.activity(spark, data).groupBy(F.window("submitted_at", "24 hours", "1 hour")).agg(
+        F.count("*").alias("n"), F.count_distinct("student_id").alias("s")
+    )
+    exact = {r.window.start: (r.n, r.s) for r in batch.collect()}
+    for _ in range(2):
+        streams.activity_rollup(stream, path).awaitTermination()
+        got = streams.activity_report(spark, path).collect()
+        assert {r.window_start: r.submissions for r in got} == {w: n for w, (n, _) in exact.items()}
+        assert all(abs(r.active_students - exact[r.window_start][1]) <= max(2, 0.05 * exact[r.window_start][1]) for r in got)

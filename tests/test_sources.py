@@ -97,7 +97,23 @@ def test_pages_stop_at_a_repeat(spark):
     rows = [("a", p, str(min(p, 3))) for p in range(1, 7)] + [("b", p, str(p)) for p in range(1, 250)]
     pages = spark.createDataFrame(rows, "entity string, page bigint, payload string")
     kept = cleaning.pages_before_repeat(pages, "entity", "page", "payload").groupBy("entity").count()
-    assert {r.entity: r["count"] for r in kept.collect()} == {"a": 3, "b": 200}
+    assert {r.entity: r["count"] for r in kept.collect()} == {"a": 3, "b": 249}
+    some = cleaning.pages_before_repeat(pages, "entity", "page", "payload", max_pages=200)
+    assert some.where("entity = 'b'").count() == 200
+
+
+def test_grades_keep_their_places_and_dimensions_one_row_an_id(spark):
+    raw = spark.createDataFrame([("83.335",), ("123456789.5",), ("x",)], "g string")
+    got = [r[0] for r in raw.select(cleaning.to_decimal(F.col("g"))).collect()]
+    assert [None if v is None else float(v) for v in got] == [83.335, 123456789.5, None]
+    students = spark.createDataFrame(
+        [("12.0", "B", None, 2), ("12", "A", "a", 1), ("x", "C", None, 0)], "id string, name string, login_id string, ingest_seq int"
+    )
+    assert [tuple(r) for r in cleaning.clean_students(students).collect()] == [(12, "A", "a")]
+    landed = spark.createDataFrame([("1", "2", "n")] * 2 + [("1.0", "2", "n")], "assignment_id string, course_id string, assignment_name string")
+    assert cleaning.clean_assignments(landed).count() == 1
+    courses = spark.createDataFrame([(1, "a", None), (1, "a", None)], "course_id long, course_name string, teacher_id long")
+    assert cleaning.clean_courses(courses).collect() == [(1, "a", None)]
 
 
 def test_csv_round_trip_and_gate(spark, tmp_path):
@@ -123,7 +139,16 @@ def test_table_writes(spark):
     with pytest.raises(ValueError):
         tables.write_table(first.drop("student_name"), "dim_students_t", schema)
     tables.create_or_replace_table(first, "plain_t")
-    tables.create_or_replace_table(first.withColumn("extra", F.lit(1)), "plain_t")
+    own = tables.read_table(spark, "plain_t")
+    tables.create_or_replace_table(own.withColumn("extra", F.lit(1)), "plain_t")
+    assert tables.read_table(spark, "plain_t").count() == 1
+    first.write.saveAsTable("late_t")
+    tables.write_table(tables.read_table(spark, "late_t"), "late_t")
+    tables.write_table(first, "late_t__b")
+    assert tables.read_table(spark, "late_t").count() == 1
+    for _ in range(3):
+        tables.write_table(first, "late_t")
+    assert tables.read_table(spark, "late_t__b").count() == 1
     assert "extra" in tables.read_table(spark, "plain_t").columns
     tables.write_table(first, "plain_t", schema)
     assert tables.read_table(spark, "plain_t").columns == schema.names
