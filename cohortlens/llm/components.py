@@ -6,36 +6,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import common
+from cohortlens.session import remove_path, scratch_path
+
+#: Rows of a file of the tables that rounds write.
+FILE_ROWS = 500_000
 
 
 def connect(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and component, its smallest node, for every node that has a link.
 
-    Each round every node takes the smallest label around it and then the label of that label, so
-    the rounds grow with the logarithm of the longest path. Labels are cut off from their lineage
-    each round. All joins are on nodes; AQE splits a node with very many links.
+    Every node points to a smaller one, at first the smallest beside it. Each round, a node and the
+    node it points to take the smallest second-next pointer around the node (FastSV), so that whole
+    trees hook onto each other and the rounds grow with the logarithm of the longest path. Only
+    minima are aggregated and joined, so a node with very many links costs one row a task, and AQE
+    splits its joins. Rounds are written tables in the shared folder, removed at the end: unlike a
+    checkpoint, a table read again brings no partitioning that the optimizer would carry along,
+    twice as long each round.
     """
-    both = links.select(F.col(a).alias("node"), F.col(b).alias("other"))
-    edges = common.checkpointed(both.unionByName(both.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct())
-    labels = common.checkpointed(
-        edges.groupBy("node").agg(F.least("node", F.min("other")).alias("component"))
-    )
+    spark = links.sparkSession
+    made: list[str] = []
+
+    def table(df: DataFrame, files: int) -> DataFrame:
+        made.append(scratch_path(spark, "components"))
+        df.coalesce(files).write.parquet(made[-1])
+        return spark.read.parquet(made[-1])
+
+    known = common.checkpointed(links.select(F.col(a).alias("node"), F.col(b).alias("other")))
+    # A few files, so that rounds over a small graph are a few tasks and Spark's own size check
+    # can broadcast; a large one has as many as its rows need.
+    files = 1 + 2 * known.count() // FILE_ROWS
+    turned = known.select(F.col("other").alias("node"), F.col("node").alias("other"))
+    edges = table(known.unionByName(turned), files)
+    state = table(edges.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), files)
+    total = None
     while True:
-        near = (
-            edges.join(labels.withColumnRenamed("node", "other"), "other")
-            .groupBy("node")
-            .agg(F.min("component").alias("near"))
-        )
-        joined = labels.join(near, "node").select(
-            "node", "component", F.least("component", "near").alias("low")
-        )
-        jump = labels.select(F.col("node").alias("low"), F.col("component").alias("beyond"))
-        moved = common.checkpointed(
-            joined.join(jump, "low", "left").select(
-                "node", "component", F.least("low", "beyond").alias("next")
-            )
+        next_one = state.select(F.col("node").alias("component"), F.col("component").alias("beyond"))
+        state = table(state.join(next_one, "component").select("node", "component", "beyond"), files)
+        # A sum that falls until no pointer moves any more.
+        wide = [F.sum(F.col(c).cast("decimal(38,0)")) for c in ("component", "beyond")]
+        now = state.select(*wide).first()
+        if now == total:
+            break
+        total = now
+        seen = state.select(F.col("node").alias("other"), "beyond")
+        near = edges.join(seen, "other").groupBy("node").agg(F.min("beyond").alias("near"))
+        known = state.join(near, "node")
+        offers = known.select("node", F.least("component", "beyond", "near").alias("c")).unionByName(
+            known.select(F.col("component").alias("node"), F.col("near").alias("c"))
         )
-        changed = moved.where("next < component").limit(1).count()
-        labels = moved.select("node", F.col("next").alias("component"))
-        if not changed:
-            return labels
+        state = table(offers.groupBy("node").agg(F.min("c").alias("component")), files)
+    found = common.checkpointed(state.select("node", "component"))
+    for path in made:
+        remove_path(spark, path)
+    return found

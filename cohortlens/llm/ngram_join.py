@@ -10,17 +10,18 @@ or more. Steps, each exact (a pair that links passes all of them):
    passage of every third document stays one entry a part. Few documents remain.
 2. Equal sets are one from here on, by a 128-bit digest; step 1 is repeated among them.
 3. Prefixes. Shingles are ordered by document frequency, rare first. Two sets that link share one
-   of the first n - ceil(0.75 n) + 1 of each; those are written as rows (shingle, document).
-4. Pivots. Documents whose smallest shared shingle is the same are compared with one of them, and
-   then those of one prefix shingle that are in different components so far with one of each, so a
-   large group of near copies becomes one component without looking at all its pairs.
-5. All pairs of one prefix shingle that lie in different components by then are compared. No pair
-   is left out: within a component another link would change nothing.
-
-Comparing is done in blocks of one set and up to BLOCK partners. The partners' ordered sets form a
-prefix tree (sorted sets with their common prefix lengths); the traversal keeps the overlap along
-the path, shares it among sets with the same prefix, and leaves a subtree when the words that
-remain on either side cannot reach the threshold.
+   of the first n - ceil(0.75 n) + 1 of each; those are written as rows (shingle, document), and
+   documents that share one, directly or through others, are a cluster.
+4. A cluster of up to BLOCK documents is one block, in which all are compared. In a larger one,
+   documents whose smallest shared shingle is the same are first compared with one of them, which
+   joins most near copies. Then the documents outside the largest component so far are compared
+   with each other and with that component, chunk by chunk, so that a large group of near copies
+   is never compared pair by pair, but no pair is left out that could change a component.
+
+In a block, the sets form a prefix tree: sets ordered by one order of all shingles (frequent in the
+block first) and sorted, each with the length it has in common with the one before. The traversal
+keeps the overlaps of all probes with the path at each fork, so sets with the same prefix share
+them, and leaves a branch for those probes that the words left on it cannot bring to the threshold.
 
 Nulls and edges: null or empty texts have an empty set and link with nothing; rows without an id
 cannot be named and are left out; rows that repeat an id are one document, linked by any of its
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm import common, vectors
@@ -41,10 +42,10 @@ from cohortlens.llm.components import connect
 
 PART_BYTES = 8_000_000
 PART_SHINGLES = 1_500_000
-#: Partners that one block compares with its set.
-BLOCK = 256
-#: Rounds that compare one document of each component that shares a prefix shingle.
-REP_ROUNDS = 2
+#: Documents of a chunk; a block compares one chunk with itself or with another.
+BLOCK = 1_024
+#: Cells of the table of shingles by probes that a block holds at a time.
+CELLS = 32_000_000
 
 SPREAD = "bucket int, docs binary, counts binary, hashes binary, twice binary, info binary"
 _INFO = np.dtype([("doc", "<i8"), ("n", "<i8"), ("credit", "<i8"), ("fp1", "<i8"), ("fp2", "<i8")])
@@ -130,25 +131,52 @@ def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype)
 
 
+def _by_home(homes: int, docs: np.ndarray, *values: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+    """Arrays split by the documents' homes, the groups in which what buckets say meets again."""
+    home = np.mod(docs, homes)
+    order = np.argsort(home, kind="stable")
+    cuts = np.searchsorted(home[order], np.arange(homes + 1))
+    for h, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+        if j > i:
+            yield h, [x[order[i:j]].tobytes() for x in (docs, *values)]
+
+
 def _credit(table: pa.Table) -> pa.Table:
     """Of one bucket: how many of its shingles each document shares; and what parts told."""
+    homes = table["buckets"][0].as_py()
     hashes, twice = _joined(table["hashes"], np.uint32), _joined(table["twice"], np.uint32)
     docs = np.repeat(_joined(table["docs"], np.int64), _joined(table["counts"], np.int32))
     _, group, times = np.unique(np.concatenate([hashes, twice]), return_inverse=True, return_counts=True)
     shared, credit = np.unique(docs[times[group[: len(docs)]] > 1], return_counts=True)
     info = _joined(table["info"], _INFO)
-    none = pa.nulls(len(shared), pa.int64())
-    columns = [pa.concat_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())]) for x, y in ((info["doc"], shared), (info["credit"], credit))]
-    rest = [pa.concat_arrays([pa.array(info[k].copy()), none]) for k in ("n", "fp1", "fp2")]
-    return pa.table([*columns, *rest], names=["doc", "credit", "n", "fp1", "fp2"])
+    rows = [(h, x, y, b"") for h, (x, y) in _by_home(homes, shared, credit.astype(np.int64))]
+    rows += [(h, b"", b"", x) for h, (_, x) in _by_home(homes, info["doc"], info)]
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    kinds = [pa.int64(), *[pa.binary()] * 3]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["home", "docs", "credits", "info"])
+
+
+def _told(table: pa.Table) -> pa.Table:
+    """Of one home: size, shared shingles and digest of each document."""
+    info = _joined(table["info"], _INFO)
+    info = info[np.lexsort((info["fp2"], info["fp1"], -info["n"], info["doc"]))]
+    docs, first, group = np.unique(info["doc"], return_index=True, return_inverse=True)
+    credit = np.zeros(len(docs), np.int64)
+    np.add.at(credit, group, info["credit"])
+    shared = _joined(table["docs"], np.int64)
+    np.add.at(credit, np.searchsorted(docs, shared), _joined(table["credits"], np.int64))
+    columns = [docs, info["n"][first], credit, info["fp1"][first], info["fp2"][first]]
+    return pa.table([pa.array(np.ascontiguousarray(c)) for c in columns], names=["doc", "n", "credit", "fp1", "fp2"])
 
 
-def _credited(spread: DataFrame) -> DataFrame:
+def _credited(spread: DataFrame, buckets: int) -> DataFrame:
     """doc, n, credit and digest of each document."""
-    told = spread.groupBy("bucket").applyInArrow(_credit, "doc long, credit long, n long, fp1 long, fp2 long")
-    return told.groupBy("doc").agg(
-        F.max("n").alias("n"), F.sum("credit").alias("credit"), F.max("fp1").alias("fp1"), F.max("fp2").alias("fp2")
+    told = (
+        spread.withColumn("buckets", F.lit(buckets))
+        .groupBy("bucket")
+        .applyInArrow(_credit, "home long, docs binary, credits binary, info binary")
     )
+    return told.groupBy("home").applyInArrow(_told, "doc long, n long, credit long, fp1 long, fp2 long")
 
 
 def _ids(values: list) -> np.ndarray:
@@ -192,110 +220,163 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequencies(table: pa.Table) -> pa.Table:
-    """Of one bucket: each document's shingles that others share, with their frequencies."""
-    bucket = table["bucket"][0].as_py()
+    """Of one bucket: the shingles that documents share, with their frequencies, by home."""
+    bucket, buckets = table["bucket"][0].as_py(), table["buckets"][0].as_py()
     hashes, docs = _joined(table["hashes"], np.uint32), np.repeat(_joined(table["docs"], np.int64), _joined(table["counts"], np.int32))
     _, group, times = np.unique(hashes, return_inverse=True, return_counts=True)
     often = times[group]
     shared = often > 1
-    order = np.argsort(docs[shared], kind="stable")
-    docs, often = docs[shared][order], often[shared][order].astype(np.int32)
-    tokens = (hashes[shared][order].astype(np.int64)) | (bucket << 32)
-    edge = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if len(docs) else np.zeros(0, np.int64)
-    ends = np.append(edge, len(docs)).tolist()
+    docs, often = docs[shared], often[shared].astype(np.int32)
+    tokens = hashes[shared].astype(np.int64) | bucket << 32
+    rows = [(h, *x) for h, x in _by_home(buckets, docs, tokens, often)]
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    kinds = [pa.int64(), *[pa.binary()] * 3]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["home", "docs", "tokens", "often"])
+
+
+def _prefixes(table: pa.Table, alive: pa.Table) -> pa.Table:
+    """Of the documents of one home: their prefix shingles that others share; with each, the
+    smallest shingle that the document shares and the part of its set that it shares."""
+    docs, tokens, often = _joined(table["docs"], np.int64), _joined(table["tokens"], np.int64), _joined(table["often"], np.int32)
+    order = np.lexsort((tokens, often, docs))
+    docs, tokens = docs[order], tokens[order]
+    known = alive["doc"].to_numpy()
+    place = np.argsort(known)
+    first = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if len(docs) else np.zeros(0, np.int64)
+    count = np.diff(np.append(first, len(docs)))
+    n = alive["n"].to_numpy()[place][np.searchsorted(known[place], docs[first])]
+    length = n - -(-n * common.NEAR_PERCENT // 100) + 1
+    # Shingles of a document alone are the rarest and come first.
+    routed = np.clip(length - (n - count), 0, count)
+    keep = np.arange(len(docs)) - np.repeat(first, count) < np.repeat(routed, count)
+    mixed = vectors.mix(tokens.view(np.uint64)).view(np.int64)
+    smallest = np.minimum.reduceat(mixed, first) if len(first) else mixed
+    spread = lambda values: pa.array(np.repeat(values, count)[keep])
     return pa.table(
-        [
-            pa.array(docs[edge], pa.int64()),
-            pa.array([tokens[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
-            pa.array([often[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
-        ],
-        names=["doc", "tokens", "often"],
+        [pa.array(docs[keep]), pa.array(tokens[keep]), spread(smallest), spread(count / np.maximum(1, n))],
+        names=["doc", "token", "smallest", "ratio"],
     )
 
 
-def _prefix(table: pa.Table) -> pa.Table:
-    """Of one document: its prefix shingles that others share, and the smallest of all shared."""
-    n = table["n"][0].as_py()
-    tokens, often = _joined(table["tokens"], np.int64), _joined(table["often"], np.int32)
-    length = n - -(-n * common.NEAR_PERCENT // 100) + 1
-    # Shingles of this document alone are the rarest and come first.
-    routed = tokens[np.lexsort((tokens, often))][: max(0, length - (n - len(tokens)))]
-    size = len(routed)
-    smallest = int(tokens[np.argmin(vectors.mix(tokens.view(np.uint64)))])
-    return pa.table(
-        [
-            pa.array([table["doc"][0].as_py()] * size, pa.int64()),
-            pa.array([n] * size, pa.int64()),
-            pa.array(routed, pa.int64()),
-            pa.array([smallest] * size, pa.int64()),
-            pa.array([len(tokens) / n] * size, pa.float64()),
-        ],
-        names=["doc", "n", "token", "smallest", "ratio"],
+def tree_join(probes: list[np.ndarray], sets: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each set the numbers of the probes whose Jaccard similarity with it reaches the
+    threshold; all are arrays of distinct shingles."""
+    known, times = np.unique(np.concatenate([*probes, *sets]), return_counts=True)
+    rank = np.empty(len(known), np.int64)
+    rank[np.argsort(-times, kind="stable")] = np.arange(len(known))
+    paths = [np.sort(rank[np.searchsorted(known, x)]) for x in sets]
+    order = sorted(range(len(sets)), key=lambda i: paths[i].astype(">u4").tobytes())
+    shared = [0]
+    for i, j in zip(order, order[1:]):
+        m = min(len(paths[i]), len(paths[j]))
+        apart = np.flatnonzero(paths[i][:m] != paths[j][:m])
+        shared.append(int(apart[0]) if len(apart) else m)
+    step = max(1, CELLS // max(1, len(known)))
+    for low in range(0, len(probes), step):
+        some = probes[low : low + step]
+        sizes = np.fromiter(map(len, some), np.int64, len(some))
+        holds = np.zeros((len(known), len(some)), bool)
+        for k, probe in enumerate(some):
+            holds[rank[np.searchsorted(known, probe)], k] = True
+        forks = [(0, np.zeros(len(some), np.int64))]
+        for at, i in enumerate(order):
+            path, fork = paths[i], shared[at]
+            while forks[-1][0] > fork:
+                forks.pop()
+            depth, overlap = forks[-1]
+            if depth < fork:
+                overlap = overlap + holds[path[depth:fork]].sum(axis=0)
+                forks.append((fork, overlap))
+            need = -(-common.NEAR_PERCENT * (len(path) + sizes) // (100 + common.NEAR_PERCENT))
+            open_probes = np.flatnonzero(overlap + len(path) - fork >= need)
+            if not len(open_probes):
+                continue
+            rest = holds[path[fork:]][:, open_probes].sum(axis=0)
+            linked = open_probes[overlap[open_probes] + rest >= need[open_probes]]
+            if len(linked):
+                yield i, linked + low
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """Of one block: links that connect whatever its probes and the others connect."""
+    docs = table["doc"].to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+    probe = np.flatnonzero(table["probe"].to_numpy())
+    other = np.flatnonzero(table["other"].to_numpy())
+    label = np.arange(len(docs))
+    a, b = [], []
+    for i, linked in tree_join([sets[k] for k in probe], [sets[k] for k in other]):
+        mine = label[other[i]]
+        for group in np.unique(label[probe[linked]]).tolist():
+            if group != mine:
+                a.append(docs[group])
+                b.append(docs[mine])
+                label[label == group] = mine
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _links(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) found in blocks, rows of key (a struct), doc, probe and other."""
+    filled = blocks.join(sets, "doc")
+    return common.checkpointed(filled.groupBy("key").applyInArrow(_compare, "a long, b long"))
+
+
+def _key(kind: int, *parts: Column | str) -> Column:
+    names = ("x", "y", "z")
+    columns = [F.col(p) if isinstance(p, str) else p for p in parts]
+    columns += [F.lit(0)] * (3 - len(columns))
+    return F.struct(F.lit(kind).alias("kind"), *[c.cast("long").alias(n) for n, c in zip(names, columns)])
+
+
+def _chunk(count: Column) -> Column:
+    return F.pmod(F.xxhash64("doc"), F.ceil(count / BLOCK)).cast("int")
+
+
+def _pivot_blocks(large: DataFrame) -> DataFrame:
+    """Each document of a large cluster with one that has the same smallest shared shingle, the
+    one that shares most of its set."""
+    pivots = large.groupBy("smallest").agg(
+        F.max_by("doc", F.struct("ratio", -F.col("doc"))).alias("pivot"), F.count(F.lit(1)).alias("k")
+    )
+    partners = large.join(pivots, "smallest").where("doc != pivot").withColumn("chunk", _chunk(F.col("k")))
+    yes, no = F.lit(True), F.lit(False)
+    key = _key(1, "pivot", "chunk").alias("key")
+    return partners.select(key, "doc", no.alias("probe"), yes.alias("other")).unionByName(
+        partners.select(key, F.col("pivot").alias("doc"), yes.alias("probe"), no.alias("other")).distinct()
     )
 
 
-def tree_join(probe: np.ndarray, sets: list[np.ndarray]) -> list[int]:
-    """Numbers of the sets whose Jaccard similarity with `probe` reaches the threshold.
-
-    All are sorted by the same order. Sorting the sets puts them into the depth-first order of
-    their prefix tree, and the length that each has in common with the one before is where its
-    path leaves the other's.
-    """
-    order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-    found: list[int] = []
-    path = np.zeros(1, np.int64)  # overlap after each step of the path
-    last = np.zeros(0, np.uint64)
-    dead = -1  # depth at which the path cannot reach the threshold any more
-    for i in order:
-        own = sets[i]
-        m = min(len(own), len(last))
-        apart = np.flatnonzero(own[:m] != last[:m])
-        common_length = int(apart[0]) if len(apart) else m
-        # Any set of the subtree is at least as long as the path; the probe needs this overlap.
-        if 0 <= dead <= common_length:
-            continue
-        need = -(-common.NEAR_PERCENT * (len(own) + len(probe)) // (100 + common.NEAR_PERCENT))
-        steps = own[common_length:]
-        at = np.searchsorted(probe, steps)
-        hit = probe[np.minimum(at, len(probe) - 1)] == steps
-        path = np.concatenate([path[: common_length + 1], path[common_length] + np.cumsum(hit)])
-        overlap = int(path[-1])
-        # What is left of the probe after each step bounds every set that goes on from there.
-        least = -(-common.NEAR_PERCENT * len(probe) // 100)
-        reach = path[common_length + 1 :] + (len(probe) - at - hit)
-        stop = np.flatnonzero(reach < least)
-        dead = common_length + 1 + int(stop[0]) if len(stop) else -1
-        if overlap >= need:
-            found.append(i)
-        last = own
-    return found
-
-
-def _compare(key: tuple, table: pa.Table) -> pa.Table:
-    """Of one block: the probe's links."""
-    docs, roles = table["doc"].to_pylist(), table["partner"].to_pylist()
-    raw = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
-    probes = [x for x, partner in zip(raw, roles, strict=True) if not partner]
-    partners = [(d, x) for d, x, partner in zip(docs, raw, roles, strict=True) if partner]
-    linked = {partners[i][0] for probe in probes for i in tree_join(probe, [x for _, x in partners])}
-    a = key[0].as_py()
-    return pa.table([pa.array([a] * len(linked), pa.int64()), pa.array(sorted(linked), pa.int64())], names=["a", "b"])
-
-
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) that link; blocks of one a and about BLOCK b, however many b there are."""
-    sized = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("k"))
-    blocks = F.ceil(F.col("k") / BLOCK).cast("int")
-    salted = pairs.join(sized, "a").select(
-        "a", "b", F.pmod(F.xxhash64("b"), blocks).cast("int").alias("salt")
+def _rest_blocks(large: DataFrame, found: DataFrame) -> DataFrame:
+    """Blocks of the documents outside each large cluster's largest component, with each other
+    and with that component."""
+    placed = common.checkpointed(
+        large.select("doc", "cluster")
+        .join(found.withColumnRenamed("node", "doc"), "doc", "left")
+        .withColumn("component", F.coalesce("component", "doc"))
     )
-    partners = salted.join(sets.select(F.col("doc").alias("b"), "shingles"), "b").select(
-        "a", "salt", F.col("b").alias("doc"), F.lit(True).alias("partner"), "shingles"
+    sizes = placed.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("cluster").agg(
+        F.max_by("component", F.struct("k", -F.col("component"))).alias("main"),
+        F.max("k").alias("inside"),
+        (F.sum("k") - F.max("k")).alias("outside"),
     )
-    probes = salted.select("a", "salt").distinct().join(sets.select(F.col("doc").alias("a"), "shingles"), "a").select(
-        "a", "salt", F.col("a").alias("doc"), F.lit(False).alias("partner"), "shingles"
+    told = placed.join(main.where("outside > 0"), "cluster")
+    inside, outside = (F.ceil(F.col(c) / BLOCK) for c in ("inside", "outside"))
+    rest = told.where("component != main").withColumn("chunk", _chunk(F.col("outside")))
+    core = told.where("component = main").withColumn("chunk", _chunk(F.col("inside")))
+    low, high = F.least("chunk", "to").alias("low"), F.greatest("chunk", "to").alias("high")
+    yes, no = F.lit(True), F.lit(False)
+    each_other = rest.withColumn("to", F.explode(common.upto(outside))).select(
+        _key(2, "cluster", low, high).alias("key"), "doc",
+        (F.col("chunk") <= F.col("to")).alias("probe"), (F.col("chunk") >= F.col("to")).alias("other"),
+    )
+    to_core = rest.withColumn("to", F.explode(common.upto(inside))).select(
+        _key(3, "cluster", "chunk", "to").alias("key"), "doc", yes.alias("probe"), no.alias("other")
     )
-    return partners.unionByName(probes).groupBy("a", "salt").applyInArrow(_compare, "a long, b long")
+    from_core = core.withColumn("to", F.explode(common.upto(outside))).select(
+        _key(3, "cluster", "to", "chunk").alias("key"), "doc", no.alias("probe"), yes.alias("other")
+    )
+    return each_other.unionByName(to_core).unionByName(from_core)
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -305,7 +386,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     given = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    told = common.checkpointed(_credited(given.mapInArrow(_spread_texts(buckets), SPREAD)))
+    told = common.checkpointed(_credited(given.mapInArrow(_spread_texts(buckets), SPREAD), buckets))
 
     # Equal sets are one; those that share enough with others go on.
     near = lambda credit, n: 100 * credit >= common.NEAR_PERCENT * n
@@ -322,45 +403,35 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     chosen = classes.where(near(F.col("credit"), F.col("n"))).select(F.col("rep").alias("doc"))
     sets = common.checkpointed(given.join(chosen, "doc", "left_semi").mapInArrow(_sets, "doc long, shingles binary"))
     alive = common.checkpointed(
-        _credited(sets.mapInArrow(_spread_sets(buckets, True), SPREAD))
+        _credited(sets.mapInArrow(_spread_sets(buckets, True), SPREAD), buckets)
         .where((F.col("n") > 0) & near(F.col("credit"), F.col("n")))
         .select("doc", "n")
     )
     kept = sets.join(alive.select("doc"), "doc", "left_semi")
 
-    shared = kept.mapInArrow(_spread_sets(buckets, False), SPREAD).groupBy("bucket").applyInArrow(
-        _frequencies, "doc long, tokens binary, often binary"
+    shared = (
+        kept.mapInArrow(_spread_sets(buckets, False), SPREAD)
+        .withColumn("buckets", F.lit(buckets))
+        .groupBy("bucket")
+        .applyInArrow(_frequencies, "home long, docs binary, tokens binary, often binary")
     )
+    homes = alive.withColumn("home", F.pmod("doc", F.lit(buckets)).cast("long"))
     rows = common.checkpointed(
-        shared.join(alive, "doc")
-        .groupBy("doc")
-        .applyInArrow(_prefix, "doc long, n long, token long, smallest long, ratio double")
+        shared.groupBy("home")
+        .cogroup(homes.groupBy("home"))
+        .applyInArrow(_prefixes, "doc long, token long, smallest long, ratio double")
     )
-    docs_only = rows.select("doc", "smallest", "ratio").distinct()
-    pivots = docs_only.groupBy("smallest").agg(F.max_by("doc", F.struct("ratio", -F.col("doc"))).alias("a"))
-    first = docs_only.join(pivots, "smallest").where("a != doc").select("a", F.col("doc").alias("b"))
-    links = common.checkpointed(_links(first, sets))
-
-    for last in [False] * REP_ROUNDS + [True]:
-        placed = common.checkpointed(
-            rows.select("token", "doc", "n")
-            .join(connect(links).withColumnRenamed("node", "doc"), "doc", "left")
-            .withColumn("component", F.coalesce("component", "doc"))
-        )
-        several = placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2")
-        open_rows = placed.join(several.select("token"), "token", "left_semi")
-        if not last:
-            one = F.min(F.struct("doc", "n")).alias("x")
-            open_rows = open_rows.groupBy("token", "component").agg(one).select("token", "component", "x.doc", "x.n")
-        x, y = open_rows.alias("x"), open_rows.alias("y")
-        smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-        pairs = (
-            x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")))
-            .where(near(smaller, larger))
-            .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
-            .distinct()
-        )
-        links = common.checkpointed(links.unionByName(_links(pairs, sets)))
+    stars = rows.groupBy("token").agg(F.min("doc").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    together = rows.join(stars, "token").where("a != doc").select("a", F.col("doc").alias("b"))
+    clusters = connect(together).select(F.col("node").alias("doc"), F.col("component").alias("cluster"))
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("g"))
+    known = rows.groupBy("doc").agg(F.first("smallest").alias("smallest"), F.first("ratio").alias("ratio"))
+    placed = common.checkpointed(clusters.join(sizes, "cluster").join(known, "doc"))
+    small, large = placed.where(F.col("g") <= BLOCK), placed.where(F.col("g") > BLOCK)
+    whole = small.select(_key(0, "cluster").alias("key"), "doc", F.lit(True).alias("probe"), F.lit(True).alias("other"))
+    links = _links(whole.unionByName(_pivot_blocks(large)), sets)
+    if not large.isEmpty():
+        links = links.unionByName(_links(_rest_blocks(large, connect(links)), sets))
 
     found = connect(links.unionByName(copied))
     return (

@@ -54,7 +54,7 @@ def _family(size, words, changes, seed):
     out = []
     for copy in range(size):
         mine = list(base)
-        for at in random.integers(0, words, changes):
+        for at in random.integers(0, words, changes(copy) if callable(changes) else changes):
             mine[at] = f"{seed}c{copy}x{at}"
         out.append(" ".join(mine))
     return out
@@ -86,12 +86,27 @@ def test_join_edges(spark):
     assert _joined(spark, rows[:0]) == {}
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.frozensets(st.integers(0, 12), min_size=1), min_size=1, max_size=12), st.frozensets(st.integers(0, 12), min_size=1))
-def test_tree_join_finds_what_comparing_finds(sets, probe):
-    as_array = lambda s: np.array(sorted(s), np.uint64)
-    found = ngram_join.tree_join(as_array(probe), [as_array(s) for s in sets])
-    assert sorted(found) == [i for i, s in enumerate(sets) if 100 * len(s & probe) >= 75 * len(s | probe)]
+def test_join_of_clusters_larger_than_a_block(spark, monkeypatch):
+    # Many copies that link with the middle of their group or not at all, over many blocks.
+    docs = list(enumerate([*_family(90, 120, lambda i: 1 + i % 3, 3), *_family(50, 60, 5, 4), *_family(5, 90, 1, 5)]))
+    expected = brute.near_copies(docs)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "CELLS", 2_000)
+    assert _joined(spark, docs) == expected
+    groups = [c for _, c in expected.values()]
+    assert max(map(groups.count, groups)) > 16 and len(set(groups)) > 20
+
+
+SETS = st.lists(st.frozensets(st.integers(0, 12), min_size=1), min_size=1, max_size=12)
+
+
+@settings(max_examples=100, deadline=None)
+@given(SETS, SETS)
+def test_tree_join_finds_what_comparing_finds(probes, sets):
+    as_arrays = lambda many: [np.array(sorted(s), np.uint64) for s in many]
+    found = {(i, k) for i, linked in ngram_join.tree_join(as_arrays(probes), as_arrays(sets)) for k in linked.tolist()}
+    near = lambda a, b: 100 * len(a & b) >= 75 * len(a | b)
+    assert found == {(i, k) for i, s in enumerate(sets) for k, p in enumerate(probes) if near(s, p)}
 
 
 # -- suffix arrays ---------------------------------------------------------------------------
