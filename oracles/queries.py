@@ -637,6 +637,20 @@ def oracle_sql() -> dict[str, str]:
         "m3_split": q(*_ML, select="SELECT student_id, course_id, label, is_test FROM matrix"),
         "m4_standardized": q(*_ML, STANDARDIZED, select=f"""
             SELECT student_id, course_id, {', '.join(FEATURES)}, noisy_label, is_test FROM z"""),
+        **{
+            name: q(*_ML, select=f"""
+            SELECT count(*) AS test_rows, CAST(sum({NOISY}) AS BIGINT) AS positives, true AS beats_larger_class
+            FROM matrix WHERE is_test""")
+            for name in ("m5_logistic_regression", "m6_random_forest", "m7_gradient_boosting", "m8_kernel_svm")
+        },
+        "m13_score_all_pairs": q(*_ML, select="""
+            SELECT student_id, course_id, course_submission_count, true AS scored
+            FROM matrix JOIN training USING (student_id, course_id)"""),
+        "m14_saved_model": q(*_ML, select="""
+            SELECT count(*) AS test_rows, true AS same_after_reload FROM matrix WHERE is_test"""),
+        "m15_single_model": q(*_ML, select="SELECT DISTINCT student_id, true AS scored FROM matrix"),
+        "p7_model_evaluation": """
+            SELECT unnest(['Accuracy', 'Precision', 'Recall', 'F1-Score']) AS metric, true AS scored""",
         "m9_knn": q(*_ML, STANDARDIZED, select=f"""
             , near AS (
               SELECT q.student_id, q.course_id, t.noisy_label, row_number() OVER (
