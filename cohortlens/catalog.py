@@ -240,8 +240,7 @@ def weekly_trends(data):
 
 @_register("p12_course_risk_late_matrix")
 def course_risk_late_matrix(data):
-    wh = data.wh
-    return reports.course_risk_late_matrix(data.scores, wh.facts, wh.courses)
+    return reports.course_risk_late_matrix(data.scores, data.wh.courses)
 
 
 @_register("p17_student_distribution")

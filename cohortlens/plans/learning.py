@@ -33,6 +33,9 @@ SEED = 42
 # never the cores.
 FIT_ROWS = 250_000
 FIT_PARTITIONS = 4
+# Train rows the kernel SVM (256 numbers each) and the nearest neighbors are fitted on at most.
+SVM_ROWS = 500_000
+KNN_ROWS = 1_000_000
 NOISE = 0.15
 TEST_SHARE = 0.2
 # Model names in the order that settles ties.
@@ -205,11 +208,20 @@ def _with_fourier(rows: DataFrame, frequencies: np.ndarray, phases: np.ndarray)
     return rows.withColumn("features", mapped)
 
 
+def at_most(train: DataFrame, rows: int) -> DataFrame:
+    """All train rows, or a fixed sample of ``rows`` by a hash of their key if there are more."""
+    if train.limit(rows + 1).count() <= rows:
+        return train
+    chosen = train.orderBy(key_uniform("fit"), *KEY).limit(rows)
+    return chosen.repartition(-(-rows // FIT_ROWS), *KEY).sortWithinPartitions(*KEY)
+
+
 def fit_kernel_svm(
-    train: DataFrame, penalty: float = 0.5, components: int = 256, seed: int = SEED
+    train: DataFrame, penalty: float = 0.5, components: int = 256, seed: int = SEED, rows: int = SVM_ROWS
 ) -> KernelSvm:
-    """The kernel width is 1 / (features * variance of all train values)."""
+    """The kernel width is 1 / (features * variance of all values fitted on)."""
     ensure_checkpoint_dir(train.sparkSession)
+    train = at_most(train, rows)
     stats = [F.sum(c) for c in FEATURE_COLUMNS], [F.sum(F.col(c) * F.col(c)) for c in FEATURE_COLUMNS]
     total, squares = (reduce(lambda a, b: a + b, columns) for columns in stats)
     row = train.agg(total.alias("s"), squares.alias("q"), F.count("*").alias("n")).first()
@@ -231,10 +243,10 @@ def fit_kernel_svm(
     return KernelSvm(frequencies, phases, svm, platt)
 
 
-def score_knn(train: DataFrame, rows: DataFrame, k: int = 5) -> DataFrame:
-    """Share of positive labels among the k nearest train rows."""
+def score_knn(train: DataFrame, rows: DataFrame, k: int = 5, most: int = KNN_ROWS) -> DataFrame:
+    """Share of positive labels among the k nearest of the train rows, of ``most`` at most."""
     ensure_checkpoint_dir(train.sparkSession)
-    found = nearest_neighbors(train, rows, FEATURE_COLUMNS, KEY, "noisy_label", k)
+    found = nearest_neighbors(at_most(train, most), rows, FEATURE_COLUMNS, KEY, "noisy_label", k)
     share = votes(found, FEATURE_COLUMNS, "noisy_label")
     joined = rows.join(share, FEATURE_COLUMNS)
     return _scored(joined, F.col("probability"), F.col("probability") > 0.5)
@@ -357,6 +369,7 @@ class Outcome:
     comparison: DataFrame
     best: str
     scores: DataFrame
+    report: DataFrame
 
 
 def compare_models(data: Prepared, models: list[str] | None = None) -> Outcome:
@@ -370,7 +383,9 @@ def compare_models(data: Prepared, models: list[str] | None = None) -> Outcome:
     predictions = reduce(DataFrame.unionByName, tagged)
     comparison = binary_metrics(predictions, ["model"], label="noisy_label").checkpoint()
     best = best_model(comparison, names).first()["model"]
-    return Outcome(comparison, best, fitted[best](data.rows).checkpoint())
+    scores = fitted[best](data.rows).checkpoint()
+    report = class_report(scores.filter("is_test"), label="noisy_label")
+    return Outcome(comparison, best, scores, report)
 
 
 def attach_scores(training: DataFrame, scores: DataFrame) -> DataFrame:

@@ -13,9 +13,10 @@ from cohortlens.sources import landing, tables
 from cohortlens.warehouse import Warehouse, from_tables
 
 
-def load_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+def load_warehouse(spark: SparkSession, folder: str, told: dict[str, int] | None = None) -> Warehouse:
     """Clean the landed ``courses``, ``students``, ``assignments`` and ``submissions`` folders
-    and replace the four warehouse tables. Nothing is replaced when there is nothing to load."""
+    and replace the four warehouse tables. Nothing is replaced when there is nothing to load.
+    ``told`` receives the number of submissions of each outcome and of broken records."""
     students = landing.read_students(spark, os.path.join(folder, "students"))
     submissions = landing.read_submissions(spark, os.path.join(folder, "submissions"))
     if not landing.has_rows(students, submissions):
@@ -29,6 +30,12 @@ def load_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     )
     named = cleaning.clean_submissions(submissions, tables.read_table(spark, "dim_students"))
     tables.write_table(named, "fact_submissions", schemas.FACT_SUBMISSIONS)
+    if told is not None:
+        landed = landing.record_counts(spark, os.path.join(folder, "submissions"), schemas.RAW_SUBMISSION)
+        # A scan of its own: an Observation would leave the session with a part that fitted models
+        # carry along and cannot be sent to tasks.
+        reasons = {r["reason"]: r["count"] for r in cleaning.drop_reasons(submissions).collect()}
+        told.update({r: reasons.get(r, 0) for r in cleaning.REASONS}, broken=landed.first()["broken"])
     return from_tables(spark)
 
 
@@ -59,10 +66,12 @@ def exports(spark: SparkSession, wh: Warehouse, outcome: learning.Outcome) -> di
         "weekly_trends": reports.weekly_trends(wh.facts),
         "training_dataset": tables.read_table(spark, "training_dataset"),
         "overview_counts": reports.overview_counts(wh),
-        "late_ratio_heatmap": reports.course_risk_late_matrix(scores, wh.facts, wh.courses),
+        "late_ratio_heatmap": reports.course_risk_late_matrix(scores, wh.courses),
         "top_at_risk_students": reports.worst_pairs(scores),
         "model_metrics": tables.read_table(spark, "model_evaluation"),
         "all_models_evaluation": learning.comparison_long(outcome.comparison),
+        "confusion_counts": outcome.comparison.select("model", "tp", "fp", "fn", "tn"),
+        "class_report": outcome.report,
     }
 
 

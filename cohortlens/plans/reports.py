@@ -148,17 +148,14 @@ def weekly_trends_rounded(facts: DataFrame) -> DataFrame:
     )
 
 
-def course_risk_late_matrix(scores: DataFrame, facts: DataFrame, courses: DataFrame) -> DataFrame:
-    """Unweighted mean of the pairs' late ratios per course name and risk bucket."""
-    late = facts.groupBy("student_id", "course_id").agg(
-        E.ratio(F.count_if("late"), F.count("*")).alias("pair_late_ratio")
-    )
-    bucket = scores.select("student_id", "course_id", "risk_bucket")
+def course_risk_late_matrix(scores: DataFrame, courses: DataFrame) -> DataFrame:
+    """Unweighted mean of the pairs' late ratios, which the scores hold, per course name and risk
+    bucket."""
     return (
-        late.join(bucket, ["student_id", "course_id"])
+        scores.select("course_id", "risk_bucket", "course_late_ratio")
         .join(courses.select("course_id", "course_name"), "course_id")
         .groupBy("course_name", "risk_bucket")
-        .agg(_zero(E.stable_mean(F.col("pair_late_ratio"))).alias("late_ratio"))
+        .agg(_zero(E.stable_mean(F.col("course_late_ratio"))).alias("late_ratio"))
         .orderBy("course_name", "risk_bucket")
     )
 

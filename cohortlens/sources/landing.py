@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens import schemas
 
@@ -45,6 +46,17 @@ def read_submissions(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("user_id", F.col("user.id")).select(*schemas.CSV_SUBMISSIONS)
 
 
+def record_counts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """One row: landed records, and those of them that could not be read as ``schema``.
+
+    The readers above give a broken record as empty fields, which the cleaners drop.
+    """
+    kept = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    told = F.from_json("value", kept, {"columnNameOfCorruptRecord": "_broken"})
+    return lines.agg(F.count("*").alias("records"), F.count(told["_broken"]).alias("broken"))
+
+
 def missing_user_counts(submissions: DataFrame) -> DataFrame:
     """Records without a user id per course and assignment."""
     return submissions.groupBy("course_id", "assignment_id").agg(

@@ -82,6 +82,13 @@ def test_forest_does_not_depend_on_the_input_partitioning(training):
     assert found[0] == found[1]
 
 
+def test_fits_on_a_bounded_number_of_rows(prepared):
+    train = prepared.train
+    some = learning.at_most(train, 100)
+    assert some.count() == 100 and some.exceptAll(train).count() == 0
+    assert learning.at_most(train, 10_000) is train
+
+
 def test_ties_go_to_the_first_model(spark):
     rows = [("SVM", 0.9, 0.9, 0.9, 0.9), ("Logistic Regression", 0.9, 0.9, 0.9, 0.9), ("KNN", 0.1, 0.1, 0.1, 0.1)]
     frame = spark.createDataFrame(rows, ["model", *learning.METRICS])
