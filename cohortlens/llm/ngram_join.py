@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from cohortlens.llm import common, vectors
 from cohortlens.llm.components import connect
 
-PART_BYTES = 8_000_000
-PART_SHINGLES = 1_500_000
+PART_BYTES = 4_000_000
+PART_SHINGLES = 700_000
 #: Documents of a chunk; a block compares one chunk with itself or with another.
 BLOCK = 1_024
 #: Cells of the table of shingles by probes that a block holds at a time.

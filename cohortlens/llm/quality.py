@@ -41,7 +41,7 @@ FEATURES = 512
 FAMILIES = ("word", "word pair", "byte 3-gram", "byte 5-gram")
 #: Probability of good quality from which a text is kept.
 KEEP_FROM = 0.4
-PART_BYTES = 4_000_000
+PART_BYTES = 2_000_000
 
 _IS_SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
 
