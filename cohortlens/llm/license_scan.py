@@ -165,3 +165,57 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         labels(F.col("hits")).alias("labels"),
         F.coalesce(F.array_max(F.transform("hits", lambda h: h["score"])), F.lit(0.0)).alias("score"),
     )
+
+
+def _listed(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def op6_sql() -> str:
+    """The same in DuckDB: every place is tried, and no index is kept."""
+    templates = ",\n    ".join(
+        f"('{t.label}', {str(t in BASE).lower()}, {_listed(t.words)}, {_listed(t.key_words)}, {t.key_at})"
+        for t in (*BASE, *NOTICES)
+    )
+    return rf"""
+WITH docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '{WORD_BREAK}'), lambda x: x <> '') AS w
+  FROM documents
+), template(label, base, words, key, key_at) AS (
+  VALUES {templates}
+), vocabulary AS (
+  SELECT DISTINCT unnest(words) AS word FROM template
+), frequency AS (
+  SELECT word, count(DISTINCT rid) AS df
+  FROM (SELECT rid, unnest(w) AS word FROM (SELECT w, row_number() OVER () AS rid FROM docs)) GROUP BY word
+), idf AS (
+  SELECT word, ln((1.0 + (SELECT count(*) FROM docs)) / (1.0 + coalesce(df, 0))) + 1 AS idf
+  FROM vocabulary LEFT JOIN frequency USING (word)
+), place AS (
+  SELECT doc_id, w, t.*, unnest(list_filter(range(1, len(w) + 1), lambda i: w[i:i + len(key) - 1] = key)) - key_at AS start
+  FROM docs, (SELECT label, base, words, key, key_at, list(weight ORDER BY nth) AS weights
+              FROM (SELECT t.label, t.base, t.words, t.key, t.key_at, i.idf AS weight, t.nth
+                    FROM (SELECT *, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS nth FROM template) t
+                    JOIN idf i ON i.word = t.word)
+              GROUP BY label, base, words, key, key_at) t
+  WHERE list_has_all(w, key)
+), hit AS (
+  SELECT doc_id, label, base, start - 1 AS start,
+         CASE WHEN base THEN 1.0 ELSE least(1.0, round(list_sum(list_transform(range(1, len(words) + 1),
+           lambda j: CASE WHEN start + j - 1 >= 1 AND w[start + j - 1] = words[j] THEN weights[j] / list_sum(weights) ELSE 0.0 END)), 9)) END AS score
+  FROM place
+), told AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+         max(start) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM hit GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM docs LEFT JOIN told USING (doc_id)
+"""

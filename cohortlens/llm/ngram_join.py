@@ -447,3 +447,34 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the size of its shingle set and its component."""
     return similar(common.read(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), shingle AS (
+  SELECT DISTINCT doc_id, unnest(
+           CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM docs
+), size AS (
+  SELECT doc_id, count(s) AS n FROM docs LEFT JOIN shingle USING (doc_id) GROUP BY doc_id
+), pair AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM pair JOIN size sa ON sa.doc_id = a JOIN size sb ON sb.doc_id = b
+  WHERE 100 * k >= 75 * (sa.n + sb.n - k)
+), both_ways AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM size
+  UNION
+  SELECT r.doc_id, e.b FROM reached r JOIN both_ways e ON e.a = r.other
+)
+SELECT doc_id, CAST(max(n) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM reached JOIN size USING (doc_id) GROUP BY doc_id
+"""

@@ -36,4 +36,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.OP2_SQL}
+    return {
+        "op1_ngram_join": ngram_join.OP1_SQL,
+        "op2_line_dedup": line_dedup.OP2_SQL,
+        "op6_license_scan": license_scan.op6_sql(),
+    }
