@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.session import ensure_checkpoint_dir
+
 
 def pivot_first(df: DataFrame, index: str, column: str, value: str, values: list) -> DataFrame:
     return df.groupBy(index).pivot(column, values).agg(F.first(value))
@@ -35,9 +37,11 @@ def week_course_stack(averages: DataFrame, course_names: list[str]) -> DataFrame
 def equal_width_histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Counts per equal-width bin over the observed range; the last bin is closed.
 
-    Empty bins are kept. A constant column is shown in a range of one around its value.
+    Empty bins are kept. A constant column is shown in a range of one around its value. The column
+    is written once, as range and counts both need it.
     """
-    known = df.filter(F.col(value).isNotNull())
+    ensure_checkpoint_dir(df.sparkSession)
+    known = df.select(value).filter(F.col(value).isNotNull()).checkpoint()
     low, high = F.min(value), F.max(value)
     half = F.when(low == high, 0.5).otherwise(0.0)
     span = known.agg(F.struct((low - half).alias("low"), (high + half).alias("high"))).scalar()
