@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -373,6 +373,19 @@ def course_search(data):
     return reports.course_search(data.report, "m", "high", "avg_grade")
 
 
+@_register("o9_course_sorts")
+def course_sorts(data):
+    """The place of every course in each of the four sorts."""
+    in_order = Window.orderBy("_place")
+    places = [
+        reports.course_search(data.report, sort=sort)
+        .withColumn("_place", F.monotonically_increasing_id())
+        .select(F.lit(sort).alias("sort"), "course_id", F.row_number().over(in_order).alias("place"))
+        for sort in reports.COURSE_SORTS
+    ]
+    return reduce(DataFrame.unionByName, places)
+
+
 @_register("c13_high_risk")
 def high_risk(data):
     return reports.high_risk(data.students).select("student_id", "risk_probability")

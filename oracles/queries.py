@@ -484,6 +484,12 @@ def oracle_sql() -> dict[str, str]:
         "c12_course_search": q(*report, select="""
             SELECT * FROM report WHERE contains(lower(course_name), 'm')
             AND at_risk_ratio >= 0.3 AND at_risk_ratio < 1"""),
+        "o9_course_sorts": q(*report, select=" UNION ALL ".join(
+            f"SELECT '{sort}' AS sort, course_id, row_number() OVER (ORDER BY {by}, course_id) AS place FROM report"
+            for sort, by in {
+                "name": "course_name", "avg_grade": "coalesce(avg_grade, 0) DESC",
+                "student_count": "coalesce(student_count, 0) DESC", "risk": "coalesce(at_risk_ratio, 0) DESC",
+            }.items())),
         "c13_high_risk": q(*_MART, select="""
             SELECT student_id, risk_probability FROM student_features WHERE risk_probability >= 0.7"""),
         "f13_progress_rate": q(cw, COMPARISON, select="""
