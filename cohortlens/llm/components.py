@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +16,37 @@ from cohortlens.session import remove_path, scratch_path
 FILE_ROWS = 500_000
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each node of a partition's links with the smallest one the partition connects it with."""
+    pairs = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches]
+    if not pairs:
+        return
+    nodes, place = np.unique(np.concatenate(pairs, axis=1), return_inverse=True)
+    x, y = place.reshape(2, -1)
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[x], label[y])
+        further = label.copy()
+        np.minimum.at(further, label[x], low)
+        np.minimum.at(further, label[y], low)
+        while not np.array_equal(further, jumped := further[further]):
+            further = jumped
+        if np.array_equal(label, further):
+            break
+        label = further
+    inner = label != np.arange(len(nodes))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(nodes[inner]), pa.array(nodes[label[inner]])], ["node", "other"]
+    )
+
+
 def connect(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and component, its smallest node, for every node that has a link.
 
     Every node points to a smaller one, at first the smallest beside it. Each round, a node and the
     node it points to take the smallest second-next pointer around the node (FastSV), so that whole
-    trees hook onto each other and the rounds grow with the logarithm of the longest path. Only
+    trees hook onto each other and the rounds grow with the logarithm of the longest path. Before
+    the first round each partition replaces its links by stars that connect the same nodes. Only
     minima are aggregated and joined, so a node with very many links costs one row a task, and AQE
     splits its joins. Rounds are written tables in the shared folder, removed at the end: unlike a
     checkpoint, a table read again brings no partitioning that the optimizer would carry along,
@@ -35,8 +64,9 @@ def connect(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     # A few files, so that rounds over a small graph are a few tasks and Spark's own size check
     # can broadcast; a large one has as many as its rows need.
     files = 1 + 2 * known.count() // FILE_ROWS
-    turned = known.select(F.col("other").alias("node"), F.col("node").alias("other"))
-    edges = table(known.unionByName(turned), files)
+    stars = known.coalesce(files).mapInArrow(_forest, "node long, other long")
+    turned = stars.select(F.col("other").alias("node"), F.col("node").alias("other"))
+    edges = table(stars.unionByName(turned), files)
     state = table(edges.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), files)
     total = None
     while True:

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
-from cohortlens.llm import html_text, language_id, ngram_join, packing, quality, suffix_dedup, vectors  # noqa: E402
+from cohortlens.llm import components, html_text, language_id, ngram_join, packing, quality, suffix_dedup, vectors  # noqa: E402
 
 DOCS = "doc_id long, text string"
 PHRASE = "the quick brown fox jumps over the lazy dog again and again "
@@ -97,6 +97,18 @@ def test_join_of_clusters_larger_than_a_block(spark, monkeypatch):
     assert max(map(groups.count, groups)) > 16 and len(set(groups)) > 20
 
 
+@pytest.mark.parametrize("file_rows", [500_000, 40])
+def test_components_of_links(spark, monkeypatch, file_rows):
+    monkeypatch.setattr(components, "FILE_ROWS", file_rows)
+    random = np.random.default_rng(2)
+    links = [(int(a), int(b)) for a, b in random.integers(0, 400, (230, 2)) if a != b]
+    links += [(i, i + 1) for i in range(500, 600)] + [(-5, 0), (-5, 0)]
+    frame_of = spark.createDataFrame(links, "a long, b long").repartition(6)
+    got = {r.node: r.component for r in components.connect(frame_of).collect()}
+    assert got == brute.components(links, {x for link in links for x in link})
+    assert components.connect(frame_of.limit(0)).count() == 0
+
+
 SETS = st.lists(st.frozensets(st.integers(0, 12), min_size=1), min_size=1, max_size=12)
 
 
