@@ -33,6 +33,8 @@ from cohortlens.llm import common
 # Elements without content, with raw text, that end a paragraph, and that are blocks.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math xmp".split())
+#: The end tag of an element of raw text, whatever stands before it.
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.IGNORECASE | re.ASCII) for tag in RAW}
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table "
@@ -103,16 +105,9 @@ def parse(page: str) -> Element:
     """The tree of a page; elements of raw text are left out."""
     root = Element("body", None, False)
     here, at = root, 0
-    skipped = ""
-    for match in TOKEN.finditer(page):
-        if match.start() < at:
-            continue
+    while match := TOKEN.search(page, at):
         tag = (match[2] or match[5] or "").lower()
         ends = (match[1] or match[4]) == "/"
-        if skipped:  # raw text lasts until its own end
-            if ends and tag == skipped:
-                skipped, at = "", match.end()
-            continue
         if match.start() > at:
             here.inside.append(page[at : match.start()])
         at = match.end()
@@ -125,10 +120,12 @@ def parse(page: str) -> Element:
             if node is not None and node.parent is not None:
                 here = node.parent
             continue
-        if tag in RAW:
-            skipped = tag
-            continue
         attributes = match[3] or match[6] or ""
+        if tag in RAW:  # raw text lasts until its own end, and what looks like tags in it is none
+            if tag not in ("svg", "math") or not attributes.endswith("/"):
+                end = RAW_END[tag].search(page, at)
+                at = end.end() if end else len(page)
+            continue
         closed, stop = CLOSES.get(tag, (("p",), ("td", "th", "li")) if tag in BLOCKS else ((), ()))
         node = here
         while closed and node is not None and node.tag not in stop:
@@ -142,7 +139,7 @@ def parse(page: str) -> Element:
         here.inside.append(child)
         if tag not in VOID and not attributes.endswith("/"):
             here = child
-    if not skipped and at < len(page):
+    if at < len(page):
         rest = page[at:]
         here.inside.append(rest[: rest.rfind("<")] if re.search(r"<[A-Za-z/!][^>]*\Z", rest) else rest)
     return root

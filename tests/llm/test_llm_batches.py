@@ -299,6 +299,25 @@ def test_main_text(page):
     assert html_text.main_text(page) == PAGES[page]
 
 
+@pytest.mark.parametrize(
+    "raw",
+    [
+        "<script>for(i=0;i<n;i++){f(i)}</script>",
+        "<script>if(i<n){x='\"'}</SCRIPT >",
+        "<script><!-- i<n </script>",
+        "<style>a<b</style><title>a <b</title>",
+        "<svg width='1'/><math/>",
+        "<svg><path d='M0 0'/><text>label</text></svg>",
+    ],
+)
+def test_text_behind_raw_elements_is_kept(raw):
+    assert html_text.main_text(f"{raw}<article class='x'><p>one</p>{raw}<p>two</p></article>") == "one\ntwo"
+
+
+def test_raw_elements_without_an_end_last_to_the_end():
+    assert html_text.main_text("<article><p>one</p><script>if(i<n){</scripts><p>two</p>") == "one"
+
+
 def test_pages_of_any_depth_and_length():
     assert html_text.main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     assert len(html_text.main_text("<article>" + "<p>word</p>" * 50_000)) == 50_000 * 5 - 1
