@@ -60,14 +60,19 @@ class Model:
 
 
 def _grams(w: vectors.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each run of `size` bytes and where each text's runs begin."""
+    """Bucket of each run of `size` bytes that stays in one text, and where each text's runs begin."""
     data = w.data.astype(np.uint32)
     n = max(0, len(data) - size + 1)
     h = np.zeros(n, np.uint32)
+    whole = np.ones(n, bool)
+    behind = w.first_byte[1:] - 1  # the line feed after each text
     for k in range(size):
         h = (h ^ data[k : k + n]) * np.uint32(0x01000193)
+        over = behind - k
+        whole[over[(over >= 0) & (over < n)]] = False
     h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-    return (h >> np.uint32(16)) % np.uint32(FEATURES), np.minimum(w.first_byte, n)
+    counts = np.maximum(0, np.diff(w.first_byte) - size)
+    return ((h >> np.uint32(16)) % np.uint32(FEATURES))[whole], np.concatenate([[0], np.cumsum(counts)])
 
 
 def _families(w: vectors.Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -82,7 +87,10 @@ def _families(w: vectors.Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _margins(w: vectors.Words, model: Model) -> np.ndarray:
     margin = np.full(len(w.counts), model.intercept)
     for weights, (bucket, bounds) in zip(model.weights, _families(w), strict=True):
-        margin += vectors.sums(weights[bucket], bounds) / np.maximum(1, np.diff(bounds))
+        # Each text is summed by itself: differences of a running sum would round by its neighbours.
+        owner = np.repeat(np.arange(len(w.counts)), np.diff(bounds))
+        total = np.bincount(owner, weights=weights[bucket], minlength=len(w.counts))
+        margin += total / np.maximum(1, np.diff(bounds))
     return margin
 
 

@@ -258,6 +258,18 @@ def test_quality_counts_match_a_plain_version(spark, data):
         assert r.kept is not r.base_failed
 
 
+def test_a_text_scores_alike_alone_and_between_others():
+    random = np.random.default_rng(9)
+    model = quality.Model(random.normal(size=(4, quality.FEATURES)), 0.1, 1.0, 0.0)
+    texts = [b"", b"a", b"abcd", b"xyz", b"one\ntwo three", "näher".encode() * 40, b"", b"last words"]
+    beside = quality._margins(vectors.words(texts, fold=False), model)
+    assert beside.tolist() == [quality._margins(vectors.words([t], fold=False), model)[0] for t in texts]
+    for size in (3, 5):
+        bucket, bounds = quality._grams(vectors.words(texts, fold=False), size)
+        assert np.diff(bounds).tolist() == [max(0, len(t) - size + 1) for t in texts]
+        assert len(bucket) == bounds[-1]
+
+
 def test_quality_verdicts_follow_the_labels(spark):
     data = "/root/testdata/sf0.01"
     rows = {r.doc_id: r for r in quality.op9_quality(spark, data).collect()}
