@@ -8,10 +8,10 @@ as it occurs.
 1. Windows. Shifting a window right until it begins with a shingle of the item never lowers the
    similarity, so only such starts count, and only if the window holds enough of the item's
    shingles to reach the threshold.
-2. Fingerprints. Each window and item gets a 64-bit SimHash of its weighted shingles.
-3. Multi-index. Fingerprints are cut into RADIUS + 1 blocks. Two that differ in at most RADIUS
-   bits agree in one block at least, so equal blocks give every pair within the radius.
-4. Verification by the exact weighted similarity.
+2. Verification by the exact weighted similarity. The shared shingles of step 1 find every pair,
+   so no index of fingerprints is searched and no pair is dropped by their distance.
+3. Fingerprints. Each window and item gets a 64-bit SimHash of its weighted shingles; the bits in
+   which the two differ are reported beside the similarity.
 
 DataFrame expressions only. The item shingles are broadcast if they are few enough (checked), else
 joined by shuffle. Nulls and edges: null or empty texts and items match nothing; null ids are
@@ -22,15 +22,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm import common
 
 BITS = 64
-#: At similarity 0.75 two fingerprints differ in 11 bits on average, with a deviation of 3; 24 is
-#: beyond four deviations.
-RADIUS = 24
 #: Item shingles that may be sent to every executor (about 60 bytes each); beyond, a shuffle join.
 BROADCAST_SHINGLES = 200_000
 
@@ -67,20 +64,6 @@ def _fingerprints(bags: DataFrame, key: list[str]) -> DataFrame:
     return votes.select(*key, "weight", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("fp"))
 
 
-def _blocks(fp: Column) -> Column:
-    """The RADIUS + 1 blocks of a fingerprint, each tagged with its number."""
-    cuts = [round(i * BITS / (RADIUS + 1)) for i in range(RADIUS + 2)]
-    return F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("block"),
-                F.shiftrightunsigned(fp, a).bitwiseAND((1 << (b - a)) - 1).alias("bits"),
-            )
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:]))
-        ]
-    )
-
-
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -157,16 +140,9 @@ def contaminated(
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     prints = _fingerprints(cut, [*key, "n_words"])
-    index = item_fp.select(
-        "item", F.col("fp").alias("item_fp"), "item_weight", F.explode(_blocks(F.col("fp"))).alias("at")
-    )
-    lookups = prints.select("*", F.explode(_blocks(F.col("fp"))).alias("at"))
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    pairs = (
-        lookups.join(index, ["item", "at"])
-        .select(*key, "n_words", "weight", "item_weight", distance.alias("distance"))
-        .where(F.col("distance") <= RADIUS)
-        .distinct()
+    pairs = prints.join(item_fp.withColumnRenamed("fp", "item_fp"), "item").select(
+        *key, "n_words", "weight", "item_weight", distance.alias("distance")
     )
     shared = (
         cut.join(bags.select("item", "h", F.col("tf").alias("item_tf")), ["item", "h"])

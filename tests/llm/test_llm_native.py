@@ -95,6 +95,13 @@ def test_decontamination_edges(spark):
     assert _found(spark, docs, items[:0]) == set()
 
 
+def test_no_pair_is_lost_by_its_fingerprints(spark):
+    # Six of seven shingles are shared, just enough; some of the fingerprints are far apart.
+    texts = [(i, f"a{i} b{i} " * 5) for i in range(1000)]
+    items, docs = ([(i, x + last) for i, x in texts] for last in ("one", "other"))
+    assert _found(spark, docs, items) == {(i, i) for i, _ in texts}
+
+
 # -- personal data ---------------------------------------------------------------------------
 
 PERSONAL = [
