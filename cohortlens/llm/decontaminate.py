@@ -15,14 +15,16 @@ as it occurs.
 
 DataFrame expressions only. The item shingles are broadcast if they are few enough (checked), else
 joined by shuffle. Nulls and edges: null or empty texts and items match nothing; null ids are
-carried along; repeated rows of a document or item are one; other columns are ignored.
+carried along; repeated rows of a document or item are one; different texts under one id, or under
+the null id, are compared each by itself and give one row with the best window of them; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm import common
@@ -34,6 +36,11 @@ BROADCAST_SHINGLES = 200_000
 OWNER = ["doc", "item"]
 
 
+def _row(id_col: str, text_col: str) -> Column:
+    """A row's own key, never null: its id and the hash of its text."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text"))
+
+
 def _sized(spark: SparkSession, items: DataFrame) -> DataFrame:
     """Shingles of items: item, n (words), m (shingles), k (words a shingle), h, tf."""
     split = items.select(
@@ -79,7 +86,9 @@ def contaminated(
     distance (bits).
     """
     spark = docs.sparkSession
-    texts = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).distinct()
+    texts = items.select(
+        _row(item_col, item_text_col).alias("item"), F.col(item_text_col).alias("text")
+    ).distinct()
     bags = common.checkpointed(_sized(spark, texts))
     item_fp = _fingerprints(bags, ["item"]).withColumnRenamed("weight", "item_weight")
     seeds = bags.select("k", "h", "item", "n", "m")
@@ -87,7 +96,7 @@ def contaminated(
         seeds = F.broadcast(seeds)
     sizes = sorted(r["k"] for r in bags.select("k").distinct().collect())  # five values at most
     split = docs.select(
-        F.col(id_col).alias("doc"), common.words(common.fold_ascii(F.col(text_col))).alias("w")
+        _row(id_col, text_col).alias("doc"), common.words(common.fold_ascii(F.col(text_col))).alias("w")
     )
     hits = [
         split.select("doc", "w", F.posexplode(common.shingle_hashes(F.col("w"), k)).alias("pos", "h"))
@@ -151,19 +160,15 @@ def contaminated(
     )
     total = F.col("weight") + F.col("item_weight") - F.col("shared")
     close = (
-        pairs.alias("p")
-        .join(
-            shared.alias("s"),
-            reduce(lambda a, b: a & b, [F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}")) for c in key]),
-        )
-        .select("p.*", "s.shared", total.alias("total"))
+        pairs.join(shared, key)
+        .withColumn("total", total)
         .where(100 * F.col("shared") >= common.NEAR_PERCENT * F.col("total"))
     )
     # Best similarity first; similarities are compared as fractions rounded in the same way.
     better = F.struct(F.col("shared") / F.col("total"), -F.col("start"))
     best = F.struct("start", "n_words", "shared", "total", "distance")
     return (
-        close.groupBy(*OWNER)
+        close.groupBy(F.col("doc.id").alias("doc"), F.col("item.id").alias("item"))
         .agg(F.max_by(best, better).alias("b"))
         .select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.*")
     )

@@ -48,10 +48,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item nearly occurs."""
+    """Documents in which no benchmark item nearly occurs; each row is judged by its own text."""
     items = common.read(spark, sf_dir, "benchmark").select("item_id", "text")
-    found = decontaminate.contaminated(docs.select("doc_id", "text"), items).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(found, "doc_id", "left_anti")
+    keyed = docs.select(*COLUMNS, F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("row"))
+    found = decontaminate.contaminated(keyed.select("row", "text"), items, id_col="row").select("row").distinct()
+    return keyed.join(found, "row", "left_anti").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

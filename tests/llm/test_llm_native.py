@@ -102,6 +102,19 @@ def test_no_pair_is_lost_by_its_fingerprints(spark):
     assert _found(spark, docs, items) == {(i, i) for i, _ in texts}
 
 
+def test_texts_under_one_id_are_compared_each_by_itself(spark):
+    item = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(40))
+    changed = item.replace("w20 ", "other ")
+    docs = [(None, changed), (None, item.replace("w8 ", "x ")), (1, changed), (1, item.replace("w30 ", "y "))]
+    items = [(7, item), (7, other), (None, item)]
+    assert _found(spark, docs, items) == {(None, 7), (1, 7), (None, None), (1, None)}
+    found = decontaminate.contaminated(
+        frame(spark, [*docs, (2, "no item here")]), frame(spark, items, "item_id long, text string")
+    ).collect()
+    assert {(r.doc_id, r.shared, r.total) for r in found} == {(None, 31, 41), (1, 31, 41)}
+
+
 # -- personal data ---------------------------------------------------------------------------
 
 PERSONAL = [

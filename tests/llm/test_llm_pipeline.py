@@ -52,6 +52,15 @@ def test_stages_take_nulls_and_clashing_columns(spark, data):
     assert sorted((r.doc_id or 0) for r in near.collect()) == [0, 1, 3]
 
 
+def test_items_are_taken_out_row_by_row(spark, data):
+    item = duckdb.sql(f"SELECT text FROM '{data}/benchmark.parquet' ORDER BY length(text) DESC").fetchall()[0][0]
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = [(i, x, "en", "s", len(x)) for i in (None, 1) for x in (f"{text} {item}", text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = FUNCTIONS["benchmark_decontamination"](spark, docs, data).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, text), (1, text)]
+
+
 def test_run_gives_the_last_stage(spark, data):
     packed = corpus_pipeline.run(spark, data)
     sizes = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("context").alias("c"))
