@@ -16,12 +16,9 @@ from cohortlens.session import remove_path, scratch_path
 FILE_ROWS = 500_000
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each node of a partition's links with the smallest one the partition connects it with."""
-    pairs = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches]
-    if not pairs:
-        return
-    nodes, place = np.unique(np.concatenate(pairs, axis=1), return_inverse=True)
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of some links, each with the smallest one that the links connect it with."""
+    nodes, place = np.unique(np.stack([a, b]), return_inverse=True)
     x, y = place.reshape(2, -1)
     label = np.arange(len(nodes))
     while True:
@@ -35,9 +32,15 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             break
         label = further
     inner = label != np.arange(len(nodes))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(nodes[inner]), pa.array(nodes[label[inner]])], ["node", "other"]
-    )
+    return nodes[inner], nodes[label[inner]]
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each node of a partition's links with the smallest one the partition connects it with."""
+    pairs = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches]
+    if pairs:
+        both = forest(*np.concatenate(pairs, axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in both], ["node", "other"])
 
 
 def connect(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

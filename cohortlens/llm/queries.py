@@ -10,12 +10,15 @@ from cohortlens.llm import (
     decontaminate,
     html_text,
     language_id,
+    lexical_search,
     license_scan,
     line_dedup,
+    merkle,
     ngram_join,
     packing,
     pii,
     quality,
+    simhash,
     suffix_dedup,
 )
 
@@ -32,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_text": html_text.op8_html_text,
         "op9_quality": quality.op9_quality,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op11_merkle_manifest": merkle.op11_merkle_manifest,
+        "op12_lexical_search": lexical_search.op12_lexical_search,
+        "op13_simhash": simhash.op13_simhash,
     }
 
 
@@ -40,4 +46,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_ngram_join": ngram_join.OP1_SQL,
         "op2_line_dedup": line_dedup.OP2_SQL,
         "op6_license_scan": license_scan.op6_sql(),
+        "op11_merkle_manifest": merkle.OP11_SQL,
+        "op12_lexical_search": lexical_search.OP12_SQL,
     }

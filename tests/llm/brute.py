@@ -1,9 +1,13 @@
 """Plain versions of the operators for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -168,3 +172,87 @@ def counted(text):
         len(repeated),
         len(words) < 50 or 100 * len(repeated) > 50 * len(words),
     )
+
+
+def _hash(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(fields):
+    return _hash(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in fields])
+
+
+def _tree(nodes):
+    """The top of a tree over nodes, and for each node its steps of (left, right)."""
+    paths, owners = [[] for _ in nodes], [[i] for i in range(len(nodes))]
+    while len(nodes) > 1:
+        runs = [range(a, min(a + 8, len(nodes))) for a in range(0, len(nodes), 8)]
+        for run in runs:
+            for i in run:
+                step = ("".join(nodes[run[0] : i]), "".join(nodes[i + 1 : run[-1] + 1]))
+                for one in owners[i]:
+                    paths[one].append(step)
+        owners = [[one for i in run for one in owners[i]] for run in runs]
+        nodes = [_hash(*nodes[run[0] : run[-1] + 1]) for run in runs]
+    return nodes[0], paths
+
+
+def manifest(docs):
+    """Rows (doc_id, source, lang, n_chars, text) to doc_id, leaf, subroot, root, proof, folded root
+    and whether it is the root."""
+    groups = defaultdict(list)
+    for row in docs:
+        groups[row[2]].append((row[0] is not None, row[0] or 0, leaf(row), row))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: _tree([x[2] for x in sorted(groups[g], key=lambda x: x[:3])]) for g in order}
+    root, upper = _tree([trees[g][0] for g in order]) if order else (None, [])
+    out = []
+    for g, above in zip(order, upper):
+        for (_, _, mine, row), path in zip(sorted(groups[g], key=lambda x: x[:3]), trees[g][1]):
+            path = path + above
+            shown = mine
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0:
+                shown = leaf((*row[:4], None if row[4] is None else row[4].translate(FOLD)))
+            for left, right in path:
+                shown = _hash(left, shown, right)
+            proof = _hash(*[a + b for a, b in path])
+            out.append((row[0], mine, trees[g][0], root, proof, shown, shown == root))
+    return out
+
+
+def searched(docs, items, limit=20):
+    """(item id, rank, doc id, score) of each item's best documents."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    bags = [(d, Counter(term.findall((x or "").translate(FOLD)))) for d, x in docs]
+    bags = [(d, bag) for d, bag in bags if bag]
+    count, length = len(bags), sum(sum(bag.values()) for _, bag in bags)
+    df = Counter(t for _, bag in bags for t in bag)
+    out = []
+    for item, text in items:
+        mine = term.findall((text or "").translate(FOLD))
+        found = []
+        for d, bag in bags:
+            m = 100 - 25 + 25 * sum(bag.values()) * count // length
+            score = sum(
+                math.floor(1000 * math.log((2 * count + 2) / (2 * df[t] + 1)))
+                * (1000000000 * bag[t] // (1000 * bag[t] + 12 * m))
+                for t in mine
+                if bag[t]
+            )
+            if score > 0:
+                found.append((-score, d is not None, d or 0, d))
+        out += [(item, k, d, -s) for k, (s, _, _, d) in enumerate(sorted(found)[:limit], 1)]
+    return out
+
+
+def simhash(text):
+    words = folded_words(text)
+    hashes = [xxhash.xxh64_intdigest(" ".join(s), 42) for s in shingles(words, 4)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def close_prints(prints, radius=4):
+    """Component of each of some fingerprints."""
+    known = sorted(set(prints))
+    links = [(a, b) for i, a in enumerate(known) for b in known[:i] if (a ^ b).bit_count() <= radius]
+    return components(links, known)
