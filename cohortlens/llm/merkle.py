@@ -6,15 +6,16 @@ the subroot, is left. The subroots in the order of their groups make the same ki
 the root. A row's proof is, for each level, what stands to the left and to the right of its node
 in the run: whoever has the row and its proof can compute the root, and any change shows.
 
-Method: a level is one window over runs. Lag and lead columns at the fixed offsets 1 to 7, masked
-by the node's slot and the length of its run, supply the siblings, and the row in slot 0 hashes the
-run into the parent. Levels shrink eightfold and are checkpointed; then proofs are handed down,
-each level joined with the proofs of its parents.
+Method: three levels are one window, over blocks of 512 nodes. Per level, lag and lead columns at the
+fixed offsets 1 to 7, times 8 or 64 on the upper levels, masked by the node's slot and the length of
+its run, supply the siblings, and the row of the run's first child hashes the run into the parent.
+The blocks' digests are the nodes of the next three levels, and are checkpointed. Then proofs are
+handed down, the nodes of a block joined with the proof of the block.
 
 Scale: the position of a leaf in its group comes from a range-partitioned sort, so that a group of
-any size is spread over all tasks. Windows and joins are keyed by (group, run): no key has more
-than eight rows. Texts are read once and never shuffled, digests and ids only. Levels grow with
-the logarithm of the largest group; the driver sees one number, the size of that group.
+any size is spread over all tasks. Windows and joins are keyed by (group, block): no key has more
+than 512 rows. Texts are read once and never shuffled, digests and ids only. Rounds grow with the
+logarithm of the largest group; the driver sees one number, the size of that group.
 
 Nulls and edges: a null field is written as `-`, an empty one as `0:`; a null group is a group of its
 own and the first one, a null id is the smallest; rows that repeat an id are leaves of their own,
@@ -33,6 +34,8 @@ from cohortlens.operators.ranking import rank_by_range
 
 #: Nodes that become one of the next level.
 FAN = 8
+#: Levels that one window covers; a block of it has FAN ** TIER nodes at most.
+TIER = 3
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<left:string,right:string>>"
 
@@ -62,58 +65,64 @@ def proof_digest(path: Column) -> Column:
     return F.sha2(F.array_join(F.transform(path, lambda step: F.concat(step["left"], step["right"])), ""), 256)
 
 
-def _in_runs(nodes: DataFrame) -> DataFrame:
-    """Nodes with their run and what stands left and right of them in it."""
-    run = F.floor(F.col("pos") / FAN)
-    slot, length = F.pmod("pos", F.lit(FAN)), F.least(F.lit(FAN), F.col("n") - F.col("run") * FAN)
-    order = Window.partitionBy("grp", "run").orderBy("pos")
-    none = F.lit("")
-    left = [F.when(slot >= k, F.lag("h", k).over(order)).otherwise(none) for k in range(FAN - 1, 0, -1)]
-    right = [F.when(slot + k < length, F.lead("h", k).over(order)).otherwise(none) for k in range(1, FAN)]
-    placed = nodes.withColumn("run", run)
-    return placed.withColumns({"left": F.concat(*left), "right": F.concat(*right), "slot": slot})
+def _in_blocks(nodes: DataFrame) -> DataFrame:
+    """Nodes with `steps`, what stands left and right of them and of their ancestors inside their
+    block, and `top`, on the first row of a block the digest of the block.
 
-
-def _levels(leaves: DataFrame) -> list[DataFrame]:
-    """All levels of the trees, the leaves (grp, pos, n, h) first; n is the level's size in its
-    group, so that a node with n = 1 is the top of its tree."""
-    levels = [leaves]
+    Rows of all levels are the rows of the nodes: an ancestor's digest stands in the row of its
+    first node, so that its siblings are 8, 64, ... rows away.
+    """
+    order = Window.partitionBy("grp", "block").orderBy("pos")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    none, pos = F.lit(""), F.col("pos")
+    rows = nodes.withColumn("block", F.floor(pos / FAN**TIER)).withColumn("h0", F.col("h"))
+    steps = []
+    for level in range(TIER):
+        apart, h = FAN**level, f"h{level}"
+        place, count = F.floor(pos / apart), F.ceil(F.col("n") / apart)
+        slot = place % FAN
+        length = F.least(F.lit(FAN), count - (place - slot))
+        left = [F.when(slot >= k, F.lag(h, k * apart).over(order)).otherwise(none) for k in range(FAN - 1, 0, -1)]
+        right = [F.when(slot + k < length, F.lead(h, k * apart).over(order)).otherwise(none) for k in range(1, FAN)]
+        first, further = pos % apart == 0, count > 1
+        step = {"l": F.when(first, F.concat(*left)), "r": F.when(first, F.concat(*right))}
+        rows = rows.withColumns({f"{side}{level}": x for side, x in step.items()})
+        parent = F.when(further, digest(F.col(h), F.col(f"r{level}"))).otherwise(F.col(h))
+        rows = rows.withColumn(f"h{level + 1}", F.when(pos % (apart * FAN) == 0, parent))
+        # The last one told, for every row that of its own ancestor.
+        mine = [F.last(f"{side}{level}", ignorenulls=True).over(so_far).alias(name) for side, name in (("l", "left"), ("r", "right"))]
+        steps.append((further, mine))
+    for level, (further, mine) in enumerate(steps):
+        rows = rows.withColumn(f"step{level}", F.when(further, F.array(F.struct(*mine))).otherwise(F.array().cast(PATH)))
+    told = F.concat(*[F.col(f"step{level}") for level in range(TIER)])
+    return rows.select(*nodes.columns, "block", told.alias("steps"), F.col(f"h{TIER}").alias("top"))
+
+
+def _tiers(leaves: DataFrame) -> list[DataFrame]:
+    """Every TIER-th level of the trees, the leaves (grp, pos, n, h) first and the tops last; n is
+    the level's size in its group."""
+    tiers = [leaves]
     widest = leaves.agg(F.max("n")).first()[0] or 0
     while widest > 1:
-        first = _in_runs(levels[-1].where("n > 1").select("grp", "pos", "n", "h")).where("slot = 0")
-        parents = first.select(
-            "grp", F.col("run").alias("pos"), F.ceil(F.col("n") / FAN).alias("n"), digest(F.col("h"), F.col("right")).alias("h")
-        )
-        levels.append(common.checkpointed(parents))
-        widest = -(-widest // FAN)
-    return levels
+        nodes = _in_blocks(tiers[-1].select("grp", "pos", "n", "h")).where(F.col("pos") % FAN**TIER == 0)
+        count = F.ceil(F.col("n") / FAN**TIER)
+        tiers.append(common.checkpointed(nodes.select("grp", F.col("block").alias("pos"), count.alias("n"), F.col("top").alias("h"))))
+        widest = -(-widest // FAN**TIER)
+    return tiers
 
 
-def _descend(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+def _descend(tiers: list[DataFrame], tops: DataFrame) -> DataFrame:
     """The leaves with `path` and the other columns of `tops`, one row (grp, path, ...) a tree."""
     told = [c for c in tops.columns if c not in ("grp", "path")]
-    below = None
-    for level in reversed(levels):
-        own = level.columns
-        top = level.where("n = 1").join(tops, "grp").select(*own, "path", *told)
-        if below is None:
-            below = top
-            continue
-        above = below.select("grp", F.col("pos").alias("run"), F.col("path").alias("above"), *told)
-        step = F.array(F.struct("left", "right"))
-        inner = _in_runs(level.where("n > 1")).join(above, ["grp", "run"])
-        below = top.unionByName(inner.withColumn("path", F.concat(step, "above")).select(*own, "path", *told))
+    last = tiers[-1]
+    below = last.join(tops, "grp").select(*last.columns, "path", *told)
+    for tier in reversed(tiers[:-1]):
+        above = below.select("grp", F.col("pos").alias("block"), "path", *told)
+        path = F.concat("steps", "path").alias("path")
+        below = _in_blocks(tier).join(above, ["grp", "block"]).select(*tier.columns, path, *told)
     return below
 
 
-def _tops(levels: list[DataFrame]) -> DataFrame:
-    tops = [level.where("n = 1").select("grp", "h") for level in levels]
-    found = tops[0]
-    for more in tops[1:]:
-        found = found.unionByName(more)
-    return found
-
-
 def _placed(rows: DataFrame, order: list[str]) -> DataFrame:
     """Rows with `pos`, their place in their group, and `n`, its size."""
     columns = [c for c in rows.columns if c != "tie"]
@@ -134,10 +143,10 @@ def manifest(rows: DataFrame, id_col: str = "id", group_col: str = "grp", leaf_c
     named = rows.select(
         *[F.col(c).alias(k) for k, c in kept.items()], group.alias("grp"), F.col(id_col).alias("id"), F.col(leaf_col).alias("h")
     ).withColumn("tie", F.monotonically_increasing_id())
-    leaves = _levels(_placed(common.checkpointed(named), ["id", "h", "tie"]))
-    tops = _tops(leaves).select(F.lit("").alias("grp"), F.col("grp").alias("member"), "h")
-    upper = _levels(_placed(common.checkpointed(tops), ["member"]))
-    root = _tops(upper).select("grp", F.col("h").alias("root"), F.array().cast(PATH).alias("path"))
+    leaves = _tiers(common.checkpointed(_placed(common.checkpointed(named), ["id", "h", "tie"])))
+    tops = leaves[-1].select(F.lit("").alias("grp"), F.col("grp").alias("member"), "h")
+    upper = _tiers(common.checkpointed(_placed(common.checkpointed(tops), ["member"])))
+    root = upper[-1].select("grp", F.col("h").alias("root"), F.array().cast(PATH).alias("path"))
     subroots = _descend(upper, root).select(F.col("member").alias("grp"), F.col("h").alias("subroot"), "root", "path")
     return _descend(leaves, subroots).select(
         *[F.col(k).alias(c) for k, c in kept.items()], F.col("pos").alias("position"), F.col("n").alias("n_leaves"), "subroot", "root", "path"
