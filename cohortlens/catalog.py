@@ -16,9 +16,10 @@ from cohortlens.functions import text as X
 from cohortlens.functions import tiers
 from cohortlens.operators import cleaning, ranking, reshape
 from cohortlens.plans import features, learning, marts, reports, sessions
-from cohortlens.session import prepare, scratch_path
+from cohortlens.session import ensure_checkpoint_dir, prepare, scratch_path
 from cohortlens.sources import fixtures, landing, tables
 from cohortlens.streaming import activity as streams
+from cohortlens.streaming import sessions as session_streams
 from cohortlens.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +67,12 @@ class Inputs:
     def matrix(self) -> DataFrame:
         return learning.matrix(self.training)
 
+    @cached_property
+    def fixed_matrix(self) -> DataFrame:
+        """The matrix in a checkpoint, for what counts it several times."""
+        ensure_checkpoint_dir(self.spark)
+        return self.matrix.checkpoint()
+
 
 Build = Callable[[Inputs], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -674,14 +681,15 @@ def model_matrix(data):
 
 @_register("m2_label_noise")
 def label_noise(data):
-    return learning.with_label_noise(data.matrix).select(
+    return learning.with_label_noise(data.fixed_matrix).select(
         *learning.KEY, "label", "flipped", "noisy_label"
     )
 
 
 @_register("m3_split")
 def split(data):
-    return learning.with_split(data.matrix).select(*learning.KEY, "label", "is_test")
+    noisy = learning.with_label_noise(data.fixed_matrix)
+    return learning.with_split(noisy).select(*learning.KEY, "noisy_label", "is_test")
 
 
 def _rounded_features(data: learning.Prepared) -> DataFrame:
@@ -844,6 +852,40 @@ def rate_limit(data):
 
 
 # -- streams --------------------------------------------------------------------------------
+SLICES = 3
+
+
+def _sliced_stream(rows: DataFrame, path: str) -> DataFrame:
+    """Rows as a stream of several batches, in the order of their times."""
+    fixtures.landed_in_slices(rows, "ts", path, SLICES)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@_register("t2_history_stream")
+def history_stream(data):
+    """The histories of t2, kept by a stream over several batches."""
+    rows, path = fixtures.event_messages(data.spark, data.folder), scratch_path(data.spark, "messages")
+    messages = _sliced_stream(rows, path)
+    out = scratch_path(data.spark, "histories")
+    session_streams.history_rollup(messages, out).awaitTermination()
+    return session_streams.history_report(rows, out).drop("place")
+
+
+@_register("t3_rate_limit_stream")
+def rate_limit_stream(data):
+    """The decisions of t3, made by a stream that ends and begins again from its state."""
+    rows, path = fixtures.dense_requests(data.spark, data.folder), scratch_path(data.spark, "requests")
+    messages, out = _sliced_stream(rows, path), scratch_path(data.spark, "decisions")
+    decided = session_streams.limited(messages)
+    streams.run_to_table(decided, out)
+    # A request of a session of its own, a day later, lets the watermark pass all others.
+    closing = rows.agg(F.lit(-1).cast("bigint").alias("session_id"), F.lit(0).cast("bigint").alias("turn"), F.max("ts").alias("ts"))
+    later = closing.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+    later.coalesce(1).write.mode("append").parquet(path)
+    told = streams.run_to_table(decided, out)
+    return told.select("session_id", "turn", "window_start", "admitted")
+
+
 def _event_stream(data: Inputs) -> DataFrame:
     schema = fixtures.table(data.spark, data.folder, "events").schema
     reader = data.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")

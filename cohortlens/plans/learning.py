@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions import exprs as E
 from cohortlens.operators.neighbors import nearest_neighbors, votes
+from cohortlens.operators.selection import smallest, uniform_bits
 from cohortlens.schemas import FEATURE_COLUMNS
 from cohortlens.session import ensure_checkpoint_dir
 
@@ -56,25 +57,29 @@ def matrix(training: DataFrame, pass_mark: float = 5) -> DataFrame:
     )
 
 
-def key_uniform(salt: str) -> Column:
-    """Number in [0, 1) from the row key: the same in every run and on every partitioning."""
-    text = F.concat_ws("-", *[F.col(c).cast("string") for c in KEY], F.lit(salt))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
+def key_bits(salt: str) -> Column:
+    """A number from the row key: the same in every run and on every partitioning."""
+    return uniform_bits(F.concat_ws("-", *[F.col(c).cast("string") for c in KEY], F.lit(salt)))
 
 
 def with_label_noise(rows: DataFrame, share: float = NOISE, seed: int = SEED) -> DataFrame:
-    """Flips about ``share`` of the labels into ``noisy_label``; the clean label stays."""
-    flip = key_uniform(f"noise{seed}") < share
-    return rows.withColumn("flipped", flip).withColumn(
-        "noisy_label", F.when(flip, 1 - F.col("label")).otherwise(F.col("label"))
-    )
+    """Flips exactly ``floor(share * rows)`` labels into ``noisy_label``; the clean label stays.
+
+    The flipped rows are those with the smallest hashes of their keys. ``rows`` is counted a few
+    times, so it should be a checkpoint or a table.
+    """
+    numbered = rows.withColumn("_bits", key_bits(f"noise{seed}"))
+    flipped = smallest(numbered, [], "_bits", KEY, F.floor(F.col("size") * share), "flipped")
+    noisy = F.when(F.col("flipped"), 1 - F.col("label")).otherwise(F.col("label"))
+    return flipped.drop("_bits").withColumn("noisy_label", noisy)
 
 
-def with_split(rows: DataFrame, share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
-    """Marks about ``share`` of all rows as test rows, by the key alone: labels fall on either side
-    in proportion, up to chance."""
-    u = key_uniform(f"split{seed}")
-    return rows.withColumn("is_test", u < share)
+def with_split(rows: DataFrame, share: float = TEST_SHARE, seed: int = SEED, label: str = "noisy_label") -> DataFrame:
+    """Marks the share of each label's rows, rounded to a whole number, as test rows: those with
+    the smallest hashes of their keys. ``rows`` should be a checkpoint or a table."""
+    numbered = rows.withColumn("_bits", key_bits(f"split{seed}"))
+    wanted = F.floor(F.col("size") * share + 0.5)
+    return smallest(numbered, [label], "_bits", KEY, wanted, "is_test").drop("_bits")
 
 
 def scaler(train: DataFrame) -> DataFrame:
@@ -125,7 +130,8 @@ def settled(rows: DataFrame) -> DataFrame:
 def prepare(training: DataFrame, noise: float = NOISE, seed: int = SEED) -> Prepared:
     """Computes the features once and keeps them in a reliable checkpoint for all five fits."""
     ensure_checkpoint_dir(training.sparkSession)
-    base = with_split(with_label_noise(matrix(training), noise, seed), seed=seed).checkpoint()
+    noisy = with_label_noise(matrix(training).checkpoint(), noise, seed).checkpoint()
+    base = with_split(noisy, seed=seed).checkpoint()
     known = scaler(base.filter(~F.col("is_test"))).checkpoint()
     return Prepared(settled(scale(base, known)).checkpoint(), known)
 
@@ -209,10 +215,12 @@ def _with_fourier(rows: DataFrame, frequencies: np.ndarray, phases: np.ndarray)
 
 
 def at_most(train: DataFrame, rows: int) -> DataFrame:
-    """All train rows, or a fixed sample of ``rows`` by a hash of their key if there are more."""
+    """All train rows, or a fixed sample of exactly ``rows`` by a hash of their key if there are
+    more."""
     if train.limit(rows + 1).count() <= rows:
         return train
-    chosen = train.orderBy(key_uniform("fit"), *KEY).limit(rows)
+    numbered = train.withColumn("_bits", key_bits("fit"))
+    chosen = smallest(numbered, [], "_bits", KEY, F.lit(rows), "_chosen").where("_chosen").drop("_bits", "_chosen")
     return chosen.repartition(-(-rows // FIT_ROWS), *KEY).sortWithinPartitions(*KEY)
 
 

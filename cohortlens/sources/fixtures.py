@@ -263,3 +263,12 @@ def dense_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("turn"),
         F.timestamp_millis(offset + start_ms).alias("ts"),
     )
+
+
+def landed_in_slices(rows: DataFrame, ts: str, path: str, slices: int) -> None:
+    """Rows as files that land one after the other, each a slice of their time span."""
+    first, last = rows.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()
+    width = ((last or 0) - (first or 0)) // slices + 1
+    place = F.floor((F.unix_micros(ts) - (first or 0)) / width)
+    for number in range(slices):
+        rows.where(place == number).coalesce(1).write.mode("append").parquet(path)

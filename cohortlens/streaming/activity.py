@@ -12,9 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from cohortlens.functions import exprs as E
 from cohortlens.plans.reports import weekly_trends_of
 from cohortlens.session import scratch_path
+from cohortlens.streaming import ledger
 
 # Registers of a student sketch, as a power of two: a standard error of 0.8 %.
 SKETCH_BITS = 14
+HOURLY = "hour timestamp, submissions bigint, students binary"
+WEEKLY = "week date, n bigint, late_n bigint, graded_n bigint, cents bigint"
 
 
 def activity_windows(
@@ -65,23 +68,26 @@ def hourly_partials(batch: DataFrame) -> DataFrame:
     )
 
 
+def merged_hours(partials: DataFrame) -> DataFrame:
+    """One row per hour: the rows added up, the sketches united."""
+    return partials.groupBy("hour").agg(
+        F.sum("submissions").alias("submissions"), F.hll_union_agg("students").alias("students")
+    )
+
+
 def activity_rollup(submissions: DataFrame, path: str) -> StreamingQuery:
-    """Fold new submissions into hourly partial figures under ``path``, one folder a batch.
+    """Fold new submissions into hourly partial figures under ``path``, one part a batch.
 
     Windows are built from them at read time, so the newest ones are there at once, and a late
     submission still counts.
     """
-    return _fold(submissions, hourly_partials, path)
+    return _fold_partials(submissions, hourly_partials, merged_hours, HOURLY, path)
 
 
 def activity_report(spark: SparkSession, path: str, span_hours: int = 24) -> DataFrame:
     """Submissions and about how many active students in every window of ``span_hours`` that
     begins on an hour and holds a submission."""
-    schema = "hour timestamp, submissions bigint, students binary, batch bigint"
-    partials = spark.read.schema(schema).parquet(os.path.join(path, "data"))
-    hours = partials.groupBy("hour").agg(
-        F.sum("submissions").alias("submissions"), F.hll_union_agg("students").alias("students")
-    )
+    hours = merged_hours(ledger.snapshot(spark, path, HOURLY))
     back = F.sequence(F.lit(0), F.lit(span_hours - 1))
     start = F.col("hour") - F.make_dt_interval(F.lit(0), F.col("back"))
     return (
@@ -123,37 +129,42 @@ def weekly_partials(batch: DataFrame) -> DataFrame:
     )
 
 
-def weekly_rollup(submissions: DataFrame, path: str) -> StreamingQuery:
-    """Fold new submissions into per-batch partial sums under ``path``.
+def merged_weeks(partials: DataFrame) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("n", "late_n", "graded_n", "cents")]
+    return partials.groupBy("week").agg(*sums)
 
-    A batch owns the folder of its id and overwrites it when it is replayed, so each
-    submission counts once, however late it arrives.
-    """
 
-    return _fold(submissions, weekly_partials, path)
+def weekly_rollup(submissions: DataFrame, path: str) -> StreamingQuery:
+    """Fold new submissions into partial sums under ``path``, one part a batch.
 
+    A replayed batch is told by its id, so each submission counts once, however late it arrives.
+    """
+    return _fold_partials(submissions, weekly_partials, merged_weeks, WEEKLY, path)
 
-def _fold(submissions: DataFrame, partials: Callable[[DataFrame], DataFrame], path: str) -> StreamingQuery:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        target = os.path.join(path, "data", f"batch={batch_id}")
-        partials(batch).write.mode("overwrite").parquet(target)
 
+def fold(rows: DataFrame, write: Callable[[DataFrame, int], None], path: str, mode: str = "append") -> StreamingQuery:
+    """Start handing a stream's available batches to ``write``, with its progress under ``path``."""
     return (
-        submissions.writeStream.foreachBatch(write)
+        rows.writeStream.outputMode(mode)
+        .foreachBatch(write)
         .option("checkpointLocation", os.path.join(path, "state"))
         .trigger(availableNow=True)
         .start()
     )
 
 
+def _fold_partials(
+    rows: DataFrame, partials: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame], schema: str, path: str
+) -> StreamingQuery:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ledger.append(batch.sparkSession, path, batch_id, partials(batch), schema, merge)
+
+    return fold(rows, write, path)
+
+
 def weekly_report(spark: SparkSession, path: str) -> DataFrame:
-    """Weekly trends from all partial sums written so far."""
-    schema = "week date, n bigint, late_n bigint, graded_n bigint, cents bigint, batch bigint"
-    partials = spark.read.schema(schema).parquet(os.path.join(path, "data"))
-    sums = partials.groupBy("week").agg(
-        *[F.sum(c).alias(c) for c in ("n", "late_n", "graded_n", "cents")]
-    )
-    return weekly_trends_of(sums)
+    """Weekly trends from all partial sums published so far."""
+    return weekly_trends_of(merged_weeks(ledger.snapshot(spark, path, WEEKLY)))
 
 
 def drain_weekly(submissions: DataFrame) -> DataFrame:

@@ -163,6 +163,31 @@ late_matrix AS (
 
 COURSES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
+# -- sessions -------------------------------------------------------------------------------
+HISTORY = """
+    SELECT user_id AS session_id, event_id AS turn, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+           event_type AS role, props AS text
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events)
+    WHERE r <= 20"""
+
+RATE_LIMIT = """
+    WITH RECURSIVE req AS (
+      SELECT user_id % 5 AS session_id, event_id AS turn,
+             1704067200000 + (epoch_us(ts) - 1704067200000000) // 1000000 AS t FROM events),
+    opens AS (
+      SELECT session_id, min(t) AS o FROM req GROUP BY session_id
+      UNION ALL
+      SELECT opens.session_id, min(t) FROM opens JOIN req
+        ON req.session_id = opens.session_id AND req.t > o + 60000 GROUP BY opens.session_id),
+    placed AS (
+      SELECT req.session_id, turn, t, max(o) AS window_start, min(first_o) AS first_o
+      FROM req JOIN opens ON opens.session_id = req.session_id AND o <= t
+      JOIN (SELECT session_id, min(t) AS first_o FROM req GROUP BY session_id) f ON f.session_id = req.session_id
+      GROUP BY req.session_id, turn, t)
+    SELECT session_id, turn, window_start,
+           row_number() OVER (PARTITION BY session_id, window_start ORDER BY t, turn)
+             <= CASE WHEN window_start = first_o THEN 31 ELSE 30 END AS admitted FROM placed"""
+
 # -- learning -------------------------------------------------------------------------------
 FEATURES = [
     "early_avg_grade", "early_submission_count", "early_late_ratio", "active_weeks_early",
@@ -170,17 +195,23 @@ FEATURES = [
 ]
 
 
-def _uniform(salt: str) -> str:
+def _bits(salt: str) -> str:
     key = f"concat_ws('-', CAST(student_id AS VARCHAR), CAST(course_id AS VARCHAR), '{salt}')"
-    return f"CAST(CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0"
+    return f"CAST('0x' || substr(md5({key}), 1, 15) AS BIGINT), student_id, course_id"
 
 
+# Exactly 15 % of all labels are flipped and 20 % of each noisy label's rows are test rows.
+_FLIPS = f"row_number() OVER (ORDER BY {_bits('noise42')}) <= floor(count(*) OVER () * 0.15::DOUBLE) AS flipped"
+_NOISY_LABEL = "CASE WHEN flipped THEN 1 - label ELSE label END"
+_TESTS = f"""row_number() OVER (PARTITION BY {_NOISY_LABEL} ORDER BY {_bits('split42')})
+    <= floor(count(*) OVER (PARTITION BY {_NOISY_LABEL}) * 0.2::DOUBLE + 0.5) AS is_test"""
 MATRIX = f"""
-matrix AS (
+clean AS (
   SELECT student_id, course_id, {", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in FEATURES)},
-         CASE WHEN course_final_avg < 5 THEN 1 ELSE 0 END AS label,
-         {_uniform('noise42')} < 0.15 AS flipped, {_uniform('split42')} < 0.2 AS is_test
-  FROM training WHERE course_submission_count > 0)"""
+         CASE WHEN course_final_avg < 5 THEN 1 ELSE 0 END AS label
+  FROM training WHERE course_submission_count > 0),
+noised AS (SELECT *, {_FLIPS} FROM clean),
+matrix AS (SELECT *, {_TESTS} FROM noised)"""
 NOISY = "CASE WHEN flipped THEN 1 - label ELSE label END"
 _ML = [COURSEWORK, PAIRS_BY_DUE, TRAINING, MATRIX]
 
@@ -640,7 +671,7 @@ def oracle_sql() -> dict[str, str]:
         "m1_matrix": q(*_ML, select=f"SELECT student_id, course_id, {', '.join(FEATURES)}, label FROM matrix"),
         "m2_label_noise": q(*_ML, select=f"""
             SELECT student_id, course_id, label, flipped, {NOISY} AS noisy_label FROM matrix"""),
-        "m3_split": q(*_ML, select="SELECT student_id, course_id, label, is_test FROM matrix"),
+        "m3_split": q(*_ML, select=f"SELECT student_id, course_id, {NOISY} AS noisy_label, is_test FROM matrix"),
         "m4_standardized": q(*_ML, STANDARDIZED, select=f"""
             SELECT student_id, course_id, {', '.join(FEATURES)}, noisy_label, is_test FROM z"""),
         **{
@@ -684,28 +715,10 @@ def oracle_sql() -> dict[str, str]:
         "f11_normalized_text": q(MESSAGES, select=f"SELECT message_id, md5({NORMALIZED}) AS normalized_md5 FROM messages"),
         "t1_intents": q(MESSAGES, select=f"""
             SELECT message_id, {INTENT} AS intent FROM (SELECT message_id, {NORMALIZED} AS t FROM messages)"""),
-        "t2_history": """
-            SELECT user_id AS session_id, event_id AS turn, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
-                   event_type AS role, props AS text
-            FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events)
-            WHERE r <= 20""",
-        "t3_rate_limit": """
-            WITH RECURSIVE req AS (
-              SELECT user_id % 5 AS session_id, event_id AS turn,
-                     1704067200000 + (epoch_us(ts) - 1704067200000000) // 1000000 AS t FROM events),
-            opens AS (
-              SELECT session_id, min(t) AS o FROM req GROUP BY session_id
-              UNION ALL
-              SELECT opens.session_id, min(t) FROM opens JOIN req
-                ON req.session_id = opens.session_id AND req.t > o + 60000 GROUP BY opens.session_id),
-            placed AS (
-              SELECT req.session_id, turn, t, max(o) AS window_start, min(first_o) AS first_o
-              FROM req JOIN opens ON opens.session_id = req.session_id AND o <= t
-              JOIN (SELECT session_id, min(t) AS first_o FROM req GROUP BY session_id) f ON f.session_id = req.session_id
-              GROUP BY req.session_id, turn, t)
-            SELECT session_id, turn, window_start,
-                   row_number() OVER (PARTITION BY session_id, window_start ORDER BY t, turn)
-                     <= CASE WHEN window_start = first_o THEN 31 ELSE 30 END AS admitted FROM placed""",
+        "t2_history": HISTORY,
+        "t2_history_stream": HISTORY,
+        "t3_rate_limit": RATE_LIMIT,
+        "t3_rate_limit_stream": RATE_LIMIT,
         "t4_validation": q(MESSAGES, select=f"""
             SELECT message_id, reason AS reject_reason, reason IS NULL AS accepted FROM (
               SELECT message_id, CASE WHEN text IS NULL THEN 'missing' WHEN b = '' THEN 'empty'

@@ -24,8 +24,10 @@ def prepared(training):
 
 def test_shares(prepared):
     n = prepared.rows.count()
-    assert 0.10 < prepared.rows.filter(F.col("label") != F.col("noisy_label")).count() / n < 0.20
-    assert 0.15 < prepared.test.count() / n < 0.25
+    assert prepared.rows.filter(F.col("label") != F.col("noisy_label")).count() == int(0.15 * n)
+    for side in (0, 1):
+        rows = prepared.rows.filter(F.col("noisy_label") == side)
+        assert rows.filter("is_test").count() == int(0.2 * rows.count() + 0.5)
 
 
 def test_standardized_train_rows(prepared):
