@@ -585,6 +585,17 @@ def drop_reasons(data):
     return cleaning.drop_reasons(fixtures.dirty_submissions(data.spark, data.folder))
 
 
+@_register("c4_quarantine")
+def quarantine(data):
+    """Landed submissions read once, and what of them is kept and dropped, by reason."""
+    path, name = scratch_path(data.spark, "submissions"), _table_name("outcomes")
+    fixtures.landed_submissions(data.spark, data.folder).write.partitionBy("course_id").json(path)
+    landed = landing.read_submissions(data.spark, path, told=True)
+    tables.write_split(cleaning.submission_outcomes(landed), name, schemas.TYPED_SUBMISSIONS)
+    kept = tables.read_table(data.spark, name).select("submission_id", F.lit("kept").alias("reason"))
+    return kept.unionByName(tables.read_table(data.spark, f"{name}_rejects").select("submission_id", "reason"))
+
+
 @_register("s1_read_courses")
 def read_courses(data):
     path = scratch_path(data.spark, "courses")

@@ -44,15 +44,23 @@ def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(packed).select(key, *[F.col(f"_first.{c}").alias(c) for c in rest])
 
 
-def clean_students(raw: DataFrame, order: str = "ingest_seq") -> DataFrame:
-    """One row per student, the first seen; ``12`` and ``12.0`` are one id. Ids that are not
-    numbers are dropped."""
-    typed = raw.select(
+def _typed_students(raw: DataFrame, *kept: str) -> DataFrame:
+    return raw.select(
         to_long(F.col("id")).alias("student_id"),
         F.col("name").alias("student_name"),
         F.coalesce("login_id", F.lit("")).alias("student_email"),
-        order,
+        F.col("id").isNull().alias("_no_id"),
+        *kept,
     )
+
+
+def clean_students(raw: DataFrame, order: str = "ingest_seq") -> DataFrame:
+    """One row per student, the first seen; ``12`` and ``12.0`` are one id. Ids that are not
+    numbers are dropped."""
+    return first_students(_typed_students(raw, order).drop("_no_id"), order)
+
+
+def first_students(typed: DataFrame, order: str = "ingest_seq") -> DataFrame:
     return first_seen(typed.filter(F.col("student_id").isNotNull()), "student_id", order)
 
 
@@ -64,19 +72,27 @@ def one_each(df: DataFrame, key: str) -> DataFrame:
     return packed.select(*[F.col(key) if c == key else F.col(f"_one.{c}").alias(c) for c in df.columns])
 
 
-def clean_assignments(raw: DataFrame) -> DataFrame:
-    """Typed assignments, one row an id; rows without a numeric id are dropped. Absent columns
-    become null."""
-    full = with_missing(raw, schemas.CSV_ASSIGNMENTS)
-    typed = full.select(
+def _typed_assignments(raw: DataFrame, *kept: str) -> DataFrame:
+    return with_missing(raw, schemas.CSV_ASSIGNMENTS).select(
         to_long(F.col("assignment_id")).alias("assignment_id"),
         to_long(F.col("course_id")).alias("course_id"),
         "assignment_name",
         F.try_to_timestamp(F.col("due_at")).alias("due_at"),
         to_decimal(F.col("points_possible")).alias("points_possible"),
         F.try_to_timestamp(F.col("created_at")).alias("created_at"),
-    ).filter(F.col("assignment_id").isNotNull())
-    return one_each(typed, "assignment_id")
+        F.col("assignment_id").isNull().alias("_no_id"),
+        *kept,
+    )
+
+
+def clean_assignments(raw: DataFrame) -> DataFrame:
+    """Typed assignments, one row an id; rows without a numeric id are dropped. Absent columns
+    become null."""
+    return one_assignment_each(_typed_assignments(raw).drop("_no_id"))
+
+
+def one_assignment_each(typed: DataFrame) -> DataFrame:
+    return one_each(typed.filter(F.col("assignment_id").isNotNull()), "assignment_id")
 
 
 def clean_courses(courses: DataFrame) -> DataFrame:
@@ -88,8 +104,8 @@ def clean_courses(courses: DataFrame) -> DataFrame:
 REASONS = ["missing_student", "never_submitted", "bad_student_id", "kept"]
 
 
-def _typed_submissions(raw: DataFrame) -> DataFrame:
-    full = with_missing(keep_present(raw, schemas.CSV_SUBMISSIONS), schemas.CSV_SUBMISSIONS)
+def _typed_submissions(raw: DataFrame, *kept: str) -> DataFrame:
+    full = with_missing(keep_present(raw, [*schemas.CSV_SUBMISSIONS, *kept]), schemas.CSV_SUBMISSIONS)
     return full.select(
         to_long(F.col("id")).alias("submission_id"),
         to_long(F.col("user_id")).alias("student_id"),
@@ -98,13 +114,14 @@ def _typed_submissions(raw: DataFrame) -> DataFrame:
         to_decimal(F.col("grade")).alias("grade"),
         to_bool(F.col("late")).alias("late"),
         to_long(F.col("course_id")).alias("course_id"),
-        F.col("user_id").isNull().alias("_no_student"),
+        F.col("user_id").isNull().alias("_no_id"),
+        *kept,
     )
 
 
 def _reason() -> Column:
     return (
-        F.when(F.col("_no_student"), "missing_student")
+        F.when(F.col("_no_id"), "missing_student")
         .when(F.col("submitted_at").isNull(), "never_submitted")
         .when(F.col("student_id").isNull(), "bad_student_id")
         .otherwise("kept")
@@ -116,12 +133,56 @@ def clean_submissions(raw: DataFrame, students: DataFrame | None = None) -> Data
 
     With ``students`` the student name is attached by a left lookup.
     """
-    typed = _typed_submissions(raw).filter(_reason() == "kept").drop("_no_student")
+    typed = _typed_submissions(raw).filter(_reason() == "kept").drop("_no_id")
     if students is None:
         return typed
     return typed.join(students.select("student_id", "student_name"), "student_id", "left")
 
 
+# -- outcomes: landed records typed, with why they are dropped, in one pass ------------------
+def _told(raw: DataFrame) -> DataFrame:
+    """Adds `_record`, the text of the landed record, and `_unread`, whether it could not be read."""
+    unread = F.col(schemas.BROKEN) if schemas.BROKEN in raw.columns else F.lit(None).cast("string")
+    landed = [c for c in raw.columns if c not in (schemas.BROKEN, "ingest_seq")]
+    return raw.withColumns(
+        {"_record": F.coalesce(unread, F.to_json(F.struct(*landed))), "_unread": unread.isNotNull()}
+    )
+
+
+def _outcome(typed: DataFrame, reason: Column) -> DataFrame:
+    """The typed columns, `record` (null for a kept row) and `reason`, "kept" or why it is not."""
+    named = typed.withColumn("reason", F.when(F.col("_unread"), "broken").otherwise(reason))
+    record = F.when(F.col("reason") != "kept", F.col("_record"))
+    return named.withColumn("record", record).select(
+        *[c for c in typed.columns if c not in ("_no_id", "_record", "_unread")], "record", "reason"
+    )
+
+
+def _by_id(column: str, missing: str, bad: str) -> Column:
+    return F.when(F.col("_no_id"), missing).when(F.col(column).isNull(), bad).otherwise("kept")
+
+
+def student_outcomes(raw: DataFrame, order: str = "ingest_seq") -> DataFrame:
+    typed = _typed_students(_told(raw), order, "_record", "_unread")
+    return _outcome(typed, _by_id("student_id", "missing_student", "bad_student_id"))
+
+
+def assignment_outcomes(raw: DataFrame) -> DataFrame:
+    typed = _typed_assignments(_told(raw), "_record", "_unread")
+    return _outcome(typed, _by_id("assignment_id", "missing_assignment", "bad_assignment_id"))
+
+
+def submission_outcomes(raw: DataFrame, students: DataFrame | None = None) -> DataFrame:
+    """Every landed submission: those of ``clean_submissions`` are kept, the others tell why not.
+
+    Equal counts to ``drop_reasons``, but for records that could not be read, which are "broken".
+    """
+    told = _outcome(_typed_submissions(_told(raw), "_record", "_unread"), _reason())
+    if students is None:
+        return told
+    return told.join(students.select("student_id", "student_name"), "student_id", "left")
+
+
 def drop_reasons(raw: DataFrame) -> DataFrame:
     """Rows per outcome of ``clean_submissions``, from one scan."""
     return _typed_submissions(raw).groupBy(_reason().alias("reason")).agg(F.count("*").alias("count"))

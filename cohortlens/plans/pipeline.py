@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlens import schemas
 from cohortlens.operators import cleaning
@@ -16,29 +18,39 @@ from cohortlens.warehouse import Warehouse, from_tables
 def load_warehouse(spark: SparkSession, folder: str, told: dict[str, int] | None = None) -> Warehouse:
     """Clean the landed ``courses``, ``students``, ``assignments`` and ``submissions`` folders
     and replace the four warehouse tables. Nothing is replaced when there is nothing to load.
-    ``told`` receives the number of submissions of each outcome and of broken records."""
-    students = landing.read_students(spark, os.path.join(folder, "students"))
-    submissions = landing.read_submissions(spark, os.path.join(folder, "submissions"))
+
+    Each landed folder is read once: clean rows and what is dropped, with its text and the reason,
+    go into one table split by reason (``load_outcomes``). ``told`` receives the number of
+    submissions of each outcome and of broken records.
+    """
+    students = landing.read_students(spark, os.path.join(folder, "students"), told=True)
+    submissions = landing.read_submissions(spark, os.path.join(folder, "submissions"), told=True)
     if not landing.has_rows(students, submissions):
         raise ValueError(f"no students or submissions landed in {folder}")
     courses = landing.read_courses(spark, os.path.join(folder, "courses"))
-    assignments = landing.read_assignments(spark, os.path.join(folder, "assignments"))
+    assignments = landing.read_assignments(spark, os.path.join(folder, "assignments"), told=True)
     tables.write_table(cleaning.clean_courses(courses), "dim_courses", schemas.DIM_COURSES)
-    tables.write_table(cleaning.clean_students(students), "dim_students", schemas.DIM_STUDENTS)
-    tables.write_table(
-        cleaning.clean_assignments(assignments), "dim_assignments", schemas.DIM_ASSIGNMENTS
-    )
-    named = cleaning.clean_submissions(submissions, tables.read_table(spark, "dim_students"))
-    tables.write_table(named, "fact_submissions", schemas.FACT_SUBMISSIONS)
+    tables.write_split(cleaning.student_outcomes(students), "landed_students", schemas.LANDED_STUDENTS)
+    known = cleaning.first_students(tables.read_table(spark, "landed_students"))
+    tables.write_table(known, "dim_students", schemas.DIM_STUDENTS)
+    tables.write_split(cleaning.assignment_outcomes(assignments), "landed_assignments", schemas.DIM_ASSIGNMENTS)
+    one_each = cleaning.one_assignment_each(tables.read_table(spark, "landed_assignments"))
+    tables.write_table(one_each, "dim_assignments", schemas.DIM_ASSIGNMENTS)
+    named = cleaning.submission_outcomes(submissions, tables.read_table(spark, "dim_students"))
+    tables.write_split(named, "fact_submissions", schemas.FACT_SUBMISSIONS)
     if told is not None:
-        landed = landing.record_counts(spark, os.path.join(folder, "submissions"), schemas.RAW_SUBMISSION)
-        # A scan of its own: an Observation would leave the session with a part that fitted models
-        # carry along and cannot be sent to tasks.
-        reasons = {r["reason"]: r["count"] for r in cleaning.drop_reasons(submissions).collect()}
-        told.update({r: reasons.get(r, 0) for r in cleaning.REASONS}, broken=landed.first()["broken"])
+        reasons = {r["reason"]: r["rows"] for r in tables.reason_counts(spark, "fact_submissions").collect()}
+        told.update({r: reasons.get(r, 0) for r in [*cleaning.REASONS, "broken"]})
     return from_tables(spark)
 
 
+def load_outcomes(spark: SparkSession) -> DataFrame:
+    """table, reason and rows of everything the last load read, kept or not."""
+    names = {"students": "landed_students", "assignments": "landed_assignments", "submissions": "fact_submissions"}
+    counts = [tables.reason_counts(spark, name).select(F.lit(label).alias("table"), "reason", "rows") for label, name in names.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def publish_marts(spark: SparkSession, wh: Warehouse, models: list[str] | None = None) -> learning.Outcome:
     """Train, score and replace every mart. Each mart is derived from the written one before it."""
     tables.write_table(features.training_dataset(wh), "training_dataset")
@@ -61,6 +73,7 @@ def exports(spark: SparkSession, wh: Warehouse, outcome: learning.Outcome) -> di
     """The published data sets by name."""
     scores = tables.read_table(spark, "student_course_scores")
     return {
+        "load_outcomes": load_outcomes(spark),
         "student_summary": reports.student_summary(wh),
         "course_summary": reports.course_summary(wh),
         "weekly_trends": reports.weekly_trends(wh.facts),

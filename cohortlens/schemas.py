@@ -44,6 +44,9 @@ RAW_SUBMISSION = _table(
     ("late", T.StringType()),
 )
 
+#: Column with the text of a landed record that could not be read; null in all others.
+BROKEN = "_broken"
+
 # Column lists of the CSV landing files; every column is text.
 CSV_STUDENTS = ["id", "name", "login_id"]
 CSV_SUBMISSIONS = ["id", "user_id", "assignment_id", "submitted_at", "grade", "late", "course_id"]
@@ -68,6 +71,16 @@ DIM_STUDENTS = _table(
     ("student_name", T.StringType()),
     ("student_email", T.StringType(), False),
 )
+#: Students as landed, one row a record, in the order of the files.
+LANDED_STUDENTS = T.StructType(
+    [
+        *DIM_STUDENTS,
+        T.StructField(
+            "ingest_seq",
+            _table(("file_path", T.StringType()), ("file_block_start", T.LongType()), ("place", T.LongType())),
+        ),
+    ]
+)
 DIM_ASSIGNMENTS = _table(
     ("assignment_id", T.LongType()),
     ("course_id", T.LongType()),
@@ -87,6 +100,11 @@ FACT_SUBMISSIONS = _table(
     ("student_name", T.StringType()),
 )
 
+#: Submissions before the student's name is looked up.
+TYPED_SUBMISSIONS = T.StructType([f for f in FACT_SUBMISSIONS if f.name != "student_name"])
+#: What a quarantine adds to the columns of its table: why a record is there, and its text.
+OUTCOME = _table(("record", T.StringType()), ("reason", T.StringType(), False))
+
 # -- marts ----------------------------------------------------------------------------------
 TRAINING_COLUMNS = [
     "student_id", "student_name", "student_email", "course_id", "course_name", "course_load",

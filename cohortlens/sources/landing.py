@@ -21,40 +21,37 @@ def read_courses(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_students(spark: SparkSession, path: str) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType, told: bool) -> DataFrame:
+    """JSON records; with ``told``, broken ones bring their text in the column schemas.BROKEN."""
+    if not told:
+        return spark.read.schema(schema).json(path)
+    kept = T.StructType([*schema.fields, T.StructField(schemas.BROKEN, T.StringType())])
+    return spark.read.schema(kept).option("columnNameOfCorruptRecord", schemas.BROKEN).json(path)
+
+
+def read_students(spark: SparkSession, path: str, told: bool = False) -> DataFrame:
     """Student records; an empty login falls back to the email.
 
     ``ingest_seq`` orders records as they lie in the files, however the files are split.
     """
-    raw = spark.read.schema(schemas.RAW_STUDENT).json(path)
+    raw = _read(spark, path, schemas.RAW_STUDENT, told)
     login = F.coalesce(F.nullif("login_id", F.lit("")), "email")
-    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
-    return raw.select("id", "name", login.alias("login_id"), place.alias("ingest_seq"))
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
+    return raw.select("id", "name", login.alias("login_id"), place.alias("ingest_seq"), *[schemas.BROKEN] * told)
 
 
-def read_assignments(spark: SparkSession, path: str) -> DataFrame:
+def read_assignments(spark: SparkSession, path: str, told: bool = False) -> DataFrame:
     """Assignment records under ``course_id=<id>`` folders; the course comes from the path."""
-    raw = spark.read.schema(schemas.RAW_ASSIGNMENT.add("course_id", "string")).json(path)
+    raw = _read(spark, path, T.StructType([*schemas.RAW_ASSIGNMENT, T.StructField("course_id", T.StringType())]), told)
     return raw.withColumnsRenamed({"id": "assignment_id", "name": "assignment_name"}).select(
-        *schemas.CSV_ASSIGNMENTS
+        *schemas.CSV_ASSIGNMENTS, *[schemas.BROKEN] * told
     )
 
 
-def read_submissions(spark: SparkSession, path: str) -> DataFrame:
+def read_submissions(spark: SparkSession, path: str, told: bool = False) -> DataFrame:
     """Submission records under ``course_id=<id>`` folders, the nested user id flattened."""
-    raw = spark.read.schema(schemas.RAW_SUBMISSION.add("course_id", "string")).json(path)
-    return raw.withColumn("user_id", F.col("user.id")).select(*schemas.CSV_SUBMISSIONS)
-
-
-def record_counts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One row: landed records, and those of them that could not be read as ``schema``.
-
-    The readers above give a broken record as empty fields, which the cleaners drop.
-    """
-    kept = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
-    lines = spark.read.text(path).filter(F.trim("value") != "")
-    told = F.from_json("value", kept, {"columnNameOfCorruptRecord": "_broken"})
-    return lines.agg(F.count("*").alias("records"), F.count(told["_broken"]).alias("broken"))
+    raw = _read(spark, path, T.StructType([*schemas.RAW_SUBMISSION, T.StructField("course_id", T.StringType())]), told)
+    return raw.withColumn("user_id", F.col("user.id")).select(*schemas.CSV_SUBMISSIONS, *[schemas.BROKEN] * told)
 
 
 def missing_user_counts(submissions: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens import schemas
@@ -47,13 +48,48 @@ def write_table(df: DataFrame, name: str, schema: T.StructType | None = None) ->
     may read the table being replaced. The previous version is kept for running readers. A plain
     table of that name becomes a version itself; only for that one rename is the name free.
     """
-    spark = df.sparkSession
-    version = f"{name}__{time.time_ns()}"
     rows = schemas.conform(df, schema) if schema is not None else df
+    version = _new_version(name)
     rows.write.mode("errorifexists").saveAsTable(version)
+    _point(df.sparkSession, name, f"SELECT * FROM {version}")
+    _drop_old_versions(df.sparkSession, name)
+
+
+def write_split(outcomes: DataFrame, name: str, schema: T.StructType) -> None:
+    """Full refresh of a table and of its quarantine, in one pass over the rows.
+
+    ``outcomes`` has the columns of ``schema``, ``record`` and ``reason``. One version, split by
+    reason, holds them all: the view ``name`` shows the kept rows, ``<name>_rejects`` the others
+    with their text and reason. Readers of either read their folders only.
+    """
+    spark = outcomes.sparkSession
+    rows = schemas.conform(outcomes, T.StructType([*schema, *schemas.OUTCOME]))
+    version = _new_version(name)
+    rows.write.mode("errorifexists").partitionBy("reason").saveAsTable(version)
+    columns = ", ".join(f"`{c}`" for c in schema.names)
+    _point(spark, f"{name}_rejects", f"SELECT {columns}, record, reason FROM {version} WHERE reason <> 'kept'")
+    _point(spark, name, f"SELECT {columns} FROM {version} WHERE reason = 'kept'")
+    _drop_old_versions(spark, name)
+
+
+def reason_counts(spark: SparkSession, name: str) -> DataFrame:
+    """reason and rows of a table written by ``write_split``; reads the files' footers only."""
+    counts = [spark.read.table(f"{name}_rejects").groupBy("reason"), spark.read.table(name).groupBy(F.lit("kept").alias("reason"))]
+    rejected, kept = (c.agg(F.count("*").alias("rows")) for c in counts)
+    return rejected.unionByName(kept)
+
+
+def _new_version(name: str) -> str:
+    return f"{name}__{time.time_ns()}"
+
+
+def _point(spark: SparkSession, name: str, query: str) -> None:
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
         spark.sql(f"ALTER TABLE {name} RENAME TO {name}__{0:019d}")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+
+def _drop_old_versions(spark: SparkSession, name: str) -> None:
     listed = [r.tableName for r in spark.sql(f"SHOW TABLES LIKE '{name}__*'").collect()]
     own = re.compile(re.escape(name.rpartition(".")[2].lower()) + r"__\d{19}")
     for old in sorted(t for t in listed if own.fullmatch(t))[:-2]:

@@ -621,6 +621,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT CASE WHEN user_id IS NULL THEN 'missing_student' WHEN submitted IS NULL THEN 'never_submitted'
                         WHEN NOT regexp_full_match(user_id, '[0-9]+') THEN 'bad_student_id' ELSE 'kept' END AS reason,
                    count(*) AS count FROM raw GROUP BY 1"""),
+        "c4_quarantine": q(RAW_SUBMISSIONS, select="""
+            SELECT CAST(id AS BIGINT) AS submission_id,
+                   CASE WHEN user_id IS NULL THEN 'missing_student' WHEN submitted IS NULL THEN 'never_submitted'
+                        WHEN NOT regexp_full_match(user_id, '[0-9]+') THEN 'bad_student_id' ELSE 'kept' END AS reason
+            FROM raw"""),
         "s1_read_courses": """
             SELECT s_suppkey AS course_id, s_name AS course_name, concat('C', s_suppkey) AS course_code,
                    CAST(NULL AS BIGINT) AS teacher_id

@@ -40,8 +40,14 @@ def test_refresh(spark, tmp_path):
     (tmp_path / "in" / "submissions" / "course_id=1" / "torn.json").write_text('{"id": 7, "user"\n')
     told = {}
     wh = pipeline.load_warehouse(spark, str(tmp_path / "in"), told)
-    # The torn record is read as an empty one.
-    assert told == {"missing_student": 3, "never_submitted": 0, "bad_student_id": 0, "kept": 1200, "broken": 1}
+    assert told == {"missing_student": 2, "never_submitted": 0, "bad_student_id": 0, "kept": 1200, "broken": 1}
+    rejects = {(r.reason, r.record) for r in tables.read_table(spark, "fact_submissions_rejects").collect()}
+    assert ("broken", '{"id": 7, "user"') in rejects and len(rejects) == 3
+    outcomes = {(r.table, r.reason): r.rows for r in pipeline.load_outcomes(spark).collect()}
+    assert outcomes == {
+        ("students", "kept"): 61, ("assignments", "kept"): 20,
+        ("submissions", "kept"): 1200, ("submissions", "missing_student"): 2, ("submissions", "broken"): 1,
+    }
     assert wh.facts.count() == 1200 and wh.students.count() == 60 and wh.courses.count() == 2
     assert wh.students.filter("student_id = 1").first().student_name == "S1"
     outcome = pipeline.publish_marts(spark, wh, ["Logistic Regression", "KNN"])
@@ -56,5 +62,5 @@ def test_refresh(spark, tmp_path):
     paths = tables.export_datasets(pipeline.exports(spark, wh, outcome), str(tmp_path / "out"))
     back = {name: spark.read.csv(path, header=True).count() for name, path in paths.items()}
     assert back["student_summary"] == 60 and back["training_dataset"] == 120
-    assert back["confusion_counts"] == 2 and back["class_report"] == 4
+    assert back["load_outcomes"] == 5 and back["confusion_counts"] == 2 and back["class_report"] == 4
     assert back["top_at_risk_students"] == 25 and back["all_models_evaluation"] == 8

@@ -70,6 +70,57 @@ def test_clean_submissions(spark):
     assert typed.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.FACT_SUBMISSIONS]
 
 
+def test_outcomes_and_quarantine_from_one_scan(spark, tmp_path):
+    _lines(
+        tmp_path / "f" / "course_id=7",
+        [{"id": 1, "user": {"id": 5}, "assignment_id": 2, "grade": "8", "submitted_at": "2025-10-01T12:00:00Z"},
+         {"id": 2, "assignment_id": 2, "submitted_at": "2025-10-01T12:00:00Z"}, {"id": 3, "user": {"id": 5}},
+         {"id": 4, "user": {"id": "x"}, "submitted_at": "2025-10-01T12:00:00Z"}],
+    )
+    (tmp_path / "f" / "course_id=7" / "torn.json").write_text('{"id": 5, "user": {"id"\nnot json\n')
+    told = landing.read_submissions(spark, str(tmp_path / "f"), told=True)
+    outcomes = cleaning.submission_outcomes(told)
+    plan = outcomes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    students = spark.createDataFrame([(5, "Five")], "student_id bigint, student_name string")
+    tables.write_split(cleaning.submission_outcomes(told, students), "split_t", schemas.FACT_SUBMISSIONS)
+    kept = tables.read_table(spark, "split_t")
+    assert [(r.submission_id, r.student_name) for r in kept.collect()] == [(1, "Five")]
+    assert kept.columns == schemas.FACT_SUBMISSIONS.names
+    rejects = {r.record if r.reason == "broken" else r.submission_id: (r.reason, r.record) for r in tables.read_table(spark, "split_t_rejects").collect()}
+    assert {k: v[0] for k, v in rejects.items()} == {
+        2: "missing_student", 3: "never_submitted", 4: "bad_student_id",
+        '{"id": 5, "user": {"id"': "broken", "not json": "broken",
+    }
+    assert json.loads(rejects[4][1])["user_id"] == "x"
+    counts = {r.reason: r.rows for r in tables.reason_counts(spark, "split_t").collect()}
+    plain = {r.reason: r["count"] for r in cleaning.drop_reasons(landing.read_submissions(spark, str(tmp_path / "f"))).collect()}
+    # Without the text of broken records, they pass for records without a student.
+    assert plain.pop("missing_student") == counts.pop("missing_student") + counts.pop("broken")
+    assert counts == plain
+    # Readers of the clean rows do not read the quarantine's files.
+    pruned = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reason" in pruned
+    # A later load replaces both.
+    tables.write_split(cleaning.submission_outcomes(told.where("id = 1"), students), "split_t", schemas.FACT_SUBMISSIONS)
+    assert tables.read_table(spark, "split_t_rejects").count() == 0 and tables.read_table(spark, "split_t").count() == 1
+
+
+def test_student_and_assignment_outcomes(spark):
+    rows = [("1", "A", None, 1), ("x", "B", "b", 2), (None, "C", "c", 3), ("1.0", "D", "d", 4)]
+    raw = spark.createDataFrame(rows, "id string, name string, login_id string, ingest_seq bigint")
+    told = cleaning.student_outcomes(raw)
+    assert {(r.student_name, r.reason) for r in told.collect()} == {
+        ("A", "kept"), ("B", "bad_student_id"), ("C", "missing_student"), ("D", "kept")
+    }
+    kept = told.where("reason = 'kept'").drop("record", "reason")
+    assert cleaning.first_students(kept).collect() == cleaning.clean_students(raw).collect()
+    landed = spark.createDataFrame([("1", "2"), ("?", "2"), (None, "2")], "assignment_id string, course_id string")
+    told = cleaning.assignment_outcomes(landed).collect()
+    assert sorted(r.reason for r in told) == ["bad_assignment_id", "kept", "missing_assignment"]
+    assert all((r.record is None) == (r.reason == "kept") for r in told)
+
+
 def test_submissions_without_a_user_column(spark):
     raw = spark.createDataFrame([("1", "2025-10-01")], "id string, submitted_at string")
     assert cleaning.clean_submissions(raw).count() == 0
