@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 import os
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -17,6 +19,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,8 +36,8 @@ SEED = 42
 # Rows of a partition at fitting. Trees sample by partition, so the partitioning follows the rows,
 # never the cores.
 FIT_ROWS = 250_000
-FIT_PARTITIONS = 4
-# Train rows the kernel SVM (256 numbers each) and the nearest neighbors are fitted on at most.
+FIT_PARTITIONS, FEW_ROWS = 4, 5_000
+# Train rows the kernel SVM (256 numbers each at most) and the nearest neighbors are fitted on at most.
 SVM_ROWS = 500_000
 KNN_ROWS = 1_000_000
 NOISE = 0.15
@@ -123,7 +126,8 @@ class Prepared:
 
 def settled(rows: DataFrame) -> DataFrame:
     """Rows in partitions and an order that depend on nothing but the rows."""
-    parts = max(FIT_PARTITIONS, -(-rows.count() // FIT_ROWS))
+    n = rows.count()
+    parts = max(1, min(FIT_PARTITIONS, -(-n // FEW_ROWS)), -(-n // FIT_ROWS))
     return rows.repartition(parts, *KEY).sortWithinPartitions(*KEY)
 
 
@@ -184,34 +188,51 @@ def fit_boosting(train: DataFrame, rounds: int = 100, seed: int = SEED) -> Pipel
 
 @dataclass(frozen=True)
 class KernelSvm:
-    """RBF-kernel SVM: random Fourier features, a linear SVM and a logistic fit of its margin."""
+    """RBF-kernel SVM: landmark features, a linear SVM on them, and a logistic fit of margins that
+    the SVM of other rows gave."""
 
-    frequencies: np.ndarray
-    phases: np.ndarray
+    landmarks: np.ndarray
+    gamma: float
+    weights: np.ndarray
     svm: object
     platt: object
 
+    def margins(self, rows: DataFrame) -> DataFrame:
+        return _margins(self.svm, _with_landmarks(rows, self.landmarks, self.gamma, self.weights))
+
     def score(self, rows: DataFrame) -> DataFrame:
-        out = self.svm.transform(_with_fourier(rows, self.frequencies, self.phases))
-        margin = vector_to_array("rawPrediction")[1]
-        out = out.select(
-            *KEY, "label", "noisy_label", "is_test",
-            array_to_vector(F.array(margin)).alias("margin"), F.col("prediction").alias("side"),
-        )
-        out = self.platt.transform(out)
+        out = self.platt.transform(self.margins(rows))
         return _scored(out, vector_to_array("probability")[1], F.col("side"))
 
 
-def _with_fourier(rows: DataFrame, frequencies: np.ndarray, phases: np.ndarray) -> DataFrame:
-    scale = math.sqrt(2.0 / len(phases))
+def kernel(x: np.ndarray, y: np.ndarray, gamma: float) -> np.ndarray:
+    """exp(-gamma |x - y|^2) for all rows of x and y."""
+    squares = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * x @ y.T
+    return np.exp(-gamma * np.maximum(squares, 0.0))
+
+
+def landmark_weights(landmarks: np.ndarray, gamma: float) -> np.ndarray:
+    """Turns kernel values with the landmarks into features whose inner products are the kernel,
+    exactly between landmarks and closely between others (Nystroem)."""
+    values, vectors = np.linalg.eigh(kernel(landmarks, landmarks, gamma))
+    kept = values > 1e-10 * values.max()
+    return vectors[:, kept] / np.sqrt(values[kept])
+
 
+def _with_landmarks(rows: DataFrame, landmarks: np.ndarray, gamma: float, weights: np.ndarray) -> DataFrame:
     @F.pandas_udf("array<double>")
-    def fourier(x: pd.DataFrame) -> pd.Series:
-        projected = np.cos(x.to_numpy() @ frequencies + phases) * scale
-        return pd.Series(list(projected))
+    def mapped(x: pd.DataFrame) -> pd.Series:
+        return pd.Series(list(kernel(x.to_numpy(), landmarks, gamma) @ weights))
 
-    mapped = array_to_vector(fourier(F.struct(*FEATURE_COLUMNS)))
-    return rows.withColumn("features", mapped)
+    return rows.withColumn("features", array_to_vector(mapped(F.struct(*FEATURE_COLUMNS))))
+
+
+def _margins(svm: object, rows: DataFrame) -> DataFrame:
+    margin = vector_to_array("rawPrediction")[1]
+    return svm.transform(rows).select(
+        *KEY, "label", "noisy_label", "is_test",
+        array_to_vector(F.array(margin)).alias("margin"), F.col("prediction").alias("side"),
+    )
 
 
 def at_most(train: DataFrame, rows: int) -> DataFrame:
@@ -225,10 +246,15 @@ def at_most(train: DataFrame, rows: int) -> DataFrame:
 
 
 def fit_kernel_svm(
-    train: DataFrame, penalty: float = 0.5, components: int = 256, seed: int = SEED, rows: int = SVM_ROWS
+    train: DataFrame, penalty: float = 0.5, landmarks: int = 256, folds: int = 3, rows: int = SVM_ROWS
 ) -> KernelSvm:
-    """The kernel width is 1 / (features * variance of all values fitted on)."""
-    ensure_checkpoint_dir(train.sparkSession)
+    """The kernel width is 1 / (features * variance of all values fitted on).
+
+    Landmarks are the train rows with the smallest hashes of their keys. Probabilities come from
+    margins of rows that the SVM giving them has not seen: each fold's from a fit of the others.
+    """
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
     train = at_most(train, rows)
     stats = [F.sum(c) for c in FEATURE_COLUMNS], [F.sum(F.col(c) * F.col(c)) for c in FEATURE_COLUMNS]
     total, squares = (reduce(lambda a, b: a + b, columns) for columns in stats)
@@ -236,19 +262,23 @@ def fit_kernel_svm(
     values = max(row["n"], 1) * len(FEATURE_COLUMNS)
     variance = row["q"] / values - (row["s"] / values) ** 2
     gamma = 1.0 / (len(FEATURE_COLUMNS) * variance) if variance > 0 else 1.0
-    rng = np.random.default_rng(seed)
-    frequencies = rng.normal(0.0, math.sqrt(2 * gamma), (len(FEATURE_COLUMNS), components))
-    phases = rng.uniform(0.0, 2 * math.pi, components)
-    mapped = _with_fourier(train, frequencies, phases).checkpoint()
-    svm = LinearSVC(
-        labelCol="noisy_label", maxIter=100, regParam=1.0 / (penalty * max(row["n"], 1)),
-        standardization=False,
-    ).fit(mapped)
-    margins = svm.transform(mapped).select(
-        "noisy_label", array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("margin")
-    )
+    chosen = at_most(train, landmarks).select(*KEY, *FEATURE_COLUMNS).orderBy(*KEY).collect()  # a fixed number
+    known = np.array([r[len(KEY) :] for r in chosen], float)
+    weights = landmark_weights(known, gamma)
+    fold = F.pmod(key_bits("fold"), F.lit(folds)).cast("int").alias("fold")
+    mapped = _with_landmarks(train, known, gamma, weights).select("*", fold).checkpoint()
+
+    def fit(some: DataFrame, share: float):
+        return LinearSVC(
+            labelCol="noisy_label", maxIter=100, regParam=1.0 / (penalty * max(share * row["n"], 1)), standardization=False,
+        ).fit(some)
+
+    left_out = {f"fold {k}": partial(fit, mapped.where(F.col("fold") != k), 1 - 1 / folds) for k in range(folds)}
+    fitted = side_by_side(spark, {"all": partial(fit, mapped, 1.0), **left_out})
+    unseen = [_margins(fitted[f"fold {k}"], mapped.where(F.col("fold") == k)) for k in range(folds)]
+    margins = reduce(DataFrame.unionByName, unseen)
     platt = LogisticRegression(featuresCol="margin", labelCol="noisy_label").fit(margins)
-    return KernelSvm(frequencies, phases, svm, platt)
+    return KernelSvm(known, gamma, weights, fitted["all"], platt)
 
 
 def score_knn(train: DataFrame, rows: DataFrame, k: int = 5, most: int = KNN_ROWS) -> DataFrame:
@@ -275,6 +305,26 @@ def fit_with(name: str, data: Prepared) -> Callable[[DataFrame], DataFrame]:
     raise ValueError(f"unknown model {name!r}")
 
 
+def side_by_side(spark: SparkSession, tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Results of driver-side tasks that run at the same time, each with its jobs in a pool of its
+    own name.
+
+    A fit is a long row of small jobs with waits between them; others fill the waits. Pools share
+    the cores evenly where spark.scheduler.mode is FAIR, else the oldest job goes first. Nested
+    calls are fine. The first error is raised once all tasks have ended.
+    """
+    context = spark.sparkContext
+
+    @inheritable_thread_target(spark)
+    def run(name: str):
+        context.setLocalProperty("spark.scheduler.pool", name)
+        return tasks[name]()
+
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        started = {name: pool.submit(run, name) for name in tasks}
+    return {name: job.result() for name, job in started.items()}
+
+
 def score_with(name: str, data: Prepared, rows: DataFrame) -> DataFrame:
     return fit_with(name, data)(rows)
 
@@ -329,6 +379,40 @@ def binary_metrics(
     )
 
 
+# -- checks of a fit ------------------------------------------------------------------------
+# What a fit must satisfy whatever its numbers are; a score that is the same for all rows fails.
+def log_loss(scored: DataFrame, label: str = "noisy_label") -> tuple[float, float]:
+    """Mean log loss of the scores, and that of the best constant, the share of the label."""
+    p = F.least(F.greatest("risk_probability", F.lit(1e-9)), F.lit(1 - 1e-9))
+    loss = -F.when(F.col(label) == 1, F.log(p)).otherwise(F.log(1 - p))
+    mean, base = scored.agg(F.avg(loss), F.avg(label)).first()
+    constant = -sum(x * math.log(x) for x in (base, 1 - base) if x > 0)
+    return mean, constant
+
+
+def area_under_curve(scored: DataFrame, label: str = "label") -> float:
+    """How often a row with the label scores above one without it; 0.5 for a constant score."""
+    of_model = scored.select(F.col("risk_probability").alias("score"), F.col(label).cast("double").alias("label"))
+    return BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0).evaluate(of_model)
+
+
+def linear_score(model: PipelineModel, *features: str) -> Column:
+    """The probability that follows from a logistic model's coefficients alone."""
+    fitted = model.stages[-1]
+    terms = [F.lit(float(w)) * F.col(c) for w, c in zip(fitted.coefficients, features or FEATURE_COLUMNS, strict=True)]
+    return 1 / (1 + F.exp(-reduce(lambda a, b: a + b, terms, F.lit(float(fitted.intercept)))))
+
+
+def logistic_gradient(model: PipelineModel, train: DataFrame, penalty: float = 1.0) -> float:
+    """Largest slope of the penalized mean log loss at the fitted coefficients; near 0 at its
+    minimum."""
+    fitted = model.stages[-1]
+    off = linear_score(model) - F.col("noisy_label")
+    row = train.agg(F.count("*"), F.avg(off), *[F.avg(off * F.col(c)) for c in FEATURE_COLUMNS]).first()
+    slopes = [row[1], *[g + w / (penalty * row[0]) for g, w in zip(row[2:], fitted.coefficients, strict=True)]]
+    return max(abs(g) for g in slopes)
+
+
 def class_report(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Precision, recall, f1 and support per class, and their macro and weighted averages."""
     counts = predictions.agg(*_confusion(label, prediction))
@@ -381,9 +465,10 @@ class Outcome:
 
 
 def compare_models(data: Prepared, models: list[str] | None = None) -> Outcome:
-    """Fit all models, compare them on the test rows and score every pair with the best one only."""
+    """Fit all models side by side, compare them on the test rows and score every pair with the best
+    one only."""
     names = models or MODEL_ORDER
-    fitted = {m: fit_with(m, data) for m in names}
+    fitted = side_by_side(data.rows.sparkSession, {m: partial(fit_with, m, data) for m in names})
     tagged = [
         fitted[m](data.test).select(F.lit(m).alias("model"), "noisy_label", "prediction")
         for m in names

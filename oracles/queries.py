@@ -681,7 +681,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT student_id, course_id, {', '.join(FEATURES)}, noisy_label, is_test FROM z"""),
         **{
             name: q(*_ML, select=f"""
-            SELECT count(*) AS test_rows, CAST(sum({NOISY}) AS BIGINT) AS positives, true AS beats_larger_class
+            SELECT count(*) AS test_rows, CAST(sum({NOISY}) AS BIGINT) AS positives, true AS beats_larger_class,
+                   true AS ranks_by_label, true AS train_loss_below_constant
+                   {", true AS stationary" if name.startswith("m5") else ""}
             FROM matrix WHERE is_test""")
             for name in ("m5_logistic_regression", "m6_random_forest", "m7_gradient_boosting", "m8_kernel_svm")
         },
@@ -691,8 +693,9 @@ def oracle_sql() -> dict[str, str]:
         "m14_saved_model": q(*_ML, select="""
             SELECT count(*) AS test_rows, true AS same_after_reload FROM matrix WHERE is_test"""),
         "m15_single_model": q(*_ML, select="SELECT DISTINCT student_id, true AS scored FROM matrix"),
-        "p7_model_evaluation": """
-            SELECT unnest(['Accuracy', 'Precision', 'Recall', 'F1-Score']) AS metric, true AS scored""",
+        "p7_model_evaluation": q(*_ML, select=f"""
+            SELECT unnest(['Accuracy', 'Precision', 'Recall', 'F1-Score']) AS metric, test_rows, positives, true AS scored
+            FROM (SELECT count(*) AS test_rows, CAST(sum({NOISY}) AS BIGINT) AS positives FROM matrix WHERE is_test)"""),
         "m9_knn": q(*_ML, STANDARDIZED, select=f"""
             , near AS (
               SELECT q.student_id, q.course_id, t.noisy_label, row_number() OVER (

@@ -80,10 +80,95 @@ def test_forest_does_not_depend_on_the_input_partitioning(training):
         data = learning.prepare(training.repartition(parts))
         model = learning.fit_forest(data.train, trees=8, depth=5)
         found.append(learning.binary_metrics(learning.apply_model(model, data.test)).first())
-        assert data.rows.rdd.getNumPartitions() == learning.FIT_PARTITIONS
+        assert data.rows.rdd.getNumPartitions() == 1  # few rows
     assert found[0] == found[1]
 
 
+def test_partitions_of_a_fit_follow_the_rows(spark):
+    for n, parts in ((10, 1), (5_001, 2), (90_000, learning.FIT_PARTITIONS), (1_100_000, 5)):
+        rows = spark.range(n).select(F.col("id").alias("student_id"), F.lit(1).alias("course_id"))
+        assert learning.settled(rows).rdd.getNumPartitions() == parts
+
+
+def test_fits_side_by_side_equal_fits_in_turn(prepared):
+    names = ["Logistic Regression", "Random Forest", "KNN"]
+    outcome = learning.compare_models(prepared, names)
+    for row in outcome.comparison.collect():
+        alone = learning.binary_metrics(learning.score_with(row.model, prepared, prepared.test), label="noisy_label").first()
+        assert [row[m] for m in learning.METRICS] == [alone[m] for m in learning.METRICS]
+
+
+def test_an_error_of_one_task_is_raised_after_all_ended(spark):
+    ended = []
+    with pytest.raises(ZeroDivisionError):
+        learning.side_by_side(spark, {"a": lambda: 1 / 0, "b": lambda: ended.append(spark.range(1000).count())})
+    assert ended == [1000]
+    assert learning.side_by_side(spark, {}) == {}
+
+
+def test_checks_fail_a_constant_score(prepared):
+    model = learning.fit_logistic(prepared.train)
+    assert learning.logistic_gradient(model, prepared.train) < 1e-4
+    scored = learning.apply_model(model, prepared.test)
+    assert learning.area_under_curve(scored) > 0.75
+    expected = prepared.test.select(*learning.KEY, learning.linear_score(model).alias("p"))
+    off = scored.join(expected, learning.KEY).agg(F.max(F.abs(F.col("p") - F.col("risk_probability")))).first()[0]
+    assert off < 1e-9
+    constant = scored.withColumn("risk_probability", F.lit(0.5))
+    loss, best = learning.log_loss(constant)
+    assert learning.area_under_curve(constant) == 0.5 and loss >= best
+    none = learning.fit_logistic(prepared.train, penalty=1e-9)  # all coefficients near zero
+    assert learning.logistic_gradient(none, prepared.train) > 1e-2
+
+
+def _exact_svm(k, y, c, steps=200_000):
+    """Dual of the kernel SVM by pairs of variables: decision values of the rows."""
+    alpha, slope = np.zeros(len(y)), -np.ones(len(y))
+    for _ in range(steps):
+        up = ((y > 0) & (alpha < c)) | ((y < 0) & (alpha > 0))
+        low = ((y > 0) & (alpha > 0)) | ((y < 0) & (alpha < c))
+        value = -y * slope
+        i, j = np.where(up, value, -np.inf).argmax(), np.where(low, value, np.inf).argmin()
+        if value[i] - value[j] < 1e-4:
+            break
+        step = (value[i] - value[j]) / max(k[i, i] + k[j, j] - 2 * k[i, j], 1e-12)
+        step = min(step, c - alpha[i] if y[i] > 0 else alpha[i], alpha[j] if y[j] > 0 else c - alpha[j])
+        alpha[i] += y[i] * step
+        alpha[j] -= y[j] * step
+        slope += y * step * (k[:, i] - k[:, j])
+    return k @ (alpha * y) + (value[i] + value[j]) / 2
+
+
+def test_landmark_svm_agrees_with_an_exact_kernel_svm(prepared):
+    train = prepared.train.orderBy(*learning.KEY).limit(300).checkpoint()
+    rows = train.orderBy(*learning.KEY).collect()
+    x = np.array([[r[c] for c in schemas.FEATURE_COLUMNS] for r in rows])
+    y = np.array([1.0 if r.noisy_label else -1.0 for r in rows])
+    gamma = 1 / (x.shape[1] * x.var())
+    exact = _exact_svm(learning.kernel(x, x, gamma), y, 0.5)
+    for landmarks, least in ((300, 0.98), (100, 0.95)):
+        model = learning.fit_kernel_svm(train, 0.5, landmarks)
+        assert abs(model.gamma - gamma) < 1e-9 and len(model.landmarks) == landmarks
+        scored = model.margins(train).orderBy(*learning.KEY).collect()
+        margin = np.array([r.margin[0] for r in scored])
+        assert np.mean((margin > 0) == (exact > 0)) >= least
+        assert np.corrcoef(margin, exact)[0, 1] > 0.97
+
+
+def test_probabilities_of_the_svm_are_of_rows_it_has_not_seen(prepared):
+    model = learning.fit_kernel_svm(prepared.train)
+    scored = model.score(prepared.test).checkpoint()
+    loss, constant = learning.log_loss(scored)
+    assert loss < 0.95 * constant
+    told, base = scored.agg(F.avg("risk_probability"), F.avg("noisy_label")).first()
+    assert abs(told - base) < 0.08
+    # Monotone in the margin.
+    margins = model.margins(prepared.test).select(*learning.KEY, F.col("margin")).collect()
+    by_key = {(r.student_id, r.course_id): r.margin[0] for r in margins}
+    ranked = sorted((by_key[r.student_id, r.course_id], r.risk_probability) for r in scored.collect())
+    assert all(a[1] <= b[1] + 1e-12 for a, b in zip(ranked, ranked[1:]))
+
+
 def test_fits_on_a_bounded_number_of_rows(prepared):
     train = prepared.train
     some = learning.at_most(train, 100)
