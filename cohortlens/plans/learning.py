@@ -37,9 +37,8 @@ SEED = 42
 # never the cores.
 FIT_ROWS = 250_000
 FIT_PARTITIONS, FEW_ROWS = 4, 5_000
-# Train rows the kernel SVM (256 numbers each at most) and the nearest neighbors are fitted on at most.
+# Train rows the kernel SVM (256 numbers each at most) is fitted on at most.
 SVM_ROWS = 500_000
-KNN_ROWS = 1_000_000
 NOISE = 0.15
 TEST_SHARE = 0.2
 # Model names in the order that settles ties.
@@ -281,10 +280,9 @@ def fit_kernel_svm(
     return KernelSvm(known, gamma, weights, fitted["all"], platt)
 
 
-def score_knn(train: DataFrame, rows: DataFrame, k: int = 5, most: int = KNN_ROWS) -> DataFrame:
-    """Share of positive labels among the k nearest of the train rows, of ``most`` at most."""
-    ensure_checkpoint_dir(train.sparkSession)
-    found = nearest_neighbors(at_most(train, most), rows, FEATURE_COLUMNS, KEY, "noisy_label", k)
+def score_knn(train: DataFrame, rows: DataFrame, k: int = 5) -> DataFrame:
+    """Share of positive labels among the k nearest of all train rows."""
+    found = nearest_neighbors(train, rows, FEATURE_COLUMNS, KEY, "noisy_label", k)
     share = votes(found, FEATURE_COLUMNS, "noisy_label")
     joined = rows.join(share, FEATURE_COLUMNS)
     return _scored(joined, F.col("probability"), F.col("probability") > 0.5)

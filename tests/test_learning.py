@@ -225,3 +225,49 @@ def test_neighbors_match_brute_force_on_skewed_points(spark, tmp_path):
     for r in got:
         found.setdefault(tuple(r[n] for n in names), []).append((round(r.distance, 9), (r.id, r.label)))
     assert {q: sorted(v) for q, v in found.items()} == _brute(train, queries, 5)
+
+
+def _points(spark, x):
+    names = [f"x{j}" for j in range(x.shape[1])]
+    rows = [(i, i % 2, *map(float, row)) for i, row in enumerate(x)]
+    return names, rows, spark.createDataFrame(rows, ["id", "label", *names])
+
+
+@pytest.mark.parametrize("cell_rows, k", [(12, 5), (100, 1), (10_000, 7)])
+def test_neighbors_match_brute_force_on_grids_and_lines(spark, cell_rows, k):
+    """Many equal distances and equal coordinates; far queries; cells smaller than k copies."""
+    rng = np.random.default_rng(11)
+    grid = rng.integers(0, 4, size=(300, 3)).astype(float)
+    line = np.zeros((200, 3))
+    line[:, 1] = np.arange(200) / 8
+    names, train, points = _points(spark, np.vstack([grid, line, [[1e9, -1e9, 0]]]))
+    queries = sorted({tuple(map(float, r)) for r in np.vstack([grid[:40], line[::9], rng.normal(size=(20, 3)), [[1e12, 0, 0]]])})
+    got = neighbors.nearest_neighbors(points, spark.createDataFrame(queries, names), names, ["id"], "label", k, cell_rows).collect()
+    found = {}
+    for r in got:
+        found.setdefault(tuple(r[n] for n in names), []).append((round(r.distance, 9), (r.id, r.label)))
+    assert {q: sorted(v) for q, v in found.items()} == _brute(train, queries, k)
+
+
+def test_fewer_points_than_neighbors(spark):
+    names, _, points = _points(spark, np.array([[0.0, 1.0], [2.0, 3.0]]))
+    asked = spark.createDataFrame([(0.0, 0.0)], names)
+    assert neighbors.nearest_neighbors(points, asked, names, ["id"], "label", 5).count() == 2
+    assert neighbors.nearest_neighbors(points.limit(0), asked, names, ["id"], "label", 5).count() == 0
+
+
+def test_visits_of_a_query_stay_few_as_cells_grow_tenfold(spark):
+    rng = np.random.default_rng(5)
+    mean = []
+    for n in (4_000, 40_000):
+        names = ["a", "b", "c"]
+        x = rng.normal(size=(n, 3))
+        frame = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["id", *names])
+        tree, placed = neighbors._cut(frame, names, ["id"], 1, 100)
+        sizes = placed.groupBy("cell").count().agg(F.max("count"), F.count("*")).first()
+        assert sizes[0] <= 100 and n / 100 <= sizes[1] <= 6 * n / 100
+        boxes = neighbors._boxed(tree, placed, names)
+        near = np.sort(((x[:200, None, :] - x[None, :, :]) ** 2).sum(axis=2), axis=1)[:, 5]
+        row, _ = boxes.walk(x[:200], np.zeros(200, np.int64), near, np.full(200, -1))
+        mean.append(len(row) / 200)
+    assert mean[1] < 1.5 * mean[0] and mean[1] < 12
