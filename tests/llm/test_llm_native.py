@@ -2,7 +2,9 @@
 
 import hashlib
 import os
+import random
 import sys
+import time
 
 import duckdb
 import pytest
@@ -102,6 +104,32 @@ def test_no_pair_is_lost_by_its_fingerprints(spark):
     assert _found(spark, docs, items) == {(i, i) for i, _ in texts}
 
 
+def test_decontamination_of_repetitive_texts_matches_a_plain_version(spark):
+    draw = random.Random(6)
+    text = lambda words, n: " ".join(draw.choices(words, k=n))
+    few, more = ["a", "b"], [f"w{i}" for i in range(9)]
+    items = [(i, text(few if i % 3 else more, draw.randint(1, 30))) for i in range(40)]
+    docs = [(i, text(few if i % 2 else more, draw.randint(0, 60))) for i in range(80)]
+    for i in range(80, 160):  # an item, changed a little, between other words
+        words = items[i % 40][1].split()
+        for _ in range(draw.randint(0, 3)):
+            words[draw.randrange(len(words))] = draw.choice(few + more)
+        docs.append((i, f"{text(more, draw.randint(0, 9))} {' '.join(words)} {text(few, draw.randint(0, 9))}"))
+    expected = brute.contaminated(docs, items)
+    assert len(expected) > 200 and _found(spark, docs, items) == expected
+    assert _found(spark, docs, items, broadcast_shingles=0, broadcast_docs=0) == expected
+
+
+def test_items_of_twenty_thousand_words(spark):
+    item = [f"w{i}" for i in range(20_000)]
+    changed = [w if i % 100 else "other" for i, w in enumerate(item)]
+    docs = [(1, "a b " + " ".join(item) + " c"), (2, " ".join(changed)), (3, " ".join(item[:12_000])), (4, "x " * 30_000)]
+    items = [(1, " ".join(item)), (2, "x " * 20_000)]
+    begin = time.monotonic()
+    assert _found(spark, docs, items) == {(1, 1), (2, 1), (4, 2)}
+    assert time.monotonic() - begin < 60
+
+
 def test_texts_under_one_id_are_compared_each_by_itself(spark):
     item = " ".join(f"w{i}" for i in range(40))
     other = " ".join(f"v{i}" for i in range(40))
