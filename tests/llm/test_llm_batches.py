@@ -1,8 +1,10 @@
 """Operators with numpy or a tokenizer in their tasks, against plain versions."""
 
 import hashlib
+import math
 import os
 import sys
+import time
 import zlib
 
 import duckdb
@@ -335,6 +337,86 @@ def test_pages_of_any_depth_and_length():
     assert len(html_text.main_text("<article>" + "<p>word</p>" * 50_000)) == 50_000 * 5 - 1
 
 
+SHAPES = {
+    "unclosed tags": "<a " * 330_000,
+    "unclosed tags before an end": "<a =\"'" * 160_000 + ">",
+    "deep blocks": "<div>" * 200_000,
+    "ends of what is not open": "<span>" * 100_000 + "</b>" * 100_000,
+    "deep below a paragraph": "<p><td>" + "<div>" * 200_000,
+    "lists in lists": "<ul><li>" * 120_000,
+    "deep headings": "<div><h2>x</h2>" * 60_000,
+    "many articles": "<h2>x</h2><article><p>y</p></article>" * 25_000,
+    "quotes without an end": "<a x='\"> " * 110_000,
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_malformed_pages_of_a_megabyte_take_seconds(shape):
+    begin = time.monotonic()
+    html_text.main_text(SHAPES[shape])
+    assert time.monotonic() - begin < 8  # about one; a quadratic step takes minutes
+
+
+TEXT = "<p>Words of the text, many of them, so that it is dense enough to be found by its weight.</p>"
+MANY_LINKS = "".join(f"<p><a href=/{i}>link number {i} of the list</a></p>" for i in range(12))
+
+
+def test_density_decides_whatever_the_elements_are_called():
+    text = html_text.main_text(TEXT)
+    links, words = f"<div>{MANY_LINKS}</div>", f"<div><h1>Head</h1>{TEXT * 3}</div>"
+    for page in (links + words, words + links, f"<div>{links}</div><div>{words}</div>"):
+        assert html_text.main_text(page) == "\n".join(["Head", *[text] * 3])
+    # Even against the names.
+    assert html_text.main_text(f"<article>{MANY_LINKS}</article>{words}") == "\n".join(["Head", *[text] * 3])
+
+
+def test_densities_match_a_plain_version():
+    page = f"<div><h2>a <a>b</a></h2>{TEXT}<div><a>x</a> yy</div></div><div>{MANY_LINKS}</div>"
+    root = html_text.parse(page)
+    html_text._measure(root)
+
+    def plain(node):
+        """(characters, those in links, tags, tags of links) of all below a node."""
+        told = [0, 0, 0, 0]
+        for x in node.inside:
+            mine = [len(x.strip()), 0, 0, 0] if isinstance(x, str) else [a + b for a, b in zip(plain(x), (0, 0, 1, x.tag == "a"))]
+            told = [a + b for a, b in zip(told, mine)]
+        return (told[0], told[0], *told[2:]) if node.tag == "a" else tuple(told)
+
+    c, lc, _, _ = plain(root)
+    for node in html_text._ordered(root):
+        chars, link, tags, link_tags = plain(node)
+        link, tags, link_tags = (max(1, x) for x in (link, tags, link_tags))
+        base = math.log(chars / max(1, chars - plain(node)[1]) * link + lc / c * chars + math.e)
+        expected = chars / tags * math.log(chars / link * (tags / link_tags)) / math.log(base) if chars > link * link_tags / tags else 0
+        assert node.density == pytest.approx(max(0, expected))
+        assert node.total == pytest.approx(sum(x.density for x in node.inside if not isinstance(x, str)))
+
+
+def test_all_articles_and_the_heading_before_are_kept():
+    text = html_text.main_text(TEXT)
+    page = f"<nav>x</nav><h1>Head</h1><article>{TEXT}</article><div>{MANY_LINKS}</div><article><h2>Two</h2>{TEXT * 2}</article>"
+    assert html_text.main_text(page) == "\n".join(["Head", text, "Two", text, text])
+    assert html_text.main_text(f"<article>{TEXT}</article><article>{TEXT * 4}</article>") == "\n".join([text] * 5)
+    # A heading that does not outrank the text's own is not its.
+    assert html_text.main_text(f"<h1>Site</h1><article><h1>Head</h1>{TEXT}</article>") == f"Head\n{text}"
+    assert html_text.main_text(f"<h1>Head</h1><div><h2>Part</h2>{TEXT * 3}</div>").split("\n")[:2] == ["Head", "Part"]
+
+
+def test_classes_are_read_as_words():
+    text = html_text.main_text(TEXT)
+    for kept in ("replies-from-experts", "share-price", "story-header", "page-without-sidebar"):
+        assert html_text.main_text(f"<article><p class='{kept}'>kept</p>{TEXT}</article>") == f"kept\n{text}"
+    for gone in ("notice", "cookie-notice", "related", "ad"):
+        assert html_text.main_text(f"<article><p class='{gone}'>gone</p>{TEXT}</article>") == text
+    for gone in ("main-sidebar-box", "newsletter-signup-form", "comments"):
+        assert html_text.main_text(f"<article><div class='x {gone}'>gone</div>{TEXT}</article>") == text
+
+
+def test_a_slash_at_the_end_of_a_value_closes_nothing():
+    assert html_text.main_text("<article><a href=http://x/>link</a> text<br/><svg/>more</article>") == "link text more"
+
+
 def test_page_rows(spark, data):
     rows = [(1, "u", "<p>a</p>", "t"), (1, "u", "<p>a</p>", "t"), (None, None, None, None)]
     pages = frame(spark, rows, "page_id long, url string, html string, text string")
