@@ -19,11 +19,11 @@ Every step is exact; only the last one looks at more than hashes, and it decides
 5. Each part marks the windows that start in an earlier document and cuts the bytes they cover.
 
 A passage that a third of all documents hold is one segment a part, so no bucket grows with its
-copies. Buckets are as many as BUCKETS_A_PARTITION times the shuffle partitions, to bound memory.
+copies. The number of buckets follows from the bytes of the texts, to bound memory.
 
-Nulls and edges: a null text is empty; texts under LENGTH bytes lose nothing; a null id counts as
-larger than any other and stays null; rows with equal ids remove nothing from each other; other
-columns are ignored; an empty table gives an empty result.
+Nulls and edges: a null text is empty; texts under LENGTH bytes lose nothing, those of any length are
+read whole; a null id counts as the largest id there can be and stays null; rows with equal ids remove
+nothing from each other; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,7 +43,10 @@ from cohortlens.llm import common, vectors
 LENGTH = 50
 GRAM = 20
 PART_BYTES = 6_000_000
+#: Buckets are at least so many times the shuffle partitions, and one for so many bytes of text.
 BUCKETS_A_PARTITION = 3
+BUCKET_BYTES = 128_000_000
+#: The place of a null id among the others; what is told of it is told by a flag.
 _NO_ID = np.iinfo(np.int64).max
 _SPAN = LENGTH - GRAM + 1  # grams in a window
 
@@ -126,17 +129,20 @@ def _smallest_documents(text: np.ndarray, starts: np.ndarray, docs: np.ndarray)
 # -- parts -----------------------------------------------------------------------------------
 
 
+PARTS = "part long, ids binary, named binary, sizes binary, texts binary, bytes long"
+_PART = ["part", "ids", "named", "sizes", "texts", "bytes"]
+
+
 def _write_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = TaskContext.get().partitionId() << 32
     pack = zstandard.ZstdCompressor(level=1).compress
     for number, ((ids,), texts) in enumerate(common.texts_in_parts(batches, ["doc"], "text", PART_BYTES)):
         known = np.array([_NO_ID if x is None else x for x in ids], np.int64)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        row = [first + number, known.tobytes(), sizes.tobytes(), pack(b"".join(texts))]
-        kinds = [pa.int64(), *[pa.binary()] * 3]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x], k) for x, k in zip(row, kinds, strict=True)], ["part", "ids", "sizes", "texts"]
-        )
+        named = np.packbits([x is not None for x in ids])
+        row = [first + number, known.tobytes(), named.tobytes(), sizes.tobytes(), pack(b"".join(texts)), int(sizes.sum())]
+        kinds = [pa.int64(), *[pa.binary()] * 4, pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], _PART)
 
 
 class Part:
@@ -144,6 +150,7 @@ class Part:
 
     def __init__(self, row: dict) -> None:
         self.ids = np.frombuffer(row["ids"], np.int64)
+        self.named = np.unpackbits(np.frombuffer(row["named"], np.uint8))[: len(self.ids)]
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(self.sizes)])
         raw = zstandard.ZstdDecompressor().decompress(row["texts"]) if self.bounds[-1] else b""
@@ -373,10 +380,9 @@ def _cut(buckets: int, digest: bool):
             removed, spans = vectors.sums(gone, part.bounds), vectors.sums(opens, part.bounds)
             for i, (a, b) in enumerate(zip(part.bounds[:-1].tolist(), part.bounds[1:].tolist(), strict=True)):
                 kept = part.data[a:b][~gone[a:b]].tobytes()
-                doc = int(part.ids[i])
                 rows.append(
                     (
-                        None if doc == _NO_ID else doc,
+                        int(part.ids[i]) if part.named[i] else None,
                         b - a,
                         int(removed[i]),
                         int(spans[i]),
@@ -392,11 +398,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row a row: id_col, n_bytes, n_removed, n_spans (maximal removed runs) and kept, the
     bytes that remain or, with `digest`, their SHA-256."""
     spark = docs.sparkSession
-    buckets = BUCKETS_A_PARTITION * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     given = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    parts = common.checkpointed(
-        given.mapInArrow(_write_parts, "part long, ids binary, sizes binary, texts binary")
-    )
+    parts = common.checkpointed(given.mapInArrow(_write_parts, PARTS))
+    size = parts.agg(F.sum("bytes")).first()[0] or 0
+    fewest = BUCKETS_A_PARTITION * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(fewest, -(-size // BUCKET_BYTES))
     shared = common.checkpointed(
         parts.mapInArrow(_send_anchors(buckets), KEYED).groupBy("bucket").applyInArrow(_share, KEYED)
     )
