@@ -55,6 +55,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """About how many bytes a frame reads, as the optimizer knows from its files; 0 if it does not."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 0
+
+
 def texts_in_parts(
     batches: Iterator[pa.RecordBatch], columns: list[str], text: str, part_bytes: int
 ) -> Iterator[tuple[list[list], list[bytes]]]:

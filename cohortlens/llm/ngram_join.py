@@ -20,12 +20,15 @@ or more. Steps, each exact (a pair that links passes all of them):
 
 In a block, the sets form a prefix tree: sets ordered by one order of all shingles (frequent in the
 block first) and sorted, each with the length it has in common with the one before. The traversal
-keeps the overlaps of all probes with the path at each fork, so sets with the same prefix share
-them, and leaves a branch for those probes that the words left on it cannot bring to the threshold.
+carries the overlaps of the probes with the path down from fork to fork, so sets with the same prefix
+share them. At each fork it knows the shortest and the longest set below; probes that the rest of the
+longest cannot bring to what the shortest needs are passed no further, and a subtree without open
+probes is skipped.
 
 Nulls and edges: null or empty texts have an empty set and link with nothing; rows without an id
 cannot be named and are left out; rows that repeat an id are one document, linked by any of its
-texts, with the size of its largest set; other columns are ignored; an empty table gives none.
+texts, with the size of its largest set; texts are read whole, whatever their length; other columns
+are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -44,6 +47,8 @@ PART_BYTES = 4_000_000
 PART_SHINGLES = 700_000
 #: Documents of a chunk; a block compares one chunk with itself or with another.
 BLOCK = 1_024
+#: Bytes of input for each bucket of shingles, beyond the shuffle partitions.
+BUCKET_BYTES = 32_000_000
 #: Cells of the table of shingles by probes that a block holds at a time.
 CELLS = 32_000_000
 
@@ -266,11 +271,13 @@ def tree_join(probes: list[np.ndarray], sets: list[np.ndarray]) -> Iterator[tupl
     rank[np.argsort(-times, kind="stable")] = np.arange(len(known))
     paths = [np.sort(rank[np.searchsorted(known, x)]) for x in sets]
     order = sorted(range(len(sets)), key=lambda i: paths[i].astype(">u4").tobytes())
-    shared = [0]
-    for i, j in zip(order, order[1:]):
+    # Length in common with the set before, and the length of each, in this order.
+    shared = np.zeros(len(order), np.int64)
+    for at, (i, j) in enumerate(zip(order, order[1:]), 1):
         m = min(len(paths[i]), len(paths[j]))
         apart = np.flatnonzero(paths[i][:m] != paths[j][:m])
-        shared.append(int(apart[0]) if len(apart) else m)
+        shared[at] = apart[0] if len(apart) else m
+    length = np.array([len(paths[i]) for i in order], np.int64)
     step = max(1, CELLS // max(1, len(known)))
     for low in range(0, len(probes), step):
         some = probes[low : low + step]
@@ -278,23 +285,29 @@ def tree_join(probes: list[np.ndarray], sets: list[np.ndarray]) -> Iterator[tupl
         holds = np.zeros((len(known), len(some)), bool)
         for k, probe in enumerate(some):
             holds[rank[np.searchsorted(known, probe)], k] = True
-        forks = [(0, np.zeros(len(some), np.int64))]
-        for at, i in enumerate(order):
-            path, fork = paths[i], shared[at]
-            while forks[-1][0] > fork:
-                forks.pop()
-            depth, overlap = forks[-1]
-            if depth < fork:
-                overlap = overlap + holds[path[depth:fork]].sum(axis=0)
-                forks.append((fork, overlap))
-            need = -(-common.NEAR_PERCENT * (len(path) + sizes) // (100 + common.NEAR_PERCENT))
-            open_probes = np.flatnonzero(overlap + len(path) - fork >= need)
+        # Subtrees: a range of sets, the depth that has been walked, the probes still open there
+        # and their overlaps with the path so far.
+        subtrees = [(0, len(order), 0, np.arange(len(some)), np.zeros(len(some), np.int64))] if len(order) else []
+        while subtrees:
+            first, last, depth, open_probes, overlap = subtrees.pop()
+            inner = shared[first + 1 : last]
+            fork = int(inner.min()) if len(inner) else int(length[first])
+            if fork > depth:
+                path = paths[order[first]][depth:fork]
+                overlap = overlap + holds[np.ix_(path, open_probes)].sum(axis=0)
+            # The sets below are between the shortest and the longest long; no more than the rest of
+            # the longest can still be in common.
+            shortest, longest = length[first:last].min(), length[first:last].max()
+            need = -(-common.NEAR_PERCENT * (shortest + sizes[open_probes]) // (100 + common.NEAR_PERCENT))
+            still = overlap + longest - fork >= need
+            open_probes, overlap = open_probes[still], overlap[still]
             if not len(open_probes):
                 continue
-            rest = holds[path[fork:]][:, open_probes].sum(axis=0)
-            linked = open_probes[overlap[open_probes] + rest >= need[open_probes]]
-            if len(linked):
-                yield i, linked + low
+            if last - first == 1:
+                yield order[first], open_probes + low
+                continue
+            edges = [first, *(np.flatnonzero(inner == fork) + first + 1).tolist(), last]
+            subtrees.extend((i, j, fork, open_probes, overlap) for i, j in zip(edges, edges[1:]))
 
 
 def _compare(table: pa.Table) -> pa.Table:
@@ -381,11 +394,35 @@ def _rest_blocks(large: DataFrame, found: DataFrame) -> DataFrame:
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each id: id_col, n_shingles, component_id."""
-    spark = docs.sparkSession
-    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     given = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
+    several = given.groupBy("doc").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    groups = _grouped(given) if several.isEmpty() else _grouped_rows(given)
+    return groups.select(F.col("doc").alias(id_col), "n_shingles", "component_id")
+
+
+def _grouped_rows(given: DataFrame) -> DataFrame:
+    """Where rows repeat an id, each is compared by itself; then those of one id are one."""
+    rows = common.checkpointed(given.withColumnRenamed("doc", "id").withColumn("doc", F.monotonically_increasing_id()))
+    groups = common.checkpointed(_grouped(rows.select("doc", "text")))
+    ids = rows.select("doc", "id")
+    first = common.checkpointed(ids.groupBy("id").agg(F.min("doc").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1"))
+    of_one_id = ids.join(first, "id").where("doc != a").select("a", F.col("doc").alias("b"))
+    links = groups.where("doc != component_id").select(F.col("component_id").alias("a"), F.col("doc").alias("b"))
+    found = connect(links.unionByName(of_one_id)).withColumnRenamed("node", "doc")
+    placed = ids.join(groups, "doc").join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    placed = common.checkpointed(placed.select("id", "n_shingles", "component"))
+    least = placed.groupBy("component").agg(F.min("id").alias("least"))
+    named = placed.groupBy("id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component").alias("component"))
+    return named.join(least, "component").select(F.col("id").alias("doc"), "n_shingles", F.col("least").alias("component_id"))
+
+
+def _grouped(given: DataFrame) -> DataFrame:
+    """doc, n_shingles and component_id of rows (doc, text) with an id each."""
+    spark = given.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(16, partitions, -(-common.planned_bytes(given) // BUCKET_BYTES))
     told = common.checkpointed(_credited(given.mapInArrow(_spread_texts(buckets), SPREAD), buckets))
 
     # Equal sets are one; those that share enough with others go on.
@@ -395,6 +432,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         .groupBy("n", "fp1", "fp2")
         .agg(F.min("doc").alias("rep"), F.max("credit").alias("credit"), F.count(F.lit(1)).alias("copies"))
     )
+    # Written, so that the join below is of plain reads and AQE splits a set that very many have.
+    classes = common.checkpointed(classes)
     copied = (
         told.join(classes.where("copies > 1").select("n", "fp1", "fp2", "rep"), ["n", "fp1", "fp2"])
         .where("doc != rep")
@@ -437,7 +476,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return (
         told.join(found.withColumnRenamed("node", "doc"), "doc", "left")
         .select(
-            F.col("doc").alias(id_col),
+            "doc",
             F.col("n").alias("n_shingles"),
             F.coalesce("component", "doc").alias("component_id"),
         )
@@ -451,22 +490,22 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = r"""
 WITH RECURSIVE docs AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents WHERE doc_id IS NOT NULL
 ), shingle AS (
-  SELECT DISTINCT doc_id, unnest(
+  SELECT DISTINCT r, unnest(
            CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
                 ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
   FROM docs
 ), size AS (
-  SELECT doc_id, count(s) AS n FROM docs LEFT JOIN shingle USING (doc_id) GROUP BY doc_id
+  SELECT r, doc_id, count(s) AS n FROM docs LEFT JOIN shingle USING (r) GROUP BY r, doc_id
 ), pair AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
-  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+  SELECT x.r AS a, y.r AS b, count(*) AS k
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.r < y.r GROUP BY 1, 2
 ), link AS (
-  SELECT a, b FROM pair JOIN size sa ON sa.doc_id = a JOIN size sb ON sb.doc_id = b
+  SELECT sa.doc_id AS a, sb.doc_id AS b FROM pair JOIN size sa ON sa.r = a JOIN size sb ON sb.r = b
   WHERE 100 * k >= 75 * (sa.n + sb.n - k)
 ), both_ways AS (
   SELECT a, b FROM link UNION ALL SELECT b, a FROM link

@@ -123,6 +123,39 @@ def test_tree_join_finds_what_comparing_finds(probes, sets):
     assert found == {(i, k) for i, s in enumerate(sets) for k, p in enumerate(probes) if near(s, p)}
 
 
+def test_rows_of_one_id_are_linked_by_any_of_their_texts(spark):
+    own = [" ".join(f"{k}w{i}" for i in range(100)) for k in range(4)]
+    short = " ".join(f"s{i}" for i in range(14))
+    docs = [(1, short), (2, own[0]), (2, short), (3, own[1]), (4, own[1]), (4, own[2]), (5, own[2]), (5, None), (6, own[3]), (6, own[3])]
+    expected = {1: (10, 1), 2: (96, 1), 3: (96, 3), 4: (96, 3), 5: (96, 3), 6: (96, 6)}
+    assert _joined(spark, docs) == expected
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    assert {d: (n, c) for d, n, c in duck.execute(ngram_join.OP1_SQL).fetchall()} == expected
+
+
+def test_a_subtree_that_cannot_reach_the_threshold_is_skipped(monkeypatch):
+    random = np.random.default_rng(3)
+    sets = [np.unique(random.integers(0, 60, random.integers(1, 40))).astype(np.uint64) for _ in range(120)]
+    sets += [np.setdiff1d(sets[i], random.choice(sets[i], 1)) for i in range(60) if len(sets[i]) > 5]
+    for cells in (ngram_join.CELLS, 500):
+        monkeypatch.setattr(ngram_join, "CELLS", cells)
+        found = {(i, k) for i, linked in ngram_join.tree_join(sets, sets) for k in linked.tolist()}
+        expected = {
+            (i, k) for i, x in enumerate(sets) for k, y in enumerate(sets)
+            if 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y))
+        }
+        assert found == expected and len(expected) > len(sets)
+    # Sets far too long for the probes are never walked to their ends.
+    visited = []
+    real = np.ix_
+    monkeypatch.setattr(np, "ix_", lambda path, probes: visited.append(len(path) * len(probes)) or real(path, probes))
+    long = [np.arange(k, k + 4_000, dtype=np.uint64) for k in range(0, 40, 2)]
+    assert list(ngram_join.tree_join([np.arange(9, dtype=np.uint64)], long)) == []
+    assert sum(visited) <= 4_000
+
+
 # -- suffix arrays ---------------------------------------------------------------------------
 
 
@@ -146,6 +179,14 @@ def test_suffix_dedup_matches_a_plain_version(spark, data):
         assert got == brute.cut_repeats(docs)
 
 
+def test_any_id_is_kept_and_null_stays_null(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 100)
+    text, top = PHRASE * 4, 2**63 - 1
+    docs = frame(spark, [(top, text), (None, text), (-top - 1, text[:120]), (0, "own " * 30), (None, "own " * 30)])
+    found = {(r.doc_id, r.n_removed > 0) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert found == {(top, True), (None, True), (-top - 1, False), (0, False)}
+
+
 def test_suffix_dedup_edges(spark):
     rows = [(2, PHRASE), (2, PHRASE), (None, PHRASE), (1, "other " + PHRASE)]
     docs = frame(spark, rows).selectExpr("doc_id", "text", "text AS part")
