@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
+from cohortlens.session import shared_dir  # noqa: E402
 
 FUNCTIONS = dict(corpus_pipeline.STAGES)
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -49,7 +50,18 @@ def test_stages_take_nulls_and_clashing_columns(spark, data):
         assert stage(spark, docs, data).columns == COLUMNS
         assert stage(spark, docs.limit(0), data).count() == 0
     near = FUNCTIONS["ngram_jaccard_join"](spark, docs, data)
-    assert sorted((r.doc_id or 0) for r in near.collect()) == [0, 1, 3]
+    assert sorted((r.doc_id or 0) for r in near.collect()) == [1, 3]
+
+
+def test_one_row_of_each_group_of_copies_stays(spark, data):
+    texts = [" ".join(f"{k}word{i}" for i in range(60)) for k in range(4)]
+    near = texts[0].replace("0word9 ", "changed ")
+    rows = [(9, near), (1, texts[0]), (1, texts[0]), (None, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[2])]
+    rows += [(None, None), (None, ""), (4, ""), (4, ""), (5, texts[3])]
+    docs = spark.createDataFrame([(i, x, "en", "s", 0) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = FUNCTIONS["ngram_jaccard_join"](spark, docs.repartition(5).sortWithinPartitions("text"), data).collect()
+    told = sorted(((r.doc_id or 0), r.text or "") for r in left)
+    assert told == sorted([(1, texts[0]), (1, texts[1]), (0, texts[2]), (0, ""), (0, ""), (4, ""), (4, ""), (5, texts[3])])
 
 
 def test_items_are_taken_out_row_by_row(spark, data):
@@ -63,5 +75,7 @@ def test_items_are_taken_out_row_by_row(spark, data):
 
 def test_run_gives_the_last_stage(spark, data):
     packed = corpus_pipeline.run(spark, data)
+    shared = shared_dir(spark).removeprefix("file:")
+    assert [n.split("-")[1] for n in os.listdir(shared) if n.startswith("pipeline-")] == ["packing"]
     sizes = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("context").alias("c"))
     assert sizes.count() and sizes.where("n != c").count() == 0
