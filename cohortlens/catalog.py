@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -205,7 +206,7 @@ def named_submissions(data):
     wh = data.wh
     return wh.facts.join(wh.students.select("student_id", "student_name"), "student_id", "left").select(
         "submission_id", "student_id", "course_id", "assignment_id", "late", "submitted_at",
-        E.cents("grade").alias("cents"), "student_name",
+        E.micros("grade").cast("bigint").alias("micros"), "student_name",
     )
 
 
@@ -230,6 +231,22 @@ def student_summary(data):
     return reports.student_summary(data.wh)
 
 
+@_register("p8_full_precision")
+def full_precision(data):
+    """The student summary over grades with six places, many of them just below the pass mark."""
+    return reports.student_summary(replace(data.wh, facts=fixtures.fine_grades(data.wh.facts)))
+
+
+@_register("a9_full_precision")
+def full_precision_spread(data):
+    """Spread and slope over the same grades."""
+    wh = replace(data.wh, facts=fixtures.fine_grades(data.wh.facts))
+    return features.pair_statistics(wh).select(
+        "student_id", "course_id", F.coalesce(features.early_stddev(), F.lit(0.0)).alias("early_grade_stddev"),
+        F.coalesce(features.grade_trend(), F.lit(0.0)).alias("early_grade_trend"),
+    )
+
+
 @_register("p9_overview_counts")
 def overview_counts(data):
     return reports.overview_counts(data.wh)
@@ -479,12 +496,34 @@ def risk_share(data):
     return marts.risk_share(data.students)
 
 
+def _number_sum(df: DataFrame) -> Column:
+    """The sum over all number columns of a report, each value as whole ten-thousandths."""
+    numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    total = reduce(lambda a, b: a + b, [F.coalesce(_ten_thousandths(F.col(c)), F.lit(0).cast("decimal(38,0)")) for c in numbers])
+    return F.coalesce(F.sum(total), F.lit(0)).cast("double")
+
+
+def _ten_thousandths(value: Column) -> Column:
+    return F.floor(value.cast("double") * 10_000 + 0.5).cast("decimal(20,0)")
+
+
 @_register("p26_dashboard_bundle")
 def dashboard_bundle(data):
-    """Row count of every result of the bundle."""
-    bundle = reports.dashboard_bundle(data.wh, data.scored)
-    counts = [df.agg(F.lit(name).alias("report"), F.count("*").alias("rows")) for name, df in bundle.items()]
-    return reduce(DataFrame.unionByName, counts)
+    """Rows of every result of the bundle, the sum of all their numbers and a digest of their texts,
+    whatever their order."""
+    told = []
+    for name, df in reports.dashboard_bundle(data.wh, data.scored).items():
+        texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+        digest = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8), 16, 10).cast("bigint")
+        told.append(
+            df.agg(
+                F.lit(name).alias("report"),
+                F.count("*").alias("rows"),
+                _number_sum(df).alias("numbers"),
+                (F.coalesce(F.sum(digest), F.lit(0)) if texts else F.lit(0)).cast("bigint").alias("texts"),
+            )
+        )
+    return reduce(DataFrame.unionByName, told)
 
 
 # -- pivots ---------------------------------------------------------------------------------

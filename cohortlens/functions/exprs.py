@@ -1,7 +1,7 @@
 """Scalar expressions and order-independent aggregate formulas.
 
-Grades are summed as integer hundredths and divided once at the end, so a result does not
-depend on the order in which partial sums meet.
+Grades are summed as integer millionths, all the places they have, and divided once at the end, so a
+result does not depend on the order in which partial sums meet.
 """
 
 from __future__ import annotations
@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 BIG = "decimal(38,0)"
 MS_PER_HOUR = 3600000.0
 FIXED_POINT = 1e10
+#: Parts of a grade point that are summed.
+UNIT = 1_000_000
 
 
-def cents(grade: str | Column) -> Column:
-    """Grade as integer hundredths, each grade rounded half away from zero on its own."""
+def micros(grade: str | Column) -> Column:
+    """Grade as integer millionths; a seventh place is rounded half away from zero.
+
+    A decimal, so that a sum of any number of rows holds: at 100 points, 10^20 rows.
+    """
     grade = F.col(grade) if isinstance(grade, str) else grade
-    return (grade.cast("decimal(14,2)") * 100).cast("bigint")
+    return (grade.cast("decimal(18,6)") * UNIT).cast("decimal(18,0)")
 
 
 def whole_division(numerator: Column, denominator: Column) -> Column:
@@ -29,14 +34,15 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator, F.lit(0))
 
 
-def avg_of_cents(total: Column, n: Column) -> Column:
-    """Mean grade from summed hundredths."""
-    return ratio(total, n) / 100
+def avg_of_micros(total: Column, n: Column) -> Column:
+    """Mean grade from summed millionths."""
+    return ratio(total, n) / UNIT
 
 
 def rounded_avg(total: Column, n: Column) -> Column:
     """Mean grade at two places, half away from zero, in integer arithmetic."""
-    magnitude = whole_division(F.abs(total) * 2 + n, F.nullif(n, F.lit(0)) * 2)
+    hundredth = UNIT // 100
+    magnitude = whole_division(F.abs(total) * 2 + n * hundredth, F.nullif(n, F.lit(0)) * (2 * hundredth))
     return F.signum(total) * magnitude.cast("double") / 100
 
 
@@ -61,38 +67,44 @@ def stable_mean(value: Column) -> Column:
     return ratio(stable_sum(value), F.count(value)) / FIXED_POINT
 
 
+def _determinant(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """a * b - c * d as a double, from exact integers; where those have no room, from doubles."""
+    exact = [x.cast(BIG) for x in (a, b, c, d)]
+    near = [x.cast("double") for x in (a, b, c, d)]
+    whole = F.try_subtract(F.try_multiply(*exact[:2]), F.try_multiply(*exact[2:])).cast("double")
+    return F.coalesce(whole, near[0] * near[1] - near[2] * near[3])
+
+
 def variance_numerator(n: Column, total: Column, squares: Column) -> Column:
-    """n * sum(y^2) - sum(y)^2 over integer hundredths."""
-    return n.cast(BIG) * squares.cast(BIG) - total.cast(BIG) * total.cast(BIG)
+    """n * sum(y^2) - sum(y)^2 over integer millionths, as a double that is never below 0.
+
+    Exact up to 38 digits: at 100 points, some 10^11 rows in a group. Null where the squares have
+    no room at all.
+    """
+    return F.when(squares.isNotNull(), F.greatest(_determinant(n, squares, total, total), F.lit(0.0)))
 
 
-def stddev_pop_of_cents(n: Column, total: Column, squares: Column) -> Column:
+def stddev_pop_of_micros(n: Column, total: Column, squares: Column) -> Column:
     """Population standard deviation in grade points; 0 for one row, null for none."""
     n = F.nullif(n, F.lit(0))
-    return F.sqrt(variance_numerator(n, total, squares).cast("double")) / n / 100
+    return F.sqrt(variance_numerator(n, total, squares)) / n / UNIT
 
 
-def stddev_samp_of_cents(n: Column, total: Column, squares: Column) -> Column:
+def stddev_samp_of_micros(n: Column, total: Column, squares: Column) -> Column:
     """Sample standard deviation in grade points; null below two rows."""
     pairs = n.cast("double") * (n - 1).cast("double")
-    spread = variance_numerator(n, total, squares).cast("double") / F.nullif(pairs, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(spread) / 100)
+    spread = variance_numerator(n, total, squares) / F.nullif(pairs, F.lit(0.0))
+    return F.when(n > 1, F.sqrt(spread) / UNIT)
 
 
-def slope_of_cents(n: Column, sx: Column, sy: Column, sxx: Column, sxy: Column) -> Column:
-    """Least-squares slope in grade points per second, x in milliseconds, y in hundredths.
+def slope_of_micros(n: Column, sx: Column, sy: Column, sxx: Column, sxy: Column) -> Column:
+    """Least-squares slope in grade points per second, x in milliseconds, y in millionths.
 
-    The exact decimal form covers a billion rows per group over half a year; beyond that
-    ``try_multiply`` gives null and the double form takes over. Null when x is constant.
+    Exact up to 38 digits: at 100 points, some ten million rows of a group over half a year; beyond
+    that doubles take over. Null when x is constant.
     """
-    n, sx, sy, sxx, sxy = (c.cast(BIG) for c in (n, sx, sy, sxx, sxy))
-
-    def determinant(a, b, c, d):
-        exact = F.try_subtract(F.try_multiply(a, b), F.try_multiply(c, d)).cast("double")
-        a, b, c, d = (v.cast("double") for v in (a, b, c, d))
-        return F.coalesce(exact, a * b - c * d)
-
-    return determinant(n, sxy, sx, sy) / F.nullif(determinant(n, sxx, sx, sx), F.lit(0.0)) * 10.0
+    slope = _determinant(n, sxy, sx, sy) / F.nullif(_determinant(n, sxx, sx, sx), F.lit(0.0))
+    return slope / (UNIT // 1000)
 
 
 def finite_or_zero(value: Column) -> Column:

@@ -78,13 +78,13 @@ def _pair_statistics(
 ) -> DataFrame:
     """All per-pair sums in one aggregation; unused ones are pruned by the optimizer."""
     early = F.col("is_early")
-    grade = E.cents("grade")
+    grade = E.micros("grade")
     early_grade = F.when(early, grade)
     # Measured from the newest submission: the slope is the same and the sums stay small.
     elapsed = F.unix_millis("submitted_at") - F.col("_origin")
-    x = F.when(early & grade.isNotNull(), elapsed).cast("decimal(14,0)")
-    y = F.when(early, grade).cast("decimal(10,0)")
-    delay = F.col("delay_ms").cast("decimal(14,0)")
+    # Times of any year fit; sums and products beyond 38 digits are null, not an error.
+    x = F.when(early & grade.isNotNull(), elapsed).cast("decimal(18,0)")
+    delay = F.col("delay_ms").cast("decimal(18,0)")
     one = F.lit(1)
     return (
         rows.withColumn("_latest", latest)
@@ -100,15 +100,15 @@ def _pair_statistics(
             F.count("*").alias("n"),
             F.count_if("late").alias("late_n"),
             F.count("grade").alias("graded_n"),
-            F.sum(grade).alias("cents"),
+            F.sum(grade).alias("micros"),
             F.count(F.when(early, one)).alias("early_n"),
             F.count(F.when(early & F.col("late"), one)).alias("early_late_n"),
             F.count(early_grade).alias("early_graded_n"),
-            F.sum(early_grade).alias("early_cents"),
-            F.sum(early_grade * early_grade).alias("early_cents_sq"),
+            F.sum(early_grade).alias("early_micros"),
+            F.try_sum(F.try_multiply(early_grade, early_grade)).alias("early_squares"),
             F.sum(x).alias("sx"),
-            F.sum(x * x).alias("sxx"),
-            F.sum(x * y).alias("sxy"),
+            F.try_sum(F.try_multiply(x, x)).alias("sxx"),
+            F.try_sum(F.try_multiply(x, early_grade)).alias("sxy"),
             early_weeks.alias("early_weeks"),
             assignments_done.alias("assignments_done"),
             F.count(F.when(early, F.col("delay_ms"))).alias("early_due_n"),
@@ -157,12 +157,12 @@ def avg_delay_strict() -> Column:
 
 
 def grade_trend() -> Column:
-    return E.slope_of_cents(*[F.col(c) for c in ("early_graded_n", "sx", "early_cents", "sxx", "sxy")])
+    return E.slope_of_micros(*[F.col(c) for c in ("early_graded_n", "sx", "early_micros", "sxx", "sxy")])
 
 
 def early_stddev() -> Column:
-    return E.stddev_pop_of_cents(
-        F.col("early_graded_n"), F.col("early_cents"), F.col("early_cents_sq")
+    return E.stddev_pop_of_micros(
+        F.col("early_graded_n"), F.col("early_micros"), F.col("early_squares")
     )
 
 
@@ -202,7 +202,7 @@ def training_dataset(
     stats = pair_statistics(wh, "due", fraction, as_of)
     of_student = Window.partitionBy("student_id")
     stats = stats.withColumn("course_load", F.sum("n").over(of_student))
-    course_avg = E.avg_of_cents(F.col("cents"), F.col("graded_n"))
+    course_avg = E.avg_of_micros(F.col("micros"), F.col("graded_n"))
     return _describe_pairs(stats, wh).select(
         "student_id",
         "student_name",
@@ -212,7 +212,7 @@ def training_dataset(
         "course_load",
         F.col("n").alias("course_submission_count"),
         _or_zero(E.ratio(F.col("late_n"), F.col("n"))).alias("course_late_ratio"),
-        _or_zero(E.avg_of_cents(F.col("early_cents"), F.col("early_graded_n"))).alias("early_avg_grade"),
+        _or_zero(E.avg_of_micros(F.col("early_micros"), F.col("early_graded_n"))).alias("early_avg_grade"),
         F.col("early_n").alias("early_submission_count"),
         _or_zero(E.ratio(F.col("early_late_n"), F.col("early_n"))).alias("early_late_ratio"),
         F.col("early_weeks").alias("active_weeks_early"),
@@ -246,10 +246,10 @@ def student_course_features(
             "student_email",
             "course_id",
             "course_name",
-            _or_zero(E.avg_of_cents(F.col("cents"), F.col("graded_n"))).alias("course_final_avg"),
+            _or_zero(E.avg_of_micros(F.col("micros"), F.col("graded_n"))).alias("course_final_avg"),
             F.col("n").alias("course_submission_count"),
             _or_zero(E.ratio(F.col("late_n"), F.col("n"))).alias("course_late_ratio"),
-            _or_zero(E.avg_of_cents(F.col("early_cents"), F.col("early_graded_n"))).alias("early_avg_grade"),
+            _or_zero(E.avg_of_micros(F.col("early_micros"), F.col("early_graded_n"))).alias("early_avg_grade"),
             F.col("early_n").alias("early_submission_count"),
             _or_zero(E.ratio(F.col("early_late_n"), F.col("early_n"))).alias("early_late_ratio"),
             F.col("early_weeks").alias("active_weeks_early"),
@@ -270,15 +270,15 @@ def courses_enrolled(facts: DataFrame) -> DataFrame:
     return facts.groupBy("student_id").agg(F.count_distinct("course_id").alias("courses_enrolled"))
 
 
-def score_by_average(graded_n: Column, cents: Column) -> Column:
+def score_by_average(graded_n: Column, micros: Column) -> Column:
     """Fixed scoring rule 1 - average / 10; null without any grade."""
-    full = graded_n * 1000
-    return E.ratio(full - F.coalesce(cents, F.lit(0)), full)
+    full = graded_n * (10 * E.UNIT)
+    return E.ratio(full - F.coalesce(micros, F.lit(0)), full)
 
 
 def scored_pairs(wh: Warehouse, **options) -> DataFrame:
     """Training rows scored by the fixed rule, shaped like the model output."""
-    score = score_by_average(F.col("graded_n"), F.col("cents"))
+    score = score_by_average(F.col("graded_n"), F.col("micros"))
     scored = training_dataset(wh, extra={"risk_probability": score}, **options)
     flag = F.when(F.col("risk_probability") >= 0.5, 1).otherwise(0)
     return scored.withColumn("predicted_at_risk", flag)

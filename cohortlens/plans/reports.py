@@ -23,12 +23,12 @@ def _sums() -> list[Column]:
         F.count("*").alias("n"),
         F.count_if("late").alias("late_n"),
         F.count("grade").alias("graded_n"),
-        F.sum(E.cents("grade")).alias("cents"),
+        F.sum(E.micros("grade")).alias("micros"),
     ]
 
 
 def _avg() -> Column:
-    return E.avg_of_cents(F.col("cents"), F.col("graded_n"))
+    return E.avg_of_micros(F.col("micros"), F.col("graded_n"))
 
 
 def _late() -> Column:
@@ -95,7 +95,7 @@ def _course_sums(facts: DataFrame) -> DataFrame:
     """Course sums and distinct students from one pass: pair grain first, then course."""
     pair = facts.groupBy("course_id", "student_id").agg(*_sums())
     return pair.groupBy("course_id").agg(
-        *[F.sum(c).alias(c) for c in ("n", "late_n", "graded_n", "cents")],
+        *[F.sum(c).alias(c) for c in ("n", "late_n", "graded_n", "micros")],
         F.count("student_id").alias("student_count"),
     )
 
@@ -140,7 +140,7 @@ def weekly_trends_rounded(facts: DataFrame) -> DataFrame:
         _weekly(facts)
         .select(
             "week",
-            E.rounded_avg(F.col("cents"), F.col("graded_n")).alias("avg_grade"),
+            E.rounded_avg(F.col("micros"), F.col("graded_n")).alias("avg_grade"),
             E.rounded_ratio(F.col("late_n"), F.col("n")).alias("late_ratio"),
             F.col("n").alias("submissions"),
         )
@@ -188,7 +188,7 @@ def course_report(wh: Warehouse, risk_by_course: DataFrame) -> DataFrame:
         .select(
             "course_id",
             "course_name",
-            _zero(E.rounded_avg(F.col("cents"), F.col("graded_n"))).alias("avg_grade"),
+            _zero(E.rounded_avg(F.col("micros"), F.col("graded_n"))).alias("avg_grade"),
             _zero(E.rounded_ratio(F.col("late_n"), F.col("n"))).alias("late_ratio"),
             _zero(F.col("student_count")).alias("student_count"),
             _zero(F.col("n")).alias("total_submissions"),
@@ -323,7 +323,7 @@ def student_trend(facts: DataFrame, student_id: int | None = None) -> DataFrame:
         .select(
             "student_id",
             "week",
-            E.rounded_avg(F.col("cents"), F.col("graded_n")).alias("avg_grade"),
+            E.rounded_avg(F.col("micros"), F.col("graded_n")).alias("avg_grade"),
             F.col("n").alias("submissions"),
             F.col("late_n").alias("late_count"),
         )
@@ -334,22 +334,22 @@ def student_trend(facts: DataFrame, student_id: int | None = None) -> DataFrame:
 def course_comparison(wh: Warehouse) -> DataFrame:
     """Grade metrics over graded rows, enrolment over all rows, every course kept."""
     graded = F.col("grade").isNotNull()
-    grade = E.cents("grade")
+    grade = E.micros("grade")
     pair = wh.facts.groupBy("course_id", "student_id").agg(
         F.count("grade").alias("graded_n"),
-        F.sum(grade).alias("cents"),
-        F.sum(grade * grade).alias("squares"),
+        F.sum(grade).alias("micros"),
+        F.try_sum(F.try_multiply(grade, grade)).alias("squares"),
         F.count_if(graded & F.col("late")).alias("late_n"),
         F.max(F.when(graded, F.col("submitted_at"))).alias("last_activity"),
     )
     sums = pair.groupBy("course_id").agg(
-        *[F.sum(c).alias(c) for c in ("graded_n", "cents", "late_n")],
-        F.sum(F.col("squares").cast("decimal(28,0)")).alias("squares"),
+        *[F.sum(c).alias(c) for c in ("graded_n", "micros", "late_n")],
+        F.try_sum("squares").alias("squares"),
         F.max("last_activity").alias("last_activity"),
         F.count("student_id").alias("enrolled_students"),
     )
-    n, total = F.col("graded_n"), F.col("cents")
-    spread = E.stddev_samp_of_cents(n, total, F.col("squares"))
+    n, total = F.col("graded_n"), F.col("micros")
+    spread = E.stddev_samp_of_micros(n, total, F.col("squares"))
     return (
         wh.courses.select("course_id", "course_name")
         .join(sums, "course_id", "left")
@@ -422,7 +422,7 @@ def student_course_vs_class(
         rows = rows.filter(F.col("student_id") == student_id)
     student = E.rounded(F.col("course_final_avg"), 2)
     joined = rows.join(class_avg, "course_id", "left")
-    klass = E.rounded_avg(F.col("cents"), F.col("graded_n"))
+    klass = E.rounded_avg(F.col("micros"), F.col("graded_n"))
     return joined.select(
         "student_id",
         "course_id",

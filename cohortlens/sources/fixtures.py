@@ -272,3 +272,11 @@ def landed_in_slices(rows: DataFrame, ts: str, path: str, slices: int) -> None:
     place = F.floor((F.unix_micros(ts) - (first or 0)) / width)
     for number in range(slices):
         rows.where(place == number).coalesce(1).write.mode("append").parquet(path)
+
+
+def fine_grades(facts: DataFrame) -> DataFrame:
+    """Grades with six places: every second student is at 4.996, just below the pass mark, the
+    others move by a third of a hundredth."""
+    moved = F.col("grade") + F.lit(Decimal("0.003333"))
+    just_below = F.when(F.col("grade").isNotNull(), F.lit(Decimal("4.996000")))
+    return facts.withColumn("grade", F.when(F.col("student_id") % 2 == 0, just_below).otherwise(moved).cast(GRADE))

@@ -17,7 +17,7 @@ from cohortlens.streaming import ledger
 # Registers of a student sketch, as a power of two: a standard error of 0.8 %.
 SKETCH_BITS = 14
 HOURLY = "hour timestamp, submissions bigint, students binary"
-WEEKLY = "week date, n bigint, late_n bigint, graded_n bigint, cents bigint"
+WEEKLY = "week date, n bigint, late_n bigint, graded_n bigint, micros decimal(38,0)"
 
 
 def activity_windows(
@@ -123,14 +123,14 @@ def weekly_partials(batch: DataFrame) -> DataFrame:
             F.count("*").alias("n"),
             F.count_if("late").alias("late_n"),
             F.count("grade").alias("graded_n"),
-            F.sum(E.cents("grade")).alias("cents"),
+            F.sum(E.micros("grade")).cast(E.BIG).alias("micros"),
         )
-        .select(F.to_date("window.start").alias("week"), "n", "late_n", "graded_n", "cents")
+        .select(F.to_date("window.start").alias("week"), "n", "late_n", "graded_n", "micros")
     )
 
 
 def merged_weeks(partials: DataFrame) -> DataFrame:
-    sums = [F.sum(c).alias(c) for c in ("n", "late_n", "graded_n", "cents")]
+    sums = [F.sum(c).alias(c) for c in ("n", "late_n", "graded_n", "micros")]
     return partials.groupBy("week").agg(*sums)
 
 

@@ -9,7 +9,7 @@ fact AS (
                    CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
                    CAST(CAST(l_shipdate AS DATE) AS VARCHAR)) AS submission_id,
          o_custkey AS student_id, {COURSE} AS course_id, l_partkey AS assignment_id,
-         CASE WHEN l_discount = 0.1 THEN NULL ELSE CAST(floor(l_quantity * 20) AS BIGINT) END AS cents,
+         CASE WHEN l_discount = 0.1 THEN NULL ELSE CAST(floor(l_quantity * 20) AS BIGINT) * 10000 END AS micros,
          l_returnflag = 'R' AS late, l_shipdate AS submitted_at
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 dim_students AS (
@@ -26,7 +26,7 @@ fact AS (
          CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
               WHEN 'signup' THEN 4 ELSE 5 END AS BIGINT) AS course_id,
          CAST(json_extract(props, '$.k') AS BIGINT) AS assignment_id,
-         CASE WHEN event_id % 11 = 0 THEN NULL ELSE (event_id % 101) * 10 END AS cents,
+         CASE WHEN event_id % 11 = 0 THEN NULL ELSE (event_id % 101) * 100000 END AS micros,
          CAST(json_extract(props, '$.k') AS BIGINT) % 3 = 0 AS late, ts AS submitted_at
   FROM events)"""
 
@@ -44,15 +44,15 @@ flagged AS (
   SELECT *, rn <= greatest(1, (total_count * 6 + 9) // 10) AS early FROM ranked),
 pair AS (
   SELECT student_id, course_id, count(*) AS n, count(*) FILTER (late) AS late_n,
-         count(cents) AS graded_n, CAST(sum(cents) AS BIGINT) AS cents,
+         count(micros) AS graded_n, CAST(sum(micros) AS BIGINT) AS micros,
          count(*) FILTER (early) AS early_n,
          count(*) FILTER (early AND late) AS early_late_n,
-         count(cents) FILTER (early) AS early_graded_n,
-         CAST(sum(cents) FILTER (early) AS BIGINT) AS early_cents,
-         CAST(sum(cents * cents) FILTER (early) AS HUGEINT) AS early_sq,
-         CAST(sum(x) FILTER (early AND cents IS NOT NULL) AS HUGEINT) AS sx,
-         sum(CAST(x AS HUGEINT) * x) FILTER (early AND cents IS NOT NULL) AS sxx,
-         sum(CAST(x AS HUGEINT) * cents) FILTER (early AND cents IS NOT NULL) AS sxy,
+         count(micros) FILTER (early) AS early_graded_n,
+         CAST(sum(micros) FILTER (early) AS BIGINT) AS early_micros,
+         CAST(sum(CAST(micros AS HUGEINT) * micros) FILTER (early) AS HUGEINT) AS early_sq,
+         CAST(sum(x) FILTER (early AND micros IS NOT NULL) AS HUGEINT) AS sx,
+         sum(CAST(x AS HUGEINT) * x) FILTER (early AND micros IS NOT NULL) AS sxx,
+         sum(CAST(x AS HUGEINT) * micros) FILTER (early AND micros IS NOT NULL) AS sxy,
          count(DISTINCT date_trunc('week', submitted_at)) FILTER (early) AS early_weeks,
          count(DISTINCT assignment_id) AS done,
          count(delay_ms) FILTER (early) AS early_due_n,
@@ -71,17 +71,17 @@ PAIRS_BY_SUBMIT = _PAIRS.format(order="submitted_at, submission_id")
 # A correctly rounded HUGEINT to DOUBLE conversion goes through text.
 WIDE = "CAST(CAST({} AS VARCHAR) AS DOUBLE)".format
 SLOPE = (
-    WIDE("(CAST(early_graded_n AS HUGEINT) * sxy - sx * early_cents)")
-    + " / nullif(" + WIDE("(CAST(early_graded_n AS HUGEINT) * sxx - sx * sx)") + ", 0) * 10.0"
+    WIDE("(CAST(early_graded_n AS HUGEINT) * sxy - sx * early_micros)")
+    + " / nullif(" + WIDE("(CAST(early_graded_n AS HUGEINT) * sxx - sx * sx)") + ", 0) / 1000.0"
 )
 STDDEV = (
-    "sqrt(" + WIDE("(early_graded_n * early_sq - CAST(early_cents AS HUGEINT) * early_cents)")
-    + ") / nullif(early_graded_n, 0) / 100"
+    "sqrt(" + WIDE("(early_graded_n * early_sq - CAST(early_micros AS HUGEINT) * early_micros)")
+    + ") / nullif(early_graded_n, 0) / 1000000"
 )
 
 
 def avg(total: str, n: str) -> str:
-    return f"CAST({total} AS DOUBLE) / nullif({n}, 0) / 100"
+    return f"CAST({total} AS DOUBLE) / nullif({n}, 0) / 1000000"
 
 
 def ratio(num: str, den: str) -> str:
@@ -89,7 +89,7 @@ def ratio(num: str, den: str) -> str:
 
 
 def round_avg(total: str, n: str) -> str:
-    return f"CAST((2 * {total} + {n}) // nullif(2 * {n}, 0) AS DOUBLE) / 100"
+    return f"CAST((2 * {total} + 10000 * {n}) // nullif(20000 * {n}, 0) AS DOUBLE) / 100"
 
 
 def round_ratio(num: str, den: str, digits: int = 4) -> str:
@@ -111,16 +111,16 @@ training AS (
   SELECT p.student_id, student_name, student_email, p.course_id, course_name,
          CAST(sum(p.n) OVER (PARTITION BY p.student_id) AS BIGINT) AS course_load,
          n AS course_submission_count, {ratio('late_n', 'n')} AS course_late_ratio,
-         coalesce({avg('early_cents', 'early_graded_n')}, 0) AS early_avg_grade,
+         coalesce({avg('early_micros', 'early_graded_n')}, 0) AS early_avg_grade,
          early_n AS early_submission_count, {ratio('early_late_n', 'early_n')} AS early_late_ratio,
          early_weeks AS active_weeks_early, coalesce({STDDEV}, 0) AS early_grade_stddev,
          coalesce({SLOPE}, 0) AS early_grade_trend,
          coalesce({ratio('early_delay', 'early_due_n')} / 3600000.0, 0) AS avg_delay_hours,
          last_14d AS submissions_last_14d, last_30d AS submissions_last_30d,
          coalesce({ratio('done', 'coalesce(total_assignments, 0)')}, 0) AS assignment_completion_ratio,
-         coalesce({avg('cents', 'graded_n')}, 0) AS course_final_avg,
-         CASE WHEN coalesce({avg('cents', 'graded_n')}, 0) < 5 THEN 1 ELSE 0 END AS is_at_risk,
-         CAST(1000 * graded_n - coalesce(cents, 0) AS DOUBLE) / nullif(1000 * graded_n, 0) AS risk_probability
+         coalesce({avg('micros', 'graded_n')}, 0) AS course_final_avg,
+         CASE WHEN coalesce({avg('micros', 'graded_n')}, 0) < 5 THEN 1 ELSE 0 END AS is_at_risk,
+         CAST(10000000 * graded_n - coalesce(micros, 0) AS DOUBLE) / nullif(10000000 * graded_n, 0) AS risk_probability
   FROM pair p JOIN dim_students USING (student_id) JOIN dim_courses USING (course_id)
   LEFT JOIN course_totals USING (course_id))"""
 

@@ -22,7 +22,7 @@ from oracles.base import (
 )
 
 WEEK = "CAST(CAST(date_trunc('week', submitted_at) AS DATE) AS VARCHAR)"
-CENTS = "CAST(sum(cents) AS BIGINT)"
+MICROS = "CAST(sum(micros) AS BIGINT)"
 
 
 def _bins(p: str) -> str:
@@ -75,9 +75,9 @@ for _name in ("latest", "subs", "ranked", "flagged"):
 STUDENT_COURSES = f"""
 student_courses AS (
   SELECT p.student_id, d.student_name, d.student_email, p.course_id, course_name,
-         coalesce({avg('cents', 'graded_n')}, 0) AS course_final_avg, n AS course_submission_count,
+         coalesce({avg('micros', 'graded_n')}, 0) AS course_final_avg, n AS course_submission_count,
          {ratio('late_n', 'n')} AS course_late_ratio,
-         coalesce({avg('early_cents', 'early_graded_n')}, 0) AS early_avg_grade,
+         coalesce({avg('early_micros', 'early_graded_n')}, 0) AS early_avg_grade,
          early_n AS early_submission_count, {ratio('early_late_n', 'early_n')} AS early_late_ratio,
          early_weeks AS active_weeks_early,
          coalesce({ratio('overdue', 'overdue_n')} / 3600000.0, 0) AS avg_delay_hours,
@@ -93,12 +93,12 @@ _SC = [*_MART, _BY_SUBMIT, STUDENT_COURSES]
 
 COURSE_SUMS = f"""
 sums AS (
-  SELECT course_id, count(*) AS n, count(*) FILTER (late) AS late_n, count(cents) AS graded_n,
-         {CENTS} AS cents, count(DISTINCT student_id) AS student_count FROM fact GROUP BY course_id)"""
+  SELECT course_id, count(*) AS n, count(*) FILTER (late) AS late_n, count(micros) AS graded_n,
+         {MICROS} AS micros, count(DISTINCT student_id) AS student_count FROM fact GROUP BY course_id)"""
 
 COURSE_REPORT = f"""
 report AS (
-  SELECT d.course_id, d.course_name, coalesce({round_avg('cents', 'graded_n')}, 0) AS avg_grade,
+  SELECT d.course_id, d.course_name, coalesce({round_avg('micros', 'graded_n')}, 0) AS avg_grade,
          coalesce({round_ratio('late_n', 'n')}, 0) AS late_ratio,
          coalesce(student_count, 0) AS student_count, coalesce(n, 0) AS total_submissions,
          coalesce(at_risk_students, 0) AS at_risk_students,
@@ -118,10 +118,10 @@ overview AS (
 
 VS_CLASS = f"""
 class_avg AS (
-  SELECT course_id, count(cents) AS class_n, {CENTS} AS class_cents FROM fact GROUP BY course_id),
+  SELECT course_id, count(micros) AS class_n, {MICROS} AS class_micros FROM fact GROUP BY course_id),
 compared AS (
   SELECT student_id, s.course_id, course_name, {rounded('course_final_avg', 2)} AS student_avg,
-         {round_avg('class_cents', 'class_n')} AS class_avg,
+         {round_avg('class_micros', 'class_n')} AS class_avg,
          {rounded('course_late_ratio', 4)} AS student_late_ratio,
          course_submission_count AS student_submissions, risk_probability, risk_bucket,
          predicted_at_risk
@@ -140,15 +140,15 @@ best_worst AS (
 
 COMPARISON = f"""
 comparison AS (
-  SELECT d.course_id, d.course_name, coalesce({round_avg('cents', 'n')}, 0) AS avg_grade,
-         coalesce({rounded("CASE WHEN n > 1 THEN sqrt(CAST(CAST(CAST(n AS HUGEINT) * sq - CAST(cents AS HUGEINT) * cents AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * CAST(n - 1 AS DOUBLE))) / 100 END", 2)}, 0) AS grade_stddev,
+  SELECT d.course_id, d.course_name, coalesce({round_avg('micros', 'n')}, 0) AS avg_grade,
+         coalesce({rounded("CASE WHEN n > 1 THEN sqrt(CAST(CAST(CAST(n AS HUGEINT) * sq - CAST(micros AS HUGEINT) * micros AS VARCHAR) AS DOUBLE) / (CAST(n AS DOUBLE) * CAST(n - 1 AS DOUBLE))) / 1000000 END", 2)}, 0) AS grade_stddev,
          coalesce(n, 0) AS total_submissions, coalesce(enrolled, 0) AS enrolled_students,
          coalesce({round_ratio('late_n', 'n')}, 0) AS late_ratio,
          strftime(last_activity, '%Y-%m-%d %H:%M:%S.%f') AS last_activity
   FROM dim_courses d
-  LEFT JOIN (SELECT course_id, count(*) AS n, {CENTS} AS cents, CAST(sum(cents * cents) AS BIGINT) AS sq,
+  LEFT JOIN (SELECT course_id, count(*) AS n, {MICROS} AS micros, sum(CAST(micros AS HUGEINT) * micros) AS sq,
                     count(*) FILTER (late) AS late_n, max(submitted_at) AS last_activity
-             FROM fact WHERE cents IS NOT NULL GROUP BY course_id) USING (course_id)
+             FROM fact WHERE micros IS NOT NULL GROUP BY course_id) USING (course_id)
   LEFT JOIN (SELECT course_id, count(DISTINCT student_id) AS enrolled FROM fact GROUP BY course_id)
        USING (course_id))"""
 
@@ -163,6 +163,18 @@ late_matrix AS (
 
 COURSES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
+SUMMARY = f"""
+    SELECT student_id, student_name, student_email, coalesce(a, 0) AS avg_grade, n AS submission_count,
+           late_n AS late_count, {ratio('late_n', 'n')} AS late_ratio,
+           CASE WHEN a < 5 THEN 'high' ELSE 'low' END AS risk_bucket
+    FROM (SELECT student_id, count(*) AS n, count(*) FILTER (late) AS late_n,
+                 {avg('sum(micros)', 'count(micros)')} AS a FROM fact GROUP BY student_id)
+    JOIN dim_students USING (student_id)"""
+
+# Grades with six places, of which nothing is rounded before they are summed.
+_GRADE = "CAST(floor(l_quantity * 20) AS BIGINT) * 10000"
+FINE = COURSEWORK.replace(_GRADE, f"CASE WHEN o_custkey % 2 = 0 THEN 4996000 ELSE {_GRADE} + 3333 END")
+
 # -- sessions -------------------------------------------------------------------------------
 HISTORY = """
     SELECT user_id AS session_id, event_id AS turn, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
@@ -308,10 +320,10 @@ INTENT = (
 
 WEEKLY = f"""
 weekly AS (
-  SELECT {WEEK} AS week, count(*) AS n, count(*) FILTER (late) AS late_n, count(cents) AS graded_n,
-         {CENTS} AS cents FROM fact GROUP BY 1)"""
+  SELECT {WEEK} AS week, count(*) AS n, count(*) FILTER (late) AS late_n, count(micros) AS graded_n,
+         {MICROS} AS micros FROM fact GROUP BY 1)"""
 WEEKLY_SELECT = f"""
-SELECT week, coalesce({avg('cents', 'graded_n')}, 0) AS avg_grade, {ratio('late_n', 'n')} AS late_ratio,
+SELECT week, coalesce({avg('micros', 'graded_n')}, 0) AS avg_grade, {ratio('late_n', 'n')} AS late_ratio,
        n AS submissions FROM weekly"""
 RECENT = """
 recent AS (
@@ -344,22 +356,49 @@ def _digits() -> str:
     return ", ".join(f"{rounded(c, d)} AS {c}" for c, d in digits.items())
 
 
-def _bundle() -> str:
-    rows = {
-        "overview": "SELECT 1", "courses": "SELECT * FROM dim_courses",
-        "students": "SELECT * FROM student_features",
-        "course_students": "SELECT * FROM student_courses",
-        "top_students": "SELECT * FROM student_features LIMIT 20",
-        "distribution": f"SELECT DISTINCT {_grade_late('avg_grade', 'late_submission_ratio')} FROM student_features",
-        "trends": "SELECT DISTINCT date_trunc('week', submitted_at) FROM fact",
-        "heatmap": "SELECT DISTINCT dayofweek(submitted_at), hour(submitted_at) FROM fact",
-        "histogram": "SELECT DISTINCT least(floor(avg_grade), 10) FROM student_features",
-        "assignments": "SELECT * FROM dim_courses", "course_comparison": "SELECT * FROM dim_courses",
-        "top_performers": "SELECT * FROM student_features LIMIT 10", "recent_activity": "SELECT 1",
-    }
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS report, (SELECT count(*) FROM ({sql})) AS \"rows\"" for name, sql in rows.items()
-    )
+_STUDENT = "student_id avg_grade submission_count late_submission_ratio risk_probability predicted_at_risk"
+_PERSON = "student_name student_email"
+# Of each report of the bundle: the query that gives it, its numbers and its texts.
+BUNDLE = {
+    "overview": ("p13_overview", "total_students total_at_risk total_courses total_submissions submissions_last_7d at_risk_ratio", ""),
+    "courses": ("p14_course_report", "course_id avg_grade late_ratio student_count total_submissions at_risk_students "
+                "total_students at_risk_ratio", "course_name"),
+    "students": ("p15_top_risk", _STUDENT, f"{_PERSON} risk_bucket"),
+    "course_students": ("p16_course_students", "student_id course_id course_final_avg course_submission_count "
+                        "course_late_ratio early_avg_grade early_submission_count early_late_ratio active_weeks_early "
+                        "avg_delay_hours submissions_last_14d submissions_last_30d assignment_completion_ratio course_load "
+                        "risk_probability predicted_at_risk", f"{_PERSON} course_name risk_bucket"),
+    "top_students": ("p15_top_risk", _STUDENT, f"{_PERSON} risk_bucket"),
+    "distribution": ("p17_student_distribution", "count avg_grade", "risk_bucket"),
+    "trends": ("p18_weekly_trends_rounded", "avg_grade late_ratio submissions", ""),
+    "heatmap": ("p19_late_heatmap", "day_of_week hour late_ratio", ""),
+    "histogram": ("p20_grade_histogram", "bucket count", "label"),
+    "assignments": ("p21_assignment_completion", "course_id total_assignments total_submissions total_students "
+                    "completion_rate", "course_name"),
+    "course_comparison": ("p23_course_comparison", "course_id avg_grade grade_stddev total_submissions enrolled_students "
+                          "late_ratio", "course_name"),
+    "top_performers": ("p24_top_performers", _STUDENT, _PERSON),
+    "recent_activity": ("p25_recent_activity", "submissions_24h submissions_7d active_students_24h active_students_7d", ""),
+}
+
+
+def _bundle(known: dict[str, str]) -> str:
+    """Rows of each report, the sum of its numbers in ten-thousandths and a digest of its texts."""
+    parts = []
+    for report, (name, numbers, texts) in BUNDLE.items():
+        # The bundle is over the coursework and lists all students and pairs.
+        sql = known[name].replace(ACTIVITY, COURSEWORK).replace("WHERE course_id = 1", "")
+        if report in ("students", "course_students"):
+            sql = sql.replace("LIMIT 20", "").replace("LIMIT 50", "")
+        total = " + ".join(f"coalesce(CAST(floor(CAST({c} AS DOUBLE) * 10000 + 0.5) AS HUGEINT), 0)" for c in numbers.split())
+        digest = "0"
+        if texts:
+            digest = f"coalesce(sum(CAST('0x' || substr(md5(concat_ws('|', {', '.join(texts.split())})), 1, 8) AS BIGINT)), 0)"
+        parts.append(
+            f"SELECT '{report}' AS report, count(*) AS \"rows\", CAST(coalesce(sum({total}), 0) AS DOUBLE) AS numbers, "
+            f"CAST({digest} AS BIGINT) AS texts FROM ({sql})"
+        )
+    return " UNION ALL ".join(parts)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -380,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
     ]
     sc_columns = "student_id, student_name, student_email, course_id, course_name"
     report = [*_MART, RISK_BY_COURSE, COURSE_SUMS, COURSE_REPORT]
-    return {
+    known = {
         "p1_training_dataset": q(cw, due, TRAINING, select=f"SELECT {TRAINING_COLUMNS} FROM training"),
         "p2_student_course_features": q(*_SC, select="SELECT * FROM student_courses"),
         "w1_early_rank": q(cw, due, select=f"SELECT {rank} FROM ranked"),
@@ -406,26 +445,23 @@ def oracle_sql() -> dict[str, str]:
             SELECT student_id, count(DISTINCT course_id) AS courses_enrolled FROM fact GROUP BY student_id"""),
         "j12_named_submissions": q(cw, select="""
             SELECT submission_id, student_id, course_id, assignment_id, late,
-                   strftime(submitted_at, '%Y-%m-%d %H:%M:%S.%f') AS submitted_at, cents, student_name
+                   strftime(submitted_at, '%Y-%m-%d %H:%M:%S.%f') AS submitted_at, micros, student_name
             FROM fact LEFT JOIN dim_students USING (student_id)"""),
         "f4_delay_hours": q(cw, select=f"""
             SELECT submission_id, (epoch_us(submitted_at) - epoch_us(due_at)) / 3.6e9 AS hours_after_deadline,
                    epoch_us(submitted_at) / 1e6 AS epoch_seconds, {WEEK} AS week,
                    dayofweek(submitted_at) AS day_of_week, hour(submitted_at) AS hour
             FROM fact LEFT JOIN dim_assignments USING (assignment_id)"""),
-        "p8_student_summary": q(cw, select=f"""
-            SELECT student_id, student_name, student_email, coalesce(a, 0) AS avg_grade, n AS submission_count,
-                   late_n AS late_count, {ratio('late_n', 'n')} AS late_ratio,
-                   CASE WHEN a < 5 THEN 'high' ELSE 'low' END AS risk_bucket
-            FROM (SELECT student_id, count(*) AS n, count(*) FILTER (late) AS late_n,
-                         {avg('sum(cents)', 'count(cents)')} AS a FROM fact GROUP BY student_id)
-            JOIN dim_students USING (student_id)"""),
+        "p8_full_precision": q(FINE, select=SUMMARY),
+        "a9_full_precision": q(FINE, due, select=pair(
+            f"coalesce({STDDEV}, 0) AS early_grade_stddev, coalesce({SLOPE}, 0) AS early_grade_trend")),
+        "p8_student_summary": q(cw, select=SUMMARY),
         "p9_overview_counts": q(cw, select="""
             SELECT (SELECT count(*) FROM dim_students) AS total_students,
                    (SELECT count(*) FROM dim_courses) AS total_courses,
                    (SELECT count(*) FROM fact) AS total_submissions"""),
         "p10_course_summary": q(cw, COURSE_SUMS, select=f"""
-            SELECT course_id, course_name, coalesce({avg('cents', 'graded_n')}, 0) AS avg_grade,
+            SELECT course_id, course_name, coalesce({avg('micros', 'graded_n')}, 0) AS avg_grade,
                    {ratio('late_n', 'n')} AS late_ratio, student_count, n AS submission_count
             FROM sums JOIN dim_courses USING (course_id)"""),
         "p11_weekly_trends": q(cw, WEEKLY, select=WEEKLY_SELECT),
@@ -443,7 +479,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT course_name, course_id, coalesce(a, 0) AS total_assignments, coalesce(n, 0) AS total_submissions,
                    coalesce(s, 0) AS total_students, coalesce({round_ratio('g', 'n')}, 0) AS completion_rate
             FROM dim_courses LEFT JOIN (
-              SELECT course_id, count(DISTINCT assignment_id) AS a, count(*) AS n, count(cents) AS g,
+              SELECT course_id, count(DISTINCT assignment_id) AS a, count(*) AS n, count(micros) AS g,
                      count(DISTINCT student_id) AS s FROM fact GROUP BY course_id) USING (course_id)"""),
         "p23_course_comparison": q(cw, COMPARISON, select="SELECT * FROM comparison"),
         "a23_course_feature_means": q(*_SC, select=f"""
@@ -470,7 +506,7 @@ def oracle_sql() -> dict[str, str]:
                             (SELECT min(avg_grade) AS a, max(avg_grade) AS b FROM student_features)
                        GROUP BY 1) USING (bin)"""),
         "p18_weekly_trends_rounded": q(ACTIVITY, WEEKLY, select=f"""
-            SELECT week, {round_avg('cents', 'graded_n')} AS avg_grade, {round_ratio('late_n', 'n')} AS late_ratio,
+            SELECT week, {round_avg('micros', 'graded_n')} AS avg_grade, {round_ratio('late_n', 'n')} AS late_ratio,
                    n AS submissions FROM weekly"""),
         "p19_late_heatmap": q(ACTIVITY, select=f"""
             SELECT day_of_week, hour, {round_ratio('late_n', 'n')} AS late_ratio
@@ -485,8 +521,8 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY {TIERS_ORDER}, course_id LIMIT 50"""),
         "p22_student_trend": q(cw, select=f"""
             SELECT student_id, week, {round_avg('c', 'n')} AS avg_grade, n AS submissions, late_n AS late_count
-            FROM (SELECT student_id, {WEEK} AS week, count(*) AS n, {CENTS} AS c, count(*) FILTER (late) AS late_n
-                  FROM fact WHERE cents IS NOT NULL GROUP BY 1, 2)"""),
+            FROM (SELECT student_id, {WEEK} AS week, count(*) AS n, {MICROS} AS c, count(*) FILTER (late) AS late_n
+                  FROM fact WHERE micros IS NOT NULL GROUP BY 1, 2)"""),
         "p24_top_performers": q(*_MART, select=f"""
             SELECT student_id, student_name, student_email, {rounded('avg_grade', 2)} AS avg_grade, submission_count,
                    {rounded('late_submission_ratio', 4)} AS late_submission_ratio, risk_probability, predicted_at_risk
@@ -562,16 +598,15 @@ def oracle_sql() -> dict[str, str]:
             SELECT coalesce(risk_bucket, 'Unknown') AS risk_bucket, count(*) AS count FROM student_features GROUP BY 1"""),
         "a22_risk_share": q(*_MART, select=f"""
             SELECT {ratio('sum(predicted_at_risk)', 'count(*)')} AS at_risk_share FROM student_features"""),
-        "p26_dashboard_bundle": q(*_SC, select=_bundle()),
         "p31_course_pivot": q(cw, COURSE_SUMS, select="SELECT course_name, " + ", ".join(
-            f"max(CASE WHEN course_id = {i} THEN coalesce({avg('cents', 'graded_n')}, 0) END) AS course_{i}"
+            f"max(CASE WHEN course_id = {i} THEN coalesce({avg('micros', 'graded_n')}, 0) END) AS course_{i}"
             for i in range(1, 7)) + " FROM sums JOIN dim_courses USING (course_id) GROUP BY course_name"),
         "p32_risk_course_pivot": q(*_MART, LATE_MATRIX, select="SELECT risk_bucket, " + ", ".join(
             f"coalesce(max(late_ratio) FILTER (course_name = '{c}'), 0) AS \"{c}\"" for c in COURSES)
             + " FROM late_matrix GROUP BY risk_bucket"),
         "p33_week_course_stack": q(cw, select=f"""
             SELECT week, {", ".join(stack)} FROM (
-              SELECT {WEEK} AS week, course_name, coalesce({avg('sum(cents)', 'count(cents)')}, 0) AS avg_grade
+              SELECT {WEEK} AS week, course_name, coalesce({avg('sum(micros)', 'count(micros)')}, 0) AS avg_grade
               FROM fact JOIN dim_courses USING (course_id) GROUP BY 1, 2) GROUP BY week"""),
         "b_all_tiers": q(*_MART, select=f"""
             SELECT student_id, course_id, CASE WHEN course_final_avg < 5 THEN 'high' ELSE 'low' END AS b1_grade,
@@ -742,3 +777,4 @@ def oracle_sql() -> dict[str, str]:
                    true AS students_within_error
             FROM hit GROUP BY w""",
     }
+    return known | {"p26_dashboard_bundle": _bundle(known)}

@@ -50,28 +50,41 @@ def test_histogram_buckets(spark):
 
 
 def test_rounding_is_half_away_from_zero(spark):
-    rows = [(1, 2), (-1, 2), (250, 3), (5, 0)]
+    rows = [(10_000, 2), (-10_000, 2), (2_500_000, 3), (50_000, 0), (9_999, 2)]
     assert values(spark, rows, "s bigint, n bigint", E.rounded_avg(F.col("s"), F.col("n"))) == [
-        0.01, -0.01, 0.83, None
+        0.01, -0.01, 0.83, None, 0.0
     ]
+
+
+def test_grades_are_summed_with_all_their_places(spark):
+    rows = [("4.996",), ("83.335",), ("-0.0000005",), ("999999999999.999999",), (None,)]
+    frame = spark.createDataFrame(rows, "g string").select(F.col("g").cast("decimal(18,6)").alias("g"))
+    whole = [None if r[0] is None else int(r[0]) for r in frame.select(E.micros("g")).collect()]
+    assert whole == [4_996_000, 83_335_000, -1, 999_999_999_999_999_999, None]
+    total = frame.where("g > 90").select("g", F.explode(F.sequence(F.lit(1), F.lit(1000))))
+    assert int(total.agg(F.sum(E.micros("g"))).first()[0]) == 999_999_999_999_999_999_000
+    average = spark.createDataFrame([("4.996",)] * 3, "g string").agg(
+        E.avg_of_micros(F.sum(E.micros(F.col("g").cast("decimal(18,6)"))), F.count("g")).alias("a")
+    )
+    assert average.select(tiers.at_risk_label(F.col("a")), "a").first() == (1, 4.996)
     assert values(spark, [(1, 8)], "a bigint, b bigint", E.rounded_ratio(F.col("a"), F.col("b"), 2)) == [0.13]
     assert values(spark, [(6.285,)], "x double", E.rounded(F.col("x"), 2)) == [6.29]
 
 
-def test_spread_of_cents(spark):
+def test_spread_of_grades(spark):
     args = [F.col(c) for c in ("n", "s", "q")]
-    rows = [(1, 500, 250000), (2, 300, 50000), (0, None, None)]
+    rows = [(1, 5_000_000, 25 * 10**12), (2, 3_000_000, 5 * 10**12), (0, None, None)]
     schema = "n bigint, s bigint, q bigint"
-    assert values(spark, rows, schema, E.stddev_samp_of_cents(*args)) == [None, pytest.approx(0.7071068), None]
-    assert values(spark, rows, schema, E.stddev_pop_of_cents(*args)) == [0.0, 0.5, None]
+    assert values(spark, rows, schema, E.stddev_samp_of_micros(*args)) == [None, pytest.approx(0.7071068), None]
+    assert values(spark, rows, schema, E.stddev_pop_of_micros(*args)) == [0.0, 0.5, None]
 
 
 def test_slope_of_huge_groups(spark):
     """Half the rows score 4 and half score 6, 2e9 milliseconds later."""
     schema = ", ".join(f"{c} decimal(38,0)" for c in ("n", "sx", "sy", "sxx", "sxy"))
-    slope = E.slope_of_cents(*[F.col(c) for c in ("n", "sx", "sy", "sxx", "sxy")])
+    slope = E.slope_of_micros(*[F.col(c) for c in ("n", "sx", "sy", "sxx", "sxy")])
     rows = [
-        tuple(map(Decimal, (n, 0, n * 500, n * 10**18, n * 10**11))) for n in (10, 10**9, 10**12)
+        tuple(map(Decimal, (n, 0, n * 5_000_000, n * 10**18, n * 10**15))) for n in (10, 10**9, 10**12)
     ]
     assert values(spark, rows, schema, slope) == [pytest.approx(1e-6)] * 3
 
