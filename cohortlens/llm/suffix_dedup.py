@@ -19,7 +19,7 @@ Every step is exact; only the last one looks at more than hashes, and it decides
 5. Each part marks the windows that start in an earlier document and cuts the bytes they cover.
 
 A passage that a third of all documents hold is one segment a part, so no bucket grows with its
-copies. The number of buckets follows from the bytes of the texts, to bound memory.
+copies. The number of buckets follows from the bytes of the input, to bound memory.
 
 Nulls and edges: a null text is empty; texts under LENGTH bytes lose nothing, those of any length are
 read whole; a null id counts as the largest id there can be and stays null; rows with equal ids remove
@@ -43,9 +43,9 @@ from cohortlens.llm import common, vectors
 LENGTH = 50
 GRAM = 20
 PART_BYTES = 6_000_000
-#: Buckets are at least so many times the shuffle partitions, and one for so many bytes of text.
+#: Buckets are at least so many times the shuffle partitions, and one for so many bytes of input.
 BUCKETS_A_PARTITION = 3
-BUCKET_BYTES = 128_000_000
+BUCKET_BYTES = 64_000_000
 #: The place of a null id among the others; what is told of it is told by a flag.
 _NO_ID = np.iinfo(np.int64).max
 _SPAN = LENGTH - GRAM + 1  # grams in a window
@@ -129,8 +129,8 @@ def _smallest_documents(text: np.ndarray, starts: np.ndarray, docs: np.ndarray)
 # -- parts -----------------------------------------------------------------------------------
 
 
-PARTS = "part long, ids binary, named binary, sizes binary, texts binary, bytes long"
-_PART = ["part", "ids", "named", "sizes", "texts", "bytes"]
+PARTS = "part long, ids binary, named binary, sizes binary, texts binary"
+_PART = ["part", "ids", "named", "sizes", "texts"]
 
 
 def _write_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,8 +140,8 @@ def _write_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.array([_NO_ID if x is None else x for x in ids], np.int64)
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         named = np.packbits([x is not None for x in ids])
-        row = [first + number, known.tobytes(), named.tobytes(), sizes.tobytes(), pack(b"".join(texts)), int(sizes.sum())]
-        kinds = [pa.int64(), *[pa.binary()] * 4, pa.int64()]
+        row = [first + number, known.tobytes(), named.tobytes(), sizes.tobytes(), pack(b"".join(texts))]
+        kinds = [pa.int64(), *[pa.binary()] * 4]
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], _PART)
 
 
@@ -400,9 +400,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     parts = common.checkpointed(given.mapInArrow(_write_parts, PARTS))
-    size = parts.agg(F.sum("bytes")).first()[0] or 0
     fewest = BUCKETS_A_PARTITION * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    buckets = max(fewest, -(-size // BUCKET_BYTES))
+    buckets = max(fewest, -(-common.planned_bytes(given) // BUCKET_BYTES))
     shared = common.checkpointed(
         parts.mapInArrow(_send_anchors(buckets), KEYED).groupBy("bucket").applyInArrow(_share, KEYED)
     )
