@@ -1,9 +1,10 @@
 """Personal data: regular expressions propose spans, checksums confirm them, context adds score.
 
 Base kinds, always kept once they pass their check: email, ip (parts up to 255), card (16 to 19
-digits, Luhn), phone (8 to 15 digits). Kinds the method adds: iban (mod-97 confirms it) and ssn
-(has no checksum, so a word such as "ssn" must stand nearby). Each kind is found on its own,
-leftmost and without overlaps; spans of different kinds may overlap.
+digits, Luhn), phone (8 to 15 digits). Kinds the method adds: iban (mod-97 confirms it), ssn and
+secret, a run of SECRET_CHARS characters or more with letters and digits, as evenly mixed as a key is.
+Neither of the last two has a checksum, so a word such as "ssn" or "token" must stand nearby. Each kind
+is found on its own, leftmost and without overlaps; spans of different kinds may overlap.
 
 A span scores 0.5 for its format, 0.3 for a checksum that can fail and holds, and 0.2 for a context
 word within CONTEXT_CHARS; added kinds need ADDED_SCORE. Positions are code points, ends exclusive.
@@ -29,6 +30,8 @@ from cohortlens.llm import common
 
 CONTEXT_CHARS = 40
 ADDED_SCORE = 0.7
+#: A secret has so many characters at least, and its characters so many bits each on average.
+SECRET_CHARS, SECRET_BITS = 20, 3.0
 
 
 @dataclass(frozen=True)
@@ -79,6 +82,13 @@ KINDS = (
         ("ssn", "social security"),
         base=False,
     ),
+    Kind(
+        "secret",
+        rf"(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{{{SECRET_CHARS},}}+",
+        "",
+        ("token", "secret", "passw", "pwd", "api.?key", "access.?key", "private.?key", "bearer", "credential"),
+        base=False,
+    ),
 )
 
 
@@ -107,6 +117,13 @@ def _mod97(iban: Column) -> Column:
     return F.aggregate(F.transform(chars, value), F.lit(0), step) == 1
 
 
+def _bits(text: Column) -> Column:
+    """Entropy of a text's characters, in bits a character."""
+    chars = F.filter(F.split(text, ""), lambda c: c != "")
+    shares = F.transform(F.array_distinct(chars), lambda c: F.size(F.filter(chars, lambda x: x == c)) / F.size(chars))
+    return F.aggregate(shares, F.lit(0.0), lambda a, p: a - p * F.log2(p))
+
+
 def _valid(kind: Column, match: Column) -> Column:
     digits = _digits(match)
     small = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.|$)){4}$"
@@ -115,6 +132,7 @@ def _valid(kind: Column, match: Column) -> Column:
         .when(kind == "card", F.length(digits).between(16, 19) & _luhn(digits))
         .when(kind == "phone", F.length(digits).between(8, 15))
         .when(kind == "iban", _mod97(match))
+        .when(kind == "secret", match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (_bits(match) >= SECRET_BITS))
         .otherwise(F.lit(True))
     )
 
@@ -123,19 +141,18 @@ def _proposed(text: Column, number: int, kind: Kind) -> Column:
     """Matches of a kind: number, index, code points since the last match, match, surroundings."""
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     pieces = F.split(text, kind.pattern, -1)
+    # Arrays are put side by side, as what stands in a lambda is computed anew for each match.
+    before = F.zip_with(matches, pieces, lambda m, x: F.struct(m.alias("m"), x.alias("before")))
+    beside = F.zip_with(before, F.slice(pieces, 2, 2**31 - 1), lambda x, y: F.struct(x["m"].alias("m"), x["before"].alias("before"), y.alias("after")))
     found = F.transform(
-        matches,
-        lambda m, i: F.struct(
+        F.filter(beside, lambda x: x["m"].isNotNull()),
+        lambda x, i: F.struct(
             F.lit(number).alias("number"),
             i.alias("at"),
-            F.length(F.get(pieces, i)).alias("gap"),
-            m.alias("match"),
+            F.length(x["before"]).alias("gap"),
+            x["m"].alias("match"),
             F.lower(
-                F.concat_ws(
-                    " ",
-                    F.right(F.get(pieces, i), F.lit(CONTEXT_CHARS)),
-                    F.left(F.get(pieces, i + 1), F.lit(CONTEXT_CHARS)),
-                )
+                F.concat_ws(" ", F.right(x["before"], F.lit(CONTEXT_CHARS)), F.left(x["after"], F.lit(CONTEXT_CHARS)))
             ).alias("around"),
         ),
     )
@@ -189,7 +206,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: counts of the base kinds, a digest of the base spans and all spans."""
+    """Per document: counts of the base kinds, a digest of the base spans, all spans, and how many of
+    them there are and are secrets."""
     found = find(common.read(spark, sf_dir, "documents").select("doc_id", "text"))
     told = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
@@ -201,4 +219,6 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[count(k.name).alias(f"n_{k.name}") for k in KINDS if k.base],
         F.sha2(told(base), 256).alias("base_sha256"),
         told(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+        count("secret").alias("n_secret"),
     )

@@ -184,6 +184,25 @@ def test_checksums_and_context_decide_about_added_kinds(spark):
     assert pii.find(frame(spark, docs[:0])).count() == 0
 
 
+def test_secrets_need_an_even_mix_and_a_word_nearby(spark):
+    key = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"
+    docs = [
+        (0, f'x token = "{key}" y'),
+        (1, f"checksum {key}"),
+        (2, f"API_KEY: {key.upper()} and password {key[:24]}"),
+        (3, "token aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1"),
+        (4, "secret thisisonlyalongwordwithoutdigits"),
+        (5, f"token {key[:19]}"),
+        (6, "bearer " + "ab1" * 7 + " " + "x " * 30 + key),
+        (7, "token " + key * 4000),
+        (8, None),
+    ]
+    rows = pii.find(frame(spark, docs)).collect()
+    found = {r.doc_id: [(s.start, s.end - s.start) for s in r.spans if s.kind == "secret"] for r in rows}
+    expected = {0: [(11, 40)], 2: [(9, 40), (63, 24)], 7: [(6, 160_000)]}
+    assert found == {d: expected.get(d, []) for d, _ in docs}
+
+
 # -- licenses --------------------------------------------------------------------------------
 
 
