@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm import common
@@ -72,14 +72,17 @@ def dictionaries(
     sample = known.where(F.pmod("key", F.lit(1 << 32)) <= rate * (1 << 32)).select(
         "lang", "key", F.substr("text", begin, F.lit(share)).alias("piece")
     )
+    # However often a key occurs, as where ids repeat or are null, only so many pieces are taken.
+    first = Window.partitionBy("lang").orderBy("key", "piece")
+    sample = sample.withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_ROWS)
     taught: dict[str, list] = {}
-    for row in sample.collect():  # about 2 * SAMPLE_ROWS short pieces a language
+    for row in sample.collect():  # SAMPLE_ROWS short pieces a language at most
         taught.setdefault(row["lang"], []).append((row["key"], row["piece"]))
     return {lang: _dictionary(taught[lang]) for lang in sorted(taught, key=lambda x: (-rows[x], x))}
 
 
 def _dictionary(rows: list[tuple[int, str]]) -> bytes:
-    pieces = [_plain(text) for _, text in sorted(rows)[:SAMPLE_ROWS]]
+    pieces = [_plain(text) for _, text in sorted(rows)]
     # An equal share of each; what short ones leave goes to the others.
     share = DICTIONARY_BYTES // len(pieces)
     spare = DICTIONARY_BYTES - sum(min(len(x), share) for x in pieces)

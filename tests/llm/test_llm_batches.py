@@ -330,6 +330,16 @@ def test_quality_without_usable_labels(spark):
     assert quality.judge(docs.limit(0), None, ["doc_id"]).count() == 0
 
 
+def test_one_id_many_times_is_sampled_like_any_other(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 4)
+    rows = [(None, f"mot {i} le la les", "fr") for i in range(300)] + [(7, f"word {i} the of", "en") for i in range(300)]
+    docs = frame(spark, rows, "doc_id long, text string, lang string")
+    seen = []
+    real = language_id._dictionary
+    monkeypatch.setattr(language_id, "_dictionary", lambda rows: seen.append(len(rows)) or real(rows))
+    assert set(language_id.dictionaries(docs)) <= {"fr", "en"} and all(n <= 4 for n in seen)
+
+
 # -- pages -----------------------------------------------------------------------------------
 
 PAGES = {
