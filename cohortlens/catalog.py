@@ -16,7 +16,7 @@ from cohortlens.functions import exprs as E
 from cohortlens.functions import text as X
 from cohortlens.functions import tiers
 from cohortlens.operators import cleaning, ranking, reshape
-from cohortlens.plans import features, learning, marts, reports, sessions
+from cohortlens.plans import features, learning, marts, reports, sessions, sketches
 from cohortlens.session import ensure_checkpoint_dir, prepare, scratch_path
 from cohortlens.sources import fixtures, landing, tables
 from cohortlens.streaming import activity as streams
@@ -294,9 +294,7 @@ def course_feature_means(data):
 
 @_register("a24_platform_means")
 def platform_means(data):
-    wh = data.wh
-    overview = reports.overview(data.students, wh.courses, wh.facts)
-    return reports.platform_means(data.report, overview)
+    return reports.platform_means(data.wh, data.students)
 
 
 @_register("a25_tier_counts")
@@ -948,6 +946,67 @@ def rate_limit(data):
     return rows.select("session_id", "turn", "window_start", "admitted")
 
 
+# -- sketches -------------------------------------------------------------------------------
+def _within_error(estimate: str, exact: str) -> Column:
+    off = F.abs(F.col(estimate) - F.col(exact))
+    return off <= F.greatest(F.lit(1.0), 4 * sketches.STANDARD_ERROR * F.col(exact))
+
+
+def _stored_sketches(data: Inputs, facts: DataFrame) -> DataFrame:
+    name = _table_name("sketches")
+    tables.write_table(sketches.hourly_sketches(facts), name)
+    return tables.read_table(data.spark, name)
+
+
+@_register("a3_sketched_students")
+def sketched_students(data):
+    """Students and last activity of each course from stored sketches, the estimate against the exact
+    count."""
+    facts = data.wh.facts
+    told = sketches.students_by_course(_stored_sketches(data, facts))
+    exact = reports.course_students_count(facts)
+    return told.join(exact, "course_id").select(
+        "course_id", "submissions", "student_count", "last_activity", _within_error("students", "student_count").alias("within_error")
+    )
+
+
+@_register("a4_sketched_activity")
+def sketched_activity(data):
+    """The recent-activity report from stored sketches, its estimates against the exact counts."""
+    facts = fixtures.activity(data.spark, data.folder)
+    told = sketches.recent_activity(_stored_sketches(data, facts), facts)
+    exact = reports.recent_activity(facts).select(*[F.col(f"active_students_{p}").alias(f"exact_{p}") for p in ("24h", "7d")])
+    return told.crossJoin(F.broadcast(exact)).select(
+        "submissions_24h",
+        "submissions_7d",
+        *[_within_error(f"active_students_{p}", f"exact_{p}").alias(f"students_{p}_within_error") for p in ("24h", "7d")],
+    )
+
+
+@_register("a4_stayed_and_left")
+def stayed_and_left(data):
+    """Students of each course who were active in both halves of January, or in one only."""
+    facts = fixtures.activity(data.spark, data.folder)
+    middle = [F.lit(d).cast("timestamp") for d in ("2024-01-01", "2024-01-16", "2024-02-01")]
+    told = sketches.stayed_and_left(_stored_sketches(data, facts), tuple(middle[:2]), tuple(middle[1:]))
+    halves = facts.groupBy("course_id", "student_id").agg(
+        *[F.max((F.col("submitted_at") >= a) & (F.col("submitted_at") < b)).alias(n) for a, b, n in ((*middle[:2], "a"), (*middle[1:], "b"))]
+    )
+    exact = halves.groupBy("course_id").agg(
+        F.count_if(F.col("a") & F.col("b")).alias("in_both"),
+        F.count_if(F.col("a") & ~F.col("b")).alias("in_first"),
+        F.count_if(~F.col("a") & F.col("b")).alias("in_second"),
+    )
+    # The error of a difference is that of the union of both.
+    size = F.col("in_both") + F.col("in_first") + F.col("in_second")
+    near = [
+        F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1.0), 6 * sketches.STANDARD_ERROR * size)
+        for a, b in (("stayed", "in_both"), ("left", "in_first"), ("new", "in_second"))
+    ]
+    columns = ("course_id", "in_both", "in_first", "in_second")
+    return told.join(exact, "course_id").select(*columns, reduce(lambda a, b: a & b, near).alias("within_error"))
+
+
 # -- streams --------------------------------------------------------------------------------
 SLICES = 3
 

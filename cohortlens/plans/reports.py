@@ -621,16 +621,24 @@ def course_feature_means(student_courses: DataFrame) -> DataFrame:
     )
 
 
-def platform_means(course_report: DataFrame, overview: DataFrame) -> DataFrame:
-    """Mean of course means, submissions per student and share of students not at risk."""
-    courses = course_report.agg(
-        _zero(E.stable_mean(_zero(F.col("avg_grade")))).alias("avg_of_course_avgs")
-    )
-    per_student = E.ratio(F.col("total_submissions"), F.col("total_students"))
-    return overview.select(
+def platform_means(wh: Warehouse, student_features: DataFrame) -> DataFrame:
+    """Mean of course means, submissions per student and share of students not at risk.
+
+    One pass over the submissions, reduced to courses, gives the first two.
+    """
+    sums = _course_sums(wh.facts)
+    shown = wh.courses.select("course_id").join(sums, "course_id", "left")
+    mean = _zero(E.rounded_avg(F.col("micros"), F.col("graded_n")))
+    courses = shown.agg(_zero(E.stable_mean(mean)).alias("avg_of_course_avgs"))
+    submissions = sums.agg(_zero(F.sum("n")).alias("submissions"))
+    students = student_features.agg(
+        F.count("*").alias("students"), F.count_if(F.col("predicted_at_risk") == 1).alias("at_risk")
+    )
+    at_risk = _zero(E.ratio(F.col("at_risk"), F.col("students")))
+    return students.select(
         courses.scalar().alias("avg_of_course_avgs"),
-        _zero(per_student).alias("submissions_per_student"),
-        ((1 - F.col("at_risk_ratio")) * 100).alias("safe_percent"),
+        _zero(E.ratio(submissions.scalar(), F.col("students"))).alias("submissions_per_student"),
+        ((1 - at_risk) * 100).alias("safe_percent"),
     )
 
 

@@ -492,6 +492,21 @@ def oracle_sql() -> dict[str, str]:
             SELECT (SELECT {stable_mean('avg_grade')} FROM report) AS avg_of_course_avgs,
                    {ratio('total_submissions', 'total_students')} AS submissions_per_student,
                    (1 - {ratio('total_at_risk', 'total_students')}) * 100 AS safe_percent FROM overview"""),
+        "a3_sketched_students": q(cw, select="""
+            SELECT course_id, count(*) AS submissions, count(DISTINCT student_id) AS student_count,
+                   strftime(max(submitted_at), '%Y-%m-%d %H:%M:%S.%f') AS last_activity, true AS within_error
+            FROM fact GROUP BY course_id"""),
+        "a4_sketched_activity": q(ACTIVITY, RECENT, select="""
+            SELECT submissions_24h, submissions_7d, true AS students_24h_within_error, true AS students_7d_within_error
+            FROM recent"""),
+        "a4_stayed_and_left": q(ACTIVITY, select="""
+            SELECT course_id, count(*) FILTER (a AND b) AS in_both, count(*) FILTER (a AND NOT b) AS in_first,
+                   count(*) FILTER (b AND NOT a) AS in_second, true AS within_error
+            FROM (SELECT course_id, student_id,
+                         bool_or(submitted_at >= TIMESTAMP '2024-01-01' AND submitted_at < TIMESTAMP '2024-01-16') AS a,
+                         bool_or(submitted_at >= TIMESTAMP '2024-01-16' AND submitted_at < TIMESTAMP '2024-02-01') AS b
+                  FROM fact GROUP BY course_id, student_id)
+            GROUP BY course_id"""),
         "a25_tier_counts": q(*_SC, select=f"""
             SELECT course_id, count(*) FILTER (tier = 'high') AS high, count(*) FILTER (tier = 'medium') AS medium,
                    count(*) FILTER (tier = 'low') AS low
