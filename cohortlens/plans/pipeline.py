@@ -12,7 +12,7 @@ from cohortlens import schemas
 from cohortlens.operators import cleaning
 from cohortlens.plans import features, learning, marts, reports
 from cohortlens.sources import landing, tables
-from cohortlens.warehouse import Warehouse, from_tables
+from cohortlens.warehouse import Warehouse, from_tables, publish_heavy_pairs
 
 
 def load_warehouse(spark: SparkSession, folder: str, told: dict[str, int] | None = None) -> Warehouse:
@@ -38,6 +38,7 @@ def load_warehouse(spark: SparkSession, folder: str, told: dict[str, int] | None
     tables.write_table(one_each, "dim_assignments", schemas.DIM_ASSIGNMENTS)
     named = cleaning.submission_outcomes(submissions, tables.read_table(spark, "dim_students"))
     tables.write_split(named, "fact_submissions", schemas.FACT_SUBMISSIONS)
+    publish_heavy_pairs(spark)
     if told is not None:
         reasons = {r["reason"]: r["rows"] for r in tables.reason_counts(spark, "fact_submissions").collect()}
         told.update({r: reasons.get(r, 0) for r in [*cleaning.REASONS, "broken"]})

@@ -41,17 +41,20 @@ def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> Data
     return spark.createDataFrame([], schema)
 
 
-def write_table(df: DataFrame, name: str, schema: T.StructType | None = None) -> None:
+def write_table(
+    df: DataFrame, name: str, schema: T.StructType | None = None, properties: dict[str, str] | None = None
+) -> None:
     """Full refresh without a moment in which the table is missing.
 
     Rows are written once, to a new version; then the name, a view, is pointed at it. ``df``
     may read the table being replaced. The previous version is kept for running readers. A plain
     table of that name becomes a version itself; only for that one rename is the name free.
+    ``properties`` are told with the name (``properties_of``) and change with the rows.
     """
     rows = schemas.conform(df, schema) if schema is not None else df
     version = _new_version(name)
     rows.write.mode("errorifexists").saveAsTable(version)
-    _point(df.sparkSession, name, f"SELECT * FROM {version}")
+    _point(df.sparkSession, name, f"SELECT * FROM {version}", properties)
     _drop_old_versions(df.sparkSession, name)
 
 
@@ -83,10 +86,18 @@ def _new_version(name: str) -> str:
     return f"{name}__{time.time_ns()}"
 
 
-def _point(spark: SparkSession, name: str, query: str) -> None:
+def properties_of(spark: SparkSession, name: str) -> dict[str, str]:
+    """Properties of a table by name, from the catalog alone; none of a table that was not built."""
+    if not spark.catalog.tableExists(name):
+        return {}
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def _point(spark: SparkSession, name: str, query: str, properties: dict[str, str] | None = None) -> None:
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
         spark.sql(f"ALTER TABLE {name} RENAME TO {name}__{0:019d}")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    told = ", ".join(f"'{k}' = '{v}'" for k, v in (properties or {}).items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} {f'TBLPROPERTIES ({told})' if told else ''} AS {query}")
 
 
 def _drop_old_versions(spark: SparkSession, name: str) -> None:

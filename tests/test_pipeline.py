@@ -2,11 +2,13 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlens import schemas
-from cohortlens.plans import pipeline
+from cohortlens.plans import features, pipeline
 from cohortlens.sources import tables
+from cohortlens.warehouse import from_tables, publish_heavy_pairs
 from test_sources import _lines
 
 
@@ -64,3 +66,21 @@ def test_refresh(spark, tmp_path):
     assert back["student_summary"] == 60 and back["training_dataset"] == 120
     assert back["load_outcomes"] == 5 and back["confusion_counts"] == 2 and back["class_report"] == 4
     assert back["top_at_risk_students"] == 25 and back["all_models_evaluation"] == 8
+
+
+@pytest.mark.parametrize("heavy_rows", [1_000_000, 8])
+def test_plans_over_published_tables_begin_without_a_job(spark, tmp_path, heavy_rows):
+    _land(tmp_path / "in", random.Random(2))
+    wh = pipeline.load_warehouse(spark, str(tmp_path / "in"))
+    expected = sorted(features.training_dataset(wh).collect())
+    publish_heavy_pairs(spark, heavy_rows)
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup(f"plan {heavy_rows}", "planning")
+    wh = from_tables(spark)
+    # Pairs of ten submissions are all heavy or none is.
+    assert wh.is_listed and (wh.heavy_pairs is None) == (heavy_rows > 10)
+    if heavy_rows > 10:
+        features.training_dataset(wh)
+        assert list(tracker.getJobIdsForGroup(f"plan {heavy_rows}")) == []
+    context._jsc.sc().clearJobGroup()
+    assert sorted(features.training_dataset(wh).collect()) == expected
