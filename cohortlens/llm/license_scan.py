@@ -1,25 +1,27 @@
 """License scan: a positional index of rare license words.
 
 Templates are word sequences of known notices with a mandatory key phrase; the base phrases are
-templates that are nothing but their key phrase. The index says for each template which of its
-words are rarest over all documents (highest IDF, counted on the table itself) and where in the
-template they stand. In a document, the places of a template's two rarest words, each moved back
-by its own offset, meet in the starts at which both agree; the key phrase must then stand there
-word for word. A hit scores the IDF share of template words at their places, so a base phrase
-always scores 1.
+templates that are nothing but their key phrase. The index holds, for the words of the key phrases,
+their IDF, counted on the table itself, and their postings: the templates and the places in them. Of
+each file the license words are taken that it has; they leave the templates whose key phrase it can
+hold, and the rarest word of each, the highest by IDF, is looked up in the file, in one pass for all
+templates. Its places, moved back by the posting's, propose starts; the second rarest word must stand
+at the place that follows from its own posting, and then the key phrase word for word. A hit scores
+the IDF share of template words at their places, so a base phrase always scores 1.
 
 Base phrases and labels: see BASE. Labels of longer notices are added beside them. DataFrame
-expressions only; a document never leaves its row, so nothing is shuffled but one count a word.
+expressions only; a document never leaves its row, so nothing is shuffled but one count a word, and
+the plan does not grow with the templates.
 
 Nulls and edges: a null text is empty and has no words; null ids are carried; each row gives one
-row, repeated or not; other columns are ignored. An empty table gives an empty result.
+row, repeated or not; texts are read whole, whatever their length, in time that grows with the words
+and the hits; other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +29,6 @@ from pyspark.sql import functions as F
 from cohortlens.llm import common
 
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Words of a template that are looked up and must agree on its start.
-ANCHORS = 2
 
 
 @dataclass(frozen=True)
@@ -62,16 +62,27 @@ BASE = tuple(
     )
 )
 NOTICES = (
+    Template("agpl", "gnu affero general public license", "gnu affero general public license"),
     Template("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
+    Template("apache-text", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "unless required by applicable law or agreed to in writing"),
+    Template("artistic", "the artistic license 2 0", "artistic license 2 0"),
+    Template("boost", "boost software license version 1 0", "boost software license"),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
     Template("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
     Template("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
+    Template("cc0", "dedicated to the public domain under cc0 1 0 universal", "cc0 1 0"),
     Template("copyright", "all rights reserved", "all rights reserved"),
+    Template("epl", "this program is made available under the terms of the eclipse public license", "eclipse public license"),
+    Template("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", "gnu free documentation license"),
     Template("gpl-notice", "this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license"),
     Template("gpl-program", "this program is free software you can redistribute it and or modify it", "this program is free software"),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software"),
+    Template("lgpl", "gnu lesser general public license", "gnu lesser general public license"),
     Template("mit-notice", "released under the mit license", "under the mit license"),
     Template("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
     Template("mpl", "this source code form is subject to the terms of the mozilla public license", "mozilla public license"),
+    Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    Template("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", "in no event will the authors be held liable"),
 )
 
 
@@ -85,66 +96,85 @@ def _idf(tokens: Column, docs: DataFrame, vocabulary: list[str]) -> dict[str, fl
     return {w: math.log((1 + total) / (1 + found.get(w, 0))) + 1 for w in vocabulary}
 
 
+def _index(templates: list[Template], idf: dict[str, float]) -> Column:
+    """The templates as an array: label, base, words with their weights, the key phrase, its place and
+    the postings of its two rarest words."""
+    entries = []
+    for t in templates:
+        rare = sorted({*t.key_words}, key=lambda x: (-idf[x], x))
+        places = lambda word: [t.key_at + i for i, x in enumerate(t.key_words) if x == word]  # noqa: B023, E731
+        total = sum(idf[x] for x in t.words)
+        entries.append(
+            F.struct(
+                F.lit(t.label).alias("label"),
+                F.lit(t in BASE).alias("base"),
+                F.array(*map(F.lit, t.words)).alias("words"),
+                F.array(*[F.lit(idf[x] / total) for x in t.words]).alias("weights"),
+                F.array(*map(F.lit, t.key_words)).alias("key"),
+                F.lit(t.key_at).alias("key_at"),
+                F.lit(rare[0]).alias("rarest"),
+                F.array(*map(F.lit, places(rare[0]))).alias("places"),
+                F.lit(rare[min(1, len(rare) - 1)]).alias("second"),
+                F.array(*map(F.lit, places(rare[min(1, len(rare) - 1)]))).alias("second_places"),
+            )
+        )
+    return F.array(*entries)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a row: id_col, n_words and hits, an array of label, base, start, n_words, score."""
+    """One row a row: id_col, n_words and hits, an array of start, label, base, n_words, score."""
     tokens = F.array_remove(
         F.split(common.fold_ascii(F.coalesce(F.col(text_col), F.lit(""))), WORD_BREAK), ""
     )
     templates = [*BASE, *NOTICES]
     idf = _idf(tokens, docs, sorted({w for t in templates for w in t.words}))
-    split = docs.select(F.col(id_col), tokens.alias("w"))
-    hits = [_hits(F.col("w"), t, idf, t in BASE) for t in templates]
-    return split.select(
-        id_col,
-        F.size("w").cast("long").alias("n_words"),
-        F.array_sort(F.concat(*hits)).alias("hits"),
+    keys = F.array(*[F.lit(w) for w in sorted({w for t in templates for w in t.key_words})])
+    w = F.col("w")
+    # Step by step in columns, as what stands in a lambda is computed anew for each element.
+    split = docs.select(F.col(id_col).alias("id"), tokens.alias("w")).withColumn("held", F.array_intersect(w, keys))
+    possible = F.filter(_index(templates, idf), lambda t: F.forall(t["key"], lambda x: F.array_contains("held", x)))
+    listed = split.withColumn("possible", F.when(F.size("held") > 0, possible))
+    wanted = listed.withColumn("rarest", F.array_distinct(F.transform("possible", lambda t: t["rarest"])))
+    found = F.filter(common.upto(F.size(w)), lambda i: F.array_contains("rarest", F.get(w, i)))
+    seen = wanted.withColumn("at", F.when(F.size("rarest") > 0, found))
+    return seen.select(
+        F.col("id").alias(id_col),
+        F.size(w).cast("long").alias("n_words"),
+        F.coalesce(F.array_sort(F.flatten(F.transform("possible", _hits))), F.array().cast(HITS)).alias("hits"),
     )
 
 
-def _places(w: Column, word: str) -> Column:
-    return F.filter(common.upto(F.size(w)), lambda i: F.get(w, i) == word)
+HITS = "array<struct<start:int,label:string,base:boolean,n_words:int,score:double>>"
 
 
-def _moved_back(places: Column, offset: int) -> Column:
-    return F.transform(places, lambda i: i - offset)
+def _hits(t: Column) -> Column:
+    """Hits of one template in the words `w`, from the places `at` of all files' rarest words."""
+    w = F.col("w")
+    mine = F.filter("at", lambda i: F.get(w, i) == t["rarest"])
+    starts = F.array_distinct(F.flatten(F.transform(t["places"], lambda o: F.transform(mine, lambda i: i - o))))
+    first = lambda s: s + t["key_at"]
+    agrees = lambda s: F.exists(t["second_places"], lambda o: F.get(w, s + o) == t["second"])
+    verbatim = lambda s: F.slice(w, first(s) + 1, F.size(t["key"])) == t["key"]
+    holds = F.filter(starts, lambda s: F.when((first(s) >= 0) & agrees(s), verbatim(s)).otherwise(F.lit(False)))
 
+    def share(s: Column) -> Column:
+        parts = F.zip_with(
+            F.transform(t["words"], lambda x, j: F.coalesce(F.get(w, s + j) == x, F.lit(False))),
+            t["weights"],
+            lambda here, weight: F.when(here, weight).otherwise(0.0),
+        )
+        return F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
 
-def _hits(w: Column, template: Template, idf: dict[str, float], base: bool) -> Column:
-    """Places of a template in the words `w`."""
-    words, key = template.words, template.key_words
-    # Only words of the key phrase can be looked up for certain: the others may be missing.
-    anchors = sorted({*key}, key=lambda x: (-idf[x], x))[:ANCHORS]
-    starts = []
-    for word in anchors:
-        offsets = [template.key_at + i for i, x in enumerate(key) if x == word]
-        places = _places(w, word)
-        starts.append(reduce(F.array_union, [_moved_back(places, o) for o in offsets]))
-    met = reduce(F.array_intersect, starts)
-    verbatim = F.filter(
-        met,
-        lambda s: reduce(
-            lambda a, b: a & b,
-            [F.coalesce(F.get(w, s + template.key_at + i) == x, F.lit(False)) for i, x in enumerate(key)],
-        ),
-    )
-    weight = sum(idf[x] for x in words)
-    share = lambda s: reduce(
-        lambda a, b: a + b,
-        [F.when(F.get(w, s + i) == x, idf[x] / weight).otherwise(0.0) for i, x in enumerate(words)],
-    )
-    empty = F.array().cast("array<struct<start:int,label:string,base:boolean,n_words:int,score:double>>")
-    found = F.transform(
-        verbatim,
+    return F.transform(
+        holds,
         lambda s: F.struct(
             s.alias("start"),
-            F.lit(template.label).alias("label"),
-            F.lit(base).alias("base"),
-            F.lit(len(words)).alias("n_words"),
-            (F.lit(1.0) if base else F.least(F.lit(1.0), F.round(share(s), 9))).alias("score"),
+            t["label"].alias("label"),
+            t["base"].alias("base"),
+            F.size(t["words"]).alias("n_words"),
+            F.when(t["base"], 1.0).otherwise(F.least(F.lit(1.0), F.round(share(s), 9))).alias("score"),
         ),
     )
-    present = reduce(lambda a, b: a & b, [F.array_contains(w, x) for x in anchors])
-    return F.when(present, found).otherwise(empty)
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -235,6 +235,16 @@ def test_notices_need_their_key_phrase(spark):
     assert license_scan.scan(frame(spark, docs[:0])).count() == 0
 
 
+def test_license_scan_of_long_texts(spark):
+    texts = ["license " * 200_000 + "mit license", "the public license of mit " * 60_000, "cc by nc " * 60_000]
+    begin = time.monotonic()
+    rows = {r.doc_id: r for r in license_scan.scan(frame(spark, list(enumerate(texts)))).collect()}
+    assert time.monotonic() - begin < 60
+    assert [(h.start, h.label) for h in rows[0].hits] == [(200_000, "mit")]
+    assert rows[1].hits == [] and rows[1].n_words == 300_000
+    assert len(rows[2].hits) == 120_000 and {h.label for h in rows[2].hits} == {"cc-by", "cc-by-nc"}
+
+
 @pytest.mark.parametrize("name", ["op2_line_dedup", "op4_pii", "op6_license_scan", "op10_decontaminate"])
 def test_no_python_runs_on_the_executors(spark, data, name):
     from cohortlens.llm import queries
