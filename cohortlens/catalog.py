@@ -36,6 +36,12 @@ class Inputs:
     def wh(self) -> Warehouse:
         return fixtures.coursework(self.spark, self.folder)
 
+    @cached_property
+    def both(self) -> DataFrame:
+        """Pair sums with both early windows, computed once for the two tables made of them."""
+        ensure_checkpoint_dir(self.spark)
+        return features.both_statistics(self.wh).checkpoint()
+
     @cached_property
     def scored(self) -> DataFrame:
         return features.scored_pairs(self.wh)
@@ -50,7 +56,8 @@ class Inputs:
 
     @cached_property
     def student_courses(self) -> DataFrame:
-        return features.student_course_features(self.wh, self.students)
+        students = marts.student_features(features.scored_pairs(self.wh, stats=self.both))
+        return features.student_course_features(self.wh, students, stats=self.both)
 
     @cached_property
     def pairs(self) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -73,19 +76,46 @@ def _mark_first_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def _pair_statistics(
-    rows: DataFrame, latest: Column, early_weeks: Column, assignments_done: Column
-) -> DataFrame:
-    """All per-pair sums in one aggregation; unused ones are pruned by the optimizer."""
-    early = F.col("is_early")
-    grade = E.micros("grade")
+def _early_sums(early: Column) -> dict[str, Column]:
+    """What is summed over the early rows of a pair."""
+    one, grade = F.lit(1), E.micros("grade")
     early_grade = F.when(early, grade)
     # Measured from the newest submission: the slope is the same and the sums stay small.
     elapsed = F.unix_millis("submitted_at") - F.col("_origin")
     # Times of any year fit; sums and products beyond 38 digits are null, not an error.
     x = F.when(early & grade.isNotNull(), elapsed).cast("decimal(18,0)")
     delay = F.col("delay_ms").cast("decimal(18,0)")
-    one = F.lit(1)
+    return {
+        "early_n": F.count(F.when(early, one)),
+        "early_late_n": F.count(F.when(early & F.col("late"), one)),
+        "early_graded_n": F.count(early_grade),
+        "early_micros": F.sum(early_grade),
+        "early_squares": F.try_sum(F.try_multiply(early_grade, early_grade)),
+        "sx": F.sum(x),
+        "sxx": F.try_sum(F.try_multiply(x, x)),
+        "sxy": F.try_sum(F.try_multiply(x, early_grade)),
+        "early_due_n": F.count(F.when(early, F.col("delay_ms"))),
+        "early_delay_ms": F.sum(F.when(early, F.greatest(delay, F.lit(0)))),
+    }
+
+
+def _whole_sums() -> dict[str, Column]:
+    """What is summed over all rows of a pair."""
+    one, delay = F.lit(1), F.col("delay_ms").cast("decimal(18,0)")
+    return {
+        "n": F.count("*"),
+        "late_n": F.count_if("late"),
+        "graded_n": F.count("grade"),
+        "micros": F.sum(E.micros("grade")),
+        "overdue_n": F.count_if(F.col("delay_ms") > 0),
+        "overdue_ms": F.sum(F.when(F.col("delay_ms") > 0, delay)),
+        "last_14d": F.count(F.when(F.col("submitted_at") >= F.col("_cut14"), one)),
+        "last_30d": F.count(F.when(F.col("submitted_at") >= F.col("_cut30"), one)),
+    }
+
+
+def _per_pair(rows: DataFrame, latest: Column, sums: dict[str, Column]) -> DataFrame:
+    """All per-pair sums in one aggregation; unused ones are pruned by the optimizer."""
     return (
         rows.withColumn("_latest", latest)
         .withColumns(
@@ -96,31 +126,17 @@ def _pair_statistics(
             }
         )
         .groupBy(*PAIR)
-        .agg(
-            F.count("*").alias("n"),
-            F.count_if("late").alias("late_n"),
-            F.count("grade").alias("graded_n"),
-            F.sum(grade).alias("micros"),
-            F.count(F.when(early, one)).alias("early_n"),
-            F.count(F.when(early & F.col("late"), one)).alias("early_late_n"),
-            F.count(early_grade).alias("early_graded_n"),
-            F.sum(early_grade).alias("early_micros"),
-            F.try_sum(F.try_multiply(early_grade, early_grade)).alias("early_squares"),
-            F.sum(x).alias("sx"),
-            F.try_sum(F.try_multiply(x, x)).alias("sxx"),
-            F.try_sum(F.try_multiply(x, early_grade)).alias("sxy"),
-            early_weeks.alias("early_weeks"),
-            assignments_done.alias("assignments_done"),
-            F.count(F.when(early, F.col("delay_ms"))).alias("early_due_n"),
-            F.sum(F.when(early, F.greatest(delay, F.lit(0)))).alias("early_delay_ms"),
-            F.count_if(F.col("delay_ms") > 0).alias("overdue_n"),
-            F.sum(F.when(F.col("delay_ms") > 0, delay)).alias("overdue_ms"),
-            F.count(F.when(F.col("submitted_at") >= F.col("_cut14"), one)).alias("last_14d"),
-            F.count(F.when(F.col("submitted_at") >= F.col("_cut30"), one)).alias("last_30d"),
-        )
+        .agg(*[value.alias(name) for name, value in sums.items()])
     )
 
 
+def _pair_statistics(
+    rows: DataFrame, latest: Column, early_weeks: Column, assignments_done: Column
+) -> DataFrame:
+    sums = _whole_sums() | _early_sums(F.col("is_early"))
+    return _per_pair(rows, latest, sums | {"early_weeks": early_weeks, "assignments_done": assignments_done})
+
+
 def pair_statistics(
     wh: Warehouse,
     by: str = "due",
@@ -142,6 +158,44 @@ def pair_statistics(
     return stats
 
 
+#: What the dashboard table takes from the early window by hand-in time.
+HANDED = ["early_n", "early_late_n", "early_graded_n", "early_micros", "early_weeks"]
+
+
+def both_statistics(
+    wh: Warehouse, fraction: tuple[int, int] = (6, 10), as_of: Column | None = None
+) -> DataFrame:
+    """``pair_statistics`` by deadline, and beside it the early window by hand-in time in columns
+    ``handed_...``: one lookup of deadlines, one exchange and one aggregation for both."""
+    latest = latest_submission(wh.facts) if as_of is None else as_of
+    ordinary, heavy = ranking.split_heavy(wh.facts, PAIR, wh.heavy_pairs)
+    pair = Window.partitionBy(*PAIR)
+    cutoff = ranking.early_cutoff(F.count("*").over(pair), *fraction)
+    rows = submissions_with_deadline(ordinary, wh.assignments).withColumns(
+        {
+            "rn": F.row_number().over(pair.orderBy(*early_order("due"))),
+            "_rn_handed": F.row_number().over(pair.orderBy(*early_order("submitted"))),
+            "_cutoff": cutoff,
+            "week": E.week_start(F.col("submitted_at")),
+        }
+    )
+    flagged = rows.withColumns({"is_early": F.col("rn") <= F.col("_cutoff"), "_handed": F.col("_rn_handed") <= F.col("_cutoff")})
+    in_week = Window.partitionBy(*PAIR, "_handed", "week").orderBy("_rn_handed")
+    new_week = F.col("_handed") & F.col("week").isNotNull() & (F.row_number().over(in_week) == 1)
+    marked = _mark_first_rows(flagged).withColumn("_new_week_handed", new_week)
+    by_hand = _early_sums(F.col("_handed")) | {"early_weeks": F.count_if("_new_week_handed")}
+    sums = _whole_sums() | _early_sums(F.col("is_early"))
+    sums |= {"early_weeks": F.count_if("new_week"), "assignments_done": F.count_if("new_assignment")}
+    stats = _per_pair(marked, latest, sums | {f"handed_{c}": by_hand[c] for c in HANDED})
+    if heavy is None:
+        return stats
+    some = replace(wh, facts=heavy, is_listed=True, listed=wh.heavy_pairs)
+    due, handed = (pair_statistics(some, by, fraction, latest) for by in ("due", "submitted"))
+    handed = handed.select(*[F.col(k).alias(f"_k_{k}") for k in PAIR], *[F.col(c).alias(f"handed_{c}") for c in HANDED])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in PAIR])
+    return stats.unionByName(due.join(handed, same).select(*stats.columns))
+
+
 def course_assignment_totals(assignments: DataFrame) -> DataFrame:
     return assignments.groupBy("course_id").agg(F.count("*").alias("total_assignments"))
 
@@ -193,13 +247,15 @@ def training_dataset(
     pass_mark: float = 5,
     as_of: Column | None = None,
     extra: dict[str, Column] | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
-    """Feature table with label, one row per (student, course).
+    """Feature table with label, one row per (student, course); from ``both_statistics`` where they
+    are at hand.
 
     ``course_load`` is the number of submissions of the student over all courses. It is a
     window over the pair rows: a student has at most one row per course.
     """
-    stats = pair_statistics(wh, "due", fraction, as_of)
+    stats = pair_statistics(wh, "due", fraction, as_of) if stats is None else stats
     of_student = Window.partitionBy("student_id")
     stats = stats.withColumn("course_load", F.sum("n").over(of_student))
     course_avg = E.avg_of_micros(F.col("micros"), F.col("graded_n"))
@@ -233,9 +289,14 @@ def student_course_features(
     student_features: DataFrame,
     fraction: tuple[int, int] = (6, 10),
     as_of: Column | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
-    """Dashboard feature table: early window by hand-in time, risk taken from the student."""
-    stats = pair_statistics(wh, "submitted", fraction, as_of)
+    """Dashboard feature table: early window by hand-in time, risk taken from the student; from
+    ``both_statistics`` where they are at hand."""
+    if stats is None:
+        stats = pair_statistics(wh, "submitted", fraction, as_of)
+    else:
+        stats = stats.drop(*HANDED).withColumnsRenamed({f"handed_{c}": c for c in HANDED})
     risk = student_features.select("student_id", "risk_probability", "risk_bucket", "predicted_at_risk")
     return (
         _describe_pairs(stats, wh)

@@ -221,3 +221,15 @@ def test_group_aggregation_reuses_the_rank_exchange(spark, data):
     initial = plan.split("Initial Plan")[-1]
     assert initial.count("hashpartitioning(student_id") == 1
     assert "Expand" not in initial
+
+
+@pytest.mark.parametrize("heavy_rows", [1_000_000, 7])
+def test_both_windows_at_once_equal_one_after_the_other(spark, data, heavy_rows):
+    wh = replace(coursework(spark, data), heavy_rows=heavy_rows)
+    both = features.both_statistics(wh).checkpoint()
+    due, handed = features.pair_statistics(wh, "due"), features.pair_statistics(wh, "submitted")
+    assert sorted(both.select(*due.columns).collect()) == sorted(due.collect())
+    by_hand = both.select(*features.PAIR, *[f"handed_{c}" for c in features.HANDED]).collect()
+    assert sorted(map(tuple, by_hand)) == sorted(map(tuple, handed.select(*features.PAIR, *features.HANDED).collect()))
+    plan = features.both_statistics(coursework(spark, data))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(student_id") == 1
