@@ -517,7 +517,8 @@ def dashboard_bundle(data):
     """Rows of every result of the bundle, the sum of all their numbers and a digest of their texts,
     whatever their order."""
     told = []
-    for name, df in reports.dashboard_bundle(data.wh, data.scored).items():
+    scored = features.scored_pairs(data.wh, stats=data.both)
+    for name, df in reports.dashboard_bundle(data.wh, scored, stats=data.both).items():
         texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
         digest = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8), 16, 10).cast("bigint")
         told.append(

@@ -661,16 +661,21 @@ def weekly_course_averages(facts: DataFrame, courses: DataFrame) -> DataFrame:
 
 
 def dashboard_bundle(
-    wh: Warehouse, scored: DataFrame, students_limit: int | None = None, pairs_limit: int | None = None
+    wh: Warehouse,
+    scored: DataFrame,
+    students_limit: int | None = None,
+    pairs_limit: int | None = None,
+    stats: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All dashboard reports over marts that are computed once and kept in a checkpoint.
+    """All dashboard reports over marts that are computed once and kept in a checkpoint; ``stats``
+    are the ``both_statistics`` of the facts, if at hand.
 
     The limits cut the two long lists to the first rows a page shows; None keeps all.
     """
     ensure_checkpoint_dir(scored.sparkSession)
     pairs = scored.checkpoint()
     students = marts.student_features(pairs).checkpoint()
-    student_courses = student_course_features(wh, students).checkpoint()
+    student_courses = student_course_features(wh, students, stats=stats).checkpoint()
     ranked = top_risk_students(students, students_limit)
     return {
         "overview": overview(students, wh.courses, wh.facts),
