@@ -20,6 +20,10 @@ from cohortlens.llm import common
 WINDOW_LINES = 3
 
 
+#: Columns that the operator adds; columns of the input with these names give way.
+TOLD = ("kept_text", "n_lines", "n_removed", "n_spans")
+
+
 def drop_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_LINES
 ) -> DataFrame:
@@ -75,7 +79,7 @@ def drop_repeats(
     stay = F.array_except(common.upto(F.size("lines")), gone)
     kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("lines"), i)), "\n")
     return merged.select(
-        *[F.col("row")[c].alias(c) for c in docs.columns],
+        *[F.col("row")[c].alias(c) for c in docs.columns if c not in TOLD],
         F.when(F.size("hit") > 0, kept).otherwise(F.col("row")[text_col]).alias("kept_text"),
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.size("hit").cast("long").alias("n_removed"),

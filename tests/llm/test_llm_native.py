@@ -59,6 +59,13 @@ def test_line_dedup_keeps_columns_and_repeated_rows(spark):
     assert line_dedup.drop_repeats(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_replaces_columns_of_its_own_names(spark):
+    rows = [(1, "a\nb\nc", 7, "x"), (2, "a\nb\nc\nd", 8, "y")]
+    found = line_dedup.drop_repeats(frame(spark, rows, "doc_id long, text string, n_lines int, kept_text string"))
+    assert found.columns == ["doc_id", "text", "kept_text", "n_lines", "n_removed", "n_spans"]
+    assert sorted((r.doc_id, r.kept_text, r.n_lines) for r in found.collect()) == [(1, "a\nb\nc", 3), (2, "d", 4)]
+
+
 # -- decontamination -------------------------------------------------------------------------
 
 
