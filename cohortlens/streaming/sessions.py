@@ -6,10 +6,12 @@ micro-batch bounds how many that are. The session must use the RocksDB state sto
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -32,7 +34,12 @@ def _session(kind: str) -> Column:
 
 
 def use_state_store(spark: SparkSession) -> SparkSession:
-    """Stateful processors need the state store that keeps its rows on disk."""
+    """Stateful processors need the state store that keeps its rows on disk.
+
+    They travel with their code: the process that Spark starts beside the driver to set them up does
+    not get the package that the executors were sent.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return spark
 

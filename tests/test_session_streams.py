@@ -2,6 +2,8 @@
 
 import os
 import random
+import subprocess
+import sys
 import time
 
 import numpy as np
@@ -148,3 +150,21 @@ def test_history_state_is_bounded(spark, tmp_path):
     query.awaitTermination()
     assert sum(op["numRowsTotal"] for op in query.lastProgress["stateOperators"]) <= 2 * sessions.HISTORY
     assert len(ledger._Folder(spark, out).current().parts) == 1
+
+
+def test_streams_run_from_any_folder(tmp_path, data):
+    """As a driver does that is started elsewhere and finds the package by its own path only."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate())
+from cohortlens import catalog
+queries = catalog.queries()
+print("rows", queries["t2_history_stream"](spark, {data!r}).count(), queries["t3_rate_limit_stream"](spark, {data!r}).count())
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=240)
+    assert "rows" in done.stdout, done.stderr[-2000:]
