@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from functools import cached_property, reduce
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,6 +36,25 @@ class Inputs:
     def wh(self) -> Warehouse:
         return fixtures.coursework(self.spark, self.folder)
 
+    def kept(self, rows: DataFrame, label: str) -> DataFrame:
+        """Rows written once to the shared folder, for what reads some of their columns several times."""
+        path = scratch_path(self.spark, label)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    @cached_property
+    def stored(self) -> Warehouse:
+        """The warehouse with its facts in a table, so that their joins run once."""
+        return replace(self.wh, facts=self.kept(self.wh.facts, "facts"))
+
+    @cached_property
+    def stored_training(self) -> DataFrame:
+        return self.kept(features.training_dataset(self.stored), "training")
+
+    @cached_property
+    def prepared(self) -> learning.Prepared:
+        return learning.prepare(self.stored_training)
+
     @cached_property
     def both(self) -> DataFrame:
         """Pair sums with both early windows, computed once for the two tables made of them."""
@@ -808,24 +827,25 @@ def best_model(data):
 BELOW_CONSTANT, RANKS, STATIONARY, EQUAL = 0.9, 0.75, 1e-4, 1e-9
 
 
-def _test_metrics(model: str):
+def _told_of_fit(data: learning.Prepared, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The confusion counts of a fit, as far as they do not depend on the fit, and whether it is
     more often right than the larger class alone, ranks test rows by their clean label, and explains
     the train rows better than any constant."""
+    scored = scorer(data.test).checkpoint()
+    loss, constant = learning.log_loss(scorer(data.train))
+    rows, positives = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"), F.col("tp") + F.col("fn")
+    return learning.binary_metrics(scored, label="noisy_label").select(
+        rows.alias("test_rows"),
+        positives.alias("positives"),
+        (F.col("accuracy") > F.greatest(positives, rows - positives) / rows).alias("beats_larger_class"),
+        F.lit(learning.area_under_curve(scored) > RANKS).alias("ranks_by_label"),
+        F.lit(loss < BELOW_CONSTANT * constant).alias("train_loss_below_constant"),
+    )
+
 
+def _test_metrics(model: str):
     def build(data):
-        data = learning.prepare(data.training)
-        scorer = learning.fit_with(model, data)
-        scored = scorer(data.test).checkpoint()
-        loss, constant = learning.log_loss(scorer(data.train))
-        rows, positives = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"), F.col("tp") + F.col("fn")
-        return learning.binary_metrics(scored, label="noisy_label").select(
-            rows.alias("test_rows"),
-            positives.alias("positives"),
-            (F.col("accuracy") > F.greatest(positives, rows - positives) / rows).alias("beats_larger_class"),
-            F.lit(learning.area_under_curve(scored) > RANKS).alias("ranks_by_label"),
-            F.lit(loss < BELOW_CONSTANT * constant).alias("train_loss_below_constant"),
-        )
+        return _told_of_fit(data.prepared, learning.fit_with(model, data.prepared))
 
     return build
 
@@ -838,9 +858,9 @@ _register("m8_kernel_svm")(_test_metrics("SVM"))
 @_register("m5_logistic_regression")
 def logistic_regression(data):
     """The same, and whether the fit is where the penalized loss has no slope."""
-    told = _test_metrics("Logistic Regression")(data)
-    prepared = learning.prepare(data.training)
-    slope = learning.logistic_gradient(learning.fit_logistic(prepared.train), prepared.train)
+    model = learning.fit_logistic(data.prepared.train)
+    told = _told_of_fit(data.prepared, partial(learning.apply_model, model))
+    slope = learning.logistic_gradient(model, data.prepared.train)
     return told.withColumn("stationary", F.lit(slope < STATIONARY))
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens import schemas
+from cohortlens import catalog, schemas
 from cohortlens.operators import neighbors
 from cohortlens.plans import features, learning, marts
 from cohortlens.session import ensure_checkpoint_dir
@@ -271,3 +271,11 @@ def test_visits_of_a_query_stay_few_as_cells_grow_tenfold(spark):
         row, _ = boxes.walk(x[:200], np.zeros(200, np.int64), near, np.full(200, -1))
         mean.append(len(row) / 200)
     assert mean[1] < 1.5 * mean[0] and mean[1] < 12
+
+
+def test_a_fit_and_its_checks_compute_the_features_once(spark, data, monkeypatch):
+    built = []
+    real = features.pair_statistics
+    monkeypatch.setattr(features, "pair_statistics", lambda *a, **k: built.append(1) or real(*a, **k))
+    row = catalog.queries()["m5_logistic_regression"](spark, data).first()
+    assert row.stationary and len(built) == 1
