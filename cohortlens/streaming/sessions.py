@@ -7,6 +7,7 @@ micro-batch bounds how many that are. The session must use the RocksDB state sto
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,8 @@ from cohortlens.streaming import ledger
 from cohortlens.streaming.activity import fold
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Waiting requests are kept in parts of so many at most, each of one minute.
+PART_ROWS, MINUTE_US = 100_000, 60_000_000
 
 
 def _key() -> Column:
@@ -70,9 +73,11 @@ def admit(opened: int | None, counted: int, times: np.ndarray, per_window: int)
 class Limiter(StatefulProcessor):
     """Decides requests in the order of their times, once the watermark has passed them.
 
-    Requests that wait are a list state; the window and its count are a value state. An event timer
-    wakes a session when its earliest waiting request is due, or, with `forget_ms`, when it has been
-    silent so long that its state can go, as it would begin anew.
+    Requests that wait are a map state: packed parts of at most PART_ROWS requests, each of one minute,
+    so that Python holds the requests of a session's minute at a time and never all that wait. The
+    window and its count are a value state. An event timer wakes a session when its earliest waiting
+    request is due, or, with `forget_ms`, when it has been silent so long that its state can
+    go, as it would begin anew.
     """
 
     def __init__(self, per_window: int, forget_ms: int | None) -> None:
@@ -81,15 +86,20 @@ class Limiter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.window = handle.getValueState("window", "opened bigint, counted int, last bigint")
-        self.waiting = handle.getListState("waiting", "us bigint, turn bigint")
+        self.waiting = handle.getMapState("waiting", "minute bigint, part string", "first bigint, requests binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
+        held, n = [], 0
         for chunk in rows:
             # Spark lets a row pass that came late by the newest watermark; its turn is over.
-            timely = chunk[chunk["us"] // 1000 >= watermark]
-            if len(timely):
-                self.waiting.appendList(list(timely[["us", "turn"]].itertuples(index=False, name=None)))
+            timely = chunk.loc[chunk["us"] // 1000 >= watermark, ["us", "turn"]].to_numpy(np.int64)
+            held, n = [*held, timely], n + len(timely)
+            if n >= PART_ROWS:
+                self._keep(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            self._keep(np.concatenate(held))
         yield from self._decide(key, watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -98,38 +108,65 @@ class Limiter(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def _keep(self, requests: np.ndarray) -> None:
+        """Add requests (us, turn) to those that wait, as parts of one minute."""
+        requests = requests[np.argsort(requests[:, 0], kind="stable")]
+        minutes = requests[:, 0] // MINUTE_US
+        begins = np.flatnonzero(np.diff(minutes, prepend=minutes[0] - 1))
+        for a, b in zip(begins, [*begins[1:], len(requests)], strict=True):
+            for at in range(a, b, PART_ROWS):
+                part = requests[at : min(at + PART_ROWS, b)]
+                self.waiting.updateValue((int(minutes[a]), uuid.uuid4().hex), (int(part[0, 0]), part.tobytes()))
+
     def _decide(self, key, watermark: int) -> Iterator[pd.DataFrame]:
-        known = sorted(tuple(r) for r in self.waiting.get())
+        parts = {}
+        for minute, name in list(self.waiting.keys()):
+            parts.setdefault(minute, []).append((minute, name))
         # All requests up to the watermark's millisecond, that one left out, have arrived.
-        due = [r for r in known if r[0] // 1000 < watermark]
-        later = known[len(due) :]
+        until = watermark * 1000
         opened, counted, last = self.window.get() if self.window.exists() else (None, 0, None)
-        if due:
-            us, turn = np.array(due, np.int64).T
-            times = us // 1000
-            # After a silence that is long enough the session begins anew.
-            gaps = np.diff(times, prepend=times[0] if last is None else last)
-            begins = np.flatnonzero(gaps > self.forget_ms) if self.forget_ms is not None else np.zeros(0, np.int64)
-            for a, b in zip([0, *begins], [*begins, len(times)], strict=True):
-                if a in begins:
-                    opened, counted = None, 0
-                if b > a:
-                    window, admitted, opened, counted = admit(opened, counted, times[a:b], self.per_window)
-                    columns = {"us": us[a:b], "turn": turn[a:b], "window_start": window, "admitted": admitted}
-                    yield pd.DataFrame({"session": [key[0]] * (b - a), **columns})
-            last = int(times[-1])
+        first, decided = None, False
+        for minute in sorted(parts):
+            if minute * MINUTE_US >= until:
+                first = min(self.waiting.getValue(p)[0] for p in parts[minute])
+                break
+            read = [np.frombuffer(self.waiting.getValue(p)[1], np.int64).reshape(-1, 2) for p in parts[minute]]
+            known = np.concatenate(read)
+            known = known[np.lexsort((known[:, 1], known[:, 0]))]
+            n_due = int(np.searchsorted(known[:, 0], until, side="left"))
+            if n_due:
+                for p in parts[minute]:
+                    self.waiting.removeKey(p)
+                if n_due < len(known):
+                    self._keep(known[n_due:])
+                us, turn = known[:n_due].T
+                times = us // 1000
+                # After a silence that is long enough the session begins anew.
+                gaps = np.diff(times, prepend=times[0] if last is None else last)
+                begins = np.flatnonzero(gaps > self.forget_ms) if self.forget_ms is not None else np.zeros(0, np.int64)
+                for a, b in zip([0, *begins], [*begins, len(times)], strict=True):
+                    if a in begins:
+                        opened, counted = None, 0
+                    if b > a:
+                        window, admitted, opened, counted = admit(opened, counted, times[a:b], self.per_window)
+                        for at in range(a, b, PART_ROWS):
+                            to = min(at + PART_ROWS, b)
+                            columns = {"us": us[at:to], "turn": turn[at:to], "window_start": window[at - a : to - a]}
+                            told = pd.DataFrame({"session": [key[0]] * (to - at), **columns})
+                            yield told.assign(admitted=admitted[at - a : to - a])
+                last, decided = int(times[-1]), True
+            if n_due < len(known):
+                first = int(known[n_due, 0])
+                break
+        if decided:
             self.window.update((opened, counted, last))
-            if later:
-                self.waiting.put(later)
-            else:
-                self.waiting.clear()
-        elif not later and last is not None and self.forget_ms is not None and last + self.forget_ms < watermark:
+        elif first is None and last is not None and self.forget_ms is not None and last + self.forget_ms < watermark:
             self.window.clear()
             last = None
         for old in list(self.handle.listTimers()):
             self.handle.deleteTimer(old)
-        if later:
-            self.handle.registerTimer(later[0][0] // 1000 + 1)
+        if first is not None:
+            self.handle.registerTimer(first // 1000 + 1)
         elif last is not None and self.forget_ms is not None:
             self.handle.registerTimer(last + self.forget_ms + 1)
 

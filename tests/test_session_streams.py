@@ -7,6 +7,7 @@ import sys
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +169,78 @@ print("rows", queries["t2_history_stream"](spark, {data!r}).count(), queries["t3
     clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=240)
     assert "rows" in done.stdout, done.stderr[-2000:]
+
+
+class _Handle:
+    """State and timers of one session, as a processor sees them."""
+
+    def __init__(self):
+        self.of, self.timers = {}, []
+
+    def getMapState(self, name, *schemas):
+        return self.of.setdefault(name, _Map())
+
+    def getValueState(self, name, schema):
+        return self.of.setdefault(name, _Value())
+
+    getListState = getValueState
+
+    def listTimers(self):
+        return list(self.timers)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Map(dict):
+    def updateValue(self, key, value):
+        self[key] = value
+
+    getValue, removeKey = dict.__getitem__, dict.__delitem__
+
+
+class _Value:
+    value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value or []
+
+    def update(self, value):
+        self.value = value
+
+    put = update
+
+
+class _Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_limiter_handles_a_busy_session_in_parts(monkeypatch):
+    monkeypatch.setattr(streams, "PART_ROWS", 100)
+    draw, handle = random.Random(5), _Handle()
+    limiter = streams.Limiter(30, None)
+    limiter.init(handle)
+    rows = [(draw.randrange(300_000_000), n) for n in range(3_000)]
+    chunks = [pd.DataFrame(rows[a : a + 250], columns=["us", "turn"]) for a in range(0, 3_000, 250)]
+    assert list(limiter.handleInputRows(("=1",), iter(chunks), _Clock(0))) == []
+    # What waits is never in one piece, and neither is what is told.
+    assert handle.of["waiting"] and all(len(v[1]) <= 100 * 16 for v in handle.of["waiting"].values())
+    told = list(limiter.handleExpiredTimer(("=1",), _Clock(200_000), None))
+    assert handle.timers == [min(us for us, _ in rows if us >= 200_000_000) // 1000 + 1]
+    told += limiter.handleExpiredTimer(("=1",), _Clock(400_000), None)
+    assert max(map(len, told)) <= 100 and not handle.of["waiting"] and not handle.timers
+    both = pd.concat(told)
+    rows.sort()
+    assert list(zip(both["us"], both["turn"], strict=True)) == rows
+    window, admitted, *_ = streams.admit(None, 0, np.array([us // 1000 for us, _ in rows]), 30)
+    assert both["window_start"].tolist() == window.tolist() and both["admitted"].tolist() == admitted.tolist()
