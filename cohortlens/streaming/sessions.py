@@ -221,13 +221,13 @@ class History(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         columns = [f.split()[0] for f in _MESSAGE.split(", ")]
-        best = pd.DataFrame([tuple(r) for r in self.kept.get()], columns=columns)
+        # Plain rows: a session has few of them, and a frame costs more than sorting them.
+        best = [tuple(r) for r in self.kept.get()]
         for chunk in rows:
-            both = pd.concat([best, chunk[columns]]) if len(best) else chunk[columns]
-            best = both.sort_values(_ORDER, ascending=False, kind="stable").head(self.size)
-        best = best.astype(object).where(best.notna(), None)
-        self.kept.put([tuple(r) for r in best.itertuples(index=False, name=None)])
-        yield best.assign(session=key[0], place=range(1, len(best) + 1))
+            values = [chunk[c].tolist() if c in _ORDER else [v if isinstance(v, str) else None for v in chunk[c]] for c in columns]
+            best = sorted([*best, *zip(*values, strict=True)], key=lambda r: r[: len(_ORDER)], reverse=True)[: self.size]
+        self.kept.put(best)
+        yield pd.DataFrame(best, columns=columns).assign(session=key[0], place=range(1, len(best) + 1))
 
     def close(self) -> None:
         pass

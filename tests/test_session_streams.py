@@ -244,3 +244,17 @@ def test_limiter_handles_a_busy_session_in_parts(monkeypatch):
     assert list(zip(both["us"], both["turn"], strict=True)) == rows
     window, admitted, *_ = streams.admit(None, 0, np.array([us // 1000 for us, _ in rows]), 30)
     assert both["window_start"].tolist() == window.tolist() and both["admitted"].tolist() == admitted.tolist()
+
+
+def test_history_builds_one_frame_a_session(monkeypatch):
+    handle, history = _Handle(), streams.History(3)
+    history.init(handle)
+    chunks = [pd.DataFrame({"timed": [True] * 2, "us": [a, a], "turned": [True, False], "turn": [a, 0], "role": ["user", None], "text": ["x", None]}) for a in (5, 9, 7)]
+    for _ in range(2):
+        built, real = [], pd.DataFrame
+        with monkeypatch.context() as m:
+            m.setattr(streams.pd, "DataFrame", lambda *a, **k: built.append(1) or real(*a, **k))
+            m.setattr(streams.pd, "concat", lambda *a, **k: built.extend([1, 1]))
+            (told,) = history.handleInputRows(("=1",), iter(chunks), None)
+        assert len(built) == 1
+    assert told[["us", "turned", "place"]].values.tolist() == [[9, True, 1], [9, True, 2], [9, False, 3]]
