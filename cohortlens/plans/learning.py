@@ -485,8 +485,9 @@ def attach_scores(training: DataFrame, scores: DataFrame) -> DataFrame:
     return training.join(wanted, KEY)
 
 
-def train_single(training: DataFrame) -> tuple[PipelineModel, DataFrame]:
-    """Logistic regression alone on clean labels; returns the model and all scored pairs."""
-    data = prepare(training, noise=0.0)
+def train_single(training: DataFrame, data: Prepared | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Logistic regression alone on clean labels; returns the model and all scored pairs. ``data`` are
+    the training rows prepared without noise, if at hand."""
+    data = prepare(training, noise=0.0) if data is None else data
     model = fit_logistic(data.train)
     return model, apply_model(model, data.rows)

@@ -279,3 +279,14 @@ def test_a_fit_and_its_checks_compute_the_features_once(spark, data, monkeypatch
     monkeypatch.setattr(features, "pair_statistics", lambda *a, **k: built.append(1) or real(*a, **k))
     row = catalog.queries()["m5_logistic_regression"](spark, data).first()
     assert row.stationary and len(built) == 1
+
+
+def test_the_single_model_computes_the_features_once(spark, data, monkeypatch):
+    built = []
+    real = features.pair_statistics
+    monkeypatch.setattr(features, "pair_statistics", lambda *a, **k: built.append(1) or real(*a, **k))
+    prepared = []
+    prepare = learning.prepare
+    monkeypatch.setattr(learning, "prepare", lambda *a, **k: prepared.append(1) or prepare(*a, **k))
+    assert catalog.queries()["m15_single_model"](spark, data).where("not scored").count() == 0
+    assert len(built) == 1 and len(prepared) == 1
