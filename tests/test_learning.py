@@ -290,3 +290,11 @@ def test_the_single_model_computes_the_features_once(spark, data, monkeypatch):
     monkeypatch.setattr(learning, "prepare", lambda *a, **k: prepared.append(1) or prepare(*a, **k))
     assert catalog.queries()["m15_single_model"](spark, data).where("not scored").count() == 0
     assert len(built) == 1 and len(prepared) == 1
+
+
+def test_the_saved_model_reads_stored_training_rows(spark, data, monkeypatch):
+    given = []
+    real = learning.score_new
+    monkeypatch.setattr(learning, "score_new", lambda rows, *a: given.append(rows) or real(rows, *a))
+    assert catalog.queries()["m14_saved_model"](spark, data).first().same_after_reload
+    assert "training-" in given[0].inputFiles()[0]
