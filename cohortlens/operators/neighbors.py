@@ -4,7 +4,8 @@ Points are cut into cells by a k-d tree: a cell with too many points is split at
 widest feature, as seen in a bounded sample of the cell, until every cell is small. Each node of the
 tree has the box around its points. A query is searched in its home cell first, which bounds the
 distance of its k-th neighbor; then it walks down the tree, past every node whose box is not closer
-than that bound, to the few cells that remain. Each search emits at most k rows per query and cell.
+than that bound, to the few cells that remain. Each search emits at most k rows per query and cell,
+and none beyond the bound.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from pyspark.sql import functions as F
 from cohortlens.operators.ranking import last_n
 from cohortlens.session import ensure_checkpoint_dir
 
-#: Points of a cell, up to a thousand million points; with more of them cells grow instead of the
+#: Points of a cell, up to five hundred million points; with more of them cells grow instead of the
 #: tree, which is broadcast and stays below MOST_CELLS leaves (200 bytes each at seven features).
-CELL_ROWS = 2_000
+CELL_ROWS = 1_000
 MOST_CELLS = 500_000
 #: Rows that one round of splitting looks at, in all large cells together.
 SAMPLE_ROWS = 100_000
@@ -167,7 +168,8 @@ def _boxed(tree: BoxTree, points: DataFrame, features: list[str]) -> BoxTree:
 
 
 def _visits(queries: DataFrame, features: list[str], tree: Broadcast, k: int, home: bool) -> DataFrame:
-    """(query, cell) rows: the cells of the home node, or all other cells inside the query's bound."""
+    """(query, bound, cell) rows: the cells of the home node, with no bound, or all other cells inside
+    the query's bound."""
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         boxes: BoxTree = tree.value
@@ -181,15 +183,16 @@ def _visits(queries: DataFrame, features: list[str], tree: Broadcast, k: int, ho
                     row, cell = boxes.walk(x, own, everywhere, np.full(len(x), -1))
                 else:
                     row, cell = boxes.walk(x, np.zeros(len(x), np.int64), rows["bound"].to_numpy(float), own)
-                yield rows.iloc[row][features].assign(cell=cell)
+                yield rows.iloc[row].assign(cell=cell)
 
-    columns = ", ".join(f"{f} double" for f in features) + ", cell bigint"
-    return queries.select(*features, *[] if home else ["bound"]).mapInPandas(choose, columns)
+    columns = ", ".join(f"{f} double" for f in features) + ", bound double, cell bigint"
+    bound = F.lit(float("inf")).alias("bound") if home else F.col("bound")
+    return queries.select(*features, bound).mapInPandas(choose, columns)
 
 
 def _search(visits: DataFrame, points: DataFrame, features: list[str], key: list[str], label: str, k: int) -> DataFrame:
-    """The k nearest points of the visited cell per visit. A busy cell is shared out over
-    several tasks, each with its own copy of the (size-limited) cell."""
+    """The k nearest points of the visited cell per visit, as far as they are within its bound. A
+    busy cell is shared out over several tasks, each with its own copy of the (size-limited) cell."""
     load = visits.groupBy("cell").agg(F.ceil(F.count("*") / SEARCH_ROWS).alias("_shares"))
     load = F.broadcast(load)  # one row per cell
     shared = visits.join(load, "cell").withColumn(
@@ -201,22 +204,26 @@ def _search(visits: DataFrame, points: DataFrame, features: list[str], key: list
 
     def nearest(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values(key, ignore_index=True)
-        rows, found, distances = [], [], []
+        asked, known = q[features].to_numpy(float), p[features].to_numpy(float)
+        bounds = q["bound"].to_numpy(float)
+        rows, found, distances = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         for begin in range(0, len(q), 256):
-            x = q[features].iloc[begin : begin + 256].to_numpy()
+            x, limit = asked[begin : begin + 256], bounds[begin : begin + 256, None]
             distance = np.zeros((len(x), len(p)))
-            for j, feature in enumerate(features):
-                gap = x[:, j : j + 1] - p[feature].to_numpy()[None, :]
+            for j in range(len(features)):
+                gap = x[:, j : j + 1] - known[None, :, j]
                 distance += gap * gap
-            limit = np.partition(distance, min(k, len(p)) - 1, axis=1)[:, min(k, len(p)) - 1]
-            for i, row in enumerate(distance):
-                near = np.flatnonzero(row <= limit[i])
-                near = near[np.argsort(row[near], kind="stable")][:k]
-                rows.append(np.full(len(near), begin + i))
-                found.append(near)
-                distances.append(row[near])
-        if not rows:
-            return pd.DataFrame(columns=[*features, "cell", "distance", *key, label])
+            near = distance <= limit
+            if np.count_nonzero(near) > 4 * k * len(x):
+                near = distance <= np.minimum(limit, np.partition(distance, min(k, len(p)) - 1, axis=1)[:, [min(k, len(p)) - 1]])
+            row, at = np.nonzero(near)
+            order = np.lexsort((distance[row, at], row))  # points are in the order of their keys
+            row, at = row[order], at[order]
+            kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, at = row[kept], at[kept]
+            rows.append(begin + row)
+            found.append(at)
+            distances.append(distance[row, at])
         rows, found = np.concatenate(rows), np.concatenate(found)
         result = q.iloc[rows][[*features, "cell"]].reset_index(drop=True)
         result["distance"] = np.concatenate(distances)

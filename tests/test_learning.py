@@ -298,3 +298,14 @@ def test_the_saved_model_reads_stored_training_rows(spark, data, monkeypatch):
     monkeypatch.setattr(learning, "score_new", lambda rows, *a: given.append(rows) or real(rows, *a))
     assert catalog.queries()["m14_saved_model"](spark, data).first().same_after_reload
     assert "training-" in given[0].inputFiles()[0]
+
+
+def test_a_search_emits_nothing_beyond_the_bound(spark):
+    names, _, points = _points(spark, np.arange(40, dtype=float).reshape(-1, 1))
+    visits = spark.createDataFrame([(10.0, 4.0, 0), (30.2, float("inf"), 0)], "x0 double, bound double, cell bigint")
+    placed = points.withColumn("cell", F.lit(0).cast("bigint"))
+    got = neighbors._search(visits, placed, names, ["id"], "label", 5).collect()
+    assert sorted((r.x0, r.id) for r in got) == [(10.0, i) for i in range(8, 13)] + [(30.2, i) for i in range(28, 33)]
+    close = visits.withColumn("bound", F.lit(1.0))
+    got = neighbors._search(close, placed, names, ["id"], "label", 5).collect()
+    assert sorted((r.x0, r.id) for r in got) == [(10.0, 9), (10.0, 10), (10.0, 11), (30.2, 30), (30.2, 31)]
