@@ -36,15 +36,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 from tokenizers import Tokenizer
+from tokenizers.models import Model
 
 from cohortlens.llm import common
 
 END = 1
 CONTEXTS = (256, 512, 1024, 2048)
 GROUP = 8
-PART_BYTES = 5_000_000
-#: Distinct words a worker remembers with their ids; then it starts over.
-CACHE_WORDS = 600_000
+PART_BYTES = 4_000_000
+#: Distinct words a worker remembers with their ids before it drops those that did not come again.
+CACHE_WORDS = 200_000
 #: Words that Unicode normalization leaves alone.
 PLAIN = re.compile("[\x21-\x7E\u00C0-\u00FF]+")
 #: The characters that byte-level models use for bytes: printable ones stand for themselves, the
@@ -59,6 +60,20 @@ SCHEMA = (
 )
 
 
+class Parts(dict):
+    """Ids of parts of words, by part; those not yet known are merged by the model."""
+
+    def __init__(self, model: Model) -> None:
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, part: str) -> bytes:
+        mapped = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_CHARS)
+        ids = [t.id for t in self.model.tokenize(mapped)]
+        known = self[part] = struct.pack(f"<{len(ids)}I", *ids)
+        return known
+
+
 class Encoder:
     """Token ids of many texts; words between white space are encoded once and remembered.
 
@@ -71,25 +86,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         described = json.loads(self.tokenizer.to_str())
         self.cut = regex.compile(described["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place, self.parts = {"": 0}, {}
+        self.place, self.parts = {"": 0}, Parts(self.tokenizer.model)
         self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.hits = np.zeros(1, np.int64)
 
-    def _part(self, part: str) -> bytes:
-        known = self.parts.get(part)
-        if known is None:
-            mapped = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_CHARS)
-            ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-            known = self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
-        return known
+    def _forget(self) -> None:
+        """Drops the words that one part alone had, or none since the last time; half the room is left."""
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+        again = np.flatnonzero(self.hits > 1)
+        again = again[again > 0][: CACHE_WORDS // 2]
+        words = list(self.place)
+        self.place = {"": 0} | {words[w]: n for n, w in enumerate(again.tolist(), 1)}
+        begins, sizes = (np.cumsum(self.sizes) - self.sizes)[again], self.sizes[again]
+        self.ids = self.ids[np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+        self.sizes = np.append(0, sizes)
+        self.hits = np.ones(len(self.sizes), np.int64)
 
     def _learn(self, new: list[str]) -> None:
         found, sizes = [], []
+        plain, cut, known = PLAIN.fullmatch, self.cut.findall, self.parts.__getitem__
         for word in new:
-            if PLAIN.fullmatch(word) and "<|" not in word:
-                ids = b"".join(map(self._part, self.cut.findall(word.lower())))
+            if plain(word) and "<|" not in word:
+                ids = b"".join(map(known, cut(word.lower())))
             else:
                 ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
             found.append(ids)
@@ -97,6 +116,7 @@ class Encoder:
         self.place.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new)), strict=True))
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
         self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64)])
+        self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int64)])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.sizes) > CACHE_WORDS:
@@ -107,6 +127,7 @@ class Encoder:
         distinct = coded.dictionary.to_pylist()
         self._learn([w for w in distinct if w not in self.place])
         place = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        self.hits[place] += 1
         begins = (np.cumsum(self.sizes) - self.sizes)[place]
         words = np.asarray(coded.indices)
         size = self.sizes[place][words]

@@ -476,3 +476,19 @@ def test_page_rows(spark, data):
     assert html_text.extract(pages.limit(0), ["page_id"]).count() == 0
     real = html_text.op8_html_text(spark, data).collect()
     assert real and all(r.text and "©" not in r.text and r.n_chars == len(r.text) for r in real)
+
+
+def test_packing_remembers_the_words_that_come_again(monkeypatch):
+    from cohortlens.llm import packing
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 60)
+    encoder = packing.Encoder(packing.tokenizer_path())
+    common_words = " ".join(f"often{i}" for i in range(20))
+    for n in range(12):
+        text = f"{common_words} " + " ".join(f"once{n}x{i}" for i in range(25))
+        whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert [x.tolist() for x in encoder.encode([text.encode(), b""])] == [[*whole, 1], [1]]
+        assert len(encoder.place) <= 60 + 45 + 1 and len(encoder.hits) == len(encoder.sizes) == len(encoder.place)
+        if n:
+            assert "often0" in encoder.place
+    assert "once0x0" not in encoder.place
