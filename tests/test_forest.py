@@ -75,6 +75,16 @@ def test_a_forest_does_not_depend_on_its_parts(points, monkeypatch, depth):
     assert _scores(parts, points) == told
 
 
+@pytest.mark.parametrize("size", [50, 500_000])  # all possible keys kept, or those that occur
+def test_sums_by_key(size):
+    rng = np.random.default_rng(1)
+    keys, counts = rng.integers(0, size, (300, 3)), rng.integers(0, 4, (300, 2)) + [1, 0]
+    found, sums = forest.summed(keys, counts, size)
+    assert found.tolist() == sorted(set(keys.ravel().tolist()))
+    for key, told in zip(found, sums, strict=True):
+        assert told.tolist() == (counts * (keys == key).sum(axis=1)[:, None]).sum(axis=0).tolist()
+
+
 def test_edges_of_a_forest(spark, points):
     one = points.limit(1).checkpoint()  # some trees draw no row
     assert {p for _, p, _ in _scores(forest.fit(one, NAMES, ["id"], "label", 8, 5, 1), points)} <= {"[1.0,0.0]", "[0.0,1.0]"}

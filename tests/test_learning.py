@@ -98,6 +98,45 @@ def test_fits_side_by_side_equal_fits_in_turn(prepared):
         assert [row[m] for m in learning.METRICS] == [alone[m] for m in learning.METRICS]
 
 
+def test_a_comparison_scores_test_rows_once_and_beside_the_fits(prepared, monkeypatch):
+    """Each model scores the test rows in its own pool; the best one is asked for the train rows only."""
+    fit_with, asked = learning.fit_with, []
+
+    def told(name, data):
+        scorer = fit_with(name, data)
+
+        def score(rows):
+            pool = rows.sparkSession.sparkContext.getLocalProperty("spark.scheduler.pool")
+            asked.append((name, pool == name, {r.is_test for r in rows.select("is_test").distinct().collect()}))
+            return scorer(rows)
+
+        return score
+
+    monkeypatch.setattr(learning, "fit_with", told)
+    outcome = learning.compare_models(prepared, ["Logistic Regression", "KNN"])
+    assert sorted(asked[:2]) == [("KNN", True, {True}), ("Logistic Regression", True, {True})]
+    assert [(name, kinds) for name, _, kinds in asked[2:]] == [(outcome.best, {False})]
+    alone = fit_with(outcome.best, prepared)(prepared.rows)
+    assert outcome.scores.columns == alone.columns
+    assert outcome.scores.exceptAll(alone).count() == 0 and alone.exceptAll(outcome.scores).count() == 0
+
+
+def test_costly_rows_are_dealt_to_more_partitions(spark):
+    for n, parts in ((10, 4), (90_000, 4), (150_000, 6), (500_000, learning.MAPPED_PARTITIONS), (4_000_000, 4)):
+        rows = spark.range(20).select(F.col("id").alias("student_id"), F.lit(1).alias("course_id")).repartition(4)
+        assert learning.finer(rows, n).rdd.getNumPartitions() == parts
+
+
+def test_landmark_features_equal_the_kernel(spark):
+    rng = np.random.default_rng(5)
+    x, names = rng.normal(size=(40, len(schemas.FEATURE_COLUMNS))), schemas.FEATURE_COLUMNS
+    rows = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["id", *names]).repartition(3)
+    weights = learning.landmark_weights(x[:8], 0.2)
+    mapped = learning._with_landmarks(rows, x[:8], 0.2, weights).orderBy("id")
+    found = np.array([r.features.toArray() for r in mapped.collect()])
+    assert np.allclose(found, learning.kernel(x, x[:8], 0.2) @ weights, atol=1e-12)
+
+
 def test_an_error_of_one_task_is_raised_after_all_ended(spark):
     ended = []
     with pytest.raises(ZeroDivisionError):
