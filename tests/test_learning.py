@@ -215,6 +215,16 @@ def test_fits_on_a_bounded_number_of_rows(prepared):
     assert learning.at_most(train, 10_000) is train
 
 
+def test_the_svm_is_fitted_on_all_train_rows(prepared):
+    train = prepared.train
+    x = np.array(train.select(*schemas.FEATURE_COLUMNS).collect(), float)
+    models = [learning.fit_kernel_svm(train, landmarks=20, rows=rows) for rows in (100, len(x))]
+    for model in models:
+        assert model.gamma == pytest.approx(1 / (x.shape[1] * x.var()))
+    assert np.allclose(models[0].svm.coefficients.toArray(), models[1].svm.coefficients.toArray())
+    assert np.allclose(models[0].platt.coefficients.toArray(), models[1].platt.coefficients.toArray())
+
+
 def test_ties_go_to_the_first_model(spark):
     rows = [("SVM", 0.9, 0.9, 0.9, 0.9), ("Logistic Regression", 0.9, 0.9, 0.9, 0.9), ("KNN", 0.1, 0.1, 0.1, 0.1)]
     frame = spark.createDataFrame(rows, ["model", *learning.METRICS])
