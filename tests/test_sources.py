@@ -2,11 +2,12 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens import schemas
+from cohortlens import catalog, schemas
 from cohortlens.operators import cleaning
 from cohortlens.sources import landing, tables
 
@@ -215,3 +216,20 @@ def test_bucketed_table_joins_without_exchange(spark):
 def test_export(spark, tmp_path):
     paths = tables.export_datasets({"a": spark.range(3).toDF("x")}, str(tmp_path))
     assert spark.read.csv(paths["a"], header=True).count() == 3
+
+
+def test_the_bundle_leaves_no_shuffle_files_of_what_it_keeps(spark, data):
+    """The marts are in checkpoints; the exchanges that made them need not stay until the driver's next garbage collection."""
+    def shuffle_files():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+    before, conf = shuffle_files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    kept = catalog.queries()["p26_dashboard_bundle"](spark, data)
+    for _ in range(100):  # files go in the background
+        if not shuffle_files() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == conf
+    assert kept.count() == 13
